@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import shards, tokens
+from . import shards, simhash, tokens
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -30,9 +30,14 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op4_shards": op4_shards,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
