@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import shards, simhash, tokens
+from . import lines, mixing, shards, simhash, tokens
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -26,18 +27,107 @@ def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH l AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+), each AS (
+  SELECT doc_id, i, lines[i] AS line, trim(lines[i], ' ' || chr(9) || chr(13)) AS t FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)
+), f AS (
+  SELECT doc_id, i, t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM each WHERE t <> ''
+), w AS (
+  SELECT a.doc_id, a.k, a.t AS x, b.t AS y, c.t AS z, a.i AS lo, c.i AS hi
+  FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.k = a.k + 1 JOIN f c ON a.doc_id = c.doc_id AND c.k = a.k + 2
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, k) AS nth FROM w
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS i FROM r WHERE nth > 1
+), b AS (
+  SELECT each.doc_id, each.i, each.line, gone.i IS NULL AS stays FROM each LEFT JOIN gone ON gone.doc_id = each.doc_id AND gone.i = each.i
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '') AS text,
+       CAST(count(*) AS INT) AS n_lines, CAST(count(*) FILTER (NOT stays) AS INT) AS n_removed
+FROM b GROUP BY doc_id
+"""
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+#: The production mix: four domains by the number in the source's name, weighted 4 to 1; English before the other languages.
+MIX_SEED, MIX_EPOCHS = 20, 2
+
+
+def mix_levels() -> list[mixing.Level]:
+    number = F.expr("cast(coalesce(nullif(regexp_extract(source, '([0-9]+)$', 1), ''), '0') as bigint) % 4")
+    return [
+        mixing.Level("domain", F.concat(F.lit("domain"), number), F.expr("case domain when 'domain0' then 4 when 'domain1' then 3 when 'domain2' then 2 else 1 end")),
+        mixing.Level("lang", F.col("lang"), F.expr("case lang when 'en' then 3 else 1 end")),
+        mixing.Level("source", F.col("source"), F.lit(1)),
+    ]
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = mixing.mix(docs, mix_levels(), F.col("total"), seed=MIX_SEED, max_epochs=MIX_EPOCHS)
+    return out.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+OP6_SQL = """
+WITH d AS (
+  SELECT doc_id, 'domain' || (CAST(coalesce(nullif(regexp_extract(source, '([0-9]+)$', 1), ''), '0') AS BIGINT) % 4) AS domain,
+         lang, source, len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')) AS n_tokens FROM documents
+), leaf AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) * 2 AS BIGINT) AS cap FROM d GROUP BY ALL
+), n1 AS (
+  SELECT domain, CAST(sum(cap) AS BIGINT) AS cap, CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END AS w,
+         least((SELECT sum(tokens) FROM leaf), sum(sum(cap)) OVER ()) AS amount FROM leaf GROUP BY domain
+), s1 AS (
+  SELECT *, sum(cap) OVER (ORDER BY cap / w, cap, domain ROWS UNBOUNDED PRECEDING) - cap AS before,
+         sum(w) OVER (ORDER BY cap / w, cap, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM n1
+), f1 AS (SELECT *, cap * rest <= (amount - before) * w AS full_ FROM s1
+), a1 AS (
+  SELECT domain, CASE WHEN full_ THEN cap ELSE ((amount - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER ()) * w) // sum(CASE WHEN full_ THEN 0 ELSE w END) OVER () END AS alloc FROM f1
+), n2 AS (
+  SELECT l.domain, l.lang, CAST(sum(l.cap) AS BIGINT) AS cap, CASE l.lang WHEN 'en' THEN 3 ELSE 1 END AS w, least(any_value(a1.alloc), sum(sum(l.cap)) OVER (PARTITION BY l.domain)) AS amount
+  FROM leaf l JOIN a1 USING (domain) GROUP BY l.domain, l.lang
+), s2 AS (
+  SELECT *, sum(cap) OVER (PARTITION BY domain ORDER BY cap / w, cap, lang ROWS UNBOUNDED PRECEDING) - cap AS before,
+         sum(w) OVER (PARTITION BY domain ORDER BY cap / w, cap, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM n2
+), f2 AS (SELECT *, cap * rest <= (amount - before) * w AS full_ FROM s2
+), a2 AS (
+  SELECT domain, lang, CASE WHEN full_ THEN cap ELSE ((amount - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER (PARTITION BY domain)) * w) // sum(CASE WHEN full_ THEN 0 ELSE w END) OVER (PARTITION BY domain) END AS alloc FROM f2
+), n3 AS (
+  SELECT l.*, least(a2.alloc, sum(l.cap) OVER (PARTITION BY l.domain, l.lang)) AS amount FROM leaf l JOIN a2 USING (domain, lang)
+), s3 AS (
+  SELECT *, sum(cap) OVER (PARTITION BY domain, lang ORDER BY cap, source ROWS UNBOUNDED PRECEDING) - cap AS before,
+         count(*) OVER (PARTITION BY domain, lang ORDER BY cap, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM n3
+), f3 AS (SELECT *, cap * rest <= (amount - before) AS full_ FROM s3
+), a3 AS (
+  SELECT domain, lang, source, tokens, CAST(CASE WHEN full_ THEN cap ELSE (amount - sum(CASE WHEN full_ THEN cap ELSE 0 END) OVER (PARTITION BY domain, lang)) // sum(CASE WHEN full_ THEN 0 ELSE 1 END) OVER (PARTITION BY domain, lang) END AS BIGINT) AS alloc FROM f3
+), p AS (
+  SELECT d.*, CASE WHEN tokens > 0 THEN alloc // tokens ELSE 0 END AS epochs, alloc - CASE WHEN tokens > 0 THEN alloc // tokens ELSE 0 END * tokens AS left_ FROM d JOIN a3 USING (domain, lang, source)
+), c AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY md5('20:' || epochs || ':' || doc_id)) AS cum FROM p
+), t AS (SELECT *, epochs + CASE WHEN left_ > 0 AND cum <= left_ THEN 1 ELSE 0 END AS times FROM c)
+SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(unnest(range(0, times)) AS INT) AS epoch FROM t WHERE times > 0
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
+    "op3_line_dedup": op3_line_dedup,
     "op4_shards": op4_shards,
+    "op6_mixing": op6_mixing,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
