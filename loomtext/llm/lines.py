@@ -33,8 +33,8 @@ def repeated_windows(docs: DataFrame, width: int = 3) -> DataFrame:
         F.sequence(F.lit(0), F.size("full") - width),
         lambda i: F.struct(*[F.xxhash64(F.lit(k), *[F.get("full", i + j) for j in range(width)]).alias(f"h{k}") for k in (0, 1)]),
     )
-    # laid down: numbers alone, read by the count and by the join
-    w = durable(w.select("id", "at", F.posexplode(hashes).alias("start", "h")).select("id", "at", "start", "h.h0", "h.h1"))
+    # laid down: numbers alone, read by the count and by the join; outer, or a filter on the hashes is pushed down and splits the text again for each
+    w = durable(w.select("id", "at", F.posexplode_outer(hashes).alias("start", "h")).where("start is not null").select("id", "at", "start", "h.h0", "h.h1"))
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "at", "start")
     twice = w.groupBy("h0", "h1").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = w.join(twice, ["h0", "h1"]).where(place != F.col("first"))

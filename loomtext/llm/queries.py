@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mixing, shards, simhash, tokens
+from . import decontam, lines, mixing, shards, simhash, tokens
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     tokens.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path(), end_id=1)
@@ -123,6 +127,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_binary": op2_token_binary,
     "op3_line_dedup": op3_line_dedup,
     "op4_shards": op4_shards,
