@@ -21,21 +21,28 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrowtext import STEP_BYTES, coded, group_sums, steps, text_column, words
+from .arrowtext import coded, group_sums, steps, text_column, words
 
-#: Distinct words a worker remembers before it starts afresh.
+#: Distinct pieces after which a worker starts its memory of pieces afresh.
 CACHE_WORDS = 400_000
 
 
+#: Letters that neither canonical composition nor lower-casing turns into anything but one letter (Latin and Cyrillic ranges).
+LETTER = r"[a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}\x{400}-\x{45f}]"
+
+
 class WordEncoder:
-    """Encodes texts by encoding each distinct white-space piece once.
+    """Encodes texts by encoding each distinct piece once.
 
-    The tokenizer drops white space before its merges and nothing in it looks across white space, so a text's ids are the
-    ids of its pieces in order. ``encode`` gives the flat ids of all texts and the number of ids of each.
+    The tokenizer drops white space before its merges and looks across none, and it never joins a letter with the
+    stops after it; so a text's ids are those of its pieces in order, where a piece is a word between ASCII white space
+    or, of a letter followed by closing stops, the part before or after. A-Z are lower-cased first, as the tokenizer would.
+    ``encode`` gives the flat ids of all texts and the number of ids of each.
     """
 
     def __init__(self, path: str):
@@ -43,6 +50,9 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
+        #: ids that end a word
+        self.ends = np.zeros(self.vocab, bool)
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -52,34 +62,83 @@ class WordEncoder:
         self.size = np.zeros(1 << 14, np.int64)
         self.used = 0
 
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their number for each piece. Pieces of letters alone are encoded many to a text."""
+        size = np.zeros(len(pieces), np.int64)
+        out: list[tuple[np.ndarray, list[int]]] = []
+        plain = [k for k, p in enumerate(pieces) if p.isalpha()]
+        other = [k for k, p in enumerate(pieces) if not p.isalpha()]
+        for a in range(0, len(plain), 500):
+            own = plain[a : a + 500]
+            e = self.tok.encode_batch_fast([" ".join([pieces[k] for k in own])], add_special_tokens=False)[0]
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(own):
+                size[own] = np.diff(ends, prepend=0)
+                out.append((ids, own))
+            else:  # some piece is more than one word to the tokenizer
+                other += own
+        for a in range(0, len(other), 5000):
+            own = other[a : a + 5000]
+            ids = [e.ids for e in self.tok.encode_batch_fast([pieces[k] for k in own], add_special_tokens=False)]
+            size[own] = [len(x) for x in ids]
+            out.append((np.array([i for x in ids for i in x], np.uint32), own))
+        flat, start = np.zeros(int(size.sum()), np.uint32), np.cumsum(size) - size
+        for ids, own in out:
+            n = size[own]
+            flat[np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return flat, size
+
     def _learn(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.tok.encode_batch(new, add_special_tokens=False)]
-        n, size = len(self.at), np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+        n = len(self.at)
+        flat, size = self._ids(new)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(new) > len(self.start):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
         self.flat[self.used : self.used + len(flat)] = flat
-        self.start[n : n + len(new)] = self.used + np.concatenate([[0], np.cumsum(size)[:-1]])
+        self.start[n : n + len(new)] = self.used + np.cumsum(size) - size
         self.size[n : n + len(new)] = size
         self.used += len(flat)
         self.at.update(zip(new, range(n, n + len(new)), strict=True))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        flat, off = words(texts)
-        distinct, code = coded(flat)
-        if len(self.at) + len(distinct) > CACHE_WORDS:
-            self.clear()
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        distinct, code = coded(pieces)
         at = self.at
         if new := [w for w in distinct if w not in at]:
             self._learn(new)
-        place = np.fromiter((at[w] for w in distinct), np.int64, len(distinct))[code]
-        size = self.size[place]
-        ends = np.cumsum(size)
-        n = int(ends[-1]) if len(ends) else 0
-        pick = np.repeat(self.start[place] - (ends - size), size) + np.arange(n)
-        return self.flat[pick], group_sums(size, off)
+        return np.fromiter((at[w] for w in distinct), np.int64, len(distinct))[code]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat, off = words(pc.ascii_lower(texts))
+        if not len(flat):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        if len(self.at) > CACHE_WORDS:
+            self.clear()
+        d = flat.dictionary_encode()
+        distinct, code = d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        closed = np.asarray(pc.match_substring_regex(distinct, LETTER + "[.,;:!?]+$"))
+        stem = self._places(pc.if_else(pa.array(closed), pc.utf8_rtrim(distinct, ".,;:!?"), distinct))
+        tail = self._places(pc.if_else(pa.array(closed), pc.replace_substring_regex(distinct, r"^.*\pL", ""), "").filter(pa.array(closed)))
+        # the distinct words' ids, then those of each word of the texts
+        n = self.size[stem]
+        word_size = n.copy()
+        word_size[closed] += self.size[tail]
+        start = np.cumsum(word_size) - word_size
+        ids = np.empty(int(word_size.sum()), np.uint32)
+        _copy(ids, start, self.flat, self.start[stem], n)
+        _copy(ids, start[closed] + n[closed], self.flat, self.start[tail], self.size[tail])
+        size = word_size[code]
+        out = np.empty(int(size.sum()), np.uint32)
+        _copy(out, np.cumsum(size) - size, ids, start[code], size)
+        return out, group_sums(size, off)
+
+
+def _copy(to: np.ndarray, at: np.ndarray, source: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    """``to[at[i] : at[i] + size[i]] = source[start[i] : start[i] + size[i]]`` for all i."""
+    step = np.arange(int(size.sum()), dtype=np.int32 if size.sum() < 1 << 31 else np.int64)
+    step -= np.repeat((np.cumsum(size) - size).astype(step.dtype), size)
+    to[np.repeat(at, size) + step] = source[np.repeat(start, size) + step]
 
 
 @lru_cache(maxsize=2)
@@ -128,7 +187,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
                 texts, doc = text_column(batch, "text"), batch.column(0)
                 nulls.append(np.asarray(doc.is_null().to_numpy(zero_copy_only=False), np.uint8))
                 ids.append(doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-                for a, b in steps(texts, STEP_BYTES):
+                for a, b in steps(texts, 4 << 20):
                     flat, n = enc.encode(texts.slice(a, b - a))
                     if end_id is not None:
                         n = n + 1
