@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, mixing, shards, simhash, tokens
+from . import decontam, lines, mixing, quality, shards, simhash, tokens
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -122,6 +122,10 @@ SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
@@ -132,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_shards": op4_shards,
     "op6_mixing": op6_mixing,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
 }
 
