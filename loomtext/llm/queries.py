@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, lines, mixing, quality, shards, simhash, tokens, toxicity
+from . import decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -122,6 +122,10 @@ SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(
 """
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -140,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_shards": op4_shards,
     "op6_mixing": op6_mixing,
+    "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
