@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
+from . import ann, decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -62,6 +62,10 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 #: The production mix: four domains by the number in the source's name, weighted 4 to 1; English before the other languages.
 MIX_SEED, MIX_EPOCHS = 20, 2
 
@@ -143,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_binary": op2_token_binary,
     "op3_line_dedup": op3_line_dedup,
     "op4_shards": op4_shards,
+    "op5_neighbours": op5_neighbours,
     "op6_mixing": op6_mixing,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
