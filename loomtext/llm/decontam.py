@@ -68,7 +68,9 @@ def _maybe_broadcast(df: DataFrame, most: int) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.8, radius: int = 20, width: int = 5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, start, n_words, hamming, similarity): each document and item it holds, by its best window.
+    """(doc_id, mark, item_id, start, n_words, hamming, similarity): each document and item it holds, by its best window.
+
+    ``mark`` is the text's xxhash64, which tells rows of one id apart.
 
     ``start`` counts the document's normalised words (lower-cased runs of letters and digits) from 0, ``n_words`` is the item's
     length; of equal similarities the earliest window counts. Items of fewer than ``width`` words have shingles of all their words;
@@ -85,9 +87,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     items = durable(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "k", "n_words", by_width.alias("shingles")))
     facts = items.agg(F.collect_set("k").alias("ks"), F.max(F.size("shingles")).alias("most"), F.sum(F.size("shingles")).alias("n")).first()
     empty = F.lit(None)
-    out_cols = ["doc_id", "item_id", "start", "n_words", "hamming", "similarity"]
+    out_cols = ["doc_id", "mark", "item_id", "start", "n_words", "hamming", "similarity"]
     if not facts.ks:
-        return docs.limit(0).select(F.col(id_col).alias("doc_id"), empty.cast("long").alias("item_id"), empty.cast("int").alias("start"), empty.cast("int").alias("n_words"), empty.cast("int").alias("hamming"), empty.cast("double").alias("similarity"))
+        return docs.limit(0).select(F.col(id_col).alias("doc_id"), empty.cast("long").alias("mark"), empty.cast("long").alias("item_id"), empty.cast("int").alias("start"), empty.cast("int").alias("n_words"), empty.cast("int").alias("hamming"), empty.cast("double").alias("similarity"))
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     # a row is known by id and text; equal rows are one
     doc_key = ["doc_id", "mark"]
@@ -136,4 +138,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     both = mine.join(theirs, ["item", "h"]).groupBy(*key, "hamming", "a", "m").agg(F.sum(F.least("c", "d")).alias("i"))
     scored = both.withColumn("similarity", F.col("i") / (F.col("a") + F.col("m") - F.col("i"))).where(F.col("similarity") >= threshold)
     best = scored.groupBy(*doc_key, "item").agg(F.max_by(F.struct("start", "hamming", "similarity"), F.struct("similarity", (-F.col("start")).alias("s"))).alias("b"))
-    return best.join(few.select("item", "item_id", "n_words"), "item").select("doc_id", "item_id", "b.start", "n_words", "b.hamming", "b.similarity").select(*out_cols)
+    return best.join(few.select("item", "item_id", "n_words"), "item").select("doc_id", "mark", "item_id", "b.start", "n_words", "b.hamming", "b.similarity").select(*out_cols)

@@ -190,8 +190,11 @@ def posteriors(texts: pa.Array, model: Chain, memory: dict[str, np.ndarray]) ->
 def training_spans(docs: DataFrame, *, rows_per_language: int, spans: int, span_words: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, list[list[str]]]]:
     """Spans of words of a bounded sample: of each language the rows of the smallest xxhash64(id), ``spans`` spread over the text of each."""
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where(training_row("doc_id") & F.col("lang").isNotNull())
-    # a group limit runs before the exchange: each task sends rows_per_language rows of each language at most
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    # ranked in 64 salted parts of each language first, so no task gets more than rows_per_language rows of each task or salt
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    known = known.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
+    known = known.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("r") <= rows_per_language)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     chosen = durable(known.withColumn("r", rank).where(F.col("r") <= rows_per_language).select("doc_id", "lang").distinct())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,16 @@ def shingle_hashes(texts: pa.Array, width: int, seed: int = 42) -> tuple[np.ndar
     return h, out
 
 
+def distinct_in_groups(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each group's distinct values, ascending, and the groups' offsets."""
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    return h[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(off) - 1))]).astype(np.int64)
+
+
 def fingerprints(docs: DataFrame, *, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) for every row; fp holds the fingerprint's bits in a long. A null text has fingerprint zero."""
 
@@ -203,3 +213,111 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, radius: int = 3, groups:
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(ids, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: Documents of one loose group that are compared in one piece, and up to how many rows a list of row numbers is broadcast.
+BLOCK, BROADCAST_ROWS = 512, 1_000_000
+
+
+def _word_marks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints over each text's distinct words, and 64-bit hashes of the whole sequences of words (0: no words)."""
+    marks = bit_majorities(*distinct_in_groups(*shingle_hashes(texts, 1)))
+    whole, off = shingle_hashes(texts, 1 << 40, 43)
+    out = np.zeros(len(texts), np.uint64)
+    out[np.diff(off) > 0] = whole
+    return marks, out
+
+
+def similar_in_group(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links that join the sets whose Jaccard similarity is ``threshold`` or more: a spanning forest, as index pairs."""
+    size = np.array([len(s) for s in sets])
+    if not size.sum():
+        return []
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    _, code = np.unique(flat, return_inverse=True)
+    start = np.searchsorted(code, np.arange(code[-1] + 2))
+    mine = np.argsort(owner, kind="stable")
+    codes, at = code[mine], np.concatenate([[0], np.cumsum(size)])
+    parent, out = np.arange(len(sets)), []
+    for i in range(len(sets)):
+        own = codes[at[i] : at[i + 1]]
+        n = start[own + 1] - start[own]
+        if n.sum() == len(own):
+            continue
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        both = np.bincount(owner[np.repeat(start[own], n) + step], minlength=len(sets))
+        near = np.flatnonzero(both >= threshold * (size + size[i] - both) - 1e-9)
+        for j in near[near > i].tolist():
+            p, q = _find(parent, i), _find(parent, j)
+            if p != q:
+                parent[max(p, q)] = min(p, q)
+                out.append((i, j))
+    return out
+
+
+def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, radius: int = 9, groups: int = 11, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(at, root, stays): every row of ``docs`` that has a copy or near copy, by its input position ``at``.
+
+    Texts of one sequence of words (A-Z lower-cased, split at ASCII white space) are copies. Others are near copies if the sets of
+    their ``width``-word shingles have a Jaccard similarity of ``threshold`` or more; groups are closed under that. ``root`` is
+    one row of the group, and the row of the smallest ``id_col`` (null last, then the first in the input) stays. Texts without
+    words are left alone, each a document of its own.
+
+    Candidates are found by SimHash over the texts' distinct words, which moves far less under a few edits than one over shingles: at
+    similarity 0.8 it differs by about 4 to 5 bits of 64. The links within ``radius`` give loose groups; in a loose group
+    every pair is held to the exact similarity, in blocks of ``BLOCK`` documents, which emit spanning forests, not pairs.
+    ``docs`` must give the same rows at the same places when read again, as a table does.
+    """
+    numbered = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_column(batch, "text")
+            for a, b in steps(texts, 2 << 20):
+                fp, whole = _word_marks(texts.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(fp.view(np.int64)), pa.array(whole.view(np.int64))], names=["at", "id", "fp", "whole"])
+
+    rows = durable(numbered.mapInArrow(mark, "at long, id long, fp long, whole long").where("whole <> 0"))
+    texts_ = durable(rows.groupBy("fp", "whole").agg(F.min("at").alias("node")))
+    # loose groups: equal or near fingerprints
+    marks = texts_.groupBy("fp").agg(F.count("*").alias("n"))
+    loose = components(links(marks.select("fp"), radius=radius, groups=groups)).withColumnsRenamed({"node": "fp", "root": "loose"})
+    grouped = marks.join(loose, "fp", "left").where(F.col("loose").isNotNull() | (F.col("n") > 1)).select("fp", F.coalesce("loose", "fp").alias("loose"))
+    members = durable(texts_.join(grouped, "fp").select("node", "loose"))
+    sizes = members.groupBy("loose").count().where(F.col("count") > BLOCK).select("loose", F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks"))
+    small = members.count() <= BROADCAST_ROWS
+    chosen = numbered.select("at", "text").join(F.broadcast(members) if small else members, F.col("at") == F.col("node")).select("node", "loose", "text")
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_column(batch, "text")
+            for a, b in steps(texts, 2 << 20):
+                h, off = distinct_in_groups(*shingle_hashes(texts.slice(a, b - a), width))
+                sets = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), sets], names=["node", "loose", "hs"])
+
+    sets = chosen.mapInArrow(shingle, "node long, loose long, hs array<long>").join(sizes, "loose", "left")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.least(k, own) * F.col("blocks") + F.greatest(k, own))
+    dealt = sets.select("loose", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(pairs)).alias("block"), "node", "hs")
+
+    def verify(t: pa.Table) -> pa.Table:
+        node = t.column("node").to_numpy()
+        found = similar_in_group([np.asarray(x.values) for x in t.column("hs").combine_chunks()] if t.num_rows > 1 else [], threshold)
+        return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()), "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
+
+    near = components(dealt.groupBy("loose", "block").applyInArrow(verify, "a long, b long"))
+    named = texts_.join(near, "node", "left").select("fp", "whole", F.coalesce("root", "node").alias("root"))
+    every = rows.join(named, ["fp", "whole"]).select("at", "id", "root")
+    first = every.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    return every.join(first.select("root", F.col("first.at").alias("first")), "root").select("at", "root", (F.col("at") == F.col("first")).alias("stays"))
+
+
+def without_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """Rows of ``docs``, all their columns, without those for which ``near_copies`` keeps another row."""
+    gone = durable(near_copies(docs, **options).where("not stays").select("at"))
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    place = "_at" if "_at" not in docs.columns else "_at_" + "_".join(docs.columns)
+    return docs.withColumn(place, F.monotonically_increasing_id()).join(gone.withColumnRenamed("at", "_gone"), F.col(place) == F.col("_gone"), "left_anti").drop(place)
