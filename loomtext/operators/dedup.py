@@ -12,6 +12,10 @@ from ..functions import text as T
 from .graph import components
 
 
+#: Vectors come in single precision: similarities that differ by no more than this are equal.
+SINGLE = 1e-6
+
+
 def first_of(docs: DataFrame, key: Column, *, seq: str = "seq") -> DataFrame:
     """The first row by ``seq`` of each key; a group limit runs before the exchange, so a hot key costs one row per task."""
     return docs.withColumn("_key", key).withColumn("_r", F.row_number().over(Window.partitionBy("_key").orderBy(seq))).where("_r = 1").drop("_key", "_r")
@@ -68,7 +72,7 @@ def greedy_best(group: pd.DataFrame, vectors: np.ndarray, threshold: float) -> l
         if slots:
             s = vectors[slots] @ vectors[i]
             k = int(np.argmax(s))
-            if s[k] >= threshold:
+            if s[k] >= threshold - SINGLE:
                 if w[i] > w[slots[k]]:
                     slots[k] = i
                 continue
@@ -135,7 +139,7 @@ def cosine_pairs(vectors: DataFrame, threshold: float, *, seq: str = "vec_id", v
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         s = np.stack(a["v"]) @ np.stack(b["v"]).T
-        i, j = np.nonzero(s >= threshold)
+        i, j = np.nonzero(s >= threshold - SINGLE)
         x, y = a["id"].to_numpy()[i], b["id"].to_numpy()[j]
         return pd.DataFrame({"a": x[x < y], "b": y[x < y]})
 
@@ -186,7 +190,7 @@ def resolve_embeddings(vectors: DataFrame, threshold: float, *, seq: str = "vec_
                 continue
             order = np.lexsort((np.arange(len(group)), -s[i]))[: k + 1]
             for j in order:
-                if j > i and s[i, j] >= threshold:
+                if j > i and s[i, j] >= threshold - SINGLE:
                     gone[j if w[i] >= w[j] else i] = True
                     break
         return pd.DataFrame({"seq": group["seq"].to_numpy()[~gone]})

@@ -136,7 +136,7 @@ SELECT source, lang, count(*) AS docs, CAST(sum(words) AS BIGINT) AS words, sum(
 WITH p AS (SELECT sha256(url) AS doc_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS domain, {TITLE} AS title, {url_type('url')} AS u, md5({normal(tags('html'))}) AS text_md5 FROM pages)
 SELECT doc_id, url, domain, title, CASE WHEN u <> 'unknown' THEN u ELSE 'html' END AS content_type, text_md5 FROM p""",
     "near_dup_pairs": TRIGRAMS + "SELECT a, b FROM i WHERE k >= 0.92 * (n + m - k) AND k < n + m - k",
-    "embedding_dup_pairs": UNIT + " SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.4",
+    "embedding_dup_pairs": UNIT + " SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.4 - 1e-6",
     "embedding_topk": UNIT + ", p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.v, b.v) DESC, b.vec_id) AS rank FROM n a JOIN n b ON a.vec_id <> b.vec_id) SELECT id, neighbour, CAST(rank AS INT) AS rank FROM p WHERE rank <= 5",
     "classify_url": f"SELECT page_id, {url_type('url')} AS content_type FROM pages",
     "classify_text": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, {text_type('text')} AS content_type FROM documents",

@@ -45,7 +45,7 @@ def signal_gate(pages: DataFrame, *, domain: str = "domain", seq: str = "seq", s
 
 def event_counts(events: DataFrame, *, ts: str = "ts", kind: str = "event_type", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events by kind in windows of time; rows later than ``late`` behind the newest are left out."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, width), kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), kind, "n")
+    return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, width), kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), kind, "n")
 
 
 def append_metrics(metrics: DataFrame, folder: str, checkpoint: str):
