@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +16,40 @@ import pyarrow.compute as pc
 STEP_BYTES = 6 << 20
 
 
+#: What a Python worker keeps from task to task: of one operator at a time, as workers outlive stages.
+_KEPT: dict[tuple, Any] = {}
+
+
+def kept(name: str, key: Any = None, make: Callable[[], Any] = dict) -> Any:
+    """The worker's memory of operator ``name`` for ``key``, made anew when another operator or key had it last."""
+    if (name, key) not in _KEPT:
+        _KEPT.clear()
+        release()
+        _KEPT[name, key] = make()
+    return _KEPT[name, key]
+
+
+def release() -> None:
+    """Give memory that is free inside this process back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a partition, then ``release``: an idle worker holds no more than what it has kept."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """Column ``name`` as large_string with null as empty text; large_string keeps 64-bit offsets."""
     c = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +33,30 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+#: Rows of an Arrow batch while texts are worked on: the session's default of 10,000 makes batches of many megabytes on both sides.
+BATCH_ROWS = 2048
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_ROWS`` rows at most while an action runs; the session's setting is put back after it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder; later stages outlive the loss of executors."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with small_batches(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

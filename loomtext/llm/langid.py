@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrowtext import group_sums, steps, text_column, words
+from .arrowtext import group_sums, kept, steps, text_column, tidy, words
 from .common import durable, held_out, training_row
 
 #: Hashed feature slots; words a worker remembers.
@@ -99,6 +99,8 @@ def train(sentences: list[list[str]], labels: list[list[int]], langs: list[str],
     """Maximum likelihood by AdaGrad over batches of sequences."""
     k = len(langs)
     m = Chain(langs, lexicon, np.zeros((SLOTS, k)), np.eye(k), np.zeros(k))
+    if not sentences:
+        return m
     distinct = {w: i for i, w in enumerate(dict.fromkeys(w for s in sentences for w in s))}
     feats = [np.array(word_features(w, lexicon), np.int64) for w in distinct]
     ge, gt, gs = np.full((SLOTS, k), 1e-2), np.full((k, k), 1.0), np.full(k, 1.0)
@@ -152,16 +154,9 @@ def language_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.DictionaryArray.from_arrays(pa.array(code[full]), clean), before[off]
 
 
-#: Emissions that a worker remembers from task to task, of the last field it used.
-_MEMORY: dict[tuple[int, int], dict[str, np.ndarray]] = {}
-
-
 def memory_of(model: Chain) -> dict[str, np.ndarray]:
-    mark = model.mark()
-    if mark not in _MEMORY:
-        _MEMORY.clear()
-        _MEMORY[mark] = {}
-    return _MEMORY[mark]
+    """The worker's memory of words' emissions under this field."""
+    return kept("language", model.mark())
 
 
 def posteriors(texts: pa.Array, model: Chain, memory: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,6 +192,7 @@ def training_spans(docs: DataFrame, *, rows_per_language: int, spans: int, span_
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     chosen = durable(known.withColumn("r", rank).where(F.col("r") <= rows_per_language).select("doc_id", "lang").distinct())
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_column(batch, "text")
@@ -241,6 +237,7 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
     model = fit_languages(docs, rows_per_language=rows_per_language, id_col=id_col, text_col=text_col, lang_col=lang_col)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, memory = np.array([*model.langs, "und"], object), memory_of(model)
         for batch in batches:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowtext import coded, group_sums, steps, text_column, words
+from .arrowtext import coded, group_sums, kept, steps, text_column, tidy, words
 from .common import durable, held_out, training_row
 
 STATS = (
@@ -76,7 +76,9 @@ def statistics(texts: pa.Array) -> np.ndarray:
 def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, x): the transformed statistics of every row."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("quality")
         for batch in batches:
             texts = text_column(batch, "text")
             for a, b in steps(texts, 4 << 20):
@@ -128,6 +130,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str, to_pooled: float, to_di
     d = len(STATS)
     rows = stats.where(training_row("doc_id")).join(labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")), "doc_id")
 
+    @tidy
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = np.zeros((2, 1 + d + d * d))
         for batch in batches:
@@ -158,6 +161,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality",
     stats = durable(document_statistics(docs, id_col, text_col))
     model = fit(stats, labels, label, to_pooled, to_diagonal)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATS))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowtext import coded, group_sums, steps, text_column, words
+from .arrowtext import group_sums, kept, steps, text_column, tidy, words
 from .common import durable
 from .components import components
 
@@ -88,7 +88,9 @@ def distinct_in_groups(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.n
 def fingerprints(docs: DataFrame, *, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) for every row; fp holds the fingerprint's bits in a long. A null text has fingerprint zero."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("simhash")
         for batch in batches:
             texts, fps = text_column(batch, "text"), []
             for a, b in steps(texts, 4 << 20):
@@ -170,6 +172,7 @@ def links(fps: DataFrame, *, radius: int = 3, groups: int = 6) -> DataFrame:
         dealt = celled.select("fp", "cell", F.lit(0).alias("block"))
     dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
@@ -272,7 +275,9 @@ def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, radi
     """
     numbered = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
+    @tidy
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("simhash")
         for batch in batches:
             texts = text_column(batch, "text")
             for a, b in steps(texts, 2 << 20):
@@ -290,6 +295,7 @@ def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, radi
     small = members.count() <= BROADCAST_ROWS
     chosen = numbered.select("at", "text").join(F.broadcast(members) if small else members, F.col("at") == F.col("node")).select("node", "loose", "text")
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_column(batch, "text")

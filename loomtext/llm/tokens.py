@@ -16,7 +16,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -26,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrowtext import coded, group_sums, steps, text_column, words
+from .arrowtext import coded, group_sums, kept, steps, text_column, tidy, words
+from .common import small_batches
 
 #: Distinct pieces after which a worker starts its memory of pieces afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 
 #: Letters that neither canonical composition nor lower-casing turns into anything but one letter (Latin and Cyrillic ranges).
@@ -141,9 +141,8 @@ def _copy(to: np.ndarray, at: np.ndarray, source: np.ndarray, start: np.ndarray,
     to[np.repeat(at, size) + step] = source[np.repeat(start, size) + step]
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return kept("tokens", path, lambda: WordEncoder(path))
 
 
 def _store(uri: str):
@@ -173,9 +172,10 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
     manifest without parts. One exchange, by range of (id, input position), so repeated ids can't fill one part.
     Each attempt of a task writes files of its own name and the manifest names those of the attempt that succeeded.
     """
-    vocab = max(encoder(tokenizer).vocab, (end_id or 0) + 1)
+    vocab = max(WordEncoder(tokenizer).vocab, (end_id or 0) + 1)
     dtype = "<u2" if vocab <= 1 << 16 else "<u4"
 
+    @tidy
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
@@ -215,8 +215,8 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("at"))
         .drop("at")
     )
-    # one short row for each part
-    parts = sorted(rows.mapInArrow(write, "part long, name string, n_docs long, n_tokens long").collect())
+    with small_batches(docs.sparkSession):  # one short row for each part
+        parts = sorted(rows.mapInArrow(write, "part long, name string, n_docs long, n_tokens long").collect())
     bases = accumulate((p.n_tokens for p in parts), initial=0)
     first = accumulate((p.n_docs for p in parts), initial=0)
     manifest = {
@@ -246,6 +246,7 @@ def read_token_files(spark: SparkSession, folder: str, *, ids: bool = False) ->
     rows = [(k, p["name"], p["n_docs"], p["base"]) for k, p in enumerate(m["parts"])]
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * ids
 
+    @tidy
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p in batch.to_pylist():
