@@ -83,15 +83,23 @@ def buffer_order(n: int, buffer: int, seed: int = 42) -> list[int]:
     return out
 
 
+def ordinals(docs: DataFrame, seq: str, name: str) -> DataFrame:
+    """``name``: how many rows come before a row by ``seq``. Ranges of ``seq`` are counted first, then each range is numbered by itself."""
+    d = docs.withColumn("_part", F.expr(f"{seq} div 65536"))
+    counts = d.groupBy("_part").count()
+    base = counts.withColumn("_base", F.sum("count").over(Window.orderBy("_part")) - F.col("count")).select("_part", "_base")  # a row for 65,536 values of seq
+    inner = F.row_number().over(Window.partitionBy("_part").orderBy(seq)) - 1
+    return d.withColumn("_in", inner).join(base, "_part").withColumn(name, F.col("_base") + F.col("_in")).drop("_part", "_in", "_base")
+
+
 def _by_ordinal(docs: DataFrame, order: list[int], seq: str, name: str) -> DataFrame:
-    n = Window.orderBy(seq)
-    numbered = docs.withColumn("_ordinal", F.row_number().over(n) - 1)
-    places = docs.sparkSession.createDataFrame([(o, i) for i, o in enumerate(order)], f"_ordinal int, {name} int")
+    numbered = ordinals(docs, seq, "_ordinal")
+    places = docs.sparkSession.createDataFrame([(o, i) for i, o in enumerate(order)], f"_ordinal long, {name} int")
     return numbered.join(places, "_ordinal").drop("_ordinal")
 
 
 def reservoir_sample(docs: DataFrame, k: int, *, seq: str = "seq", seed: int = 42) -> DataFrame:
-    """``k`` rows with their ``place``, the sample of a sequential reservoir; for corpora that one task may number."""
+    """``k`` rows with their ``place``, the sample of a sequential reservoir. The driver holds ``k`` ordinals."""
     return _by_ordinal(docs, reservoir_slots(docs.count(), k, seed), seq, "place")
 
 
@@ -101,7 +109,7 @@ def hash_sample(docs: DataFrame, k: int, *, key: str = "doc_id", seed: int = 42)
 
 
 def buffer_shuffle(docs: DataFrame, buffer: int, *, seq: str = "seq", seed: int = 42) -> DataFrame:
-    """All rows with their ``place`` after a shuffle through a buffer; for corpora that one task may number."""
+    """All rows with their ``place`` after a shuffle through a buffer. The driver holds an ordinal for each row."""
     return _by_ordinal(docs, buffer_order(docs.count(), buffer, seed), seq, "place")
 
 

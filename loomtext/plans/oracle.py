@@ -118,6 +118,8 @@ g AS (SELECT k, CASE WHEN k % 4 = 1 THEN 0 ELSE documents END AS documents, CASE
 RUNS = "SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS experiment_id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS started_at FROM orders"
 METRICS = "SELECT event_id AS id, event_type AS metric_name, CASE WHEN event_id % 10 = 0 THEN NULL ELSE event_id // 3 END AS step, round(value, 6) AS metric_value FROM events"
 TITLE = strip("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
+SOURCES = """WITH d AS (SELECT doc_id, 'web' AS kind, source AS identifier, 'r1' AS revision, lang AS license, sha256(text) AS h, CASE WHEN doc_id % 9 = 0 THEN 'other' ELSE 'text' END AS dataset_group FROM documents),
+m AS (SELECT kind, identifier, arg_min(revision, doc_id) AS revision, arg_min(license, doc_id) AS license, arg_min(h, doc_id) AS raw_source_sha256, dataset_group FROM d GROUP BY kind, identifier, dataset_group) """
 SIGNAL_BASE = case([(f"u = {q(t)}", f"{s}::DOUBLE") for t, s in fixed.SIGNAL_BASE.items()], "0.4::DOUBLE")
 
 SQL: dict[str, str] = {
@@ -199,4 +201,11 @@ SELECT conv_id, turn, CAST(n AS INT) AS tokens, round(CASE WHEN n > 0 THEN 1 - d
 WITH u AS (SELECT 0 AS group_idx, 0 AS kind_idx, page_id AS local_seq, url AS name FROM pages UNION ALL SELECT 0, 3, doc_id, source FROM documents UNION ALL SELECT 1, 0, item_id, 'benchmark' FROM benchmark)
 SELECT *, group_idx * 4503599627370496 + kind_idx * 281474976710656 + local_seq AS seq FROM u""",
     "field_text": f"SELECT conv_id, turn, md5(array_to_string(list_filter([CASE WHEN {strip('role')} <> '' THEN 'role: ' || {strip('role')} END, CASE WHEN {strip('text')} <> '' THEN 'text: ' || {strip('text')} END], lambda x: x IS NOT NULL), chr(10) || chr(10))) AS text_md5 FROM conversations",
+    "source_manifest": SOURCES + "SELECT * FROM m",
+    "manifest_faults": SOURCES + "SELECT kind, identifier, 'wrong group' AS fault FROM m WHERE dataset_group <> 'text' UNION ALL SELECT kind, identifier, 'missing license' FROM m WHERE coalesce(license, '') = ''",
+    "run_progress": """
+WITH o AS (SELECT o_orderkey, o_orderkey % 1000 AS s, o_custkey % 900 AS n, floor(o_totalprice) AS e FROM orders)
+SELECT o_orderkey, CASE WHEN n > 0 THEN round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, s / n)) * 100, 2) END AS percent, CASE WHEN s > 0 THEN round(e * greatest(n - s, 0) / s, 3) END AS eta_seconds FROM o""",
+    "log_redaction": "SELECT conv_id, turn, md5(replace(replace(text, 'then', '[REDACTED]'), 'the', '[REDACTED]')) AS text_md5 FROM conversations",
+    "token_totals": "SELECT CASE WHEN p_partkey % 3 = 0 THEN 'val' ELSE 'train' END AS part, CAST(sum(p_size * 8 // CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 4 END) AS BIGINT) AS tokens FROM part GROUP BY 1",
 }

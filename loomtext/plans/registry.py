@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..operators import clean, contract, dedup, packing, sampling, signals
+from ..operators import clean, contract, dedup, encode, packing, reporting, sampling, signals
 from ..session import table
 from ..sources import readers
 from . import store
@@ -325,10 +325,40 @@ def field_text(spark, sf):
 def crawl_replay(spark, sf):
     p = pages(spark, sf)
     links = p.select("url", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("link"))
-    seeds = [r.url for r in p.orderBy("page_id").limit(20).collect()]
+    seeds = p.where(~F.col("url").rlike("[?#]")).select("url")
     return readers.replay_crawl(p, links, seeds, same_domain=False)
 
 
+def bpe_tokenize(spark, sf):
+    import public_tokenizers
+
+    t = encode.encoded(F.col("text"), str(public_tokenizers.path("byte_bpe_50k.json")))
+    return encode.texts(documents(spark, sf)).select("doc_id", t.alias("ids")).select("doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"))
+
+
+def source_manifest(spark, sf):
+    d = documents(spark, sf).select("seq", F.lit("web").alias("kind"), F.col("source").alias("identifier"), F.lit("r1").alias("revision"), F.col("lang").alias("license"), F.sha2("text", 256).alias("raw_source_sha256"), F.when(F.col("seq") % 9 == 0, "other").otherwise("text").alias("dataset_group"))
+    return reporting.source_manifest(d)
+
+
+def manifest_faults(spark, sf):
+    return reporting.manifest_faults(source_manifest(spark, sf), "text")
+
+
+def run_progress(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 1000).alias("step"), (F.col("o_custkey") % 900).alias("total_steps"), F.floor("o_totalprice").alias("elapsed_seconds"))
+    return reporting.progress(o).select("o_orderkey", "percent", "eta_seconds")
+
+
+def log_redaction(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", F.md5(reporting.without_secrets(F.col("text"), ["the", "then", ""])).alias("text_md5"))
+
+
+def token_totals(spark, sf):
+    f = table(spark, sf, "part").select(F.concat(F.when(F.col("p_partkey") % 3 == 0, "val").otherwise("train"), F.lit("_"), F.col("p_partkey")).alias("name"), (F.col("p_size") * 8).cast("long").alias("size"), F.when(F.col("p_partkey") % 2 == 0, "uint16").otherwise("uint32").alias("dtype"))
+    return reporting.token_total(f)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -337,7 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality_score, document_score, final_weight, signal_gate, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample_exact, reservoir_sample,
         buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, exclusion_tags, contract_gate, acceptance_report, source_status, http_buckets,
         stage_counts, source_licences, latest_metric, metric_unpivot, run_search, run_lineage_sources, run_upsert, run_validate, dataset_pages, event_tail,
-        generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay,
+        generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay, bpe_tokenize, source_manifest, manifest_faults, run_progress, log_redaction, token_totals,
     )
 }
 

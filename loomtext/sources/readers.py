@@ -110,14 +110,15 @@ def allowed(url: Column, allow: list[str] = (), block: list[str] = ()) -> Column
     return ok
 
 
-def replay_crawl(pages: DataFrame, links: DataFrame, seeds: list[str], *, depth: int = 2, domain_cap: int = 50, same_domain: bool = True, allow: list[str] = (), block: list[str] = ()) -> DataFrame:
-    """(url, crawl_depth): the pages that a breadth-first crawl from ``seeds`` over a table of pages and (url, link) reaches.
+def replay_crawl(pages: DataFrame, links: DataFrame, seeds: DataFrame | list[str], *, depth: int = 2, domain_cap: int = 50, same_domain: bool = True, allow: list[str] = (), block: list[str] = ()) -> DataFrame:
+    """(url, crawl_depth): the pages that a breadth-first crawl from ``seeds`` (URLs, or a table of them) over a table of pages and (url, link) reaches.
 
     Each depth is one join; seen URLs are taken out by an anti join; of a domain the first ``domain_cap`` URLs (by depth, then URL) count.
     """
     spark = pages.sparkSession
     have = pages.select("url").distinct()
-    frontier = spark.createDataFrame([(u,) for u in dict.fromkeys(seeds)], "url string").select(without_fragment(F.col("url")).alias("url")).where(allowed(F.col("url"), allow, block)).distinct()
+    start = seeds if isinstance(seeds, DataFrame) else spark.createDataFrame([(u,) for u in dict.fromkeys(seeds)], "url string")
+    frontier = start.select(without_fragment(F.col("url")).alias("url")).where(allowed(F.col("url"), allow, block)).distinct()
     seen = durable(frontier.join(have, "url").withColumn("crawl_depth", F.lit(0)))
     last = seen
     for d in range(1, depth + 1):
