@@ -81,8 +81,10 @@ def _search(keys: DataFrame, col: str, lo: int, hi: int, targets: list[tuple[int
                 if s + bins[j][0] > goal:
                     start = a + j * width
                     end = min(b, start + width - 1)
-                    if start == end:  # one value: its row, if it has one only, stays below the boundary
-                        done[k] = (start + 1, s + bins[j][0], n + 1, True) if bins[j][1] == 1 else (start, s, n, False)
+                    if start == end and bins[j][1] > 1:  # one value with several rows
+                        done[k] = (start, s, n, False)
+                    elif start == end:  # one row: the boundary goes to the side of it that is nearer to the target
+                        done[k] = (start, s, n, True) if 2 * (goal - s) <= bins[j][0] else (start + 1, s + bins[j][0], n + 1, True)
                     else:
                         state[k] = (start, end, s, n)
                     break
@@ -95,8 +97,8 @@ def _search(keys: DataFrame, col: str, lo: int, hi: int, targets: list[tuple[int
 def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> list[Splitter]:
     """``shards - 1`` boundaries over rows (key, at, size); (key, at) is unique, key and at are never null.
 
-    Boundary j is the first row before which at least ``total * j / shards`` bytes lie, or any boundary whose count is
-    within ``tolerance`` bytes of that. Rows of one key are told apart by ``at``.
+    Boundary j lies between rows, where the bytes below it are nearest to ``total * j / shards`` (ties to the lower), or where they are first
+    found within ``tolerance`` bytes of that. Rows of one key are told apart by ``at``.
     """
     t = keys.agg(F.sum("size").alias("s"), F.min("key").alias("lo"), F.max("key").alias("hi"), F.max("at").alias("at")).first()
     if t.s is None:
@@ -115,8 +117,8 @@ def splitters(keys: DataFrame, shards: int, tolerance: int = 0) -> list[Splitter
 def shard_by_bytes(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text_col: str = "text", ranges_per_shard: int = 0, tolerance: int = 0) -> DataFrame:
     """Every row with size, text_crc32, shard and slot, in ascending id order across and within shards.
 
-    ``size`` is the UTF-8 bytes of the text (null: none) plus 8. Shard j ends where the bytes reach ``j / shards`` of
-    the total, so shards differ by about one row's size at most. A null id sorts first; rows of one id keep
+    ``size`` is the UTF-8 bytes of the text (null: none) plus 8. Each boundary is the one between rows that is
+    nearest to its share of the bytes, so shards differ by about one row's size at most. A null id sorts first; rows of one id keep
     their input order, so an id that a third of the rows share is split like any other. ``slot`` counts from 0 within a
     shard. Each shard is cut into ``ranges_per_shard`` ranges of near-equal size (0: from the rows' number), one task each, whose
     bases come from the histogram's counts. An empty table gives an empty result. Other columns are not carried; join by

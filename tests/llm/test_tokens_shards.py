@@ -65,8 +65,10 @@ def test_shards_meet_the_law_of_bytes(spark):
     got = shards.shard_by_bytes(docs, 5).collect()
     rows = sorted(((r.doc_id, (r.text or "").encode()) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
     total, before, want = sum(len(t) + 8 for _, t in rows), 0, []
+    edges = np.concatenate([[0], np.cumsum([len(t) + 8 for _, t in rows])]).tolist()
+    bounds = [min(edges, key=lambda e: (abs(e - -(-total * j // 5)), e)) for j in range(1, 5)]
     for doc, t in rows:
-        want.append((doc, len(t) + 8, zlib.crc32(t), sum(before >= -(-total * j // 5) for j in range(1, 5))))
+        want.append((doc, len(t) + 8, zlib.crc32(t), sum(before >= b for b in bounds)))
         before += len(t) + 8
     key = lambda r: tuple((x is not None, x or 0) for x in r)
     assert sorted(((r.doc_id, r.size, r.text_crc32, r.shard) for r in got), key=key) == sorted(want, key=key)
