@@ -10,7 +10,6 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import fixed, text as T
 
@@ -149,18 +148,17 @@ def clean(docs: DataFrame, cfg: CleanConfig, *, seq: str = "seq", text: str = "t
     """Every row with ``text`` cleaned, ``clean_action``, ``clean_score``, ``flagged`` and ``kept``.
 
     Of equal cleaned texts the first by ``seq`` counts, among rows that pass the length gate; a copy that the refusal score would
-    drop still makes later copies duplicates. Only texts that copies share meet: the window is over the hash. Null text counts
-    as empty. Order of decisions: too_short, too_long, duplicate, then the score.
+    drop still makes later copies duplicates. ``seq`` tells rows apart. Null text counts as empty. Order of decisions: too_short, too_long, duplicate, then the score.
     """
     d = docs.withColumn(text, F.coalesce(cleaned(F.col(text), cfg), F.lit("")))
     n = F.char_length(text)
     d = d.withColumn("_long", F.when(n < cfg.shortest, "too_short").when(n > cfg.longest, "too_long"))
     if cfg.dedup:
-        h = F.sha2(F.col(text), 256)
-        # rows that the gate drops are each alone, so they can't pile up under one key
-        key = F.when(F.col("_long").isNull(), h).otherwise(F.concat(F.lit("gate:"), F.col(seq).cast("string")))
-        first = F.row_number().over(Window.partitionBy(key).orderBy(seq)) > 1
-        d = d.withColumn("_again", first & F.col("_long").isNull())
+        # the first of each text by a group minimum, joined back: a text that a third of the rows share is summed before the
+        # exchange and its join can be split, where a window would put all of them in one task
+        d = d.withColumn("_h", F.sha2(text, 256))
+        first = d.where("_long is null").groupBy("_h").agg(F.min(seq).alias("_first"))
+        d = d.join(first, "_h", "left").withColumn("_again", F.col("_long").isNull() & (F.col(seq) > F.col("_first"))).drop("_h", "_first")
     else:
         d = d.withColumn("_again", F.lit(False))
     score = refusal_score(F.col(text), cfg) if cfg.refusal else F.lit(0.0)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import fixed, text as T
 
@@ -29,9 +28,9 @@ def decide(docs: DataFrame, group: str, exclusions: list[str] | None = None, *,
 
     ``docs``: seq, doc_id, text, url, source, dataset_group, quality_signal, source_identity map<string,string>.
     """
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) > 1
     tags = T.exclusion_tags(F.col("text"), exclusions)
-    d = docs.withColumn("_tags", tags).withColumn("_again", again)
+    first = docs.groupBy("doc_id").agg(F.min("seq").alias("_first"))
+    d = docs.join(first, "doc_id", "left").withColumn("_tags", tags).withColumn("_again", F.coalesce(F.col("seq") > F.col("_first"), F.lit(False))).drop("_first")
     reason = (
         F.when(F.col("_again"), "duplicate_document_id").when(~F.col("dataset_group").eqNullSafe(F.lit(group)), "dataset_group_mismatch")
         .when(~F.coalesce(F.col("source").isin(kinds), F.lit(False)), "unsupported_source").when(F.size("_tags") > 0, F.array_join("_tags", ","))
