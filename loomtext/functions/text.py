@@ -18,8 +18,14 @@ SPACE = "[\\s\\x1c-\\x1f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202
 
 
 def _java(pattern: str, ignore_case: bool = True, dot_all: bool = False) -> str:
-    """A pattern with Unicode classes, as Python has them by default."""
-    return "(?U" + "iu" * ignore_case + "s" * dot_all + ")" + pattern
+    """A pattern as Python reads it. Unicode classes are costly and only asked for where a pattern has a class of word characters."""
+    flags = ("U" if "\\w" in pattern else "") + "i" * ignore_case + "s" * dot_all
+    return (f"(?{flags})" if flags else "") + pattern
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def matches(text: Column, pattern: str, ignore_case: bool = True, dot_all: bool = False) -> Column:
@@ -36,16 +42,21 @@ def words(text: Column) -> Column:
 
 
 def n_words(text: Column) -> Column:
-    return F.size(words(text))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^" + SPACE[1:-2] + "]+"))
+
+
+def _length_of(text: Column, runs: str) -> Column:
+    """Characters in the runs of a class: what is missing once they are taken out."""
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, runs, ""))
 
 
 def letters(text: Column) -> Column:
-    return F.regexp_count(text, F.lit("\\p{L}"))
+    return _length_of(text, "\\p{L}+")
 
 
 def digits(text: Column) -> Column:
     """Digits of str.isdigit: decimal digits, superscripts and enclosed digits."""
-    return F.regexp_count(text, F.lit("[\\p{Nd}\\u00b2\\u00b3\\u00b9\\u2070\\u2074-\\u2079\\u2080-\\u2089\\u2460-\\u2468\\u2474-\\u247c\\u2488-\\u2490\\u24ea]"))
+    return _length_of(text, "[\\p{Nd}\\u00b2\\u00b3\\u00b9\\u2070\\u2074-\\u2079\\u2080-\\u2089\\u2460-\\u2468\\u2474-\\u247c\\u2488-\\u2490\\u24ea]+")
 
 
 def collapse(text: Column) -> Column:
@@ -125,31 +136,36 @@ def _clamp(x: Column, low: float, high: float) -> Column:
 
 def score_document(url: Column, text: Column) -> Column:
     """Signal of a page, 0 to 1: its URL's type, rewarded and penalised patterns, length, share of letters, words and digits."""
-    n = n_words(text)
     base = _first([(classify_url(url) == t, s) for t, s in fixed.SIGNAL_BASE.items()], 0.4)
     chars = F.greatest(F.char_length(text), F.lit(1))
-    s = base + _hits(text, fixed.SIGNAL_REWARDS) * 0.03 - _hits(text, fixed.SIGNAL_PENALTIES) * 0.08
-    s = s + F.when(n > 500, 0.05).otherwise(0.0) + F.when(n > 2000, 0.05).otherwise(0.0)
-    s = s - F.when(letters(text) / chars < 0.5, 0.1).otherwise(0.0)
-    s = s - F.when(F.size(F.array_distinct(words(F.lower(text)))) / n < 0.2, 0.15).otherwise(0.0)
-    s = s - F.when(digits(text) / chars > 0.3, 0.1).otherwise(0.0)
-    return F.when(text.isNull() | (n < 30), F.lit(0.1)).otherwise(_clamp(s, 0.0, 1.0))
+    hits = _hits(text, fixed.SIGNAL_REWARDS) * 0.03 - _hits(text, fixed.SIGNAL_PENALTIES) * 0.08
+    less = F.when(letters(text) / chars < 0.5, 0.1).otherwise(0.0), F.when(digits(text) / chars > 0.3, 0.1).otherwise(0.0)
+
+    def by_words(w: Column) -> Column:
+        n = F.size(w)
+        s = base + hits + F.when(n > 500, 0.05).otherwise(0.0) + F.when(n > 2000, 0.05).otherwise(0.0) - less[0]
+        s = s - F.when(F.size(F.array_distinct(F.transform(w, F.lower))) / n < 0.2, 0.15).otherwise(0.0) - less[1]
+        return F.when(text.isNull() | (n < 30), F.lit(0.1)).otherwise(_clamp(s, 0.0, 1.0))
+
+    return let(words(text), by_words)
 
 
 def quality_score(text: Column) -> Column:
     """Quality of a text, 0.05 to 1; 0.1 below the least number of words."""
     b = fixed.QUALITY_BOUNDS
     text = F.coalesce(text, F.lit(""))
-    w = words(text)
-    n, chars = F.greatest(F.size(w), F.lit(1)), F.greatest(F.char_length(text), F.lit(1))
-    length = F.char_length(F.array_join(w, "")) / n
-    s = F.lit(0.5) - F.when(n > b["words"][1], 0.1).otherwise(0.0)
-    s = s - F.when(length.between(*b["word_length"]), 0.0).otherwise(0.15)
-    s = s - F.when(F.size(F.array_distinct(words(F.lower(text)))) / n < b["unique"], 0.2).otherwise(0.0)
-    s = s - F.when(digits(text) / chars > b["digits"], 0.1).otherwise(0.0)
-    s = s - F.when(letters(text) / chars < b["letters"], 0.15).otherwise(0.0)
-    s = s + 0.05 * _hits(text, [(p, True) for p in fixed.QUALITY_REWARDS]) - 0.08 * _hits(text, [(p, True) for p in fixed.QUALITY_PENALTIES])
-    return F.when(n < b["words"][0], F.lit(0.1)).otherwise(_clamp(s, 0.05, 1.0))
+    chars = F.greatest(F.char_length(text), F.lit(1))
+    less = F.when(digits(text) / chars > b["digits"], 0.1).otherwise(0.0), F.when(letters(text) / chars < b["letters"], 0.15).otherwise(0.0)
+    hits = 0.05 * _hits(text, [(p, True) for p in fixed.QUALITY_REWARDS]), 0.08 * _hits(text, [(p, True) for p in fixed.QUALITY_PENALTIES])
+
+    def by_words(w: Column) -> Column:
+        n = F.greatest(F.size(w), F.lit(1))
+        s = F.lit(0.5) - F.when(n > b["words"][1], 0.1).otherwise(0.0)
+        s = s - F.when((F.char_length(F.array_join(w, "")) / n).between(*b["word_length"]), 0.0).otherwise(0.15)
+        s = s - F.when(F.size(F.array_distinct(F.transform(w, F.lower))) / n < b["unique"], 0.2).otherwise(0.0) - less[0] - less[1] + hits[0] - hits[1]
+        return F.when(n < b["words"][0], F.lit(0.1)).otherwise(_clamp(s, 0.05, 1.0))
+
+    return let(words(text), by_words)
 
 
 def domain_rule(domain: Column, what: int) -> Column:
