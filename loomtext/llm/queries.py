@@ -20,7 +20,33 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", "similarity")
+
+
+#: Every item-sized window of every document that shares a shingle with the item, by exact similarity and without fingerprints.
+OP1_SQL = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM documents
+), i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
+), k AS (SELECT item_id, w, len(w) AS n_words, least(5, len(w)) AS k, len(w) - least(5, len(w)) + 1 AS m FROM i WHERE len(w) > 0
+), g AS (
+  SELECT item_id, k, m, n_words, array_to_string(w[p : p + k - 1], ' ') AS gram, count(*) AS c FROM (SELECT *, unnest(range(1, m + 1)) AS p FROM k) GROUP BY ALL
+), s AS (
+  SELECT doc_id, k, p - 1 AS p, n, array_to_string(w[p : p + k - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, x.k, len(w) - x.k + 1 AS n, unnest(range(1, len(w) - x.k + 2)) AS p FROM d CROSS JOIN (SELECT DISTINCT k FROM k) x WHERE len(w) >= x.k)
+), pairs AS (SELECT DISTINCT s.doc_id, s.n, g.item_id, g.k, g.m, g.n_words FROM s JOIN g USING (k, gram)
+), win AS (SELECT *, unnest(range(0, greatest(1, n - m + 1))) AS start FROM pairs
+), "both" AS (
+  SELECT win.doc_id, win.item_id, win.n_words, win.start, win.m, least(win.m, win.n) AS a, s.gram, count(*) AS c
+  FROM win JOIN s ON s.doc_id = win.doc_id AND s.k = win.k AND s.p >= win.start AND s.p < win.start + win.m GROUP BY ALL
+), sim AS (
+  SELECT b.doc_id, b.item_id, b.n_words, b.start, sum(least(b.c, g.c)) / (any_value(b.a) + any_value(b.m) - sum(least(b.c, g.c))) AS similarity
+  FROM "both" b JOIN g ON g.item_id = b.item_id AND g.gram = b.gram GROUP BY ALL
+), best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS r FROM sim WHERE similarity >= 0.8)
+SELECT doc_id, item_id, CAST(start AS INT) AS start, CAST(n_words AS INT) AS n_words, CAST(similarity AS DOUBLE) AS similarity FROM best WHERE r = 1
+"""
 
 
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,4 +181,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
