@@ -185,7 +185,7 @@ CAST(sum(len({words('t')})) AS BIGINT) AS word_count, (SELECT count(*) FROM docu
     "latest_metric": f"WITH m AS ({METRICS}), r AS (SELECT *, row_number() OVER (PARTITION BY metric_name ORDER BY step DESC NULLS LAST, id DESC) AS n FROM m) SELECT id, metric_name, step, metric_value FROM r WHERE n = 1",
     "metric_unpivot": "SELECT event_id, 'value' AS metric_name, round(value, 6) AS metric_value FROM events WHERE value IS NOT NULL UNION ALL SELECT event_id, 'user', CAST(user_id AS DOUBLE) FROM events WHERE user_id IS NOT NULL UNION ALL SELECT event_id, 'even', CAST(event_id % 2 = 0 AS INT)::DOUBLE FROM events",
     "run_search": f"WITH r AS ({RUNS}) SELECT r.id, c_name AS experiment_name, status, started_at FROM r JOIN customer ON CAST(c_custkey AS VARCHAR) = experiment_id WHERE status = 'F' ORDER BY started_at DESC, r.id LIMIT 50",
-    "run_lineage_sources": "SELECT s_suppkey AS id, s_name AS identifier, CASE WHEN s_suppkey % 2 = 0 THEN CAST(floor(s_acctbal) AS BIGINT) END AS fetched FROM supplier",
+    "run_lineage_sources": "SELECT s_suppkey AS id, s_name AS identifier, CASE WHEN s_suppkey % 2 = 0 THEN CAST(floor(s_acctbal) AS BIGINT) ELSE -1 END AS fetched FROM supplier",
     "run_upsert": f"WITH r AS ({RUNS}), k AS (SELECT *, CAST(id AS BIGINT) AS n FROM r) SELECT id, CASE WHEN n % 5 = 0 AND n % 10 <> 0 THEN 'DONE' ELSE status END AS status, started_at FROM k UNION ALL SELECT 'new-' || id, 'DONE', 'later' FROM k WHERE n % 10 = 0",
     "dataset_pages": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, source FROM documents ORDER BY documents.doc_id LIMIT 30 OFFSET 20",
     "event_tail": "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 25",

@@ -271,7 +271,7 @@ def run_search(spark, sf):
 
 
 def run_lineage_sources(spark, sf):
-    return run_store(spark, sf).source_lineage("1").select("id", "identifier", "fetched")
+    return run_store(spark, sf).source_lineage("1").select("id", "identifier", F.coalesce("fetched", F.lit(-1)).alias("fetched"))
 
 
 def run_upsert(spark, sf):

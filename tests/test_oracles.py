@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import duckdb
+import pandas as pd
 import pytest
 
 from loomtext.plans.registry import ORACLE_SQL, QUERIES
@@ -19,7 +20,7 @@ def duck(sf):
 
 
 def plain(v):
-    return None if v is None or v != v else float(v) if isinstance(v, float) else str(v)
+    return None if pd.isna(v) else float(v) if isinstance(v, float) else str(v)
 
 
 def rows(frame):
