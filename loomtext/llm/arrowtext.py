@@ -70,12 +70,12 @@ def steps(texts: pa.Array, limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]
         a = b
 
 
-def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """ASCII-whitespace words of all texts in one array, and the offsets of each text's words.
+def words(texts: pa.Array, unicode: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """ASCII-whitespace words of all texts in one array, and the offsets of each text's words; with ``unicode``, split at all white space.
 
     A text's leading or trailing white space makes no empty word.
     """
-    parts = pc.ascii_split_whitespace(texts)
+    parts = (pc.utf8_split_whitespace if unicode else pc.ascii_split_whitespace)(texts)
     flat, off = parts.flatten(), np.asarray(parts.offsets)
     off = off.astype(np.int64) - int(off[0])
     full = pc.not_equal(flat, "")

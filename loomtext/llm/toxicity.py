@@ -17,6 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ LEET = {
 DROP_MARK, DROP_MASK, DROP_SIGN, DROP_DIGIT, DROP_THIRD, DROP_SECOND = 0.7, 2.5, 9.0, 9.0, 0.2, 3.0
 #: Cost of a word's end among letters that are spaced out.
 BREAK = 1.0
-#: Words a worker remembers; pieces longer than this are cut at their separators.
+#: Words a worker remembers; words longer than this are cut at their separators, and every part is read.
 CACHE_WORDS, LONGEST = 150_000, 32
 #: Lengths of the beginnings of words that are features, and the share of a text's words that makes a feature frequent.
 STEMS, SHARE = (4, 5, 6), 0.01
@@ -150,11 +151,14 @@ class Restorer:
             path = path[1]
         return "".join(reversed(out))
 
-    def restore(self, word: str) -> str:
-        """The word's key: restored if it may be disguised, without accents, runs of a letter as one letter; '' for no word."""
+    def restore(self, word: str) -> tuple[str, ...]:
+        """The word's keys: restored if it may be disguised, without accents, runs of a letter as one letter; '' for no word.
+
+        A word has one key, a long one with separators the keys of all its parts.
+        """
         if (known := self.seen.get(word)) is not None:
             return known
-        out = _key(self._restore(word))
+        out = tuple(_key(x) for x in self._restore(word))
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
         self.seen[word] = out
@@ -164,24 +168,32 @@ class Restorer:
         """Keys of the words that single characters in a row spell."""
         return [_key(w) for w in self.decode(letters, BREAK).split() if len(w) > 2]
 
-    def _restore(self, word: str) -> str:
+    def _restore(self, word: str) -> list[str]:
         if word.isalpha() and not TRIPLE.search(word):
-            return word
+            return [word]
         w = EDGE.sub("", word)
         if w.isalpha() and not TRIPLE.search(w):
-            return w
+            return [w]
         if not any(ch.isalpha() for ch in w):
-            return ""
+            return [""]
         if len(w) > LONGEST:
-            parts = [x for x in PARTS.split(w) if x]
-            return max((self.decode(x[:LONGEST]) if len(x) <= LONGEST else x for x in parts), key=len, default="")
-        return self.decode(w)
+            w = LONG_RUN.sub(r"\1\1", w)
+        if len(w) <= LONGEST:
+            return [self.decode(w)]
+        parts = [x for x in PARTS.split(w) if x]
+        out = [x for part in parts for x in (self.restore(part) if part != word and len(part) <= LONGEST else [self.decode(part)])]
+        for single, run in groupby(parts, lambda x: len(x) == 1):
+            if single and len(letters := "".join(run)) > 2:
+                out += self.restore_spaced(letters)
+        return out
 
 
 #: Decoration round a word: quotes and closing stops, and symbols doubled at its end.
 EDGE = re.compile(r"""^["'(\[{<.,;:?¿¡»«“”-]+|(?:["')\]}>.,;:?!»«“”-]|([#$%&*~=_+^|])\1+)+$""")
 TRIPLE = re.compile(r"(.)\1\1")
-PARTS = re.compile(r"[\W_]+")
+#: What parts long words: separators, but not the signs that may stand for letters.
+PARTS = re.compile(rf"(?:(?![{re.escape(''.join(LEET))}])[\W_])+")
+LONG_RUN = re.compile(r"(.)\1{2,}")
 REPEAT = re.compile(r"(.)\1+")
 
 
@@ -193,13 +205,16 @@ def _key(word: str) -> str:
 
 def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct keys, and (text, key) of every word as two arrays. Single characters in a row, three or more, are read as
-    words besides."""
-    flat, off = words(pc.utf8_lower(texts))
+    words besides. Words end at Unicode white space."""
+    flat, off = words(pc.utf8_lower(texts), unicode=True)
     distinct, code = coded(flat)
     owner = np.repeat(np.arange(len(texts)), np.diff(off))
     keys: dict[str, int] = {}
-    of = np.fromiter((keys.setdefault(restorer.restore(w), len(keys)) for w in distinct), np.int64, len(distinct))
-    pair_text, pair_key = [owner], [of[code]]
+    found = [[keys.setdefault(k, len(keys)) for k in restorer.restore(w)] for w in distinct]
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    start, of = np.cumsum(n) - n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
+    each = n[code]  # a word's keys one after the other
+    pair_text, pair_key = [np.repeat(owner, each)], [of[np.repeat(start[code] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]]
     one = np.asarray(pc.equal(pc.utf8_length(flat), 1).to_numpy(zero_copy_only=False), bool) if len(flat) else np.zeros(0, bool)
     if one.any():
         edge = np.flatnonzero(np.diff(np.concatenate([[0], one.astype(np.int8), [0]])))

@@ -59,6 +59,29 @@ def test_toxicity_held_out_and_obfuscated(spark):
         assert s[0] >= 0.5 > s[1], (word, s)
 
 
+def english_restorer():
+    text = "you are such a stupid idiot and your work is total garbage the other people said that it is worthless trash " * 50
+    sym = toxicity.symbols_of(" " + text).astype(np.int64)
+    sym = np.repeat(sym, np.where(sym == 0, 2, 1))
+    c = np.bincount((sym[:-2] * toxicity.A + sym[1:-1]) * toxicity.A + sym[2:], minlength=toxicity.A**3)
+    return toxicity.Restorer(toxicity.character_costs(c.reshape((toxicity.A,) * 3)))
+
+
+@pytest.mark.parametrize("mark", [".", "_", "-", "/", "\u00a0", "\u3000", "\u2003"])
+def test_every_part_of_a_long_word_is_read(mark):
+    text = mark.join("the other people said that you are a $tupid 1d10t and worthless".split())
+    keys, t, k = toxicity.restored_words(pa.array(["total trash", text, ""], pa.large_string()), english_restorer())
+    assert [keys[i] for i in k[t == 0]] == ["total", "trash"]
+    assert [keys[i] for i in k[t == 1]] == ["the", "other", "people", "said", "that", "you", "are", "a", "stupid", "idiot", "and", "worthles"]
+
+
+def test_long_disguises_are_read():
+    restorer = english_restorer()
+    assert "stupid" in restorer.restore("-".join("stupididiotgarbagestupid"))
+    assert restorer.restore("1d1" + "0" * 60 + "t") == ("idiot",)
+    assert restorer.restore("s" + "t" * 70 + "up1d") == ("stupid",)
+
+
 def test_viterbi_is_the_best_path():
     r = np.random.default_rng(1)
     restorer = toxicity.Restorer(toxicity.character_costs(r.integers(0, 50, (28, 28, 28))))
