@@ -221,12 +221,10 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.n
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             cuts = [a, *[c for c in off[np.searchsorted(off, a, "right") : np.searchsorted(off, b, "left")].tolist() if a < c < b], b]
             for x, y in zip(cuts, cuts[1:], strict=False):
-                for z in range(x, y, 4 * LONGEST):  # in pieces, as a run may be as long as a text
-                    if min(y, z + 4 * LONGEST) - z >= 3:
-                        found = restorer.restore_spaced("".join(distinct[code[i]] for i in range(z, min(y, z + 4 * LONGEST))))
-                        k = [keys.setdefault(w, len(keys)) for w in found]
-                        pair_text.append(np.repeat(owner[x], len(k)))
-                        pair_key.append(np.array(k, np.int64))
+                if y - x >= 3:
+                    k = [keys.setdefault(w, len(keys)) for w in restorer.restore_spaced("".join(distinct[i] for i in code[x:y].tolist()))]
+                    pair_text.append(np.repeat(owner[x], len(k)))
+                    pair_key.append(np.array(k, np.int64))
     return list(keys), np.concatenate(pair_text), np.concatenate(pair_key)
 
 

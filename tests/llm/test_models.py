@@ -82,6 +82,16 @@ def test_long_disguises_are_read():
     assert restorer.restore("s" + "t" * 70 + "up1d") == ("stupid",)
 
 
+def test_words_spelled_over_many_letters_stay_whole():
+    restorer = english_restorer()
+    for n in range(120, 140):  # a run's end and a word lie at every place about 128 letters
+        letters = ("the" * 50)[:n] + "garbage"
+        text = " ".join(letters)
+        keys, t, k = toxicity.restored_words(pa.array([text], pa.large_string()), restorer)
+        assert [keys[i] for i in k[len(letters) :]] == restorer.restore_spaced(letters)
+        assert "garbage" in keys, n
+
+
 def test_viterbi_is_the_best_path():
     r = np.random.default_rng(1)
     restorer = toxicity.Restorer(toxicity.character_costs(r.integers(0, 50, (28, 28, 28))))
