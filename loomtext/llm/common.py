@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,11 +53,38 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+#: Tables laid down inside a ``swept`` block.
+_LAID: ContextVar[list[DataFrame] | None] = ContextVar("laid", default=None)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder; later stages outlive the loss of executors."""
     shared_dir(df.sparkSession)
     with small_batches(df.sparkSession):
-        return df.checkpoint(eager=True)
+        out = df.checkpoint(eager=True)
+    if (laid := _LAID.get()) is not None:
+        laid.append(out)
+    return out
+
+
+def forget(laid: DataFrame) -> None:
+    """Delete what ``durable`` laid down, once no result still rests on it."""
+    path = laid._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if path.isDefined():
+        remove_folder(laid.sparkSession, path.get())
+
+
+@contextmanager
+def swept() -> Iterator[None]:
+    """Delete at the end all that was laid down inside the block; for blocks that write their result themselves."""
+    mark = _LAID.set([])
+    try:
+        yield
+    finally:
+        laid = _LAID.get() or []
+        _LAID.reset(mark)
+        for df in laid:
+            forget(df)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -70,6 +98,23 @@ def remove_folder(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """A name for a working column from each of ``names``, none of which is a column of ``df`` in any case form."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = "_" + name.replace(" ", "_").lower()
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """(k0, k1): 128 bits of hash by which a row is known, from its id and text, however the table is split or ordered when it is read again."""
+    return [F.xxhash64(F.lit(k), F.col(id_col).isNull(), F.col(id_col), F.col(text_col)).alias(f"k{k}") for k in (0, 1)]
+
+
 def training_row(doc_id: Column | str = "doc_id") -> Column:
     """True for rows that labels may be learned from: crc32 of the id's decimal text, mod 5, is not 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

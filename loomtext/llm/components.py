@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, forget
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = durable(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     for _ in range(max_rounds):
-        e = durable(_stars(_stars(e, True), False))
+        before, e = e, durable(_stars(_stars(e, True), False))
+        forget(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break
