@@ -14,6 +14,7 @@ the parts' counts, so parts are written at the same time and no token is moved a
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate
@@ -41,7 +42,8 @@ class WordEncoder:
 
     The tokenizer drops white space before its merges and looks across none, and it never joins a letter with the
     stops after it; so a text's ids are those of its pieces in order, where a piece is a word between ASCII white space
-    or, of a letter followed by closing stops, the part before or after. A-Z are lower-cased first, as the tokenizer would.
+    or, of a letter followed by closing stops, the part before or after. A-Z are lower-cased first, as the tokenizer would, but not in
+    texts that hold an added token in any case form: those are looked for before lower-casing.
     ``encode`` gives the flat ids of all texts and the number of ids of each.
     """
 
@@ -53,6 +55,8 @@ class WordEncoder:
         #: ids that end a word
         self.ends = np.zeros(self.vocab, bool)
         self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
+        cased = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content.lower() != t.content.upper()]
+        self.added = "(?i)" + "|".join(re.escape(t) for t in sorted(cased)) if cased else None
         self.clear()
 
     def clear(self) -> None:
@@ -110,7 +114,12 @@ class WordEncoder:
         return np.fromiter((at[w] for w in distinct), np.int64, len(distinct))[code]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        flat, off = words(pc.ascii_lower(texts))
+        lowered = pc.ascii_lower(texts)
+        if self.added and len(texts):
+            held = pc.match_substring_regex(lowered, self.added)
+            if pc.any(held).as_py():
+                lowered = pc.if_else(held, texts, lowered)
+        flat, off = words(lowered)
         if not len(flat):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         if len(self.at) > CACHE_WORDS:

@@ -31,6 +31,9 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
     t, r = Tokenizer.from_file(path), random.Random(5)
     letters = list("ab éÉ.,!?'\"12 \n\t́ΣσİŁß中국<|>s tक़") + ["'s", "'re", "<|endoftext|>", " ", " ", "\x1c", "\x0b", "A."]
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 40))) for _ in range(3000)] + ["", "y" * 5000]
+    for added in t.get_added_tokens_decoder().values():  # in every case form, alone, between words and inside them
+        for form in (added.content, added.content.upper(), added.content.title(), added.content.swapcase(), "".join(r.choice((c, c.upper())) for c in added.content)):
+            texts += [form, f"Some TEXT {form} and More", f"x{form}Y.", form * 2, f"{form[:-1]} |>"]
     flat, n = tokens.WordEncoder(path).encode(pa.array(texts, pa.large_string()))
     ends = np.cumsum(n)
     for x, a, b in zip(texts, ends - n, ends, strict=True):
