@@ -2,9 +2,10 @@
 
 Fitting, on a bounded sample: the sample's neighbour graph is cut into balanced parts by recursive bisection (a spectral split at the
 median, refined by swaps that keep the halves equal), and a small classifier learns, from a vector alone, how a vector's
-neighbours are spread over the parts. Indexing: every row goes to its most probable part. Searching: a query goes to its several most probable
-parts, and all rows there are ranked by their exact inner products. How many parts a query visits is read off the sample: as many as hold
-``coverage`` of the neighbours there.
+neighbours are spread over the parts. Tables too large for one level's parts get a second level: each part is fitted and cut in the same way,
+on a bounded sample of its own. Indexing: every row goes to its most probable part. Searching: a query goes to its most probable
+parts, as many as hold a certain share of its probability, and all rows there are ranked by their exact inner products. That share is read off the sample, so that
+the parts visited hold ``coverage`` of the neighbours there. A query whose parts hold too few rows goes on to further parts.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from .common import durable
 
 #: Rows of a part, and queries, that meet in one task at a time.
 CHUNK, QUERIES = 4096, 2048
+#: Most parts that one level is cut into, and rows whose probabilities over all parts are held at a time.
+MOST_PARTS, ROWS = 256, 256
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -98,22 +101,74 @@ class Router:
     b1: np.ndarray
     w2: np.ndarray
     b2: np.ndarray
-    probes: int
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
+    @property
+    def parts(self) -> int:
+        return len(self.b2)
 
-    def route(self, x: np.ndarray, m: int) -> np.ndarray:
-        """The ``m`` most probable parts of each vector, most probable first; ties to the smaller part."""
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        """How probable each part is, for vectors of any length."""
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        return np.argsort(-self.logits(x), axis=1, kind="stable")[:, :m]
+        z = np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
+        q = np.exp(z - z.max(1, keepdims=True))
+        return q / q.sum(1, keepdims=True)
 
 
-def fit_router(x: np.ndarray, parts: int, *, neighbours: int = 20, coverage: float = 0.95, hidden: int = 128, rounds: int = 40, seed: int = 3) -> Router:
-    """Partition the sample's graph, train the classifier and choose the number of probes.
+def whole(d: int) -> Router:
+    """A router that knows one part."""
+    return Router(np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
 
-    A fifth of the sample takes no part in training; the probes are chosen on it, by where the classifier puts its neighbours.
+
+@dataclass
+class Tree:
+    """A router and, with a second level, one for each of its parts; leaves are numbered from 0.
+
+    ``share``: how much of a query's probability the leaves it visits hold.
     """
+
+    root: Router
+    below: list[Router]
+    share: float = 1.0
+
+    @property
+    def first(self) -> np.ndarray:
+        """The number of each part's first leaf, and of all leaves."""
+        return np.concatenate([[0], np.cumsum([r.parts for r in self.below])]) if self.below else np.arange(self.root.parts + 1)
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """Each vector's most probable part and there its most probable leaf; ties to the smaller number."""
+        out = self.root.probabilities(x).argmax(1) if len(x) else np.zeros(0, np.int64)
+        if not self.below:
+            return out
+        at = self.first
+        leaves = np.zeros(len(x), np.int64)
+        for p in np.unique(out).tolist():
+            own = out == p
+            leaves[own] = at[p] + self.below[p].probabilities(x[own]).argmax(1)
+        return leaves
+
+    def ordered(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All leaves of each vector, most probable first, and the probability of those before each."""
+        q = self.root.probabilities(x)
+        if self.below:
+            q = np.concatenate([q[:, p : p + 1] * r.probabilities(x) for p, r in enumerate(self.below)], axis=1)
+        order = np.argsort(-q, axis=1, kind="stable")
+        q = np.take_along_axis(q, order, 1)
+        return order, np.cumsum(q, 1) - q
+
+    def visits(self, x: np.ndarray, rows: np.ndarray, least: int) -> list[np.ndarray]:
+        """The leaves each query visits: those that hold ``share`` of its probability, and more until there are ``least`` of ``rows``."""
+        out = []
+        for a in range(0, len(x), ROWS):
+            order, before = self.ordered(x[a : a + ROWS])
+            held = np.cumsum(rows[order], 1) - rows[order]
+            n = np.maximum((before < self.share).sum(1), (held < least).sum(1))
+            out += [o[:m] for o, m in zip(order, n.tolist(), strict=True)]
+        return out
+
+
+def fit_router(x: np.ndarray, parts: int, *, neighbours: int = 20, hidden: int = 128, rounds: int = 40, seed: int = 3) -> tuple[Router, np.ndarray, np.ndarray]:
+    """Partition the sample's graph and train the classifier; also gives the graph and the fifth of the sample that takes no part in training."""
     norm = np.linalg.norm(x, axis=1, keepdims=True)
     unit, d = x / norm, x.shape[1]
     graph = neighbour_graph(x, neighbours)
@@ -141,16 +196,20 @@ def fit_router(x: np.ndarray, parts: int, *, neighbours: int = 20, coverage: flo
                 m1[i] = 0.9 * m1[i] + 0.1 * g
                 m2[i] = 0.999 * m2[i] + 0.001 * g * g
                 p[i] -= 2e-3 * (m1[i] / (1 - 0.9**t)) / (np.sqrt(m2[i] / (1 - 0.999**t)) + 1e-8)
-    router = Router(*p, probes=parts)
-    home = router.route(x, 1)[:, 0]
-    order = router.route(x[tried], parts)
-    rank = np.argsort(order, axis=1)
-    found = rank[np.arange(len(tried))[:, None], home[graph[tried]]] if len(tried) else np.zeros((0, 1), np.int64)
-    for m in range(1, parts + 1):
-        router.probes = m
-        if found.size and (found < m).mean() >= coverage:
-            break
-    return router
+    return Router(*p), graph, tried
+
+
+def choose_share(tree: Tree, x: np.ndarray, graph: np.ndarray, tried: np.ndarray, coverage: float) -> float:
+    """The share of probability at which ``coverage`` of the neighbours of the rows ``tried`` lie in the leaves visited."""
+    if coverage >= 1 or not len(tried):
+        return 1.0
+    home, need = tree.leaf(x), []
+    for a in range(0, len(tried), ROWS):
+        own = tried[a : a + ROWS]
+        order, before = tree.ordered(x[own])
+        rank = np.argsort(order, axis=1)
+        need.append(np.take_along_axis(before, np.take_along_axis(rank, home[graph[own]], 1), 1).ravel())
+    return float(np.quantile(np.concatenate(need), coverage, method="higher")) + 1e-12
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -185,14 +244,48 @@ def _top(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: in
     return i[keep], j[keep], score[keep]
 
 
-def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, sample_rows: int = 8192, rows_per_part: int = 1500, coverage: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` its ``k`` nearest of all other rows found.
+def fit_tree(rows: DataFrame, n: int, *, sample_rows: int, rows_per_part: int, coverage: float) -> Tree:
+    """The partition for ``rows`` (id, v), fitted on the ``sample_rows`` rows of the smallest xxhash64(id), and as many of each part for a second level."""
+    x = _matrix(rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow().column(0))
+    many = n / rows_per_part
+    parts = 1 << max(4, min(int(math.log2(MOST_PARTS)), round(math.log2(max(1, many)))))
+    if len(x) <= 4 * parts:
+        return Tree(whole(x.shape[1]), [])
+    root, graph, tried = fit_router(x, parts)
+    tree = Tree(root, [])
+    if many > 2 * MOST_PARTS:
+        deeper = 1 << min(int(math.log2(MOST_PARTS)), round(math.log2(many / parts)))
 
-    Nearness is the inner product in double precision, ties go to the smaller id, ranks count from 1. The router is fitted on the
-    ``sample_rows`` rows of the smallest xxhash64(id); all rows are indexed. Rows of a null id, and vectors that are null, zero, hold null or
-    non-finite components or have another dimension than most, take no part. Rows of one id are never each other's candidates; an id
-    counts once among a query's results, by its best score. A part of any size is searched in chunks, so many equal vectors fill no task. An
-    empty table, or one with fewer than two ids, gives an empty result.
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tree.leaf(_matrix(batch.column(1))).astype(np.int32))], names=["id", "v", "part"])
+
+        def fit(t: pa.Table) -> pa.Table:
+            own = _matrix(t.column("v"))
+            r = fit_router(own, deeper)[0] if len(own) > 4 * deeper else whole(own.shape[1])
+            flat = [a.ravel().tolist() for a in (r.w1, r.b1, r.w2, r.b2)]
+            return pa.table({"part": t.column("part").slice(0, 1), "weights": pa.array([flat], pa.list_(pa.list_(pa.float64())))})
+
+        near = Window.partitionBy("part").orderBy(F.xxhash64("id"), "id")
+        drawn = rows.mapInArrow(place, "id long, v array<double>, part int").withColumn("r", F.row_number().over(near)).where(F.col("r") <= sample_rows).select("part", "v")
+        d, fitted = x.shape[1], {r.part: r.weights for r in drawn.groupBy("part").applyInArrow(fit, "part int, weights array<array<double>>").collect()}  # MOST_PARTS routers at most
+        below = []
+        for p in range(parts):
+            w = [np.array(v) for v in fitted[p]] if p in fitted else None
+            below.append(Router(w[0].reshape(d, -1), w[1], w[2].reshape(len(w[1]), -1), w[3]) if w else whole(d))
+        tree = Tree(root, below)
+    tree.share = choose_share(tree, x, graph, tried, coverage)
+    return tree
+
+
+def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, sample_rows: int = 8192, rows_per_part: int = 1500, coverage: float = 0.94, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` its ``k`` nearest of all other rows found, all others if they are fewer.
+
+    Nearness is the inner product in double precision, ties go to the smaller id, ranks count from 1. Routers are fitted on the
+    ``sample_rows`` rows of the smallest xxhash64(id), of the table and, with a second level, of each part; all rows are indexed. Rows of a null id, and
+    vectors that are null, zero, hold null or non-finite components or have another dimension than most (no inner product joins the two), take no part. Rows
+    of one id are never each other's candidates; an id counts once among a query's results, by its best score. A part of any size is searched in
+    chunks, so many equal vectors fill no task. Other columns are not read. An empty table, or one with fewer than two ids, gives an empty result.
     """
     spark = vectors.sparkSession
     rows = durable(valid_vectors(vectors, id_col, vector_col))
@@ -200,33 +293,35 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, sample_rows: in
     schema = "query_id long, rank int, vec_id long, score double"
     if n < 2:
         return spark.createDataFrame([], schema)
-    parts = 1 << min(8, max(4, round(math.log2(max(1, n / rows_per_part)))))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow()
-    x = _matrix(sample.column(0))
-    router = fit_router(x, parts, coverage=coverage) if len(x) > 4 * parts else Router(np.zeros((x.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
-
-    def route(m: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    to = router.route(_matrix(batch.column(1)), m)
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(to.astype(np.int32)), pa.list_(pa.int32()))], names=["id", "v", "parts"])
-
-        return run
-
-    kind = "id long, v array<double>, parts array<int>"
-    index = durable(rows.mapInArrow(route(1), kind).select("id", "v", F.get("parts", F.lit(0)).alias("part")))
-    queries = durable(rows.where(F.col("id") % every == 0).mapInArrow(route(router.probes), kind).select("id", "v", F.explode("parts").alias("part")))
-    # a part's rows and queries are cut into chunks that meet pair by pair; parts are at most 256
-    size = {r.part: r["count"] for r in index.groupBy("part").count().collect()}
-    asked = {r.part: r["count"] for r in queries.groupBy("part").count().collect()}
-    each = lambda of, per: F.create_map(*[F.lit(y) for p in range(256) if p in of for y in (p, -(-of[p] // per))])
-    if not size or not asked:
-        return spark.createDataFrame([], schema)
-    chunks, blocks = F.coalesce(F.try_element_at(each(size, CHUNK), F.col("part")), F.lit(0)), F.coalesce(F.try_element_at(each(asked, QUERIES), F.col("part")), F.lit(0))
-    own = lambda m: F.pmod(F.xxhash64("id"), m).cast("int")
-    left = queries.withColumns({"block": own(blocks)}).where(chunks > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    right = index.withColumn("chunk", own(chunks)).where(blocks > 0).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    tree = fit_tree(rows, n, sample_rows=sample_rows, rows_per_part=rows_per_part, coverage=coverage)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1))
+            leaf = np.concatenate([np.zeros(0, np.int64), *[tree.leaf(x[a : a + ROWS]) for a in range(0, len(x), ROWS)]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaf.astype(np.int32))], names=["id", "v", "part"])
+
+    index = durable(rows.mapInArrow(place, "id long, v array<double>, part int"))
+    leaves = int(tree.first[-1])
+    ids = np.zeros(leaves, np.int64)  # each id counts in one part
+    for r in index.groupBy("id").agg(F.min("part").alias("part")).groupBy("part").count().collect():  # a row for each part, MOST_PARTS² at most
+        ids[r.part] = r["count"]
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            to = tree.visits(_matrix(batch.column(1)), ids, k + 1) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t.astype(np.int32) for t in to], pa.list_(pa.int32()))], names=["id", "v", "parts"])
+
+    queries = rows.where(F.col("id") % every == 0).mapInArrow(route, "id long, v array<double>, parts array<int>")
+    queries = durable(queries.select("id", "v", F.explode("parts").alias("part")))
+    # a part's rows and queries are cut into chunks that meet pair by pair
+    sizes = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    asked = queries.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
+    cuts = F.broadcast(sizes.join(asked, "part"))  # a row for each part
+    own = lambda m: F.pmod(F.xxhash64("id"), F.col(m)).cast("int")
+    each = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+    left = queries.join(cuts, "part").withColumn("block", own("blocks")).withColumn("chunk", each("chunks"))
+    right = index.join(cuts, "part").withColumn("chunk", own("chunks")).withColumn("block", each("blocks"))
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
         if not q.num_rows or not c.num_rows:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.llm import ann, decontam, lines, mixing
+from loomtext.llm import ann, common, decontam, lines, mixing
 
 from . import cases
 
@@ -103,6 +103,27 @@ def test_line_dedup_equals_brute_force(spark):
     assert lines.line_dedup(cases.empty(spark)).count() == 0
 
 
+def test_line_dedup_doesn_t_depend_on_how_the_table_is_split(spark, tmp_path):
+    shared = [f"shared {i}" for i in range(6)]
+    rows = [(i, "\n".join([f"own {i} {k}" for k in range(4)] + (shared[: 3 + i % 4] if i % 3 == 0 else []))) for i in range(300)]
+    rows += [rows[5], rows[6], rows[6], rows[9], (None, rows[9][1]), (9, rows[12][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/t")
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0))
+    want = brute_lines([rows[k] for k in order])
+    key = lambda r: tuple((x is not None, x if x is not None else 0) for x in r)
+    try:
+        for size, then in (("1g", "4k"), ("4k", "1g")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            out = lines.line_dedup(spark.read.parquet(f"{tmp_path}/t"))
+            spark.conf.set("spark.sql.files.maxPartitionBytes", then)
+            got = sorted((tuple(r) for r in out.collect()), key=key)
+            # rows of one id come in an order of their own: which of the two keeps the shared lines is left open
+            assert [r for r in got if r[0] != 9] == sorted((r for r in want if r[0] != 9), key=key)
+            assert sum(r[3] for r in got if r[0] == 9) == sum(r[3] for r in want if r[0] == 9)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def levels():
     return [
         mixing.Level("domain", F.expr("case when source in ('a1', 'a2') then 'x' else 'y' end"), F.expr("case domain when 'x' then 3 else 1 end")),
@@ -211,6 +232,36 @@ def test_neighbours_on_odd_vectors(spark):
     assert ann.nearest(df.limit(0)).count() == 0 == ann.nearest(spark.createDataFrame([(20, same)], "vec_id long, embedding array<float>")).count()
 
 
+def test_queries_in_small_parts_go_on_until_they_have_enough(spark):
+    r = np.random.default_rng(6)
+    centres = np.eye(3, 16) * 30
+    x = np.concatenate([c + r.standard_normal((n, 16)) for c, n in zip(centres, (400, 12, 400), strict=True)]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(df, every=1, rows_per_part=50, coverage=0.5).groupBy("query_id").agg(F.count("*").alias("n"), F.countDistinct("vec_id").alias("d"), F.max("rank").alias("r")).collect()
+    assert len(got) == 812 and {(g.n, g.d, g.r) for g in got} == {(20, 20, 20)}
+    few = ann.nearest(df.where("vec_id < 9"), every=1).groupBy("query_id").count().collect()
+    assert [g["count"] for g in few] == [8] * 9
+
+
+def test_two_levels_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_PARTS", 16)
+    r = np.random.default_rng(7)
+    centres = r.standard_normal((40, 12)) * 3
+    x = (centres[r.integers(0, 40, 4000)] + r.standard_normal((4000, 12))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    rows = common.durable(ann.valid_vectors(df, "vec_id", "embedding"))
+    tree = ann.fit_tree(rows, 4000, sample_rows=2000, rows_per_part=40, coverage=0.95)
+    assert len(tree.below) == 16 and tree.first[-1] > 16
+    y = x.astype(np.float64)
+    leaf, (order, before) = tree.leaf(y[:50]), tree.ordered(y[:50])
+    assert (np.sort(order, 1) == np.arange(tree.first[-1])).all() and before[:, 0].max() == 0 and leaf.max() < tree.first[-1]
+    got = ann.nearest(df, rows_per_part=40, sample_rows=2000, coverage=0.95).groupBy("query_id").agg(F.collect_set("vec_id").alias("s")).collect()
+    s = y @ y.T
+    np.fill_diagonal(s, -np.inf)
+    assert len(got) == 200
+    assert np.mean([len(set(np.argsort(-s[g.query_id])[:20].tolist()) & set(g.s)) / 20 for g in got]) >= 0.9
+
+
 def test_parts_are_balanced_and_recall_is_measured(spark, sf, monkeypatch):
     r = np.random.default_rng(5)
     centres = r.standard_normal((12, 16)) * 2
