@@ -4,7 +4,7 @@ Each word gets emission scores from hashed features (affixes, character n-grams,
 labels follow each other by learned transitions. Forward-backward gives each word's label probabilities, also inside code-switched
 text; a document's language is the one with most probability over its words.
 
-Training sequences are spans of labelled documents joined at random, so that transitions within and between languages are learned.
+Training sequences are spans of labelled documents' whole texts, joined at random, so that transitions within and between languages are learned.
 """
 
 from __future__ import annotations
@@ -26,13 +26,13 @@ from .common import durable, held_out, training_row
 
 #: Hashed feature slots; words a worker remembers.
 SLOTS, CACHE_WORDS = 1 << 16, 300_000
-#: Words from which a chain is cut for forward-backward; at a cut the chain starts anew.
-CHAIN = 256
+#: Words of a block in forward-backward: long chains are worked in blocks side by side, and states are carried from block to block.
+BLOCK = 128
 
 
 def word_features(word: str, lexicon: frozenset[str]) -> list[int]:
-    """Slots of the word's features: affixes of one to four letters, bigrams and trigrams, the word if in the lexicon, its shape."""
-    w = f"<{word[:24]}>" if len(word) <= 24 else f"<{word[:12]}{word[-12:]}>"
+    """Slots of the word's features: affixes of one to four letters, all bigrams and trigrams, the word if in the lexicon, its shape."""
+    w = f"<{word}>"
     f = {"p" + w[: n + 1] for n in (1, 2, 3, 4)} | {"s" + w[-n - 1 :] for n in (1, 2, 3, 4)} | {w[i : i + 2] for i in range(len(w) - 1)} | {w[i : i + 3] for i in range(len(w) - 2)}
     f.add("a" if word.isascii() else "u")
     if word in lexicon:
@@ -63,35 +63,86 @@ class Chain:
         return np.add.reduceat(self.emission[flat], np.cumsum(n) - n, axis=0) / np.sqrt(n)[:, None]
 
 
+def _normal(v: np.ndarray) -> np.ndarray:
+    return v / v.sum(-1, keepdims=True)
+
+
+def _entries(x: np.ndarray, t: np.ndarray, first: np.ndarray, size: np.ndarray, chain: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each block of the chains: the state before its first word (a chain's first block: none), and the backward state at its last word.
+
+    A block's words act on a state as the product of their matrices. These products are formed for all blocks side by side; states then
+    pass from block to block, over all chains at once.
+    """
+    k, n = x.shape[1], len(first)
+    product = np.repeat(np.eye(k)[None], n, 0)
+    for j in range(int(size.max())):
+        live = np.flatnonzero(size > j)
+        step = product[live] @ t * x[first[live] + j][:, None, :]
+        product[live] = step / step.sum((1, 2), keepdims=True)
+    place = np.arange(n) - np.searchsorted(chain, chain)  # of the block in its chain
+    ahead = np.append(chain[1:] == chain[:-1], False)
+    before, after = np.ones((n, k)), np.ones((n, k))
+    for p in range(1, int(place.max()) + 1):
+        own = np.flatnonzero(place == p)
+        if p == 1:  # no transition leads to a chain's first word
+            heads = own - 1
+            v = np.exp(start - start.max()) * x[first[heads]]
+            for j in range(1, BLOCK):
+                live = size[heads] > j
+                v[live] = _normal(v[live] @ t * x[first[heads[live]] + j])
+            before[own] = _normal(v)
+        else:
+            before[own] = _normal((before[own - 1][:, None, :] @ product[own - 1])[:, 0])
+    for p in range(int(place.max()) - 1, -1, -1):
+        own = np.flatnonzero((place == p) & ahead)
+        after[own] = _normal((product[own + 1] @ after[own + 1][:, :, None])[:, :, 0])
+    return before, after
+
+
 def forward_backward(e: np.ndarray, lengths: np.ndarray, transition: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word posteriors of many chains at once, expected transitions, and the chains' log partition sums.
+    """Word posteriors of many chains at once, expected transitions, and log probabilities of the words whose sums are the chains' log partition sums.
 
-    ``e``: emission scores of all words, chain after chain. Chains run side by side, longest first.
+    ``e``: emission scores of all words, chain after chain. Chains are cut into blocks that run side by side; what enters a block
+    from both sides is found first, so the result is that of the whole chain.
     """
     k = e.shape[1]
-    order = np.argsort(-lengths, kind="stable")
-    first = (np.cumsum(lengths) - lengths)[order]
-    sizes = lengths[order]
     top = e.max(1)
     x = np.exp(e - top[:, None])
     t = np.exp(transition)
+    pieces = -(-lengths // BLOCK)
+    chain = np.repeat(np.arange(len(lengths)), pieces)
+    at = (np.arange(len(chain)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * BLOCK
+    sizes = np.minimum(lengths[chain] - at, BLOCK)
+    first = (np.cumsum(lengths) - lengths)[chain] + at
+    head, joined = at == 0, np.append(chain[1:] == chain[:-1], False) if len(chain) else np.zeros(0, bool)
+    before, after = np.ones((len(chain), k)), np.ones((len(chain), k))
+    many = (pieces > 1)[chain]
+    if many.any():
+        before[many], after[many] = _entries(x, t, first[many], sizes[many], chain[many], start)
+    order = np.argsort(-sizes, kind="stable")
+    first_, sizes_ = first[order], sizes[order]
+    enter = np.where(head[order][:, None], np.exp(start), before[order] @ t)
     alpha, scale = np.empty_like(x), np.empty(len(x))
-    most = int(sizes[0]) if len(sizes) else 0
-    live = [int(np.searchsorted(-sizes, -j, "left")) for j in range(most + 1)]  # chains longer than j
+    most = int(sizes_[0]) if len(sizes_) else 0
+    live = [int(np.searchsorted(-sizes_, -j, "left")) for j in range(most + 1)]  # blocks longer than j
     a = None
     for j in range(most):
-        at = first[: live[j]] + j
-        a = x[at] * (np.exp(start) if j == 0 else a[: live[j]] @ t)
+        here = first_[: live[j]] + j
+        a = x[here] * (enter if j == 0 else a[: live[j]] @ t)
         z = a.sum(1)
         a = a / z[:, None]
-        alpha[at], scale[at] = a, z
+        alpha[here], scale[here] = a, z
     beta = np.ones_like(x)
+    last = first + sizes - 1
+    inner = last[joined]
+    beta[inner] = after[joined] / (alpha[inner] * after[joined]).sum(1, keepdims=True)
     expected = np.zeros((k, k))
     for j in range(most - 2, -1, -1):
-        at = first[: live[j + 1]] + j
-        nxt = x[at + 1] * beta[at + 1] / scale[at + 1][:, None]
-        beta[at] = nxt @ t.T
-        expected += (alpha[at].T @ nxt) * t
+        here = first_[: live[j + 1]] + j
+        nxt = x[here + 1] * beta[here + 1] / scale[here + 1][:, None]
+        beta[here] = nxt @ t.T
+        expected += (alpha[here].T @ nxt) * t
+    expected += (alpha[inner].T @ (x[inner + 1] * beta[inner + 1] / scale[inner + 1][:, None])) * t
     return alpha * beta, expected, np.log(scale) + top
 
 
@@ -142,7 +193,7 @@ def train(sentences: list[list[str]], labels: list[list[int]], langs: list[str],
 
 def language_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words without marks and digits round or inside them, and each text's offsets; words without letters are left out."""
-    flat, off = words(texts)
+    flat, off = words(texts, unicode=True)
     d = flat.dictionary_encode() if len(flat) else None
     if d is None:
         return pa.array([], pa.large_string()), off
@@ -176,45 +227,43 @@ def posteriors(texts: pa.Array, model: Chain, memory: dict[str, np.ndarray]) ->
             memory.update(zip(new[a : a + 20_000], model.emissions(new[a : a + 20_000]), strict=True))
     table = np.zeros((len(distinct), k))
     table[used] = np.array([memory[distinct[i]] for i in used.tolist()])
-    e = table[code]
-    cuts = np.concatenate([np.arange(a, b, CHAIN) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)] + [off[-1:]])
-    post, _, _ = forward_backward(e, np.diff(cuts), model.transition, model.start)
+    post, _, _ = forward_backward(table[code], n, model.transition, model.start)
     return np.column_stack([group_sums(np.ascontiguousarray(post[:, c]), off) for c in range(k)]), n
 
 
-def training_spans(docs: DataFrame, *, rows_per_language: int, spans: int, span_words: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, list[list[str]]]]:
-    """Spans of words of a bounded sample: of each language the rows of the smallest xxhash64(id), ``spans`` spread over the text of each."""
-    known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang")).where(training_row("doc_id") & F.col("lang").isNotNull())
-    # ranked in 64 salted parts of each language first, so no task gets more than rows_per_language rows of each task or salt
+def training_texts(docs: DataFrame, *, rows_per_language: int, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, list[str]]]:
+    """(language, words of the whole text) of a bounded sample: of each language ``rows_per_language`` ids, those of the smallest xxhash64(id).
+
+    An id that several rows of a language share teaches by one of them, the text of the smallest xxhash64.
+    """
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null").where(training_row("doc_id"))
+    # ranked in 64 salted parts of each language first; a part's task keeps rows_per_language ids
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    known = known.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
+    known = named.groupBy("doc_id", "lang").agg(F.lit(1).alias("one")).withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
     known = known.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("r") <= rows_per_language)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    chosen = durable(known.withColumn("r", rank).where(F.col("r") <= rows_per_language).select("doc_id", "lang").distinct())
+    chosen = durable(known.withColumn("r", rank).where(F.col("r") <= rows_per_language).select("doc_id", "lang"))
+    rows = named.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     @tidy
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_column(batch, "text")
             w, off = language_words(texts)
-            out = []
-            for i in range(len(texts)):
-                n = int(off[i + 1] - off[i])
-                starts = sorted({int(off[i]) + (n - span_words) * j // max(1, spans - 1) for j in range(spans)}) if n > span_words else [int(off[i])] * (n > 0)
-                out.append([w.slice(a, min(span_words, int(off[i + 1]) - a)).to_pylist() for a in starts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.string())))], names=["lang", "spans"])
+            out = [w.slice(int(off[i]), int(off[i + 1] - off[i])).to_pylist() for i in range(len(texts))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["lang", "words"])
 
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text").mapInArrow(cut, "lang string, spans array<array<string>>")
-    return sorted((r.lang, [list(s) for s in r.spans]) for r in rows.collect())  # rows_per_language * languages rows of spans * span_words words
+    got = rows.select("lang", "text").mapInArrow(split, "lang string, words array<string>").collect()  # rows_per_language of each language
+    return sorted((r.lang, list(r.words)) for r in got)
 
 
-def fit_languages(docs: DataFrame, *, rows_per_language: int = 300, spans: int = 3, span_words: int = 24, lexicon_size: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> Chain:
-    rows = training_spans(docs, rows_per_language=rows_per_language, spans=spans, span_words=span_words, id_col=id_col, text_col=text_col, lang_col=lang_col)
+def fit_languages(docs: DataFrame, *, rows_per_language: int = 100, span_words: int = 24, lexicon_size: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", seed: int = 7) -> Chain:
+    """A field learned from the whole texts of ``rows_per_language`` rows of each language, cut into spans that are joined at random."""
+    rows = training_texts(docs, rows_per_language=rows_per_language, id_col=id_col, text_col=text_col, lang_col=lang_col)
     langs = sorted({lang for lang, _ in rows})
-    count = Counter(w for _, s in rows for x in s for w in set(x))
+    count = Counter(w for _, s in rows for w in set(s))
     lexicon = frozenset(w for w, n in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:lexicon_size] if n > 1)
-    pieces = [(langs.index(lang), x) for lang, s in rows for x in s if x]
+    pieces = [(langs.index(lang), s[a : a + span_words]) for lang, s in rows for a in range(0, len(s), span_words)]
     rng = np.random.default_rng(seed)
     order, sentences, labels = rng.permutation(len(pieces)), [], []
     at = 0
@@ -226,14 +275,15 @@ def fit_languages(docs: DataFrame, *, rows_per_language: int = 300, spans: int =
     return train(sentences, labels, langs, lexicon, seed=seed)
 
 
-def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 300) -> DataFrame:
+def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 100) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
 
     ``lang_pred`` is the language with the largest share of word probability over the whole text, ties to the first by name;
     ``score`` that share. A text that is null or has no letter gets 'und' and 0, as does every text if no language could be
-    learned. Languages are learned from a sample of ``rows_per_language`` rows of each, out of rows with a language whose
+    learned. Languages are learned from the whole texts of ``rows_per_language`` rows of each, out of rows with a language whose
     crc32(doc_id as text) mod 5 is not 0; nothing but the text enters a prediction. A null id is neither a training row nor held
-    out. Long texts are chains of 256 words, each chain starting anew. An empty table gives an empty result.
+    out. A text is one chain, however long; words end at Unicode white space, and all of a word's characters count. Repeated rows get a row
+    each. Other columns are not read. An empty table gives an empty result.
     """
     model = fit_languages(docs, rows_per_language=rows_per_language, id_col=id_col, text_col=text_col, lang_col=lang_col)
 
