@@ -38,6 +38,8 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+#: Parts of one into which statistics are rounded for the class sums.
+UNIT = 1 << 16
 
 
 def statistics(texts: pa.Array) -> np.ndarray:
@@ -91,10 +93,10 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 @dataclass
 class Discriminant:
-    """Two Gaussians with cached Cholesky factors."""
+    """Two Gaussians with cached inverse Cholesky factors."""
 
     means: np.ndarray
-    factors: np.ndarray
+    whiteners: np.ndarray
     log_dets: np.ndarray
     log_priors: np.ndarray
 
@@ -107,45 +109,52 @@ class Discriminant:
         means = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], centre)
         scatter = ss - np.einsum("c,ci,cj->cij", n, means, means)
         pooled = scatter.sum(0) / total + 1e-6 * np.eye(d)
-        factors, dets = [], []
+        whiteners, dets = [], []
         for c in range(len(n)):
             own = scatter[c] / n[c] if n[c] > d else pooled
             cov = (1 - to_pooled) * own + to_pooled * pooled
             cov = (1 - to_diagonal) * cov + to_diagonal * np.diag(np.diag(pooled) + np.diag(cov)) / 2
-            factors.append(np.linalg.cholesky(cov + 1e-6 * np.eye(d)))
-            dets.append(2 * np.log(np.diag(factors[-1])).sum())
-        return cls(means, np.array(factors), np.array(dets), np.log((n + 1) / (total + len(n))))
+            factor = np.linalg.cholesky(cov + 1e-6 * np.eye(d))
+            whiteners.append(np.tril(np.linalg.inv(factor)))  # once: a batch then takes one product
+            dets.append(2 * np.log(np.diag(factor)).sum())
+        return cls(means, np.array(whiteners), np.array(dets), np.log((n + 1) / (total + len(n))))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Posterior of class 1."""
         dens = []
-        for mean, factor, det, prior in zip(self.means, self.factors, self.log_dets, self.log_priors, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)
-            dens.append(prior - 0.5 * (det + (z * z).sum(0)))
+        for mean, whitener, det, prior in zip(self.means, self.whiteners, self.log_dets, self.log_priors, strict=True):
+            z = (x - mean) @ whitener.T
+            dens.append(prior - 0.5 * (det + (z * z).sum(1)))
         return 1 / (1 + np.exp(np.clip(dens[0] - dens[1], -500, 500)))
 
 
 def fit(stats: DataFrame, labels: DataFrame, label: str, to_pooled: float, to_diagonal: float) -> Discriminant:
-    """Class sums over all labelled training rows, in one distributed aggregation."""
+    """Class sums over all labelled training rows, in one distributed aggregation.
+
+    Statistics are rounded to whole multiples of ``1 / UNIT`` and summed as whole numbers, so the sums, and with them all scores, don't depend
+    on how rows are dealt to tasks.
+    """
     d = len(STATS)
     rows = stats.where(training_row("doc_id")).join(labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")), "doc_id")
 
     @tidy
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc = np.zeros((2, 1 + d + d * d))
+        acc = np.zeros((2, 1 + d + d * d), object)  # whole numbers of any size
         for batch in batches:
             y = batch.column(0).to_numpy(zero_copy_only=False)
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            x = np.rint(batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) * UNIT).astype(np.int64)
             for c in (0, 1):
-                own = x[y == c]
-                acc[c] += np.concatenate([[len(own)], own.sum(0), (own.T @ own).ravel()])
-        k = acc.shape[1]
-        yield pa.RecordBatch.from_pydict({"k": np.arange(2 * k), "v": acc.ravel()})
-
-    sums = rows.select("y", "x").mapInArrow(partial, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()  # 2 (1 + d + d²) numbers
-    acc = np.zeros(2 * (1 + d + d * d))
-    for r in sums:
-        acc[r.k] = r.v
+                for a in range(0, len(own := x[y == c]), 256):
+                    part = own[a : a + 256]
+                    if np.abs(part).max() >= 1 << 27:  # a text of one huge word: sums of squares would not fit a long
+                        part = part.astype(object)
+                    acc[c] += np.concatenate([[len(part)], part.sum(0), (part.T @ part).ravel()]).astype(object)
+        yield pa.RecordBatch.from_pydict({"k": np.arange(acc.size), "v": pa.array([str(v) for v in acc.ravel()], pa.string())})
+
+    whole = rows.select("y", "x").mapInArrow(partial, "k long, v string").select("k", F.col("v").cast("decimal(38,0)").alias("v"))
+    sums = {r.k: int(r.v) for r in whole.groupBy("k").agg(F.sum("v").alias("v")).collect()}  # 2 (1 + d + d²) numbers
+    power = np.concatenate([[0], np.ones(d, int), np.full(d * d, 2)])
+    acc = np.array([sums.get(k, 0) / UNIT ** int(power[k % len(power)]) for k in range(2 * len(power))])
     acc = acc.reshape(2, -1)
     return Discriminant.fit(acc[:, 0], acc[:, 1 : 1 + d], acc[:, 1 + d :].reshape(2, d, d), to_pooled, to_diagonal)
 
