@@ -40,6 +40,8 @@ LEET = {
 DROP_MARK, DROP_MASK, DROP_SIGN, DROP_DIGIT, DROP_THIRD, DROP_SECOND = 0.7, 2.5, 9.0, 9.0, 0.2, 3.0
 #: Cost of a word's end among letters that are spaced out.
 BREAK = 1.0
+#: What a word of digits alone costs when read as a number, for the word and for each digit; words of letters' stand-ins cost what their reading costs.
+NUMBER, NUMERAL = 3.0, math.log(10)
 #: Words a worker remembers; words longer than this are cut at their separators, and every part is read.
 CACHE_WORDS, LONGEST = 150_000, 32
 #: Lengths of the beginnings of words that are features, and the share of a text's words that makes a feature frequent.
@@ -105,51 +107,55 @@ class Restorer:
         self.cost = costs.tolist()
         self.seen: dict[str, str] = {}
 
-    def lattice(self, word: str) -> list[list[tuple[int, float]]]:
-        """What each character may stand for: (symbol, cost), with symbol -1 for nothing."""
+    def lattice(self, word: str) -> list[list[tuple[int, float, str]]]:
+        """What each character may stand for: (symbol, cost, letter), with symbol -1 for nothing. Letters other than a to z stay themselves."""
         out, run, before = [], 0, ""
         for ch in word:
             run = run + 1 if ch == before else 1
             before = ch
             if ch.isalpha():
                 base = unicodedata.normalize("NFKD", ch)[:1]
-                own = [(ord(base) - 96 if "a" <= base <= "z" else 27, 0.0)]
+                own = [(ord(base) - 96, 0.0, base) if "a" <= base <= "z" else (27, 0.0, ch)]
                 if run > 2:
-                    own.append((-1, DROP_THIRD))
+                    own.append((-1, DROP_THIRD, ""))
                 elif run == 2:
-                    own.append((-1, DROP_SECOND))
+                    own.append((-1, DROP_SECOND, ""))
             else:
-                own = [(ord(x) - 96, c) for x, c in LEET.get(ch, ())]
-                own.append((-1, DROP_DIGIT if ch.isdigit() else DROP_MASK if ch in "*#" else DROP_SIGN if own else DROP_MARK))
+                own = [(ord(x) - 96, c, x) for x, c in LEET.get(ch, ())]
+                own.append((-1, DROP_DIGIT if ch.isdigit() else DROP_MASK if ch in "*#" else DROP_SIGN if own else DROP_MARK, ""))
             out.append(own)
         return out
 
     def decode(self, word: str, breaks: float | None = None) -> str:
-        """Viterbi search over states of the last two symbols. With a cost for ``breaks``, words may end between any two letters."""
+        """The reading that ``read`` finds."""
+        return self.read(word, breaks)[1]
+
+    def read(self, word: str, breaks: float | None = None) -> tuple[float, str]:
+        """Cost and letters of the best reading: Viterbi search over states of the last two symbols. With a cost for ``breaks``, words may end between any two letters."""
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         cost = self.cost
         for options in self.lattice(word):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (s, path) in best.items():
                 row = cost[a][b]
-                for symbol, c in options:
+                for symbol, c, letter in options:
                     if symbol < 0:
                         key, total, way = (a, b), s + c, path
                     else:
-                        key, total, way = (b, symbol), s + c + row[symbol], (symbol, path)
+                        key, total, way = (b, symbol), s + c + row[symbol], (letter, path)
                     if key not in after or total < after[key][0]:
                         after[key] = (total, way)
                     if breaks is not None and symbol >= 0 and b:
                         key, total = (0, symbol), s + c + breaks + row[0] + cost[b][0][0] + cost[0][0][symbol]
                         if key not in after or total < after[key][0]:
-                            after[key] = (total, (symbol, (0, path)))
+                            after[key] = (total, (letter, (" ", path)))
             best = after
-        path = min(((s + cost[a][b][0], p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])[1]
+        total, path = min(((s + cost[a][b][0], p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])
         out = []
         while path:
-            out.append(" " if path[0] == 0 else chr(96 + path[0]) if path[0] < 27 else "~")
+            out.append(path[0])
             path = path[1]
-        return "".join(reversed(out))
+        return total, "".join(reversed(out))
 
     def restore(self, word: str) -> tuple[str, ...]:
         """The word's keys: restored if it may be disguised, without accents, runs of a letter as one letter; '' for no word.
@@ -175,7 +181,12 @@ class Restorer:
         if w.isalpha() and not TRIPLE.search(w):
             return [w]
         if not any(ch.isalpha() for ch in w):
-            return [""]
+            w = ENDS.sub("", word)  # signs at the edges may be letters here
+            if len(w) < 3 or len(set(w)) < 2 or not all(ch in LEET for ch in w):
+                return [""]
+            total, letters = self.read(LONG_RUN.sub(r"\1\1", w))
+            number = w.lstrip("$€£").isdigit()  # an amount or a plain number
+            return [letters if not number or total < NUMBER + NUMERAL * len(w) else ""]
         if len(w) > LONGEST:
             w = LONG_RUN.sub(r"\1\1", w)
         if len(w) <= LONGEST:
@@ -191,6 +202,7 @@ class Restorer:
 #: Decoration round a word: quotes and closing stops, and symbols doubled at its end.
 EDGE = re.compile(r"""^["'(\[{<.,;:?¿¡»«“”-]+|(?:["')\]}>.,;:?!»«“”-]|([#$%&*~=_+^|])\1+)+$""")
 TRIPLE = re.compile(r"(.)\1\1")
+ENDS = re.compile(r"""^["'\[{<.,;:?¿¡»«“”-]+|["')\]}>.,;:?»«“”-]+$""")
 #: What parts long words: separators, but not the signs that may stand for letters.
 PARTS = re.compile(rf"(?:(?![{re.escape(''.join(LEET))}])[\W_])+")
 LONG_RUN = re.compile(r"(.)\1{2,}")
@@ -345,14 +357,16 @@ def _logistic(t: np.ndarray, f: np.ndarray, y: np.ndarray, d: int, l2: float = 0
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", lexicon_size: int = 400, sample_rows: int = 8000, least_rows: int = 3, id_col: str = "doc_id", text_col: str = "text") -> ToxicModel:
     """The character model from all documents; lexicon and weights from a bounded sample of labelled training rows.
 
-    The sample has ``sample_rows`` labelled rows of each label at most, those of the smallest xxhash64(doc_id), whole texts. The bias is
-    then set right for the labels' shares among all labelled training rows.
+    The sample has ``sample_rows`` labelled ids of each label at most, those of the smallest xxhash64(doc_id), whole texts; an id that several
+    rows share teaches by the text of the smallest xxhash64, and equal labels of an id count once. The bias is then set right for the labels'
+    shares among all labelled training ids.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = ToxicModel(character_costs(character_counts(named)))
-    y = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")).where(training_row("doc_id"))
+    y = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")).where(training_row("doc_id")).distinct()
     chosen = durable(reduce(DataFrame.unionAll, [y.where(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for c in (0, 1)]))
-    rows = durable(named.join(F.broadcast(chosen), "doc_id").select("text", "y"))  # 2 * sample_rows ids are broadcast
+    drawn_texts = named.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = durable(drawn_texts.join(F.broadcast(chosen), "doc_id").select("text", "y"))  # 2 * sample_rows ids are broadcast
     counts = word_counts(rows, model.costs).where(F.col("n0") + F.col("n1") >= least_rows)
     total = {r.y: r["count"] for r in y.groupBy("y").count().collect()}
     drawn = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -382,15 +396,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", le
     return model
 
 
-def score_toxicity(docs: DataFrame, model: ToxicModel, *, threshold: float = 0.5, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``docs`` with their columns (or those of ``keep``), a ``toxic_score`` and ``toxic`` (score >= threshold).
+def score_toxicity(docs: DataFrame, model: ToxicModel, *, threshold: float = 0.5, text_col: str = "text", keep: list[str] | None = None, score_col: str = "toxic_score", toxic_col: str = "toxic") -> DataFrame:
+    """Rows of ``docs`` with their columns (or those of ``keep``), a ``score_col`` and ``toxic_col`` (1 if score >= threshold, else 0).
 
     Texts are read whole. A null or empty text has no words and gets the score of none. Columns of these two names are replaced.
     """
-    docs = docs.drop("toxic_score", "toxic")
+    docs = docs.drop(score_col, toxic_col)
     kept = docs.columns if keep is None else keep
     places = [docs.columns.index(c) for c in kept]
-    schema = StructType([docs.schema[c] for c in kept] + [StructField("toxic_score", DoubleType())])
+    schema = StructType([docs.schema[c] for c in kept] + [StructField(score_col, DoubleType())])
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,9 +413,9 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, *, threshold: float = 0.5
             texts = text_column(batch, text_col)
             for a, b in steps(texts, 2 << 20):
                 score = pa.array(model.score(texts.slice(a, b - a), restorer))
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in places], score], names=[*kept, "toxic_score"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in places], score], names=[*kept, score_col])
 
-    return docs.mapInArrow(run, schema).withColumn("toxic", (F.col("toxic_score") >= threshold).cast("int"))
+    return docs.mapInArrow(run, schema).withColumn(toxic_col, (F.col(score_col) >= threshold).cast("int"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,6 +8,13 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = [a + b for a in ("ka", "lo", "mi", "ne", "su", "ta", "vo") for b in ("ra", "den", "fol", "gim", "hus")]
 
 
+#: Names that operators give to columns of their own.
+CLASHES = (
+    "at key size fp h id item mark words shard n x score y cell root node k0 k1 group gram hs loose block stays toxic toxic_score domain epoch n_tokens epochs last_key alloc tokens _hit _mark _score "
+    "_toxic _key_a _key_b _id _text _at _gone _level_lang _level_domain _epochs _last _times _copy"
+).split()
+
+
 def prose(seed: int, n: int = 80) -> str:
     r = random.Random(seed)
     return " ".join(r.choice(WORDS) + r.choice(WORDS) for _ in range(n))
@@ -37,5 +44,4 @@ def clashing(df):
     """Extra columns of names that operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["at", "key", "size", "fp", "h", "id", "item", "mark", "words", "shard", "n", "x", "score", "y", "cell", "root", "node"]
-    return df.withColumns({n: F.lit("clash") for n in names})
+    return df.withColumns({n: F.lit("clash") for n in CLASHES})

@@ -50,8 +50,9 @@ def test_toxicity_held_out_and_obfuscated(spark):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     model = toxicity.fit_toxicity(docs, labels)
     y = labels.join(docs.select("doc_id", "text"), "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
-    r = toxicity.score_toxicity(y, model).select("toxic_score", F.col("toxic").alias("p")).count()
-    assert r > 500
+    rows = toxicity.score_toxicity(y.withColumnRenamed("toxic", "y"), model).select("y", "toxic").collect()
+    hit = sum(r.y == r.toxic == 1 for r in rows)
+    assert len(rows) > 500 and hit >= 0.88 * sum(r.y for r in rows) and hit >= 0.99 * sum(r.toxic for r in rows)
     clean = "The erentnd of thation was in the ononre and with heared " * 6
     for word in ("idiot", "1d10t", "!d!ot", "i d i o t", "iiidiiioooot", "i.d.i.o.t", "tr@sh", "w0rthle55", "STUPID", "$tupid"):
         t = pa.array([clean + word + " the " + word + " " + clean, clean], pa.large_string())
@@ -82,6 +83,37 @@ def test_long_disguises_are_read():
     assert restorer.restore("s" + "t" * 70 + "up1d") == ("stupid",)
 
 
+@pytest.mark.parametrize("n", [40, 400, 4000])
+def test_a_disguised_word_is_read_wherever_it_lies_in_a_long_token(n):
+    restorer = english_restorer()
+    filler = ["other", "people", "said", "that", "work"]
+    count = n // 5
+    for at in sorted({0, 1, count // 2, count - 1}):
+        parts = [filler[i % 5] for i in range(count)]
+        parts[at] = "1d10t"
+        assert "idiot" in restorer.restore("-".join(parts)), (n, at)
+
+
+def test_letters_of_other_alphabets_stay_themselves():
+    restorer = english_restorer()
+    assert restorer.restore("ду.рак") == ("дурак",) and restorer.restore("при.вет") == ("привет",)
+    assert restorer.restore("дуууурак") == ("дурак",)
+
+
+def test_words_of_stand_ins_alone_and_numbers():
+    restorer = english_restorer()
+    assert restorer.restore("7|2@$#")[0] and restorer.restore("1|)10") == ("",) and restorer.restore("!!!") == ("",)
+    assert [restorer.restore(w) for w in ("2019", "100", "1945", "$100", "31", "1,000", "...")] == [("",)] * 7
+    assert restorer.restore("$7+@$#")[0].startswith("st")
+
+
+def test_ten_thousand_spaced_letters():
+    restorer = english_restorer()
+    letters = "theotherpeople" * 700 + "garbage" + "theotherpeople" * 14
+    keys, t, k = toxicity.restored_words(pa.array([" ".join(letters)], pa.large_string()), restorer)
+    assert len(letters) > 10_000 and "garbage" in keys
+
+
 def test_words_spelled_over_many_letters_stay_whole():
     restorer = english_restorer()
     for n in range(120, 140):  # a run's end and a word lie at every place about 128 letters
@@ -98,11 +130,11 @@ def test_viterbi_is_the_best_path():
     for word in ("a1b", "s.s", "xxx", "0@", "a!l", "heeello"):
         best = None
         for path in itertools.product(*restorer.lattice(word)):
-            total, a, b = sum(c for _, c in path), 0, 0
-            for s in [s for s, _ in path if s >= 0] + [0]:
+            total, a, b = sum(c for _, c, _ in path), 0, 0
+            for s in [s for s, _, _ in path if s >= 0] + [0]:
                 total += restorer.cost[a][b][s]
                 a, b = b, s
-            text = "".join(chr(96 + s) if s < 27 else "~" for s, _ in path if s >= 0)
+            text = "".join(x for _, _, x in path)
             best = min(best or (total, text), (total, text))
         assert restorer.decode(word) == best[1], word
 
@@ -128,6 +160,35 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(expected, pairs)
 
 
+@pytest.mark.parametrize("block", [1, 7, 128])
+def test_long_chains_in_blocks_equal_the_uncut_chain(monkeypatch, block):
+    r = np.random.default_rng(4)
+    n = np.array([5000, 3, 0, 128, 129, 1, 700])
+    e, t, start = 2 * r.standard_normal((n.sum(), 4)), r.standard_normal((4, 4)), r.standard_normal(4)
+    monkeypatch.setattr(langid, "BLOCK", 10**6)
+    whole = langid.forward_backward(e, n, t, start)
+    monkeypatch.setattr(langid, "BLOCK", block)
+    for a, b in zip(langid.forward_backward(e, n, t, start), whole, strict=True):
+        assert np.allclose(a, b, rtol=1e-9, atol=1e-9)
+
+
+def test_all_of_a_long_word_counts():
+    a, b = "begin" * 3 + "x" * 4 + "end" * 4, "begin" * 3 + "q" * 4 + "end" * 4
+    assert set(langid.word_features(a, frozenset())) != set(langid.word_features(b, frozenset()))
+    w, off = langid.language_words(pa.array(["one\u3000two\u00a0three", None, "12"], pa.large_string()).fill_null(""))
+    assert w.to_pylist() == ["one", "two", "three"] and off.tolist() == [0, 3, 3, 3]
+
+
+def test_fitting_is_bounded_when_one_id_has_most_rows(spark):
+    docs = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("some words and "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionByName(spark.createDataFrame([(i, "other words here", "en") for i in range(2, 9)], "doc_id long, text string, lang string"))
+    got = langid.training_texts(docs, rows_per_language=5, id_col="doc_id", text_col="text", lang_col="lang")
+    assert len(got) == 5 and {lang for lang, _ in got} == {"en"}
+    labels = spark.createDataFrame([(1, 1)] * 50 + [(i, i % 2) for i in range(2, 9)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels, sample_rows=3)
+    assert 0 < 1 / (1 + np.exp(-model.bias)) < 1
+
+
 def test_language_held_out_and_switched(spark):
     docs = table(spark, SF, "documents")
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
