@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable
+from .common import durable, fresh
 
 #: Rows of one leaf for each bucket of its seeded order, and the most buckets of a leaf.
 BUCKET_ROWS, MOST_BUCKETS_LOG2 = 1024, 16
@@ -111,11 +111,11 @@ def _small(plan_: DataFrame) -> DataFrame:
     return F.broadcast(plan_) if plan_.count() <= BROADCAST_LEAVES else plan_
 
 
-def mix(docs: DataFrame, levels: list[Level], budget: Column, *, seed: int = 1, max_epochs: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs``, with all their columns, as often as the mix takes them; adds the level columns, n_tokens, epoch.
+def mix(docs: DataFrame, levels: list[Level], budget: Column, *, seed: int = 1, max_epochs: int = 1, id_col: str = "doc_id", text_col: str = "text", describe: bool = True) -> DataFrame:
+    """Rows of ``docs``, with all their columns, as often as the mix takes them; adds the level columns, n_tokens, epoch if told to ``describe``.
 
-    ``epoch`` counts a row's passes from 0. A level column may bear the name of a column of ``docs`` and then replaces it. A leaf's
-    whole passes take every row; the pass after them takes the rows in ascending order of md5(seed:epoch:id) while the
+    ``epoch`` counts a row's passes from 0. Columns of ``docs`` that bear an added column's name are replaced; without ``describe`` every column
+    comes out as it is. A leaf's whole passes take every row; the pass after them takes the rows in ascending order of md5(seed:epoch:id) while the
     tokens fit, rows of one key (repeated ids) together or not at all. So a leaf falls short of its budget by less
     than the row, or rows of one id, that come next. Null values of a level are a node like any other ('unknown'); a null text has
     no tokens; a null id has the key of the text 'null'. An empty table gives an empty result.
@@ -123,9 +123,15 @@ def mix(docs: DataFrame, levels: list[Level], budget: Column, *, seed: int = 1,
     levels = [Level(x.name, F.coalesce(x.value.cast("string"), F.lit("unknown")), x.weight) for x in levels]
     names = [x.name for x in levels]
     p = durable(plan(docs, levels, budget, seed=seed, max_epochs=max_epochs, id_col=id_col, text_col=text_col))
-    out = docs.withColumns({f"_level_{x.name}": x.value for x in levels} | {"n_tokens": n_tokens(F.col(text_col))})
-    q = _small(p.select(*[F.col(n).alias(f"_level_{n}") for n in names], F.col("epochs").alias("_epochs"), F.col("last_key").alias("_last")))
-    out = out.join(q, [f"_level_{n}" for n in names])
-    more = (_key(seed, F.col("_epochs"), F.col(id_col).cast("string")) <= F.col("_last")).cast("int")
-    out = out.withColumn("_times", F.col("_epochs") + more).where("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-    return out.withColumns({n: F.col(f"_level_{n}") for n in names}).drop("_epochs", "_last", "_times", *[f"_level_{n}" for n in names])
+    mine = dict(zip([*names, "_epochs", "_last", "_times", "_copy"], fresh(docs, *[f"level {n}" for n in names], "epochs", "last", "times", "copy"), strict=True))
+    out = docs.withColumns({mine[x.name]: x.value for x in levels})
+    q = _small(p.select(*[F.col(n).alias(mine[n]) for n in names], F.col("epochs").alias(mine["_epochs"]), F.col("last_key").alias(mine["_last"])))
+    out = out.join(q, [mine[n] for n in names])
+    epochs, times = F.col(mine["_epochs"]), F.col(mine["_times"])
+    more = (_key(seed, epochs, F.col(id_col).cast("string")) <= F.col(mine["_last"])).cast("int")
+    out = out.withColumn(mine["_times"], epochs + more).where(times > 0)
+    out = out.withColumn(mine["_copy"], F.explode(F.sequence(F.lit(0), times - 1)))
+    if not describe:
+        return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    added = {n: F.col(mine[n]) for n in names} | {"n_tokens": n_tokens(F.col(text_col)), "epoch": F.col(mine["_copy"])}
+    return out.withColumns(added).drop(*mine.values())
