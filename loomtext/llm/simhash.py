@@ -112,7 +112,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _find(parent: np.ndarray, i: int) -> int:
+def find(parent: np.ndarray, i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
         i = int(parent[i])
@@ -131,7 +131,7 @@ def joined_in_cells(fp: np.ndarray, place: np.ndarray, end: np.ndarray, radius:
         if len(a):
             apart = parent[a] != parent[b]
             for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
-                p, q = _find(parent, x), _find(parent, y)
+                p, q = find(parent, x), find(parent, y)
                 if p != q:
                     parent[max(p, q)] = min(p, q)
                     left.append(x)
@@ -216,365 +216,3 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, radius: int = 3, groups:
     ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
     named = member.join(ids, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-#: Documents of one loose group that are compared in one piece, and up to how many rows a list of row numbers is broadcast.
-BLOCK, BROADCAST_ROWS = 512, 1_000_000
-#: Texts that are drawn to see which shingles are common, and how many of those are told apart. They set an order, which any order may replace.
-SAMPLE_TEXTS, COMMON = 8192, 100_000
-#: A set of n shingles has parities of 64 * 2**c bits, n at least, up to this c; beyond it the bound they give is weaker, never wrong.
-LARGEST = 6
-
-
-def _prefixes(h: np.ndarray, off: np.ndarray, threshold: float, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each set's first ``n - ceil(t n) + 1`` values, in the one order of all sets: rare ones before ``common`` (ascending), then by value."""
-    n = np.diff(off)
-    owner = np.repeat(np.arange(len(n)), n)
-    late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h if len(common) else np.zeros(len(h), bool)
-    h = h[np.lexsort((h, late, owner))]
-    need = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
-    place = np.arange(len(h)) - np.repeat(off[:-1], n)
-    return h[place < np.repeat(need, n)], np.concatenate([[0], np.cumsum(need)])
-
-
-def _parities(h: np.ndarray, off: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each set, the parities of how many of its values fall on each of ``64 << level`` bits (none at a level below 0).
-
-    Two sets' parities differ in no more bits than the sets differ in values.
-    """
-    wide = np.where(level < 0, 0, 1 << np.maximum(level, 0)).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(wide)])
-    n = np.where(wide > 0, np.diff(off), 0)
-    h = h[np.repeat(wide > 0, np.diff(off))]
-    at = h & (np.repeat(wide, n).astype(np.uint64) * np.uint64(64) - np.uint64(1))
-    out = np.zeros(ends[-1], np.uint64)
-    np.bitwise_xor.at(out, np.repeat(ends[:-1], n) + (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    return out, ends
-
-
-def maybe_similar_in_cells(bits: np.ndarray, size: np.ndarray, own: np.ndarray, end: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join each cell's rows whose sizes and parities leave a similarity of ``threshold`` open: a spanning forest, as index pairs."""
-    parent, left, right = np.arange(len(size)), [], []
-    most = (1 - threshold) / (1 + threshold)
-    live, d = np.nonzero(end > np.arange(len(size)) + 1)[0], 1
-    while len(live):
-        a, b = live, live + d
-        fits = (own[a] | own[b]) & (np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9)
-        a, b = a[fits], b[fits]
-        fits = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= most * (size[a] + size[b]) + 1e-6
-        for x, y in zip(a[fits].tolist(), b[fits].tolist(), strict=True):
-            p, q = _find(parent, x), _find(parent, y)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                left.append(x)
-                right.append(y)
-        d += 1
-        live = live[end[live] > live + d]
-    return np.array(left, np.int64), np.array(right, np.int64)
-
-
-def _loose_links(grams: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that join the texts of one shingle and level; ``grams``: gram, whole, size, level, bits, half.
-
-    A set stands at its own level and, where a set of the level below can be large enough, folded at that one too. Cells of more than
-    ``CELL`` texts are dealt as pairs of blocks.
-    """
-    at = F.struct(F.lit(True).alias("own"), F.col("level"), F.col("bits"))
-    below = F.struct(F.lit(False).alias("own"), (F.col("level") - 1).alias("level"), F.col("half").alias("bits"))
-    # a set of the level below holds 32 << level values at most
-    sides = F.when((F.col("level") > 0) & (threshold * F.col("size") - 1e-9 <= 32 * F.pow(F.lit(2.0), F.col("level"))), F.array(at, below)).otherwise(F.array(at))
-    celled = grams.select("gram", "whole", "size", F.explode(sides).alias("s")).select("whole", "size", "s.own", "s.level", "s.bits", F.xxhash64("gram", "s.level").alias("cell"))
-    big = durable(celled.groupBy("cell").count().where(F.col("count") > CELL).select("cell", F.ceil(F.col("count") / (CELL // 2)).cast("int").alias("blocks")))
-    n_big = big.count()
-    if n_big:
-        celled = celled.join(F.broadcast(big) if n_big <= 50_000 else big, "cell", "left")
-        own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int")
-        with_each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.least(k, own) * F.col("blocks") + F.greatest(k, own))
-        dealt = celled.select("fp", "cell", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(with_each)).alias("block"))
-    else:
-        dealt = celled.select("fp", "cell", F.lit(0).alias("block"))
-    dealt = dealt.repartition("cell", "block").sortWithinPartitions("cell", "block")
-
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-
-        def out(fp: np.ndarray, cell: np.ndarray, block: np.ndarray) -> pa.RecordBatch:
-            new = np.flatnonzero((cell[1:] != cell[:-1]) | (block[1:] != block[:-1])) + 1
-            bounds = np.concatenate([[0], new, [len(cell)]])
-            u = fp.view(np.uint64)
-            a, b = joined_in_cells(u, unary_counts(u), np.repeat(bounds[1:], np.diff(bounds)), radius)
-            return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            same = (now[1] == now[1][-1]) & (now[2] == now[2][-1])  # rows of the last cell wait for the next batch
-            cut = int(np.argmax(same))
-            if cut:
-                yield out(*[x[:cut] for x in now])
-            held = [x[cut:] for x in now]
-        if held is not None:
-            yield out(*held)
-
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, *, width: int = 3, radius: int = 3, groups: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
-
-    Rows link at ``radius`` or fewer differing bits; component_id is the smallest doc_id that can be reached, itself included.
-    Equal fingerprints, those of exact copies among them, are one node. Texts without words, null ones too, have
-    fingerprint zero and link like any other. A null doc_id is never a component's id unless it is alone with others like it;
-    such a component's id is null. Repeated rows stay repeated. An empty table gives an empty result.
-    """
-    fps = durable(fingerprints(docs, width=width, id_col=id_col, text_col=text_col))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    # nodes are numbered by fingerprint, so that ids that are null or occur twice do no harm
-    roots = components(links(distinct.select("fp"), radius=radius, groups=groups))
-    member = durable(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    ids = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = member.join(ids, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-#: Documents of one loose group that are compared in one piece, and up to how many rows a list of row numbers is broadcast.
-BLOCK, BROADCAST_ROWS = 512, 1_000_000
-#: Texts that are drawn to see which shingles are common, and how many of those are told apart. They set an order, which any order may replace.
-SAMPLE_TEXTS, COMMON = 8192, 100_000
-#: A set of n shingles has parities of 64 * 2**c bits, n at least, up to this c; beyond it the bound they give is weaker, never wrong.
-LARGEST = 6
-
-
-def _prefixes(h: np.ndarray, off: np.ndarray, threshold: float, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each set's first ``n - ceil(t n) + 1`` values, in the one order of all sets: rare ones before ``common`` (ascending), then by value."""
-    n = np.diff(off)
-    owner = np.repeat(np.arange(len(n)), n)
-    late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h if len(common) else np.zeros(len(h), bool)
-    h = h[np.lexsort((h, late, owner))]
-    need = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
-    place = np.arange(len(h)) - np.repeat(off[:-1], n)
-    return h[place < np.repeat(need, n)], np.concatenate([[0], np.cumsum(need)])
-
-
-def _parities(h: np.ndarray, off: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each set, the parities of how many of its values fall on each of ``64 << level`` bits (none at a level below 0).
-
-    Two sets' parities differ in no more bits than the sets differ in values.
-    """
-    wide = np.where(level < 0, 0, 1 << np.maximum(level, 0)).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(wide)])
-    n = np.where(wide > 0, np.diff(off), 0)
-    h = h[np.repeat(wide > 0, np.diff(off))]
-    at = h & (np.repeat(wide, n).astype(np.uint64) * np.uint64(64) - np.uint64(1))
-    out = np.zeros(ends[-1], np.uint64)
-    np.bitwise_xor.at(out, np.repeat(ends[:-1], n) + (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-    return out, ends
-
-
-def maybe_similar_in_cells(bits: np.ndarray, size: np.ndarray, own: np.ndarray, end: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join each cell's rows whose sizes and parities leave a similarity of ``threshold`` open: a spanning forest, as index pairs."""
-    parent, left, right = np.arange(len(size)), [], []
-    most = (1 - threshold) / (1 + threshold)
-    live, d = np.nonzero(end > np.arange(len(size)) + 1)[0], 1
-    while len(live):
-        a, b = live, live + d
-        fits = (own[a] | own[b]) & (np.minimum(size[a], size[b]) >= threshold * np.maximum(size[a], size[b]) - 1e-9)
-        a, b = a[fits], b[fits]
-        fits = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64) <= most * (size[a] + size[b]) + 1e-6
-        for x, y in zip(a[fits].tolist(), b[fits].tolist(), strict=True):
-            p, q = _find(parent, x), _find(parent, y)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                left.append(x)
-                right.append(y)
-        d += 1
-        live = live[end[live] > live + d]
-    return np.array(left, np.int64), np.array(right, np.int64)
-
-
-def _loose_links(grams: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): links that join the texts of one shingle and level; ``grams``: gram, whole, size, level, bits, half.
-
-    A set stands at its own level and, where a set of the level below can be large enough, folded at that one too. Cells of more than
-    ``CELL`` texts are dealt as pairs of blocks.
-    """
-    low = F.when(F.col("level") > 0, F.array(F.struct(F.lit(True).alias("own"), F.col("level"), F.col("bits")), F.struct(F.lit(False).alias("own"), (F.col("level") - 1).alias("level"), F.col("half").alias("bits"))))
-    sides = low.otherwise(F.array(F.struct(F.lit(True).alias("own"), F.col("level"), F.col("bits"))))
-    celled = grams.select("gram", "whole", "size", F.explode(sides).alias("s")).select("whole", "size", "s.own", "s.level", "s.bits", F.xxhash64("gram", "s.level").alias("cell"))
-    big = durable(celled.groupBy("cell").count().where(F.col("count") > CELL).select("cell", F.ceil(F.col("count") / (CELL // 2)).cast("int").alias("blocks")))
-    n_big = big.count()
-    first = F.array(F.lit(0))
-    if n_big:
-        celled = celled.join(F.broadcast(big) if n_big <= 50_000 else big, "cell", "left")
-        mine = F.pmod(F.xxhash64("whole", F.lit(7)), F.col("blocks")).cast("int")
-        with_each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.least(k, mine) * F.col("blocks") + F.greatest(k, mine))
-        first = F.when(F.col("blocks").isNull(), first).otherwise(with_each)
-    dealt = celled.select("whole", "cell", F.explode(first).alias("block"), "level", "size", "own", "bits")
-    dealt = dealt.repartition("cell", "block").sortWithinPartitions("level", "cell", "block")
-
-    @tidy
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            node, cell, block, level, size = [t.column(k).to_numpy() for k in range(5)]
-            own = t.column(5).to_numpy().astype(bool)
-            cuts = np.concatenate([[0], np.flatnonzero(level[1:] != level[:-1]) + 1, [len(level)]])
-            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                flat = pc.list_flatten(t.column(6).slice(x, y - x)).to_numpy().view(np.uint64)
-                new = np.flatnonzero((cell[x + 1 : y] != cell[x : y - 1]) | (block[x + 1 : y] != block[x : y - 1])) + 1
-                bounds = np.concatenate([[0], new, [y - x]])
-                a, b = maybe_similar_in_cells(flat.reshape(y - x, -1), size[x:y].astype(np.int64), own[x:y], np.repeat(bounds[1:], np.diff(bounds)), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(node[x:y][a]), pa.array(node[x:y][b])], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = pa.Table.from_batches([batch])
-            now = now if held is None else pa.concat_tables([held, now])
-            cell, block = now.column(1).to_numpy(), now.column(2).to_numpy()
-            cut = int(np.argmax((cell == cell[-1]) & (block == block[-1])))  # rows of the last cell wait for the next batch
-            if cut:
-                yield from out(now.slice(0, cut))
-            held = now.slice(cut)
-        if held is not None:
-            yield from out(held)
-
-    return dealt.mapInArrow(run, "a long, b long")
-
-
-def _whole_hashes(texts: pa.Array) -> np.ndarray:
-    """64-bit hashes of the whole sequences of words (0: no words)."""
-    whole, off = shingle_hashes(texts, 1 << 40, 43)
-    out = np.zeros(len(texts), np.uint64)
-    out[np.diff(off) > 0] = whole
-    return out
-
-
-def similar_in_group(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
-    """Links that join the sets whose Jaccard similarity is ``threshold`` or more: a spanning forest, as index pairs."""
-    size = np.array([len(s) for s in sets])
-    if not size.sum():
-        return []
-    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    _, code = np.unique(flat, return_inverse=True)
-    start = np.searchsorted(code, np.arange(code[-1] + 2))
-    mine = np.argsort(owner, kind="stable")
-    codes, at = code[mine], np.concatenate([[0], np.cumsum(size)])
-    parent, out = np.arange(len(sets)), []
-    for i in range(len(sets)):
-        own = codes[at[i] : at[i + 1]]
-        n = start[own + 1] - start[own]
-        if n.sum() == len(own):
-            continue
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        both = np.bincount(owner[np.repeat(start[own], n) + step], minlength=len(sets))
-        near = np.flatnonzero(both >= threshold * (size + size[i] - both) - 1e-9)
-        for j in near[near > i].tolist():
-            p, q = _find(parent, i), _find(parent, j)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                out.append((i, j))
-    return out
-
-
-def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(at, root, stays): every row of ``docs`` that has a copy or near copy, by its input position ``at``.
-
-    Texts of one sequence of words (A-Z lower-cased, split at ASCII white space) are copies. Others are near copies if the sets of
-    their ``width``-word shingles have a Jaccard similarity of ``threshold`` or more; groups are closed under that. ``root`` is
-    one row of the group, and the row of the smallest ``id_col`` (null last, then the first in the input) stays. Texts without
-    words are left alone, each a document of its own.
-
-    Candidates come from an exact prefix filter, which holds for every kind of edit: in one order of all shingles, two sets as similar
-    as ``threshold`` share one of their first ``n - ceil(t n) + 1``. (SimHash within a radius, which stood here before, missed pairs whose
-    edits lie in one stretch.) Shingles that a sample shows to be common come last in the order. Texts that share a shingle of their
-    prefixes, and whose sizes and parities (a lower bound of the sets' difference) leave the similarity open, form loose groups; in a loose
-    group every pair is held to the exact similarity, in blocks of ``BLOCK`` documents, which emit spanning forests, not pairs. ``docs`` must give the same rows at the same places when read again, as a table does.
-    """
-    numbered = docs.select(F.monotonically_increasing_id().alias("at"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-
-    @tidy
-    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array(distinct_in_groups(*shingle_hashes(texts.slice(a, b - a), width))[0].view(np.int64))], names=["h"])
-
-    every_nth = max(1, docs.count() // SAMPLE_TEXTS)
-    often = numbered.where(F.pmod(F.xxhash64("at"), F.lit(every_nth)) == 0).select("text").mapInArrow(drawn, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    common = np.sort(np.array([r.h for r in often.orderBy(F.desc("n"), "h").limit(COMMON).collect()], np.int64).view(np.uint64))
-
-    @tidy
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept("simhash")
-        for batch in batches:
-            texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
-                some = texts.slice(a, b - a)
-                h, off = shingle_hashes(some, width)
-                again = group_sums(h, off)  # 64 bits more that equal texts share
-                h, off = distinct_in_groups(h, off)
-                size = np.diff(off)
-                level = np.minimum(np.ceil(np.log2(np.maximum(size, 64) / 64)).astype(np.int64), LARGEST)
-                lists = [pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(x.view(np.int64))) for x, e in (_prefixes(h, off, threshold, common), _parities(h, off, level), _parities(h, off, level - 1))]
-                marks = [pa.array(_whole_hashes(some).view(np.int64)), pa.array(again.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(level.astype(np.int32)), *lists]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *marks], names=["at", "id", "whole", "again", "size", "level", "grams", "bits", "half"])
-
-    schema = "at long, id long, whole long, again long, size int, level int, grams array<long>, bits array<long>, half array<long>"
-    marked = durable(numbered.mapInArrow(mark, schema).where("whole <> 0"))
-    rows = marked.select("at", "id", "whole", "again")
-    texts_ = durable(rows.groupBy("whole", "again").agg(F.min("at").alias("node")))
-    # copies of a text stay out; only shingles that two texts have at least are looked at
-    copies = durable(rows.join(texts_, ["whole", "again"]).where("at <> node").select(F.col("at").alias("copy")))
-    one = marked.join(F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies, F.col("at") == F.col("copy"), "left_anti")
-    grams = one.select("whole", F.explode("grams").alias("gram"))
-    heads = durable(grams.groupBy("gram").agg(F.min("whole").alias("a"), F.max("whole").alias("most")).where("a < most").select("gram"))
-    shared = grams.join(F.broadcast(heads) if heads.count() <= BROADCAST_ROWS else heads, "gram")
-    shared = shared.join(one.select("whole", "size", "level", "bits", "half"), "whole")  # parities come last: they are wider than a shingle
-    loose = components(_loose_links(shared, threshold)).withColumnsRenamed({"node": "whole", "root": "loose"})
-    alike = texts_.groupBy("whole").agg(F.count("*").alias("n"))
-    grouped = alike.join(loose, "whole", "left").where(F.col("loose").isNotNull() | (F.col("n") > 1)).select("whole", F.coalesce("loose", "whole").alias("loose"))
-    members = durable(texts_.join(grouped, "whole").select("node", "loose"))
-    sizes = members.groupBy("loose").count().where(F.col("count") > BLOCK).select("loose", F.ceil(F.col("count") / (BLOCK // 2)).cast("int").alias("blocks"))
-    small = members.count() <= BROADCAST_ROWS
-    chosen = numbered.select("at", "text").join(F.broadcast(members) if small else members, F.col("at") == F.col("node")).select("node", "loose", "text")
-
-    @tidy
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
-                h, off = distinct_in_groups(*shingle_hashes(texts.slice(a, b - a), width))
-                sets = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), sets], names=["node", "loose", "hs"])
-
-    sets = chosen.mapInArrow(shingle, "node long, loose long, hs array<long>").join(sizes, "loose", "left")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.least(k, own) * F.col("blocks") + F.greatest(k, own))
-    dealt = sets.select("loose", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(pairs)).alias("block"), "node", "hs")
-
-    def verify(t: pa.Table) -> pa.Table:
-        node = t.column("node").to_numpy()
-        found = similar_in_group([np.asarray(x.values) for x in t.column("hs").combine_chunks()] if t.num_rows > 1 else [], threshold)
-        return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()), "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
-
-    near = components(dealt.groupBy("loose", "block").applyInArrow(verify, "a long, b long"))
-    named = texts_.join(near, "node", "left").select("whole", "again", F.coalesce("root", "node").alias("root"))
-    every = rows.join(named, ["whole", "again"]).select("at", "id", "root")
-    first = every.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return every.join(first.select("root", F.col("first.at").alias("first")), "root").select("at", "root", (F.col("at") == F.col("first")).alias("stays"))
-
-
-def without_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs``, all their columns, without those for which ``near_copies`` keeps another row."""
-    gone = durable(near_copies(docs, **options).where("not stays").select("at"))
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    place = "_at" if "_at" not in docs.columns else "_at_" + "_".join(docs.columns)
-    return docs.withColumn(place, F.monotonically_increasing_id()).join(gone.withColumnRenamed("at", "_gone"), F.col(place) == F.col("_gone"), "left_anti").drop(place)

@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from loomtext.llm import simhash
+from loomtext.llm import nearcopies, simhash
 from loomtext.llm.components import components
 
 from . import cases
@@ -92,15 +92,18 @@ def test_long_groups_of_hashes_are_counted_in_pieces(monkeypatch):
     assert (simhash.bit_majorities(h, off) == whole).all() and whole[0] == 0
 
 
-def test_one_of_each_group_of_near_copies_stays(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 8)
+@pytest.mark.parametrize("block", [8, 512])
+def test_one_of_each_group_of_near_copies_stays(spark, monkeypatch, block):
+    monkeypatch.setattr(nearcopies, "BLOCK", block)
     rows = [(i, cases.prose(i)) for i in range(20)]
     words = rows[0][1].split()
     for k in range(30):  # copies of row 0 with one word changed: similar to it and to each other
         w = list(words)
         w[2 + 2 * k] = f"edit{k}"
         rows.append((100 + k, " ".join(w)))
-    rows += [(200, rows[1][1]), (None, rows[2][1]), (300, None), (301, None), (302, "")]
+    for k in range(12):  # a chain: each like the next, its ends unlike
+        rows.append((130 + k, " ".join(cases.prose(77, 120).split()[4 * k : 4 * k + 60])))
+    rows += [(200, rows[1][1]), (None, rows[2][1]), (300, None), (301, None), (302, ""), (3, rows[3][1]), (3, rows[3][1])]
     docs = cases.clashing(spark.createDataFrame(rows, "doc_id long, text string"))
 
     def similar(a, b, t=0.8):
@@ -111,9 +114,9 @@ def test_one_of_each_group_of_near_copies_stays(spark, monkeypatch):
     keep = {}
     for (i, _), r in zip(rows, roots, strict=True):
         keep[r] = min(keep.get(r, (True, 0)), (i is None, i or 0))
-    got = sorted((r.doc_id is None, r.doc_id or 0) for r in simhash.without_near_copies(docs).collect())
+    got = sorted((r.doc_id is None, r.doc_id or 0) for r in nearcopies.without_near_copies(docs).collect())
     assert got == sorted(keep.values())
-    assert simhash.without_near_copies(cases.empty(spark)).count() == 0
+    assert nearcopies.without_near_copies(cases.empty(spark)).count() == 0
     assert simhash.near_duplicates(cases.empty(spark)).count() == 0
 
 
@@ -139,10 +142,23 @@ def test_near_copies_are_found_for_every_kind_of_edit(spark, kind):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited(words, kind, r)))]
     sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
     assert all(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True))
-    got = sorted(x.doc_id for x in simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    got = sorted(x.doc_id for x in nearcopies.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == list(range(0, 300, 2))
 
 
+def test_the_table_may_be_split_in_another_way_when_it_is_read_again(spark, tmp_path):
+    rows = [(i % 37, cases.prose(i % 50)) for i in range(400)] + [(1000 + i, cases.prose(9, 60) + f" end{i}") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/t")
+    seen = []
+    for size in ("1g", "4k"):  # the plan is made at one size of splits and run at another
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        out = nearcopies.without_near_copies(spark.read.parquet(f"{tmp_path}/t"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k" if size == "1g" else "1g")
+        seen.append(sorted((r.doc_id, r.text) for r in out.collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] == seen[1] == sorted([*{t: (min(j for j, u in rows if u == t), t) for i, t in rows[:400]}.values(), (1000, rows[400][1])])
+
+
 def test_prefixes_of_similar_sets_meet():
     r = np.random.default_rng(3)
     for _ in range(300):
@@ -153,5 +169,5 @@ def test_prefixes_of_similar_sets_meet():
         if not both or both < 0.8 * (len(a) + len(b) - both):
             continue
         common = np.sort(r.choice(base, len(base) // 3, replace=False))
-        first, ends = simhash._prefixes(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 0.8, common)
+        first, ends = nearcopies._prefixes(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 0.8, common)
         assert len(np.intersect1d(first[: ends[1]], first[ends[1] :]))
