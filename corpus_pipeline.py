@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import decontam, mixing, simhash, tokens, toxicity
-from loomtext.llm.common import durable, new_folder, remove_folder, table
+from loomtext.llm import decontam, mixing, nearcopies, tokens, toxicity
+from loomtext.llm.common import durable, fresh, new_folder, remove_folder, swept, table
 from loomtext.llm.queries import tokenizer_path
 
 #: The mix takes so many of a thousand of the tokens that come in; each document once at most.
@@ -17,36 +17,58 @@ MIX_PER_MILLE, MIX_SEED = 900, 21
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model doesn't reject; a null text stays."""
+    """Documents that the toxicity model doesn't reject, with all their columns as they came.
+
+    A null or empty text holds no words and stays. Long texts are scored whole. Rows of equal text have equal scores, so repeated
+    rows go or stay together; a score at the threshold is toxic. An empty table stays empty.
+    """
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model).where("toxic = 0").select(*docs.columns)
+    score, toxic = fresh(docs, "score", "toxic")
+    return toxicity.score_toxicity(docs, model, score_col=score, toxic_col=toxic).where(F.col(toxic) == 0).drop(score, toxic)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies (five-word shingles, similarity 0.8 or more)."""
-    return simhash.without_near_copies(docs)
+    """One document of each group of copies and near copies (five-word shingles, similarity 0.8 or more), with all its columns as they came.
+
+    The smallest doc_id of a group stays, null last; of repeated rows one stays. Texts without words, null ones too, are no one's copies
+    and stay. Long texts are compared whole. An empty table stays empty.
+    """
+    return nearcopies.without_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    hits = durable(decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_hit"), F.col("mark").alias("_mark")).distinct())
+    """Documents that hold no benchmark item, with all their columns as they came.
+
+    A document goes whole if its best window is as similar to an item as the threshold or more. Null, empty and very short texts hold no item and stay;
+    repeated rows go or stay together; a null doc_id is an id like any other. Long texts are searched whole. An empty table stays empty.
+    """
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    hit, mark = fresh(docs, "hit", "mark")
+    hits = durable(found.select(F.col("doc_id").alias(hit), F.col("mark").alias(mark)).distinct())
     hits = F.broadcast(hits) if hits.count() <= decontam.BROADCAST_DOCS else hits
-    return docs.join(hits, docs["doc_id"].eqNullSafe(F.col("_hit")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_mark")), "left_anti")
+    return docs.join(hits, docs["doc_id"].eqNullSafe(F.col(hit)) & (F.xxhash64(docs["text"].cast("string")) == F.col(mark)), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed by equal weights of languages and, in a language, of sources: large sources give way."""
+    """Sources mixed by equal weights of languages and, in a language, of sources: large sources give way. All columns stay as they came.
+
+    A null language or source is a node like any other; a null or empty text has no tokens, so it stays as long as its source has tokens left.
+    Rows of one doc_id go or stay together. A long text that doesn't fit what is left of its source's share ends it. An empty table stays empty.
+    """
     levels = [
         mixing.Level("domain", F.lit("text"), F.lit(1)),
         mixing.Level("lang", F.col("lang"), F.lit(1)),
         mixing.Level("source", F.col("source"), F.lit(1)),
     ]
-    out = mixing.mix(docs, levels, F.expr(f"total * {MIX_PER_MILLE} div 1000"), seed=MIX_SEED, max_epochs=1)
-    return out.select(*docs.columns)
+    return mixing.mix(docs, levels, F.expr(f"total * {MIX_PER_MILLE} div 1000"), seed=MIX_SEED, max_epochs=1, describe=False)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the corpus, read back: doc_id, start, n_tokens, ids_crc32."""
+    """Token files of the corpus, read back: doc_id, start, n_tokens, ids_crc32.
+
+    Every row gets one, in ascending doc_id order, a null id first; null and empty texts have the end id alone. Long texts are encoded whole. Rows of one
+    doc_id, and repeated rows, keep the input's order. Other columns are not read. An empty table gives an empty result.
+    """
     folder = new_folder(spark, "corpus")
     tokens.write_token_files(docs, folder, tokenizer_path(), end_id=1)
     out = durable(tokens.read_token_files(spark, folder))
@@ -67,10 +89,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each stage's rows are written to the shared folder and read again.
+
+    What a stage has laid down on its way goes when its rows are written, and those when the next stage's are.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         folder = new_folder(spark, f"stage{k}")
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        with swept():
+            stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            remove_folder(spark, before)
+        before = folder
     return docs
