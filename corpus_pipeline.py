@@ -52,7 +52,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed by equal weights of languages and, in a language, of sources: large sources give way. All columns stay as they came.
 
-    A null language or source is a node like any other; a null or empty text has no tokens, so it stays as long as its source has tokens left.
+    A null language or source is a node like any other. A null or empty text has no tokens and stays if its place in its source's order lies in what is
+    taken; a source without a token has no share, and its rows go.
     Rows of one doc_id go or stay together. A long text that doesn't fit what is left of its source's share ends it. An empty table stays empty.
     """
     levels = [
