@@ -9,6 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from loomtext.llm import components as graph
 from loomtext.llm import nearcopies, simhash
 from loomtext.llm.components import components
 
@@ -69,8 +70,9 @@ def test_links_of_crowded_fingerprints(spark, monkeypatch):
     fps = sorted(fps)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
     want = groups(fps, lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3)
-    for cell in (8192, 16):  # the second cuts cells into blocks
+    for cell, part in ((8192, 200_000), (16, 40)):  # the second cuts cells into blocks, and links into parts that stars join
         monkeypatch.setattr(simhash, "CELL", cell)
+        monkeypatch.setattr(graph, "PART_LINKS", part)
         got = {r.node: r.root for r in components(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"))).collect()}
         mine = [got.get(s, s) for s in signed]
         assert len(set(zip(mine, want, strict=True))) == len(set(want)) == len(set(mine))
