@@ -207,6 +207,7 @@ ENDS = re.compile(r"""^["'\[{<.,;:?¿¡»«“”-]+|["')\]}>.,;:?»«“”-]+$
 PARTS = re.compile(rf"(?:(?![{re.escape(''.join(LEET))}])[\W_])+")
 LONG_RUN = re.compile(r"(.)\1{2,}")
 REPEAT = re.compile(r"(.)\1+")
+DOUBLE, THREE = ("|".join(chr(97 + k) * n for k in range(26)) for n in (2, 3))
 
 
 def _key(word: str) -> str:
@@ -222,7 +223,15 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.n
     distinct, code = coded(flat)
     owner = np.repeat(np.arange(len(texts)), np.diff(off))
     keys: dict[str, int] = {}
-    found = [[keys.setdefault(k, len(keys)) for k in restorer.restore(w)] for w in distinct]
+    # words of a to z, closing stops aside, need no restoring if no letter comes three times in a row, and are their own keys if none comes twice
+    core = pc.utf8_rtrim(pa.array(distinct, pa.large_string()), ".,;:?!")
+    has = lambda pattern: np.asarray(pc.match_substring_regex(core, pattern).to_numpy(zero_copy_only=False), bool)
+    twice = has(DOUBLE)
+    kind = np.where(has("^[a-z]+$") & ~(twice & has(THREE)), np.where(twice, 1, 2), 0).tolist()
+    found = [
+        [keys.setdefault(c, len(keys))] if k == 2 else [keys.setdefault(REPEAT.sub(r"\1", c), len(keys))] if k else [keys.setdefault(x, len(keys)) for x in restorer.restore(w)]
+        for w, c, k in zip(distinct, core.to_pylist(), kind, strict=True)
+    ]
     n = np.fromiter(map(len, found), np.int64, len(found))
     start, of = np.cumsum(n) - n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
     each = n[code]  # a word's keys one after the other
@@ -254,9 +263,11 @@ def text_features(texts: pa.Array, restorer: Restorer, known: dict[str, int] | N
     n_words = np.bincount(t, minlength=len(texts))
     names: dict[str, int] = {}
     columns: list[tuple[np.ndarray, np.ndarray]] = []
-    base = [word_features(x) for x in keys]
-    if known is not None:
-        base = [[f for f in x if f in known or "%" + f in known] for x in base]
+    if known is None:
+        base = [word_features(x) for x in keys]
+    else:
+        wanted = {f.removeprefix("%") for f in known}
+        base = [[f for f in (x, *[f"^{x[:n]}" for n in STEMS if len(x) >= n]) if f in wanted] if x else [] for x in keys]
     for x in range(max(map(len, base), default=0)):
         of = np.fromiter((names.setdefault(f[x], len(names)) if len(f) > x else -1 for f in base), np.int64, len(base))[k]
         columns.append((t[of >= 0], of[of >= 0]))
