@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import ipaddress
 import json
 from collections.abc import Iterator
+from urllib.parse import urljoin
 
 import pandas as pd
 import yaml
@@ -66,6 +69,35 @@ def local_files(spark: SparkSession, roots: list[str], *, extensions: list[str],
     return parsed(d.withColumn("file_sha256", F.sha2("content", 256)).withColumn("url", F.col("path"))).withColumn("doc_id", F.sha2(F.concat(F.col("url"), F.lit("\x00"), F.col("file_sha256")), 256))
 
 
+def ingest(spark: SparkSession, roots: list[str], target: str, *, most_files: int = 10_000, most_bytes: int = 50 << 30) -> DataFrame:
+    """Copy all files under ``roots`` to ``target``; a row per file: name, size, sha256. More files or bytes than allowed are an error before any is copied.
+
+    A file's name at the target is its hash and its own name, so equal files meet and different ones don't. Empty files are left out.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
+    n = files.select("length").agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    if n.n > most_files or n.b > most_bytes:
+        raise ValueError(f"{n.n} files of {n.b} bytes; allowed are {most_files} files and {most_bytes} bytes")
+
+    def copy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for p in parts:
+            rows = []
+            for r in p.itertuples():
+                raw = bytes(r.content)
+                store, path = fs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+                digest = hashlib.sha256(raw).hexdigest()
+                name = f"{digest[:16]}-{r.path.rsplit('/', 1)[-1]}"
+                store.create_dir(path, recursive=True)
+                with store.open_output_stream(f"{path}/{name}") as f:
+                    f.write(raw)
+                rows.append((name, len(raw), digest))
+            yield pd.DataFrame(rows, columns=["name", "size", "sha256"])
+
+    return durable(files.select("path", "content").mapInPandas(copy, "name string, size long, sha256 string"))
+
+
 def parsed(files: DataFrame) -> DataFrame:
     """Adds text, title, content_type, links and error of ``content`` by the ending of ``url``; unknown kinds give an error, no text."""
 
@@ -96,10 +128,11 @@ def without_fragment(url: Column) -> Column:
 
 
 def allowed(url: Column, allow: list[str] = (), block: list[str] = ()) -> Column:
-    """http or https, not a private or local address literal, not blocked and, if there is a list, allowed."""
-    h = F.regexp_replace(T.host(url), ":\\d+$", "")
-    private = h.rlike(r"^(localhost|.*\.local|127\..*|10\..*|192\.168\..*|169\.254\..*|172\.(1[6-9]|2\d|3[01])\..*|0\..*|\[?::1\]?|\[?f[cd][0-9a-f]{2}:.*|\[?fe80:.*)$") | (h == "")
-    ok = url.rlike("^https?://") & ~private
+    """http or https, no local name, no address literal that is not global, not blocked and, if there is a list, allowed."""
+    h = F.regexp_replace(F.regexp_replace(T.host(url), "^.*@", ""), ":\\d+$", "")
+    local = (h == "") | h.rlike(r"^localhost\.?$|\.(local|localhost|internal)\.?$")
+    literal = h.rlike(r"^\[|^[0-9a-fx.]*[0-9]$|^[0-9]+$")  # numbers in any notation, or in brackets
+    ok = url.rlike("^https?://") & ~local & F.when(literal, _global_address(h)).otherwise(F.lit(True))
     for p in block:
         ok = ok & ~url.rlike(p)
     if allow:
@@ -110,30 +143,67 @@ def allowed(url: Column, allow: list[str] = (), block: list[str] = ()) -> Column
     return ok
 
 
+def _global_address(host: Column) -> Column:
+    """Whether an address literal is one that all the world can reach; what is no plain literal is none."""
+
+    def one(x: str | None) -> bool:
+        try:
+            return ipaddress.ip_address((x or "").strip("[]")).is_global
+        except ValueError:
+            return False
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "boolean")(host)
+
+
+def joined_url(base: Column, link: Column) -> Column:
+    """A link as its page means it: absolute ones as they are, others joined to the page's URL; without fragment."""
+
+    def run(b: pd.Series, x: pd.Series) -> pd.Series:
+        return pd.Series([None if y is None else urljoin(p or "", y) for p, y in zip(b, x, strict=True)])
+
+    run.__annotations__ = {"b": pd.Series, "x": pd.Series, "return": pd.Series}
+    whole = link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:")
+    return without_fragment(F.when(whole, link).otherwise(F.pandas_udf(run, "string")(F.when(~whole, base), F.when(~whole, link))))
+
+
 def replay_crawl(pages: DataFrame, links: DataFrame, seeds: DataFrame | list[str], *, depth: int = 2, domain_cap: int = 50, same_domain: bool = True, allow: list[str] = (), block: list[str] = ()) -> DataFrame:
     """(url, crawl_depth): the pages that a breadth-first crawl from ``seeds`` (URLs, or a table of them) over a table of pages and (url, link) reaches.
 
-    Each depth is one join; seen URLs are taken out by an anti join; of a domain the first ``domain_cap`` URLs (by depth, then URL) count.
+    Each depth is one join; relative links are joined to their page; seen URLs are taken out by an anti join. Of a domain the first ``domain_cap`` URLs (by depth,
+    then URL) are fetched, and only links of fetched pages are followed. What a site's robots file forbids is given as ``block``.
     """
     spark = pages.sparkSession
+    links = links.select("url", joined_url(F.col("url"), F.col("link")).alias("link"))
+
+    def capped(new: DataFrame, seen: DataFrame | None) -> DataFrame:
+        d = new.withColumn("_host", T.host(F.col("url"))).withColumn("_n", F.row_number().over(Window.partitionBy("_host").orderBy("url")))
+        d = d.where(F.col("_n") <= domain_cap)
+        if seen is not None:
+            d = d.join(seen.groupBy(T.host(F.col("url")).alias("_host")).agg(F.count("*").alias("_before")), "_host", "left").where(F.col("_n") + F.coalesce("_before", F.lit(0)) <= domain_cap)
+        return d.select("url")
+
     have = pages.select("url").distinct()
     start = seeds if isinstance(seeds, DataFrame) else spark.createDataFrame([(u,) for u in dict.fromkeys(seeds)], "url string")
     frontier = start.select(without_fragment(F.col("url")).alias("url")).where(allowed(F.col("url"), allow, block)).distinct()
-    seen = durable(frontier.join(have, "url").withColumn("crawl_depth", F.lit(0)))
+    seen = durable(capped(frontier.join(have, "url"), None).withColumn("crawl_depth", F.lit(0)))
     last = seen
     for d in range(1, depth + 1):
         out = links.join(last.select("url"), "url").select(F.col("url").alias("parent"), without_fragment(F.col("link")).alias("url")).where(allowed(F.col("url"), allow, block))
         if same_domain:
             out = out.where(T.host(F.col("parent")) == T.host(F.col("url")))
-        last = durable(out.select("url").distinct().join(seen.select("url"), "url", "left_anti").join(have, "url").withColumn("crawl_depth", F.lit(d)))
+        new = out.select("url").distinct().join(seen.select("url"), "url", "left_anti").join(have, "url")
+        last = durable(capped(new, seen).withColumn("crawl_depth", F.lit(d)))
         seen = seen.unionByName(last)
-    w = Window.partitionBy(T.host(F.col("url"))).orderBy("crawl_depth", "url")
-    return seen.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= domain_cap).drop("_n")
+    return seen
 
 
 def dataset_rows(rows: DataFrame, *, repo: str, revision: str, split: str, fields: list[str], most: int, seq: str = "row_index", license_field: str | None = None, licenses: list[str] | None = None) -> DataFrame:
-    """Documents of a data set's rows. The first ``most`` rows are taken before any is filtered; rows without text, or of a licence not allowed, go."""
-    d = rows.where(F.col(seq) < most) if seq in rows.columns else rows.limit(most)
+    """Documents of a data set's rows, numbered from 0 by ``seq``. The first ``most`` rows are taken before any is filtered; rows without text, or of a licence not allowed, go."""
+    d = rows.where(F.col(seq) < most)
     d = d.withColumn("text", T.field_text(fields)).where("text <> ''")
     if license_field:
         lic = F.lower(F.trim(F.col(license_field).cast("string")))
@@ -149,15 +219,15 @@ def repositories(dump: DataFrame, *, least_stars: int = 0, most: int = 1000) ->
 
 
 def papers(spark: SparkSession, path: str, *, most: int = 200) -> DataFrame:
-    """Papers of an Atom dump: arxiv_id, version, title and text with white space collapsed."""
+    """Papers of an Atom dump: arxiv_id, version, title and text with white space collapsed; the ``most`` last by id, one a version."""
     d = spark.read.format("xml").option("rowTag", "entry").schema("id string, title string, summary string").load(path)
     v = F.regexp_extract("id", r"v(\d+)$", 1)
-    return d.select(F.regexp_extract("id", r"abs/(.+?)(v\d+)?$", 1).alias("arxiv_id"), v.alias("version"), T.collapse(F.col("title")).alias("title"), T.collapse(F.col("summary")).alias("text")).limit(most)
+    return d.select(F.regexp_extract("id", r"abs/(.+?)(v\d+)?$", 1).alias("arxiv_id"), v.alias("version"), T.collapse(F.col("title")).alias("title"), T.collapse(F.col("summary")).alias("text")).distinct().orderBy(F.desc("arxiv_id"), F.desc(F.col("version").try_cast("int"))).limit(most)
 
 
-def search_results(dump: DataFrame, query: str) -> DataFrame:
-    """Documents of a search dump with ``items`` array<struct<title,link,snippet>>."""
-    i = dump.select(F.posexplode("items").alias("seq", "i"))
+def search_results(dump: DataFrame, query: str, *, most: int = 10) -> DataFrame:
+    """Documents of a search dump with ``items`` array<struct<title,link,snippet>>: the first ``most`` of each answer."""
+    i = dump.select(F.posexplode(F.slice("items", 1, most)).alias("seq", "i"))
     return i.select("seq", F.col("i.link").alias("url"), F.concat_ws("\n", "i.title", "i.snippet").alias("text"), F.lit(query).alias("query"))
 
 
