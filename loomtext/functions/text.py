@@ -5,7 +5,8 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
+from re import _parser as trees
 
 import pandas as pd
 from pyspark.sql import Column
@@ -28,6 +29,59 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _held(tree) -> list[str]:
+    """Strings of which every match of a parsed pattern holds one, the longest such list; an empty list if nothing is certain."""
+    found, run = [], ""
+    for op, arg in [*tree, (None, None)]:
+        name = str(op)
+        if name == "LITERAL":
+            run += chr(arg)
+            continue
+        if run:
+            found.append([run])
+            run = ""
+        inner = []
+        if name == "BRANCH":
+            sides = [_held(x) for x in arg[1]]
+            inner = [x for side in sides for x in side] if all(sides) else []
+        elif name == "SUBPATTERN":
+            inner = _held(arg[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT") and arg[0] > 0:
+            inner = _held(arg[2])
+        if inner:
+            found.append(inner)
+    return max(found, key=lambda x: (min(map(len, x)), -len(x)), default=[])
+
+
+@lru_cache(maxsize=1024)
+def needed(pattern: str, ignore_case: bool) -> tuple[str, ...]:
+    """Strings of two characters or more of which every text that the pattern matches holds one, in lower case if case is ignored.
+
+    None for patterns whose case rules go beyond a to z (those with classes of word characters).
+    """
+    out = [] if ignore_case and "\\w" in pattern else _held(trees.parse(pattern))
+    out = [x.lower() for x in out] if ignore_case else out
+    return tuple(dict.fromkeys(out)) if out and min(map(len, out)) > 1 else ()
+
+
+def _may(text: Column, low: Column, pattern: str, ignore_case: bool) -> Column | None:
+    """Whether the text holds what the pattern needs: plain searches, many times cheaper than the pattern. ``low``: the text in lower case."""
+    keys = needed(pattern, ignore_case)
+    return reduce(lambda a, b: a | b, [(low if ignore_case else text).contains(k) for k in keys]) if keys else None
+
+
+def found(text: Column, low: Column, pattern: str, ignore_case: bool = True, dot_all: bool = False) -> Column:
+    """``matches``, with the pattern run only where it can match; false for null."""
+    may, hit = _may(text, low, pattern, ignore_case), F.coalesce(matches(text, pattern, ignore_case, dot_all), F.lit(False))
+    return hit if may is None else F.when(may, hit).otherwise(F.lit(False))
+
+
+def counted(text: Column, low: Column, pattern: str, ignore_case: bool = True) -> Column:
+    """``match_count``, with the pattern run only where it can match; 0 for null."""
+    may, n = _may(text, low, pattern, ignore_case), F.coalesce(match_count(text, pattern, ignore_case), F.lit(0))
+    return n if may is None else F.when(may, n).otherwise(F.lit(0))
+
+
 def matches(text: Column, pattern: str, ignore_case: bool = True, dot_all: bool = False) -> Column:
     return text.rlike(_java(pattern, ignore_case, dot_all))
 
@@ -103,8 +157,7 @@ def classify_url(url: Column) -> Column:
 
 
 def classify_text(text: Column) -> Column:
-    n = F.greatest(n_words(text), F.lit(1))
-    return _first([(match_count(text, p, i) / n >= least, t) for p, i, t, least in fixed.TEXT_TYPES], "unknown")
+    return let(F.struct(F.lower(text).alias("low"), F.greatest(n_words(text), F.lit(1)).alias("n")), lambda x: _first([(counted(text, x["low"], p, i) / x["n"] >= least, t) for p, i, t, least in fixed.TEXT_TYPES], "unknown"))
 
 
 def url_path(url: Column) -> Column:
@@ -117,9 +170,9 @@ def code_language(url: Column) -> Column:
 
 
 def reclassify(content_type: Column, text: Column) -> Column:
-    low = F.lower(text)
-    count = lambda keys: reduce(lambda a, b: a + b, [low.contains(k).cast("int") for k in keys])
-    return F.when(content_type.isin("unknown", "") | content_type.isNull(), _first([(count(k) >= 2, t) for k, t in fixed.TYPE_KEYWORDS], "unknown")).otherwise(content_type)
+    count = lambda low, keys: reduce(lambda a, b: a + b, [low.contains(k).cast("int") for k in keys])
+    made = let(F.lower(text), lambda low: _first([(count(low, k) >= 2, t) for k, t in fixed.TYPE_KEYWORDS], "unknown"))
+    return F.when(content_type.isin("unknown", "") | content_type.isNull(), made).otherwise(content_type)
 
 
 def _sum(parts: list[Column], start: Column) -> Column:
@@ -127,7 +180,7 @@ def _sum(parts: list[Column], start: Column) -> Column:
 
 
 def _hits(text: Column, patterns: list[tuple[str, bool]]) -> Column:
-    return _sum([F.coalesce(matches(text, p, i), F.lit(False)).cast("int") for p, i in patterns], F.lit(0))
+    return let(F.lower(text), lambda low: _sum([found(text, low, p, i).cast("int") for p, i in patterns], F.lit(0)))
 
 
 def _clamp(x: Column, low: float, high: float) -> Column:
@@ -194,8 +247,9 @@ def final_weight(domain: Column, content_type: Column, lang: Column, quality: Co
 def exclusion_tags(text: Column, tags: list[str] | None = None) -> Column:
     """Sorted tags of which a pattern occurs in the text."""
     every = [(t, p) for t in (tags if tags is not None else fixed.EXCLUSIONS) for p in fixed.EXCLUSIONS.get(t, [])]
-    found = F.array(*[F.when(matches(text, p, True, True), F.lit(t)) for t, p in every]) if every else F.array().cast("array<string>")
-    return F.array_sort(F.array_distinct(F.array_compact(found)))
+    if not every:
+        return F.array().cast("array<string>")
+    return let(F.lower(text), lambda low: F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(found(text, low, p, True, True), F.lit(t)) for t, p in every])))))
 
 
 def split_bucket(doc_id: Column, seed: int) -> Column:

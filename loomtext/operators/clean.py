@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text as T
+from .graph import durable
+
+#: Numbers of later copies up to which they are broadcast (8 bytes each).
+BROADCAST_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -31,32 +35,57 @@ class CleanConfig:
     instant: list[str] = field(default_factory=list)
 
 
+#: Elements without content.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that a start tag ends if they are the innermost open one.
+_BLOCKS = "address article aside blockquote center div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
+ENDED_BY = {t: {"p"} for t in _BLOCKS} | {"li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "option": {"option"}, "a": {"a"}, "td": {"p", "td", "th"}, "th": {"p", "td", "th"}, "tr": {"p", "td", "th", "tr"}, "body": {"head"}}
+for _t in ("td", "th", "table", "fieldset"):
+    ENDED_BY[_t] = ENDED_BY[_t] | {"a"}
+#: Elements that an end tag of a lesser one doesn't end.
+STRENGTH = {"div": 1, "td": 2, "th": 2, "tr": 3, "thead": 4, "tbody": 4, "tfoot": 4, "table": 5, "head": 6, "body": 6, "html": 7}
+
+
 class _Text(HTMLParser):
-    """Text of a page without some elements; pieces in a list."""
+    """Text of a page without some elements; pieces in a list. An end tag ends what is still open inside its element."""
 
     def __init__(self, dropped: list[str]):
         super().__init__(convert_charrefs=True)
-        self.dropped, self.depth, self.out, self.title, self.links, self._in_title = set(dropped), [], [], [], [], False
+        self.dropped, self.open, self.hidden, self.out, self.title, self.links, self._in_title = set(dropped), [], 0, [], [], [], False
+
+    def _pop(self) -> str:
+        tag = self.open.pop()
+        self.hidden -= tag in self.dropped
+        return tag
 
     def handle_starttag(self, tag, attrs):
         if tag == "a":
             self.links += [v for k, v in attrs if k == "href" and v]
         if tag == "title":
             self._in_title = True
-        if tag in self.dropped and tag not in ("br", "img"):
-            self.depth.append(tag)
+        if tag in VOID:
+            return
+        while self.open and self.open[-1] in ENDED_BY.get(tag, ()):
+            self._pop()
+        self.open.append(tag)
+        self.hidden += tag in self.dropped
 
     def handle_endtag(self, tag):
         if tag == "title":
             self._in_title = False
-        if tag in self.depth:
-            while self.depth.pop() != tag:
-                pass
+        own = STRENGTH.get(tag, 0)
+        for other in reversed(self.open):
+            if other == tag:
+                while self._pop() != tag:
+                    pass
+                return
+            if STRENGTH.get(other, 0) > own:
+                return
 
     def handle_data(self, data):
         if self._in_title:
             self.title.append(data)
-        if not self.depth:
+        if not self.hidden:
             self.out.append(data)
 
 
@@ -79,23 +108,35 @@ def dom_text(html: Column) -> Column:
     return F.pandas_udf(run, "string")(html)
 
 
-def cleaned(text: Column, cfg: CleanConfig) -> Column:
+def _once(d: DataFrame, name: str, value: Column) -> DataFrame:
+    """Column ``name`` computed once a row, whatever reads it later: an optimiser copies no expression through a generator."""
+    return d.withColumn(name, F.explode_outer(F.array(value)))
+
+
+def with_clean_text(d: DataFrame, cfg: CleanConfig, text: str = "text") -> DataFrame:
+    """``d`` with its text stripped and normalised as the configuration says; null text becomes empty. Each step is computed once."""
     if cfg.strip_html:
-        text = dom_text(text) if cfg.dom else T.strip_tags(text)
-    return T.normalise(text) if cfg.normalise else text
+        d = d.withColumn(text, dom_text(F.col(text))) if cfg.dom else _once(d, text, T.strip_tags(F.col(text)))
+    if cfg.normalise:
+        d = d.withColumn(text, T.compatible(F.col(text)))
+        return _once(d, text, F.coalesce(T.normalise(F.col(text), nfkc=False), F.lit("")))
+    return d.withColumn(text, F.coalesce(F.col(text), F.lit("")))
 
 
 def refusal_score(text: Column, cfg: CleanConfig) -> Column:
     """999 if an instant pattern occurs, else weighted matches per word (no words count as one)."""
     n = F.greatest(T.n_words(text), F.lit(1))
-    total = F.lit(0.0)
-    for weight, patterns in cfg.groups.values():
-        for p in patterns:
-            total = total + T.match_count(text, p) * weight
-    instant = F.lit(False)
-    for p in cfg.instant:
-        instant = instant | T.matches(text, p)
-    return F.when(instant, F.lit(999.0)).otherwise(total / n)
+
+    def score(low: Column) -> Column:
+        total, instant = F.lit(0.0), F.lit(False)
+        for weight, patterns in cfg.groups.values():
+            for p in patterns:
+                total = total + T.counted(text, low, p) * weight
+        for p in cfg.instant:
+            instant = instant | T.found(text, low, p)
+        return F.when(instant, F.lit(999.0)).otherwise(total / n)
+
+    return T.let(F.lower(text), score)
 
 
 HIT = "array<struct<group:string,pattern:string,start:int,end:int,matched:string>>"
@@ -150,15 +191,17 @@ def clean(docs: DataFrame, cfg: CleanConfig, *, seq: str = "seq", text: str = "t
     Of equal cleaned texts the first by ``seq`` counts, among rows that pass the length gate; a copy that the refusal score would
     drop still makes later copies duplicates. ``seq`` tells rows apart. Null text counts as empty. Order of decisions: too_short, too_long, duplicate, then the score.
     """
-    d = docs.withColumn(text, F.coalesce(cleaned(F.col(text), cfg), F.lit("")))
+    d = with_clean_text(docs, cfg, text)
     n = F.char_length(text)
     d = d.withColumn("_long", F.when(n < cfg.shortest, "too_short").when(n > cfg.longest, "too_long"))
     if cfg.dedup:
-        # the first of each text by a group minimum, joined back: a text that a third of the rows share is summed before the
-        # exchange and its join can be split, where a window would put all of them in one task
-        d = d.withColumn("_h", F.sha2(text, 256))
-        first = d.where("_long is null").groupBy("_h").agg(F.min(seq).alias("_first"))
-        d = d.join(first, "_h", "left").withColumn("_again", F.col("_long").isNull() & (F.col(seq) > F.col("_first"))).drop("_h", "_first")
+        # the cleaned rows are laid down; only hashes and numbers are exchanged, and the later copies' numbers come back as a list
+        d = durable(d.withColumn("_h", F.when(F.col("_long").isNull(), F.sha2(text, 256))))
+        first = d.where("_h is not null").groupBy("_h").agg(F.min(seq).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+        later = d.select(F.col(seq).alias("_later"), "_h").join(first, "_h").where("_later > _first").select("_later")
+        later = durable(later)
+        later = F.broadcast(later) if later.count() <= BROADCAST_ROWS else later
+        d = d.join(later, d[seq] == later["_later"], "left").withColumn("_again", F.col("_later").isNotNull()).drop("_h", "_later")
     else:
         d = d.withColumn("_again", F.lit(False))
     score = refusal_score(F.col(text), cfg) if cfg.refusal else F.lit(0.0)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import fixed, text as T
 
 
 def gate(text: Column, quality: Column, tags: Column, *, least_words: int = 30, least_quality: float = 0.35) -> Column:
-    return (T.n_words(text) >= least_words) & (F.coalesce(quality, F.lit(0.0)) >= least_quality) & (F.size(tags) == 0)
+    """Enough words, no exclusion tag, enough quality: in order of cost, and what fails one is not asked the next."""
+    return F.when(T.n_words(text) < least_words, False).when(F.size(tags) > 0, False).otherwise(F.coalesce(quality, F.lit(0.0)) >= least_quality)
 
 
 def identity_complete(source: Column, url: Column, identity: Column) -> Column:
@@ -23,6 +25,15 @@ def identity_complete(source: Column, url: Column, identity: Column) -> Column:
     return F.when(source == "web", F.coalesce(url != "", F.lit(False))).otherwise(out & identity.isNotNull())
 
 
+def bind_profiles(profiles: DataFrame, groups: DataFrame, *, profile_id: str = "dataset_id", group_id: str = "group_id") -> DataFrame:
+    """Profiles with the group each names (its columns but the key). A profile or group that comes twice, or a profile whose group is missing, fails the read."""
+    once = lambda d, key, what: d.withColumn("_n", F.count("*").over(Window.partitionBy(key))).withColumn(key, F.when(F.col("_n") == 1, F.col(key)).otherwise(F.raise_error(F.concat(F.lit(f"{what} occurs more than once: "), F.col(key).cast("string"))))).drop("_n")
+    p, g = once(profiles, profile_id, "profile"), once(groups, group_id, "group").withColumn("_there", F.lit(True))
+    d = p.join(g, group_id, "left")
+    there = F.coalesce(F.col("_there"), F.lit(False))
+    return d.withColumn(group_id, F.when(there, F.col(group_id)).otherwise(F.raise_error(F.concat(F.lit("unknown group: "), F.coalesce(F.col(group_id).cast("string"), F.lit("none")))))).drop("_there")
+
+
 def decide(docs: DataFrame, group: str, exclusions: list[str] | None = None, *, kinds: list[str] = fixed.SOURCE_KINDS) -> DataFrame:
     """Rows with ``reason`` (null: accepted). Precedence: duplicate id, group, source kind, exclusions or quality, identity.
 
