@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from .graph import components
+from .graph import components, durable
 
 
 #: Vectors come in single precision: similarities that differ by no more than this are equal.
@@ -34,33 +34,41 @@ def trigram_set(text: Column) -> Column:
     )
 
 
+def trigram_hashes(text: Column) -> Column:
+    """The trigram set as ascending 64-bit hashes: what sets are compared, exchanged and counted by."""
+    return F.array_sort(F.array_distinct(F.transform(trigram_set(text), lambda g: F.xxhash64(g))))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
 def similar_pairs(docs: DataFrame, threshold: float, *, seq: str = "seq", text: str = "text") -> DataFrame:
-    """(a, b, similarity), a < b: all pairs whose trigram sets have a Jaccard similarity of ``threshold`` or more.
+    """(a, b, similarity), a < b: pairs of rows whose trigram sets have a Jaccard similarity of ``threshold`` or more.
 
-    Exact prefix filter. Grams are put in ascending order of how many rows hold them; two sets as similar as that share one of
-    their first ``n - ceil(t n) + 1`` grams. Equal sets are found by their hash, not pair by pair: each points at its
-    first row, and only distinct sets meet, so copies cost nothing. Pairs among copies are then given with similarity 1.
+    Rows of equal sets are one class, known by its first row: classes meet each other pair by pair, and every other row of a class is given once,
+    with its first row and similarity 1. So copies cost nothing and no link between different texts is lost.
+
+    Exact prefix filter. Grams, as 64-bit hashes, are put in ascending order of how many classes hold them; two sets as similar as that share one of
+    their first ``n - ceil(t n) + 1`` grams.
     """
-    s = docs.select(F.col(seq).alias("id"), trigram_set(F.col(text)).alias("g")).where(F.size("g") > 0).withColumn("h", F.sha2(F.array_join(F.array_sort("g"), "\n"), 256))
-    one = s.withColumn("r", F.row_number().over(Window.partitionBy("h").orderBy("id"))).where("r = 1").drop("r")
-    grams = one.select("id", F.size("g").alias("n"), F.explode("g").alias("gram")).select("id", "n", F.xxhash64("gram").alias("gram"))
+    s = docs.select(F.col(seq).alias("id"), trigram_hashes(F.col(text)).alias("g")).where(F.size("g") > 0)
+    s = durable(s.withColumns({f"h{k}": F.xxhash64(F.lit(k), "g") for k in (0, 1)}))
+    one = s.groupBy("h0", "h1").agg(F.min("id").alias("head"), F.count("*").alias("copies"))
+    one = durable(one)
+    sets = s.join(one.select(F.col("head").alias("id")), "id").select("id", "g")
+    grams = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("gram"))
     often = grams.groupBy("gram").agg(F.count("*").alias("df"))
     # a gram that one row alone holds joins nothing, but counts in the order
     ranked = grams.join(often, "gram").withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("df", "gram")))
-    prefix = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1).where("df > 1").select("id", "n", "gram")
+    prefix = durable(ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1).where("df > 1").select("id", "n", "gram"))
     other = prefix.withColumnsRenamed({"id": "b", "n": "m"})
     close = (F.col("n") >= threshold * F.col("m") - 1e-9) & (F.col("m") >= threshold * F.col("n") - 1e-9)
     cand = prefix.join(other, "gram").where((F.col("id") < F.col("b")) & close).select(F.col("id").alias("a"), "b").distinct()
-    sets = one.select("id", "g")
     exact = cand.join(sets.withColumnsRenamed({"id": "a", "g": "x"}), "a").join(sets.withColumnsRenamed({"id": "b", "g": "y"}), "b")
     exact = exact.withColumn("similarity", jaccard(F.col("x"), F.col("y"))).where(F.col("similarity") >= threshold - 1e-12).select("a", "b", "similarity")
-    head = one.select("h", F.col("id").alias("head"))
-    copies = s.join(head, "h").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    copies = s.join(one.where("copies > 1"), ["h0", "h1"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
     return exact.unionByName(copies)
 
 
@@ -90,7 +98,7 @@ def resolve_similar(docs: DataFrame, threshold: float, *, seq: str = "seq", text
     comp = components(pairs.select("a", "b"))
     rows = docs.select(F.col(seq).alias("seq"), F.col(weight).cast("double").alias("weight"), F.col(text).alias("text"))
     alone = rows.join(comp, rows["seq"] == comp["node"], "left_anti").select("seq", F.col("seq").alias("slot"))
-    inside = rows.join(comp, rows["seq"] == comp["node"]).select("root", "seq", "weight", trigram_set(F.col("text")).alias("g"))
+    inside = rows.join(comp, rows["seq"] == comp["node"]).select("root", "seq", "weight", trigram_hashes(F.col("text")).alias("g"))
 
     def replay(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("seq").reset_index(drop=True)
@@ -146,11 +154,8 @@ def cosine_pairs(vectors: DataFrame, threshold: float, *, seq: str = "vec_id", v
     return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "a long, b long")
 
 
-def cosine_topk(vectors: DataFrame, k: int, *, seq: str = "vec_id", vector: str = "embedding", block_rows: int = 2048) -> DataFrame:
-    """(id, neighbour, rank): each vector's ``k`` nearest others by cosine, ties to the smaller id."""
-    v = vectors.select(F.col(seq).alias("id"), unit(F.col(vector)).alias("v"))
-    blocks = max(1, -(-vectors.count() // block_rows))
-    left, right = _blocks(v, blocks)
+def _meet(k: int):
+    """Each left row's ``k`` best of the right rows, its own id aside."""
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
@@ -162,7 +167,16 @@ def cosine_topk(vectors: DataFrame, k: int, *, seq: str = "vec_id", vector: str
         out = pd.DataFrame({"id": np.repeat(ids, order.shape[1]), "neighbour": others[order].ravel(), "s": np.take_along_axis(s, order, 1).ravel()})
         return out[np.isfinite(out["s"])]
 
-    near = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "id long, neighbour long, s double")
+    return meet
+
+
+def cosine_topk(vectors: DataFrame, k: int, *, seq: str = "vec_id", vector: str = "embedding", block_rows: int = 2048) -> DataFrame:
+    """(id, neighbour, rank): each vector's ``k`` nearest others by cosine, ties to the smaller id."""
+    v = vectors.select(F.col(seq).alias("id"), unit(F.col(vector)).alias("v"))
+    blocks = max(1, -(-vectors.count() // block_rows))
+    left, right = _blocks(v, blocks)
+
+    near = left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(_meet(k), "id long, neighbour long, s double")
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("s"), "neighbour"))).where(F.col("rank") <= k).select("id", "neighbour", "rank")
 
 
@@ -196,3 +210,77 @@ def resolve_embeddings(vectors: DataFrame, threshold: float, *, seq: str = "vec_
         return pd.DataFrame({"seq": group["seq"].to_numpy()[~gone]})
 
     return alone.unionByName(inside.groupBy("root").applyInPandas(replay, "seq long"))
+
+
+def index_choice(kind: str, n: int, cells: int = 100) -> tuple[str, int, int]:
+    """('flat', 0, 0) or ('ivf', cells, probes) for ``n`` vectors: a cell for ten vectors at most, ten probes at most."""
+    if kind not in ("flat", "ivf"):
+        raise ValueError(f"unknown index {kind!r}: expected flat or ivf")
+    nlist = min(cells, max(1, n // 10))
+    return ("flat", 0, 0) if kind == "flat" else ("ivf", nlist, min(10, nlist))
+
+
+def topk(vectors: DataFrame, k: int, *, kind: str = "flat", cells: int = 100, **options) -> DataFrame:
+    """(id, neighbour, rank) by an exact ('flat') or a cell index ('ivf')."""
+    name, nlist, probes = index_choice(kind, vectors.count(), cells)
+    return cosine_topk(vectors, k, **options) if name == "flat" else ivf_topk(vectors, k, cells=nlist, probes=probes, **options)
+
+
+def ivf_topk(vectors: DataFrame, k: int, *, cells: int, probes: int, seq: str = "vec_id", vector: str = "embedding", seed: int = 42, sample_rows: int = 20_000) -> DataFrame:
+    """(id, neighbour, rank): each vector's ``k`` nearest by cosine among those of its ``probes`` nearest of ``cells`` k-means cells.
+
+    Centres are fitted on the ``sample_rows`` rows of the smallest xxhash64(id); every row is indexed. A cell is searched in blocks of bounded size.
+    """
+    v = durable(vectors.select(F.col(seq).alias("id"), unit(F.col(vector)).alias("v")))
+    x = np.array([r.v for r in v.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample_rows).select("v").collect()])
+    centres = _centres(x, cells, seed)
+
+    def place(parts):
+        for p in parts:
+            s = np.stack(p["v"]) @ centres.T if len(p) else np.zeros((0, len(centres)))
+            yield p.assign(cells=list(np.argsort(-s, axis=1, kind="stable")[:, :probes].astype("int32")))
+
+    placed = durable(v.mapInPandas(place, "id long, v array<double>, cells array<int>"))
+    home = placed.select(F.col("id").alias("id"), F.col("v").alias("v"), F.get("cells", F.lit(0)).alias("cell"))  # columns of its own, as both sides come of one table
+    blocks = home.groupBy("cell").agg(F.ceil(F.count("*") / 4096).cast("int").alias("blocks"))
+    blocks = F.broadcast(blocks)  # a row for each cell
+    left = placed.select("id", "v", F.explode("cells").alias("cell")).join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = home.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    near = left.select("cell", "block", "id", "v").groupBy("cell", "block").cogroup(right.select("cell", "block", "id", "v").groupBy("cell", "block")).applyInPandas(_meet(k), "id long, neighbour long, s double")
+    return near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("s"), "neighbour"))).where(F.col("rank") <= k).select("id", "neighbour", "rank")
+
+
+def _centres(x: np.ndarray, cells: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """Unit centres of spherical k-means."""
+    rng = np.random.default_rng(seed)
+    c = x[rng.permutation(len(x))[:cells]].copy()
+    for _ in range(rounds):
+        own = (x @ c.T).argmax(1)
+        total = np.zeros_like(c)
+        np.add.at(total, own, x)
+        norm = np.linalg.norm(total, axis=1)
+        c[norm > 0] = total[norm > 0] / norm[norm > 0, None]
+    return c
+
+
+def embed(docs: DataFrame, encoder: Column, *, chars: int = 2000, text: str = "text", name: str = "embedding") -> DataFrame:
+    """``docs`` with vectors of the first ``chars`` characters of their texts; ``encoder``: a function from a text column to a column of vectors."""
+    return docs.withColumn(name, encoder(F.substring(F.coalesce(F.col(text), F.lit("")), 1, chars)))
+
+
+def dedup(docs: DataFrame, mode: str, *, encoder=None, threshold: float = 0.92, seq: str = "seq", weight: str = "final_weight", batch: bool = False) -> DataFrame:
+    """(seq) of the rows kept, by ``mode``: 'fallback' compares trigram sets, 'embedding' vectors and needs an encoder, 'auto' takes vectors if there is one."""
+    if mode not in ("auto", "embedding", "fallback"):
+        raise ValueError(f"unknown mode {mode!r}: expected auto, embedding or fallback")
+    if mode == "embedding" and encoder is None:
+        raise ValueError("mode embedding needs an encoder")
+    if mode == "fallback" or encoder is None:
+        return resolve_similar(docs, threshold, seq=seq, weight=weight).select("seq")
+    return resolve_embeddings(embed(docs, encoder), threshold, seq=seq, weight=weight, batch=batch)
+
+
+def dedup_totals(rows: int, kept: DataFrame) -> DataFrame:
+    """One row: documents in, kept and removed, and the share removed."""
+    n = kept.agg(F.count("*").alias("kept")).withColumn("documents_in", F.lit(rows).cast("long"))
+    gone = F.col("documents_in") - F.col("kept")
+    return n.select("documents_in", "kept", gone.alias("removed"), F.round(gone / F.greatest(F.col("documents_in"), F.lit(1)), 6).alias("removed_share"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .sampling import shard_order
+
 #: Rows of one range of the running sum.
 RANGE = 4096
 
@@ -78,6 +81,58 @@ def verify_shards(files: DataFrame, folder: str) -> DataFrame:
     return files.mapInPandas(check, "name string, size long, sha256 string, ok boolean")
 
 
+class ShardReader:
+    """Training batches from shard files: memory-mapped, checked against their manifest, in a seeded order, round and round.
+
+    ``files``: rows (name, size, sha256) of the shards to read. A batch's rows are windows of ``length`` tokens and the tokens one later; windows follow each other
+    ``length`` apart inside one shard. ``state`` and ``restore`` carry the place from one reader to another of the same files.
+    """
+
+    def __init__(self, folder: str, files: list[tuple[str, int, str]], length: int, dtype: str = "<u2", seed: int = 42):
+        if not files:
+            raise ValueError("no shards")
+        for name, size, sha in files:
+            raw = np.memmap(f"{folder}/{name}", "u1", "r") if os.path.getsize(f"{folder}/{name}") else np.zeros(0, "u1")
+            if len(raw) != size:
+                raise ValueError(f"{name}: {len(raw)} bytes, {size} in the manifest")
+            if not sha or hashlib.sha256(raw).hexdigest() != sha:
+                raise ValueError(f"{name}: not the bytes of the manifest")
+        self.folder, self.length, self.dtype, self.seed = folder, length, dtype, seed
+        self.names = shard_order([name for name, *_ in files], seed)
+        self._open(0, 0)
+
+    def _open(self, shard: int, pos: int) -> None:
+        self.shard, self.pos = shard, pos
+        path = f"{self.folder}/{self.names[shard]}"
+        self.data = np.memmap(path, self.dtype, "r") if os.path.getsize(path) else np.zeros(0, self.dtype)
+
+    def next_batch(self, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        for _ in range(rows):
+            tried = 0
+            while self.pos + self.length + 1 > len(self.data):
+                if tried > len(self.names):
+                    raise ValueError(f"no shard holds {self.length + 1} tokens")
+                tried += 1
+                self._open((self.shard + 1) % len(self.names), 0)
+            out.append(np.asarray(self.data[self.pos : self.pos + self.length + 1], np.int64))
+            self.pos += self.length
+        x = np.stack(out)
+        return x[:, :-1], x[:, 1:]
+
+    def state(self) -> dict:
+        return {"names": self.names, "length": self.length, "dtype": self.dtype, "seed": self.seed, "shard": self.shard, "pos": self.pos}
+
+    def restore(self, state: dict) -> None:
+        if {k: state.get(k) for k in ("names", "length", "dtype", "seed")} != {k: self.state()[k] for k in ("names", "length", "dtype", "seed")}:
+            raise ValueError("the state is of other shards or another geometry")
+        if not 0 <= state["shard"] < len(self.names) or state["pos"] < 0:
+            raise ValueError("the state is outside the shards")
+        self._open(state["shard"], state["pos"])
+        if self.pos > len(self.data):
+            raise ValueError("the state is outside its shard")
+
+
 def windows(shards: DataFrame, length: int, *, tokens: str = "tokens") -> DataFrame:
     """(x, y) windows of ``length`` tokens and the tokens one later, ``length`` apart, inside each shard."""
     n = F.size(tokens) - length

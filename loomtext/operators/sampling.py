@@ -29,8 +29,8 @@ def copies(weight: Column, draw: Column, strategy: str) -> Column:
 
 
 def hash_draw(seed: int, key: Column) -> Column:
-    """A draw from [0, 1) that depends on the seed and the row's key alone."""
-    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 53)) / float(1 << 53)
+    """A draw from [0, 1) that depends on the seed and the row's key alone: the first four bytes of sha256(seed:key)."""
+    return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256), 1, 8), 16, 10).cast("long") / float(1 << 32)
 
 
 def resample(docs: DataFrame, strategy: str, *, weight: str = "final_weight", key: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -39,6 +39,14 @@ def resample(docs: DataFrame, strategy: str, *, weight: str = "final_weight", ke
     return docs.withColumn("_n", n).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
 
 
+def totals(before: DataFrame, after: DataFrame, weight: str = "final_weight") -> DataFrame:
+    """One row: documents in and out of a resampling, their mean weight and the expansion; no documents count as one."""
+    w = F.coalesce(F.sum(F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))), F.lit(0.0))
+    both = before.agg(F.count("*").alias("docs_in"), w.alias("total_weight")).crossJoin(after.agg(F.count("*").alias("docs_out")))  # one row each
+    n = F.greatest(F.col("docs_in"), F.lit(1))
+    return both.select("docs_in", "docs_out", "total_weight", (F.col("total_weight") / n).alias("avg_weight"), (F.col("docs_out") / n).alias("expansion"))
+
+
 def resample_in_order(docs: DataFrame, strategy: str, *, weight: str = "final_weight", seq: str = "seq", seed: int = 42) -> DataFrame:
     """As ``resample`` with the draws of one Mersenne Twister, in order of ``seq``: for corpora whose draws fit the driver.
 
