@@ -5,7 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_SCHEMA = 2
@@ -52,8 +53,12 @@ def write_stage(df: DataFrame, folder: str, kind: str, provenance: dict) -> dict
     if not made["rows"]:
         fs.delete(src, True)
         raise ValueError(f"{kind}: an artefact without rows is not written")
-    fs.delete(dst, True)
+    before, _ = _path(spark, f"{folder}.before")
+    fs.delete(before, True)
+    if fs.exists(dst):  # set aside, not deleted: at every moment one of the two names holds a whole artefact
+        fs.rename(dst, before)
     fs.rename(src, dst)
+    fs.delete(before, True)
     manifest = {"schema": MANIFEST_SCHEMA, "kind": kind, "provenance": provenance} | made
     spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}.manifest")
     return manifest
@@ -80,9 +85,104 @@ def run_stage(spark: SparkSession, folder: str, kind: str, provenance: dict, mak
     return spark.read.parquet(folder), False
 
 
-def record_hash(*columns: str):
-    """sha256 of a record's columns as compact JSON with keys in order, as a column."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(columns)])), 256)
+def _plain(value, kind: pa.DataType):
+    """An Arrow value as JSON knows it: maps as objects."""
+    if value is None:
+        return None
+    if pa.types.is_map(kind):
+        return {k: _plain(v, kind.item_type) for k, v in value}
+    if pa.types.is_struct(kind):
+        return {f.name: _plain(value[f.name], f.type) for f in kind}
+    if pa.types.is_list(kind):
+        return [_plain(v, kind.value_type) for v in value]
+    return value
+
+
+def record_hash(*columns: str) -> Column:
+    """sha256 of a record's columns as canonical JSON (compact, keys in order, nulls kept, no escapes beyond JSON's own), as a column."""
+
+    def run(records: pa.Array) -> pa.Array:
+        texts = (json.dumps(_plain(r, records.type), sort_keys=True, separators=(",", ":"), ensure_ascii=False) for r in records.to_pylist())
+        return pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts], pa.string())
+
+    run.__annotations__ = {"records": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "string")(F.struct(*[F.col(c) for c in columns]))
+
+
+def new_run(config: dict, *, run_id: str, dataset_id: str, started: str, git: dict | None = None) -> dict:
+    """A run manifest as a run begins."""
+    return {
+        "schema": MANIFEST_SCHEMA, "run_id": run_id, "experiment_id": experiment_id(config), "dataset_id": dataset_id, "timestamps": {"started": started, "updated": started, "ended": None}, "git": git or {},
+        "configuration": {k: stable_hash(v) for k, v in sorted(config.items())}, "stages": {}, "artifacts": [], "warnings": [], "errors": [], "final_status": "RUNNING",
+    }
+
+
+def write_run_manifest(spark: SparkSession, uri: str, manifest: dict) -> None:
+    """The manifest as one file, put in place by a rename, so a reader sees the old one or the new one whole."""
+    (dst, fs), (tmp, _) = _path(spark, uri), _path(spark, f"{uri}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray((json.dumps(manifest, indent=2, sort_keys=True, default=str) + "\n").encode()))
+    out.close()
+    fs.delete(dst, False)
+    fs.rename(tmp, dst)
+
+
+def resume_run(spark: SparkSession, uri: str, updated: str) -> dict:
+    """A run's manifest read again, running as of ``updated``; one of another schema is an error."""
+    m = json.loads("\n".join(r.value for r in spark.read.text(uri, wholetext=True).collect()))
+    if m.get("schema") != MANIFEST_SCHEMA:
+        raise ValueError(f"unsupported run manifest: {uri}")
+    m["timestamps"]["updated"], m["final_status"] = updated, "RUNNING"
+    write_run_manifest(spark, uri, m)
+    return m
+
+
+def lineage_checks(manifests: dict[str, dict | None], hashes: dict[str, str]) -> list[tuple[str, str, str]]:
+    """(name, status, detail): whether the manifests of source, weighted corpus, tokenizer, shards, checkpoint and export belong together.
+
+    ``manifests`` by these names, a missing one None; ``hashes``: sha256 of the artefacts as they are (weighted, tokenizer, shard files by name, checkpoint) and of the
+    manifests themselves under NAME.manifest. Checks end early where later ones would have nothing to stand on.
+    """
+    out: list[tuple[str, str, str]] = []
+    say = lambda name, good, detail="", bad="FAIL": out.append((name, "PASS" if good else bad, str(detail)))
+    m = {k: manifests.get(k) for k in ("source", "weighted", "tokenizer", "shards", "checkpoint", "export")}
+    for k in ("source", "weighted", "tokenizer", "shards"):
+        say(f"{k} manifest", m[k] is not None)
+    if any(s == "FAIL" for _, s, _ in out):
+        return out
+    for k in ("weighted", "tokenizer"):
+        say(f"{k} artefact", m[k].get("sha256") == hashes.get(k), m[k].get("sha256", ""))
+    files = m["shards"].get("files", [])
+    say("shard artefacts", all(f.get("sha256") and f["sha256"] == hashes.get(f.get("name")) for f in files), f"{len(files)} files")
+    if m["checkpoint"]:
+        say("checkpoint", m["checkpoint"].get("sha256") == hashes.get("checkpoint"))
+    if m["source"].get("schema") not in (2, 3) or not m["source"].get("run_id") or not m["source"].get("source_definition_sha256"):
+        say("configuration", False, "no configuration identity")
+        return out
+    defs = {k: v.get("sha256") for k, v in (m["source"].get("source_definition_files") or {}).items() if isinstance(v, dict)}
+    say("source configuration", stable_hash(defs) == m["source"]["source_definition_sha256"])
+    if m["export"] and m["checkpoint"]:
+        say("export to checkpoint", m["export"].get("checkpoint_sha256") == hashes.get("checkpoint"))
+    if not m["checkpoint"]:
+        say("checkpoint lineage", False, "no checkpoint", "WARN")
+        return out
+    cp = m["checkpoint"].get("provenance") or {}
+    if int(cp.get("schema", -1)) < 3:
+        say("checkpoint lineage", False, "made before lineage was kept by stage", "LEGACY")
+        return out
+    snapshots, ids = cp.get("config_snapshots") or {}, cp.get("config_identities") or {}
+    say("configuration snapshots", bool(snapshots) and all(str(p) in hashes for p in snapshots.values()), len(snapshots))
+    for k, key in (("weighted", "dataset_config_sha256"), ("tokenizer", "tokenizer_config_sha256"), ("shards", "shard_config_sha256")):
+        p = m[k].get("provenance") or {}
+        own = (p.get("config_identities") or {}).get(key)
+        say(f"{k} lineage", bool(ids.get(key)) and own == ids.get(key) and p.get("run_id") == cp.get("run_id"), own)
+    say("checkpoint to source", cp.get("source_manifest_sha256") == hashes.get("source.manifest") and m["source"]["run_id"] == cp.get("run_id"))
+    say("checkpoint to shards", cp.get("shard_manifest_sha256") == hashes.get("shards.manifest"))
+    say("shards to tokenizer", (m["shards"].get("provenance") or {}).get("tokenizer_sha256") == hashes.get("tokenizer"))
+    parents = {artifact_id(kind, hashes.get(f"{k}.manifest", "")) for kind, k in (("shard-manifest", "shards"), ("tokenizer-manifest", "tokenizer"), ("dataset-manifest", "weighted"), ("source-manifest", "source"))}
+    say("parents", parents <= set(cp.get("parent_artifact_ids") or []), len(parents))
+    say("overall", all(s == "PASS" for _, s, _ in out))
+    return out
 
 
 def append_event(spark: SparkSession, folder: str, event: dict) -> None:
