@@ -105,8 +105,8 @@ kept AS (SELECT * FROM x WHERE stop IS NULL OR seq <= stop)
 """
 TRIGRAMS = r"""
 WITH t AS (SELECT doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}_]+') AS w FROM documents),
-s AS (SELECT id, list_distinct(CASE WHEN len(w) < 3 THEN w ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM t),
-one AS (SELECT min(id) AS id, any_value(g) AS g FROM s WHERE len(g) > 0 GROUP BY list_sort(g)),
+s AS (SELECT id, list_sort(list_distinct(CASE WHEN len(w) < 3 THEN w ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM t),
+one AS (SELECT min(id) AS id, g FROM s WHERE len(g) > 0 GROUP BY g),
 e AS (SELECT id, len(g) AS n, unnest(g) AS gram FROM one),
 i AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM e a JOIN e b ON a.gram = b.gram AND a.id < b.id GROUP BY a.id, b.id)
 """
@@ -122,6 +122,42 @@ SOURCES = """WITH d AS (SELECT doc_id, 'web' AS kind, source AS identifier, 'r1'
 m AS (SELECT kind, identifier, arg_min(revision, doc_id) AS revision, arg_min(license, doc_id) AS license, arg_min(h, doc_id) AS raw_source_sha256, dataset_group FROM d GROUP BY kind, identifier, dataset_group) """
 SIGNAL_BASE = case([(f"u = {q(t)}", f"{s}::DOUBLE") for t, s in fixed.SIGNAL_BASE.items()], "0.4::DOUBLE")
 
+DRAW = "(CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE)"
+DOMAIN = lambda what: case([("true" if p == "*" else f"contains(d, {q(p)})" + (f" OR ends_with(d, {q(p[1:])})" if p.startswith("*") else ""), what(w, c)) for p, w, c in fixed.DOMAIN_WEIGHTS], "NULL")
+DECIDED = f"""
+WITH d AS (SELECT doc_id AS seq, text, CASE WHEN doc_id % 19 = 0 THEN 'again' ELSE CAST(doc_id AS VARCHAR) END AS id, {excluded('text')} AS tags, {quality('text')} AS quality FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM d),
+x AS (SELECT seq, CASE WHEN n > 1 THEN 'duplicate_document_id' WHEN seq % 17 = 0 THEN 'dataset_group_mismatch' WHEN seq % 13 = 0 THEN 'unsupported_source' WHEN len(tags) > 0 THEN array_to_string(tags, ',')
+  WHEN NOT (len({words('text')}) >= 30 AND quality >= 0.35) THEN 'quality_gate' WHEN CASE WHEN seq % 5 = 0 THEN seq % 11 = 0 ELSE seq % 7 = 0 END THEN 'missing_source_identity' ELSE 'accepted' END AS reason FROM r)
+"""
+RESOLVE = """
+, d AS (SELECT *, row_number() OVER (ORDER BY id) AS r FROM nb),
+st AS (
+  SELECT CAST(0 AS BIGINT) AS r, CAST([] AS STRUCT(rep BIGINT, founder BIGINT, w DOUBLE)[]) AS slots
+  UNION ALL
+  SELECT r, CASE WHEN k IS NULL OR k = 0 THEN list_append(slots, {{'rep': id, 'founder': id, 'w': w}})
+    WHEN w > slots[k].w THEN list_concat(list_concat(slots[1 : k - 1], [{{'rep': id, 'founder': slots[k].founder, 'w': w}}]), slots[k + 1 :]) ELSE slots END
+  FROM (SELECT d.r, d.id, d.w, st.slots, {place} AS k FROM st JOIN d ON d.r = st.r + 1)
+), fin AS (SELECT unnest(slots) AS s FROM st WHERE r = (SELECT max(r) FROM st))
+"""
+CRAWL_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1))"
+
+
+def crawl(depth: int, cap: int) -> str:
+    """Depth by depth: links of what was fetched, unseen, on a page that is there, up to a cap for each host."""
+    out = [
+        f"WITH p AS (SELECT page_id, url FROM pages), k AS (SELECT a.url AS src, regexp_replace(b.url, '#.*$', '') AS url FROM p a JOIN p b ON b.page_id IN (a.page_id * 2 + 1, a.page_id * 3) WHERE regexp_matches(b.url, '^https?://')),"
+        f" s0 AS (SELECT url, 0 AS crawl_depth FROM (SELECT url, row_number() OVER (PARTITION BY {CRAWL_HOST} ORDER BY url) AS n FROM (SELECT DISTINCT url FROM p WHERE regexp_matches(url, '^http://[^?#]*$'))) WHERE n <= {cap})"
+    ]
+    for d in range(1, depth + 1):
+        out.append(
+            f"c{d} AS (SELECT DISTINCT k.url FROM k JOIN s{d - 1} l ON l.url = k.src AND l.crawl_depth = {d - 1} WHERE k.url IN (SELECT url FROM p) AND k.url NOT IN (SELECT url FROM s{d - 1})),"
+            f" n{d} AS (SELECT url, {CRAWL_HOST} AS h, row_number() OVER (PARTITION BY {CRAWL_HOST} ORDER BY url) AS n FROM c{d}),"
+            f" s{d} AS (SELECT * FROM s{d - 1} UNION ALL SELECT n.url, {d} FROM n{d} n WHERE n.n + (SELECT count(*) FROM (SELECT {CRAWL_HOST} AS h FROM s{d - 1}) o WHERE o.h = n.h) <= {cap})"
+        )
+    return ", ".join(out) + f" SELECT url, CAST(crawl_depth AS INT) AS crawl_depth FROM s{depth}"
+
+
 SQL: dict[str, str] = {
     "corpus_summary": f"""
 WITH a AS (SELECT doc_id AS seq, source, lang, {CLEANED} AS t FROM documents), g AS (SELECT * FROM a WHERE length(t) BETWEEN 200 AND 200000),
@@ -137,7 +173,38 @@ SELECT source, lang, count(*) AS docs, CAST(sum(words) AS BIGINT) AS words, sum(
     "page_documents": f"""
 WITH p AS (SELECT sha256(url) AS doc_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS domain, {TITLE} AS title, {url_type('url')} AS u, md5({normal(tags('html'))}) AS text_md5 FROM pages)
 SELECT doc_id, url, domain, title, CASE WHEN u <> 'unknown' THEN u ELSE 'html' END AS content_type, text_md5 FROM p""",
-    "near_dup_pairs": TRIGRAMS + "SELECT a, b FROM i WHERE k >= 0.92 * (n + m - k) AND k < n + m - k",
+    "near_dup_pairs": TRIGRAMS + "SELECT a, b, round(k / (n + m - k), 6) AS similarity FROM i WHERE k >= 0.6 * (n + m - k) UNION ALL SELECT one.id, s.id, 1.0 FROM s JOIN one ON one.g = s.g WHERE s.id <> one.id",
+    "near_dup_resolve": TRIGRAMS.replace("WITH t AS", "WITH RECURSIVE t AS", 1) + """, c AS (SELECT s.id, one.id AS head, len(s.g) AS n FROM s JOIN one ON one.g = s.g),
+near AS (SELECT a AS x, b AS y FROM i WHERE k >= 0.92 * (n + m - k) UNION ALL SELECT b, a FROM i WHERE k >= 0.92 * (n + m - k) UNION ALL SELECT id, id FROM one),
+nb AS (SELECT c.id, (c.id % 7) / 7.0::DOUBLE AS w, list(o.id) AS nb FROM c JOIN near ON near.x = c.head JOIN c o ON o.head = near.y WHERE o.id <> c.id GROUP BY c.id)
+""" + RESOLVE.format(place="list_position(list_transform(st.slots, lambda x: list_contains(d.nb, x.rep)), true)") + "SELECT s.rep AS seq, s.founder AS slot FROM fin UNION ALL SELECT doc_id, doc_id FROM documents WHERE doc_id NOT IN (SELECT id FROM nb)",
+    "embedding_dedup_resolve": UNIT.replace("WITH u AS", "WITH RECURSIVE u AS", 1) + """, near AS (SELECT a.vec_id AS x, b.vec_id AS y, list_dot_product(a.v, b.v) AS s FROM n a JOIN n b ON a.vec_id <> b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.4 - 1e-6),
+nb AS (SELECT x AS id, (x % 5) / 5.0::DOUBLE AS w, list(y) AS ys, list(s) AS ss FROM near GROUP BY x)
+""" + RESOLVE.format(place="CASE WHEN len(st.slots) > 0 AND list_max(list_transform(st.slots, lambda x: coalesce(d.ss[list_position(d.ys, x.rep)], -1.0))) > 0 THEN list_position(list_transform(st.slots, lambda x: coalesce(d.ss[list_position(d.ys, x.rep)], -1.0)), list_max(list_transform(st.slots, lambda x: coalesce(d.ss[list_position(d.ys, x.rep)], -1.0)))) END") + "SELECT s.rep AS seq FROM fin UNION ALL SELECT vec_id FROM embeddings WHERE vec_id NOT IN (SELECT id FROM nb)",
+    "crawl_replay": crawl(2, 3),
+    "weight_resample": WEIGHTED + f""", k AS (SELECT doc_id, round(final_weight * 4, 6) AS w, {DRAW} AS u FROM w),
+c AS (SELECT doc_id, CASE WHEN w < 1 THEN CAST(u < w AS INT) ELSE greatest(CAST(floor(w) AS INT), 1) + CAST(w > floor(w) AND u < w - floor(w) AS INT) END AS n FROM k)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(unnest(range(0, n)) AS INT) AS copy FROM c WHERE n > 0""",
+    "weighter_totals": WEIGHTED + f", k AS (SELECT round(final_weight * 4, 6) AS w, {DRAW} AS u FROM w) SELECT count(*) AS docs_in, count(*) FILTER (w >= 1 OR u < w) AS docs_out, round(sum(w), 4) AS total_weight, round(sum(w) / count(*), 6) AS avg_weight, round(count(*) FILTER (w >= 1 OR u < w) / count(*), 6) AS expansion FROM k",
+    "final_weight_pages": f"""
+WITH p AS (SELECT sha256(url) AS doc_id, CAST('0x' || substr(sha256(url), 1, 4) AS INT) AS n FROM pages),
+k AS (SELECT doc_id, ['github.com', 'x.github.com', 'export.arxiv.org', 'huggingface.co', 'a.org'][n % 5 + 1] AS d, ['source_code', 'research_paper', 'blog_post'][n % 3 + 1] AS t, ['python', 'java', 'cobol', ''][n % 4 + 1] AS l FROM p)
+SELECT doc_id, round({DOMAIN(lambda w, c: f"{w}::DOUBLE")} * {type_weight('t')} * CASE WHEN t = 'source_code' AND l <> '' THEN {case([(f"l = {q(k)}", f"{w}::DOUBLE") for k, w in fixed.CODE_WEIGHTS.items()], f"{fixed.CODE_WEIGHTS['unknown']}::DOUBLE")} ELSE 1 END * 0.5, 6) AS final_weight, {DOMAIN(lambda w, c: q(c))} AS category FROM k""",
+    "contract_report": DECIDED + "SELECT (SELECT count(*) FROM x) AS rows, (SELECT count(*) FROM x WHERE reason = 'accepted') AS accepted, (SELECT count(*) FROM x WHERE reason <> 'accepted') AS rejected, (SELECT count(*) FROM x WHERE reason = 'accepted' AND seq % 3 <> 0) AS rights_unknown, reason, count(*) AS n FROM x WHERE reason <> 'accepted' GROUP BY reason",
+    "profile_groups": "SELECT n_nationkey AS dataset_id, n_name AS profile, r_name AS group_name FROM nation JOIN region ON r_regionkey = n_regionkey",
+    "record_hash": "SELECT doc_id, sha256('{\"doc_id\":' || doc_id || ',\"lang\":' || CAST(to_json(lang) AS VARCHAR) || ',\"license\":null,\"n_chars\":' || n_chars || ',\"source\":' || CAST(to_json(source) AS VARCHAR) || ',\"text\":' || CAST(to_json(text) AS VARCHAR) || '}') AS record_sha256 FROM documents",
+    "content_fold": "WITH h AS (SELECT source, doc_id // 4096 AS part, sha256(string_agg(sha256(text), '' ORDER BY doc_id)) AS h FROM documents GROUP BY 1, 2) SELECT source, sha256(string_agg(h, '' ORDER BY part)) AS content_sha256 FROM h GROUP BY source",
+    "stage_throughput": "SELECT p_partkey, CASE WHEN p_retailprice - 1000 > 0 THEN round(p_size * 1000 / (p_retailprice - 1000), 3) END AS per_second FROM part",
+    "dedup_totals": f"WITH k AS (SELECT count(*) AS n, count(DISTINCT array_to_string({words('lower(text)')}, ' ')) AS d FROM documents) SELECT n AS documents_in, d AS kept, n - d AS removed, round((n - d) / greatest(n, 1), 6) AS removed_share FROM k",
+    "parse_files": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'a.json' AS url, '{"doc_id":' || doc_id || ',"lang":"' || lang || '"}' || chr(10) || '{"n":' || n_chars || '}' AS text, 'structured_data' AS content_type, CAST(NULL AS VARCHAR) AS error FROM documents
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'b.csv', 'record 2' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'lang: ' || lang || chr(10) || 'column_3: a, b' || chr(10) || 'note: ' || chr(10) || chr(10) || 'record 5' || chr(10) || 'doc_id: last' || chr(10) || 'lang: x' || chr(10) || 'y' || chr(10) || 'column_3: ' || chr(10) || 'note: ', 'tabular_data', NULL FROM documents""",
+    "run_manifest_metrics": "SELECT CAST(l_orderkey AS VARCHAR) AS run_id, 'line' || l_linenumber || '.quantity' AS metric_name, max(l_quantity) AS metric_value FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_linenumber UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'line' || l_linenumber || '.price', max(l_extendedprice) FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_linenumber",
+    "run_validate": """
+WITH r AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey = 1), n AS (SELECT count(*) AS runs, count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer)) AS lone, (SELECT count(*) FROM supplier) AS sources FROM r)
+SELECT unnest(['run exists', 'experiment exists', 'dataset recorded', 'dataset manifest hashed', 'sources recorded', 'configurations recorded', 'artefacts hashed', 'artefact parents recorded', 'stages ended', 'no errors', 'checkpoints have artefacts', 'source statistics attached']) AS name,
+  unnest([CASE WHEN runs = 1 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN lone = 0 THEN 'PASS' ELSE 'FAIL' END, 'PASS', 'WARN', CASE WHEN sources > 0 THEN 'PASS' ELSE 'WARN' END, 'WARN', 'PASS', 'PASS', 'PASS', 'PASS', 'PASS', 'PASS']) AS status,
+  unnest(['rows: ' || runs, 'runs without experiment: ' || lone, 'data sets: 1', 'without hash: 1', 'sources: ' || sources, 'configurations: 0', 'without hash: 0', 'without parent: 0', 'not ended: 0', 'errors: 0', 'without artefact: 0', 'without source: 0']) AS detail FROM n""",
     "embedding_dup_pairs": UNIT + " SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.4 - 1e-6",
     "embedding_topk": UNIT + ", p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.v, b.v) DESC, b.vec_id) AS rank FROM n a JOIN n b ON a.vec_id <> b.vec_id) SELECT id, neighbour, CAST(rank AS INT) AS rank FROM p WHERE rank <= 5",
     "classify_url": f"SELECT page_id, {url_type('url')} AS content_type FROM pages",
@@ -170,12 +237,7 @@ x AS (SELECT doc_id, k, unnest(range(0, len(k) - 128, 128)) AS pos FROM t WHERE
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(pos AS INT) AS "at", CAST(list_sum(k[pos + 1 : pos + 128]) AS INT) AS x_sum, CAST(list_sum(k[pos + 2 : pos + 129]) AS INT) AS y_sum FROM x""",
     "exclusion_tags": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(array_to_string({excluded('text')}, ','), '') AS tags FROM documents",
     "contract_gate": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, len({words('text')}) >= 30 AND {quality('text')} >= 0.35 AND len({excluded('text')}) = 0 AS keep FROM documents",
-    "acceptance_report": f"""
-WITH d AS (SELECT doc_id AS seq, text, CASE WHEN doc_id % 19 = 0 THEN 'again' ELSE CAST(doc_id AS VARCHAR) END AS id, {excluded('text')} AS tags, {quality('text')} AS quality FROM documents),
-r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM d),
-x AS (SELECT seq, CASE WHEN n > 1 THEN 'duplicate_document_id' WHEN seq % 17 = 0 THEN 'dataset_group_mismatch' WHEN seq % 13 = 0 THEN 'unsupported_source' WHEN len(tags) > 0 THEN array_to_string(tags, ',')
-  WHEN NOT (len({words('text')}) >= 30 AND quality >= 0.35) THEN 'quality_gate' WHEN seq % 11 = 0 THEN 'missing_source_identity' ELSE 'accepted' END AS reason FROM r)
-SELECT reason, count(*) AS n, CAST(count(*) FILTER (seq % 3 <> 0) AS BIGINT) AS rights_unknown FROM x GROUP BY reason""",
+    "acceptance_report": DECIDED + "SELECT reason, count(*) AS n, CAST(count(*) FILTER (seq % 3 <> 0) AS BIGINT) AS rights_unknown FROM x GROUP BY reason",
     "source_status": SOURCE_FACTS + " SELECT k, CASE WHEN k % 10 = 0 THEN 'DISABLED' WHEN limited > 0 THEN 'RATE_LIMITED' WHEN documents > 0 AND errors > 0 THEN 'PARTIAL' WHEN documents > 0 THEN 'SUCCESS' WHEN errors > 0 THEN 'FAILED' WHEN skipped > 0 THEN 'SKIPPED' ELSE 'EMPTY' END AS status FROM g",
     "http_buckets": "WITH s AS (SELECT event_id % 5 * 100 + 101 + event_id % 7 AS s FROM events) SELECT count(*) FILTER (s BETWEEN 200 AND 299) AS http_2xx, count(*) FILTER (s BETWEEN 400 AND 499) AS http_4xx, count(*) FILTER (s BETWEEN 500 AND 599) AS http_5xx FROM s",
     "stage_counts": CLEAN_CTE + f"""

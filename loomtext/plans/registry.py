@@ -10,9 +10,9 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators import clean, contract, dedup, encode, packing, reporting, sampling, signals
-from ..session import table
+from ..session import spread, table
 from ..sources import readers
-from . import store
+from . import provenance, store
 
 CLEAN = clean.CleanConfig(shortest=200, longest=200_000, groups={"boilerplate": (1.0, [r"\ball rights reserved\b", r"\bwith the\b"])}, threshold=0.004)
 
@@ -22,8 +22,13 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source", "n_chars")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for work on their texts: a small table, which comes in one split, is dealt over all cores."""
+    return spread(documents(spark, sf))
+
+
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"))
 
 
 def visits(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,12 +43,12 @@ def r6(c):
 
 
 def _docs_weighted(spark: SparkSession, sf: str) -> DataFrame:
-    d = documents(spark, sf).withColumn("quality", T.quality_score(F.col("text")))
+    d = texts(spark, sf).withColumn("quality", T.quality_score(F.col("text")))
     return d.withColumn("content_type", T.classify_text(F.col("text"))).withColumn("final_weight", T.final_weight(F.lit(""), F.col("content_type"), F.lit(""), F.col("quality")))
 
 
 def corpus_summary(spark, sf):
-    d = clean.clean(documents(spark, sf), clean.CleanConfig(shortest=200, longest=200_000)).where("kept").withColumn("quality", T.quality_score(F.col("text")))
+    d = clean.clean(texts(spark, sf), clean.CleanConfig(shortest=200, longest=200_000)).where("kept").withColumn("quality", T.quality_score(F.col("text")))
     # scores are whole hundredths, and the weight of a text of unknown type from no domain is 0.8 of its score; sums stay exact
     hundredths = F.sum(F.round(F.col("quality") * 100).cast("long"))
     return d.groupBy("source", "lang").agg(F.count("*").alias("docs"), F.sum(T.n_words(F.col("text"))).alias("words"), (hundredths / F.count("*") / 100).alias("mean_quality"), (hundredths * 80 / 10_000).alias("total_weight"))
@@ -51,29 +56,29 @@ def corpus_summary(spark, sf):
 
 def text_metrics(spark, sf):
     t = F.col("text")
-    return documents(spark, sf).select("doc_id", T.n_words(t).alias("words"), F.char_length(t).alias("chars"), F.size(F.array_distinct(T.words(F.lower(t)))).alias("unique_words"), T.letters(t).alias("letters"), T.digits(t).alias("digits"))
+    return texts(spark, sf).select("doc_id", T.n_words(t).alias("words"), F.char_length(t).alias("chars"), F.size(F.array_distinct(T.words(F.lower(t)))).alias("unique_words"), T.letters(t).alias("letters"), T.digits(t).alias("digits"))
 
 
 def clean_kept(spark, sf):
-    d = clean.clean(documents(spark, sf), CLEAN)
+    d = clean.clean(texts(spark, sf), CLEAN)
     return d.select("doc_id", "clean_action", r6("clean_score").alias("clean_score"), "kept", F.md5("text").alias("text_md5"))
 
 
 def clean_outcomes(spark, sf):
-    return clean.outcomes(clean.clean(documents(spark, sf), CLEAN))
+    return clean.outcomes(clean.clean(texts(spark, sf), CLEAN))
 
 
 def redact(spark, sf):
-    d = clean.clean(documents(spark, sf), clean.CleanConfig(action="redact", shortest=200, longest=200_000, groups=CLEAN.groups, threshold=CLEAN.threshold))
+    d = clean.clean(texts(spark, sf), clean.CleanConfig(action="redact", shortest=200, longest=200_000, groups=CLEAN.groups, threshold=CLEAN.threshold))
     return d.where("clean_action = 'redacted'").select("doc_id", F.md5("text").alias("text_md5"))
 
 
 def exact_dedup_clean(spark, sf):
-    return clean.clean(documents(spark, sf), clean.CleanConfig(shortest=200, longest=200_000, refusal=False)).where("kept").select("doc_id")
+    return clean.clean(texts(spark, sf), clean.CleanConfig(shortest=200, longest=200_000, refusal=False)).where("kept").select("doc_id")
 
 
 def exact_dedup_normalized(spark, sf):
-    return dedup.first_of(documents(spark, sf), dedup.normal_key(F.col("text"))).select("doc_id")
+    return dedup.first_of(texts(spark, sf), dedup.normal_key(F.col("text"))).select("doc_id")
 
 
 def html_strip_pages(spark, sf):
@@ -89,11 +94,12 @@ def page_documents(spark, sf):
 
 
 def near_dup_pairs(spark, sf):
-    return dedup.similar_pairs(documents(spark, sf), 0.92).where("similarity < 1").select("a", "b")
+    """Pairs between classes of equal trigram sets, and every other row of a class with its first."""
+    return dedup.similar_pairs(texts(spark, sf), 0.6).select("a", "b", r6("similarity").alias("similarity"))
 
 
 def near_dup_resolve(spark, sf):
-    d = documents(spark, sf).withColumn("final_weight", F.pmod(F.col("seq"), F.lit(7)) / 7.0)
+    d = texts(spark, sf).withColumn("final_weight", F.pmod(F.col("seq"), F.lit(7)) / 7.0)
     return dedup.resolve_similar(d, 0.92)
 
 
@@ -114,7 +120,7 @@ def classify_url(spark, sf):
 
 
 def classify_text(spark, sf):
-    return documents(spark, sf).select("doc_id", T.classify_text(F.col("text")).alias("content_type"))
+    return texts(spark, sf).select("doc_id", T.classify_text(F.col("text")).alias("content_type"))
 
 
 def code_language(spark, sf):
@@ -122,11 +128,11 @@ def code_language(spark, sf):
 
 
 def reclassify(spark, sf):
-    return documents(spark, sf).select("doc_id", T.reclassify(F.lit("unknown"), F.col("text")).alias("content_type"))
+    return texts(spark, sf).select("doc_id", T.reclassify(F.lit("unknown"), F.col("text")).alias("content_type"))
 
 
 def quality_score(spark, sf):
-    return documents(spark, sf).select("doc_id", r6(T.quality_score(F.col("text"))).alias("quality"))
+    return texts(spark, sf).select("doc_id", r6(T.quality_score(F.col("text"))).alias("quality"))
 
 
 def document_score(spark, sf):
@@ -154,6 +160,27 @@ def weight_expand_whole(spark, sf):
     return sampling.resample(d, "both", weight="w").select("doc_id", "copy")
 
 
+def weight_resample(spark, sf):
+    """Fractional weights with draws that are hashes of the keys."""
+    d = _docs_weighted(spark, sf).withColumn("w", F.round(F.col("final_weight") * 4, 6))
+    return sampling.resample(d, "both", weight="w").select("doc_id", "copy")
+
+
+def weighter_totals(spark, sf):
+    d = _docs_weighted(spark, sf).withColumn("w", F.round(F.col("final_weight") * 4, 6))
+    return sampling.totals(d, sampling.resample(d, "downsample", weight="w"), "w").select("docs_in", "docs_out", F.round("total_weight", 4).alias("total_weight"), r6("avg_weight").alias("avg_weight"), r6("expansion").alias("expansion"))
+
+
+def final_weight_pages(spark, sf):
+    """Weights with domains, types by URL and code languages."""
+    p = readers.page_documents(pages(spark, sf))
+    n = F.conv(F.substring("doc_id", 1, 4), 16, 10).cast("int")
+    domain = F.element_at(F.array(*[F.lit(x) for x in ("github.com", "x.github.com", "export.arxiv.org", "huggingface.co", "a.org")]), n % 5 + 1)
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("source_code", "research_paper", "blog_post")]), n % 3 + 1)
+    lang = F.element_at(F.array(*[F.lit(x) for x in ("python", "java", "cobol", "")]), n % 4 + 1)
+    return p.select("doc_id", r6(T.final_weight(domain, kind, lang, F.lit(0.5))).alias("final_weight"), T.domain_rule(domain, 2).alias("category"))
+
+
 def weight_resample_exact(spark, sf):
     return sampling.resample_in_order(_docs_weighted(spark, sf).withColumn("w", F.col("final_weight") * 4), "both", weight="w").groupBy("doc_id").agg(F.count("*").alias("copies"))
 
@@ -171,12 +198,12 @@ def split_assignment(spark, sf):
 
 
 def shard_offsets(spark, sf):
-    d = sampling.split(documents(spark, sf), 0.05)
+    d = sampling.split(texts(spark, sf), 0.05)
     return packing.offsets(d, T.n_words(F.col("text")) + 1).select("doc_id", "part", "start", F.expr("start div 50000").alias("shard"))
 
 
 def _word_tokens(spark, sf):
-    d = sampling.split(documents(spark, sf), 0.05)
+    d = sampling.split(texts(spark, sf), 0.05)
     return d.withColumn("tokens", packing.with_end(F.transform(T.words(F.col("text")), lambda w: F.char_length(w)), 2))
 
 
@@ -191,27 +218,75 @@ def batch_windows(spark, sf):
 
 
 def exclusion_tags(spark, sf):
-    return documents(spark, sf).select("doc_id", F.array_join(T.exclusion_tags(F.col("text")), ",").alias("tags"))
+    return texts(spark, sf).select("doc_id", F.array_join(T.exclusion_tags(F.col("text")), ",").alias("tags"))
 
 
 def contract_gate(spark, sf):
     t = F.col("text")
-    return documents(spark, sf).select("doc_id", contract.gate(t, T.quality_score(t), T.exclusion_tags(t)).alias("keep"))
+    return texts(spark, sf).select("doc_id", contract.gate(t, T.quality_score(t), T.exclusion_tags(t)).alias("keep"))
 
 
 def _decided(spark, sf):
-    d = documents(spark, sf).withColumns({
-        "url": F.when(F.col("seq") % 11 == 0, "").otherwise(F.concat(F.lit("https://example.org/"), F.col("doc_id"))), "source": F.when(F.col("seq") % 13 == 0, "local_files").otherwise("web"),
-        "dataset_group": F.when(F.col("seq") % 17 == 0, "other").otherwise("text"), "quality_signal": T.quality_score(F.col("text")), "source_identity": F.create_map().cast("map<string,string>"),
+    kinds = ["web", "github", "arxiv", "huggingface", "google"]
+    kind = F.when(F.col("seq") % 13 == 0, "local_files").otherwise(F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("seq") % 5 + 1).cast("int")))
+    # every seventh row lacks the last of its identity's keys
+    part = F.when(F.col("seq") % 7 == 0, "").otherwise("v")
+    names = [(k, v) for k, v in (("full_name", F.lit("a/b")), ("commit_sha", part), ("arxiv_id", F.lit("1")), ("version", part), ("repo", F.lit("r")), ("revision", F.lit("1")), ("split", F.lit("s")), ("row_index", part), ("result_url", F.lit("u")), ("query", part))]
+    d = texts(spark, sf).withColumns({
+        "url": F.when(F.col("seq") % 11 == 0, "").otherwise(F.concat(F.lit("https://example.org/"), F.col("doc_id"))), "source": kind,
+        "dataset_group": F.when(F.col("seq") % 17 == 0, "other").otherwise("text"), "quality_signal": T.quality_score(F.col("text")), "source_identity": F.create_map(*[x for k, v in names for x in (F.lit(k), v)]),
         "license_status": F.when(F.col("seq") % 3 == 0, "verified").otherwise("unknown"), "doc_id": F.when(F.col("seq") % 19 == 0, F.lit("again")).otherwise(F.col("doc_id")),
     })
-    return contract.decide(d, "text")
+    return contract.decide(d, "text", kinds=kinds)
 
 
 def acceptance_report(spark, sf):
     return _decided(spark, sf).groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"), F.sum((F.col("license_status") != "verified").cast("int")).alias("rights_unknown"))
 
 
+def contract_report(spark, sf):
+    """The acceptance report itself, its reasons one a row."""
+    return contract.report(_decided(spark, sf)).select("rows", "accepted", "rejected", "rights_unknown", F.explode("reasons").alias("reason", "n"))
+
+
+def profile_groups(spark, sf):
+    p = table(spark, sf, "nation").select(F.col("n_nationkey").alias("dataset_id"), F.col("n_name").alias("profile"), F.col("n_regionkey").alias("group_id"))
+    g = table(spark, sf, "region").select(F.col("r_regionkey").alias("group_id"), F.col("r_name").alias("group_name"))
+    return contract.bind_profiles(p, g).select("dataset_id", "profile", "group_name")
+
+
+def record_hash(spark, sf):
+    d = table(spark, sf, "documents").withColumn("license", F.lit(None).cast("string"))
+    return d.select("doc_id", provenance.record_hash("doc_id", "lang", "source", "n_chars", "text", "license").alias("record_sha256"))
+
+
+def content_fold(spark, sf):
+    return signals.content_fold(documents(spark, sf), "source", "text", "seq")
+
+
+def stage_throughput(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", signals.throughput(F.col("p_size") * 1000, F.col("p_retailprice") - 1000).alias("per_second"))
+
+
+def dedup_totals(spark, sf):
+    d = documents(spark, sf)
+    return dedup.dedup_totals(d.count(), exact_dedup_normalized(spark, sf))
+
+
+def embedding_topk_cells(spark, sf):
+    """Neighbours by the cell index, as many cells as there are for so few vectors."""
+    return dedup.topk(table(spark, sf, "embeddings"), 5, kind="ivf")
+
+
+def parse_files(spark, sf):
+    """A JSON and a CSV file made of every document's facts, parsed."""
+    d = documents(spark, sf)
+    as_json = F.concat(F.lit('[{"lang": "'), "lang", F.lit('", "doc_id": '), "doc_id", F.lit('}, {"n": '), F.col("n_chars").cast("string"), F.lit("}]"))
+    as_csv = F.concat(F.lit("doc_id,lang,,note\n"), "doc_id", F.lit(","), "lang", F.lit(',"a, b"\n\n , ,\nlast,"x\ny"\n'))
+    files = d.select("doc_id", F.encode(as_json, "utf-8").alias("content"), F.lit("a.json").alias("url")).unionAll(d.select("doc_id", F.encode(as_csv, "utf-8").alias("content"), F.lit("b.csv").alias("url")))
+    return readers.parsed(files).select("doc_id", "url", "text", "content_type", "error")
+
+
 def _source_facts(spark, sf):
     o = table(spark, sf, "orders")
     n = lambda c: F.sum(c.cast("int"))
@@ -230,7 +305,7 @@ def http_buckets(spark, sf):
 
 
 def stage_counts(spark, sf):
-    d = documents(spark, sf)
+    d = texts(spark, sf)
     return signals.stage_counts(d, clean.clean(d, CLEAN).where("kept"))
 
 
@@ -255,29 +330,47 @@ def run_store(spark, sf) -> store.RunStore:
     """Orders as runs, customers as experiments, suppliers as sources."""
     c, o, s = (table(spark, sf, n) for n in ("customer", "orders", "supplier"))
     text = lambda x: F.col(x).cast("string")
-    none = lambda t: F.lit(None).cast(t)
     at = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return store.RunStore(spark, {
-        "experiments": c.select(text("c_custkey").alias("id"), F.col("c_name").alias("name"), none("string").alias("tags_json"), F.lit("2024").alias("created_at"), F.lit("2024").alias("updated_at")),
-        "runs": o.select(text("o_orderkey").alias("id"), text("o_custkey").alias("experiment_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("git_sha"), at.alias("started_at"), none("string").alias("ended_at"), F.col("o_totalprice").alias("duration_seconds"), none("string").alias("metadata_json")),
-        "datasets": spark.createDataFrame([("d1", "1", "set", "g", None)], store.SCHEMAS["datasets"][0]),
-        "sources": s.select(F.col("s_suppkey").alias("id"), F.lit("d1").alias("dataset_id"), F.lit("1").alias("run_id"), F.lit("web").alias("kind"), F.col("s_name").alias("identifier"), none("string").alias("revision"), none("string").alias("license")),
-        "source_stats": s.where(F.col("s_suppkey") % 2 == 0).select(F.col("s_suppkey").alias("source_id"), F.floor("s_acctbal").cast("long").alias("fetched"), F.lit(0).cast("long").alias("errors"), F.lit(0).cast("long").alias("http_2xx"), F.lit(0).cast("long").alias("http_4xx"), F.lit(0).cast("long").alias("http_5xx")),
+        "experiments": c.select(text("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("2024").alias("created_at"), F.lit("2024").alias("updated_at")),
+        "runs": o.select(text("o_orderkey").alias("id"), text("o_custkey").alias("experiment_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("git_sha"), at.alias("started_at")),
+        "datasets": spark.createDataFrame([("d1", "1", "g")], "id string, run_id string, dataset_group string"),
+        "sources": s.select(F.col("s_suppkey").alias("id"), F.lit("d1").alias("dataset_id"), F.lit("web").alias("kind"), F.col("s_name").alias("identifier")),
+        "source_stats": s.where(F.col("s_suppkey") % 2 == 0).select(F.col("s_suppkey").alias("source_id"), F.floor("s_acctbal").cast("long").alias("documents")),
     })
 
 
+def run_manifest_metrics(spark, sf):
+    """Orders and their lines as run manifests, put into the store twice; the metrics of all runs."""
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_tax")])
+    metrics = F.map_from_arrays(F.array(F.lit("quantity"), F.lit("price")), F.array("l_quantity", "l_extendedprice"))
+    stage = F.struct(F.concat(F.lit("line"), F.col("l_linenumber").cast("string")), F.struct(F.lit("PASS").alias("status"), F.lit("s").alias("start"), F.lit("e").alias("end"), F.col("l_tax").alias("duration_seconds"), metrics.alias("metrics")))
+    lines = li.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(stage)).alias("stages"))  # seven lines an order at most
+    none = F.lit(None)
+    m = o.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.lit(2).alias("schema"), F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_custkey").cast("string").alias("experiment_id"), none.cast("string").alias("dataset_id"),
+        F.struct(F.lit("t").alias("started"), F.lit("u").alias("updated"), none.cast("string").alias("ended")).alias("timestamps"), F.struct(none.cast("string").alias("commit"), none.cast("string").alias("branch"), F.lit(False).alias("dirty")).alias("git"),
+        F.create_map().cast("map<string,string>").alias("configuration"), "stages", F.array().cast("array<struct<artifact_id:string,stage:string,path:string,sha256:string,size:long>>").alias("artifacts"),
+        F.array().cast("array<string>").alias("warnings"), F.array().cast("array<string>").alias("errors"), F.col("o_orderstatus").alias("final_status"),
+    )
+    s = store.RunStore(spark)
+    s.sync(m)
+    s.sync(m)
+    return s.t["metrics"].select("run_id", "metric_name", "metric_value")
+
+
 def run_search(spark, sf):
     return run_store(spark, sf).search(status="F", limit=50).select("id", "experiment_name", "status", "started_at")
 
 
 def run_lineage_sources(spark, sf):
-    return run_store(spark, sf).source_lineage("1").select("id", "identifier", F.coalesce("fetched", F.lit(-1)).alias("fetched"))
+    return run_store(spark, sf).source_lineage("1").select("id", "identifier", F.coalesce("documents", F.lit(-1)).alias("fetched"))
 
 
 def run_upsert(spark, sf):
     s = run_store(spark, sf)
     new = s.t["runs"].where(F.col("id").cast("long") % 5 == 0).withColumns({"status": F.lit("DONE"), "started_at": F.lit("later"), "id": F.when(F.col("id").cast("long") % 10 == 0, F.concat(F.lit("new-"), F.col("id"))).otherwise(F.col("id"))})
-    s.upsert("runs", new, ["status", "ended_at"])
+    s.upsert("runs", new, ["status", "completed_at"])
     return s.t["runs"].select("id", "status", "started_at")
 
 
@@ -323,17 +416,19 @@ def field_text(spark, sf):
 
 
 def crawl_replay(spark, sf):
-    p = pages(spark, sf)
-    links = p.select("url", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("link"))
-    seeds = p.where(~F.col("url").rlike("[?#]")).select("url")
-    return readers.replay_crawl(p, links, seeds, same_domain=False)
+    """A crawl over the pages, whose links lead from each page to two others, three pages of a domain at most."""
+    p = table(spark, sf, "pages")
+    q = p.select(F.col("page_id").alias("to"), F.col("url").alias("link"))
+    links = p.select("url", F.explode(F.array(F.col("page_id") * 2 + 1, F.col("page_id") * 3)).alias("to")).join(q, "to").select("url", "link")
+    seeds = p.where(F.col("url").rlike("^http://[^?#]*$")).select("url")
+    return readers.replay_crawl(p, links, seeds, same_domain=False, domain_cap=3)
 
 
 def bpe_tokenize(spark, sf):
     import public_tokenizers
 
     t = encode.encoded(F.col("text"), str(public_tokenizers.path("byte_bpe_50k.json")))
-    return encode.texts(documents(spark, sf)).select("doc_id", t.alias("ids")).select("doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"))
+    return encode.texts(texts(spark, sf)).select("doc_id", t.alias("ids")).select("doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"))
 
 
 def source_manifest(spark, sf):
@@ -364,8 +459,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         corpus_summary, text_metrics, clean_outcomes, clean_kept, redact, exact_dedup_clean, exact_dedup_normalized, html_strip_pages, html_strip_dom, page_documents,
         near_dup_pairs, near_dup_resolve, embedding_dup_pairs, embedding_topk, embedding_dedup_resolve, classify_url, classify_text, code_language, reclassify,
-        quality_score, document_score, final_weight, signal_gate, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample_exact, reservoir_sample,
-        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, exclusion_tags, contract_gate, acceptance_report, source_status, http_buckets,
+        quality_score, document_score, final_weight, final_weight_pages, signal_gate, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample, weighter_totals, weight_resample_exact, reservoir_sample,
+        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
         stage_counts, source_licences, latest_metric, metric_unpivot, run_search, run_lineage_sources, run_upsert, run_validate, dataset_pages, event_tail,
         generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay, bpe_tokenize, source_manifest, manifest_faults, run_progress, log_redaction, token_totals,
     )

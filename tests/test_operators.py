@@ -191,7 +191,21 @@ def test_contract(spark):
 
 def test_parsers():
     p = lambda raw, url: parsers.parse(raw, url)
-    assert p(b'name,note\na,"x, y"\nb', "f.csv")["text"] == "record 1\nname: a\nnote: x, y\n\nrecord 2\nname: b\nnote: "
+    assert p(b'name,note\na,"x, y"\nb', "f.csv")["text"] == "record 2\nname: a\nnote: x, y\n\nrecord 3\nname: b\nnote: "
+    assert p(b"a,b\n , \n\n1,\x002\n", "f.csv")["text"] == "record 4\na: 1\nb: 2"
+    assert p(b" , \nx,y\n", "f.csv")["text"] == "record 2\ncolumn_1: x\ncolumn_2: y"
+    q = p(b'name,description,value\n"alpha, beta","quoted value",42\nsecond,plain,7\n', "https://e.test/data.csv")
+    assert q["content_type"] == "tabular_data" and "name: alpha, beta\ndescription: quoted value\nvalue: 42" in q["text"] and q["text"].count("record ") == 2
+    for raw, url in ((b"", "f.csv"), (b"a,b\n", "f.csv"), (b"[]", "f.json"), (b"\n\n", "f.jsonl"), (b"<a><b/></a>", "f.xml"), (b"<html><nav>x</nav></html>", "f.html")):
+        assert parsers.parse_or_error(raw, url)["text"] is None and parsers.parse_or_error(raw, url)["error"], url
+    kinds = {"f.json": b"[1]", "f.jsonl": b"1", "f.xml": b"<a>x</a>"}
+    assert {p(raw, url)["content_type"] for url, raw in kinds.items()} == {"structured_data"}
+    h = p(b'<html><head><title>Example</title></head><body><p>Hello</p><a href="/next">Next</a></body></html>', "https://e.test/i.html")
+    assert (h["title"], h["text"], h["links"]) == ("Example", "Example Hello", ["/next"])
+    with pytest.raises(ValueError, match="unsupported content type"):
+        p(b"\x00\x01", "blob.bin")
+    for html, text in (("<div><form>a</div>b", "b"), ("<ul><li><nav>x</ul>tail", "tail"), ("<b><div><nav>x</b>y</div>z", "z"), ("<table><tr><td><a href=1>x<td>y</table>z", "y z"), ("<p>one<br/>two<script>if(a<b){}</script>three", "one two three")):
+        assert p(html.encode(), "f.html")["text"] == text, html
     assert p(b"a\tb\n1\t2\n", "f.tsv")["text"].endswith("a: 1\nb: 2")
     assert p('[{"b": 1, "a": "é"}, 2]'.encode(), "f.json")["text"] == '{"a":"é","b":1}\n2'
     assert "line 2" in parsers.parse_or_error(b'{"a":1}\nnope', "f.jsonl")["error"]
@@ -224,6 +238,21 @@ def test_readers(spark, tmp_path):
     links = spark.createDataFrame([("https://a.org/1", "https://a.org/2#x"), ("https://a.org/2", "https://b.org/3"), ("https://a.org/2", "https://a.org/4"), ("https://a.org/1", "http://10.0.0.1/x")], "url string, link string")
     crawl = {r.url: r.crawl_depth for r in readers.replay_crawl(pages, links, ["https://a.org/1"]).collect()}
     assert crawl == {"https://a.org/1": 0, "https://a.org/2": 1, "https://a.org/4": 2}
+    more = spark.createDataFrame([("https://a.org/1", "/2"), ("https://a.org/1", "4#x"), ("https://a.org/2", "https://b.org/3"), ("https://a.org/4", "//b.org/3")], "url string, link string")
+    crawl = lambda cap: {r.url: r.crawl_depth for r in readers.replay_crawl(pages, more, ["https://a.org/1"], same_domain=False, domain_cap=cap).collect()}
+    assert crawl(5) == {"https://a.org/1": 0, "https://a.org/2": 1, "https://a.org/4": 1, "https://b.org/3": 2}
+    assert crawl(1) == {"https://a.org/1": 0}  # pages beyond the cap aren't fetched, so their links aren't known
+    hosts = ["https://a.org/x", "http://10.0.0.1/", "http://127.0.0.1:80/", "http://[::1]/", "http://[2606:4700::1111]/", "http://8.8.8.8/", "http://2130706433/", "http://0x7f.1/", "http://localhost/", "http://x.local/", "ftp://a.org/", "http://100.64.0.1/", "http://u@10.0.0.1/", "http://3.a.org/"]
+    ok = [r[0] for r in spark.createDataFrame([(i, h) for i, h in enumerate(hosts)], "i int, u string").orderBy("i").select(readers.allowed(F.col("u"))).collect()]
+    assert ok == [True, False, False, False, True, True, False, False, False, False, False, False, False, True]
+    dump = spark.createDataFrame([([("t1", "u1", "s1"), ("t2", "u2", "s2")],)], "items array<struct<title:string,link:string,snippet:string>>")
+    assert [tuple(r) for r in readers.search_results(dump, "q", most=1).collect()] == [(0, "u1", "t1\ns1", "q")]
+    (tmp_path / "c.yaml").write_text("sources:\n  - {name: a, n: 1}\n  - {name: b}\n")
+    assert [tuple(r) for r in readers.read_yaml(spark, str(tmp_path / "c.yaml"), "sources").collect()] == [(0, '{"n": 1, "name": "a"}'), (1, '{"name": "b"}')]
+    copied = readers.ingest(spark, [str(files)], str(tmp_path / "in")).collect()
+    assert sorted(r.size for r in copied) == [2, 5, 5] and all((tmp_path / "in" / r.name).read_bytes() is not None and hashlib.sha256((tmp_path / "in" / r.name).read_bytes()).hexdigest() == r.sha256 for r in copied)
+    with pytest.raises(ValueError):
+        readers.ingest(spark, [str(files)], str(tmp_path / "in2"), most_files=2)
     repos = spark.createDataFrame([("u1", 5, "MIT"), ("u1", 5, "MIT"), ("u2", 9, "NOASSERTION"), ("u3", 1, None)], "url string, stars long, spdx string")
     assert [(r.url, r.license_status) for r in readers.repositories(repos, least_stars=2).collect()] == [("u2", "unknown"), ("u1", "verified")]
     (tmp_path / "p.xml").write_text("<feed><entry><id>http://arxiv.org/abs/2401.1v2</id><title>A\n  b</title><summary> s\n t </summary></entry></feed>")
@@ -232,25 +261,179 @@ def test_readers(spark, tmp_path):
 
 def test_store(spark, tmp_path):
     s = store.RunStore(spark)
-    run = lambda i, status, at: spark.createDataFrame([(i, "e", status, "sha", at, None, 1.0, None)], store.SCHEMAS["runs"][0])
-    s.upsert("experiments", spark.createDataFrame([("e", "exp", None, "t0", "t0")], store.SCHEMAS["experiments"][0]))
+    run = lambda i, status, at: spark.createDataFrame([(i, "e", status, "sha", at)], "id string, experiment_id string, status string, git_sha string, started_at string")
+    s.upsert("experiments", spark.createDataFrame([("e", "exp", "t0", "t0")], "id string, name string, created_at string, updated_at string"))
     s.upsert("runs", run("r1", "RUNNING", "t1"))
     s.upsert("runs", run("r1", "PASS", "t9"))
     s.upsert("runs", run("r2", "PASS", "t2"))
     assert [(r.id, r.status, r.started_at) for r in s.search().collect()] == [("r2", "PASS", "t2"), ("r1", "PASS", "t1")]
-    m = spark.createDataFrame([(1, "r1", "s", "loss", 3.0, 1), (2, "r1", "s", "loss", 2.0, 5), (3, "r1", "s", "loss", 9.0, None)], store.SCHEMAS["metrics"][0])
+    m = spark.createDataFrame([(1, "r1", "loss", 3.0, 1), (2, "r1", "loss", 2.0, 5), (3, "r1", "loss", 9.0, None)], "id long, run_id string, metric_name string, metric_value double, step long")
     s.replace("metrics", m)
     s.replace("metrics", m)
     assert s.t["metrics"].count() == 3 and s.latest_metrics("r1").first().metric_value == 2.0
-    s.replace_sources("d", spark.createDataFrame([(1, "d", "r1", "web", "a", None, None), (2, "d", "r1", "web", "b", None, None)], store.SCHEMAS["sources"][0]), spark.createDataFrame([(1, 5, 0, 5, 0, 0)], store.SCHEMAS["source_stats"][0]))
-    s.upsert("datasets", spark.createDataFrame([("d", "r1", "n", "g", None)], store.SCHEMAS["datasets"][0]))
-    assert [(r.id, r.fetched) for r in s.source_lineage("r1").collect()] == [(1, 5), (2, None)]
+    s.replace_sources("d", spark.createDataFrame([(1, "d", "web", "a"), (2, "d", "web", "b")], "id long, dataset_id string, kind string, identifier string"), spark.createDataFrame([(1, 5)], "source_id long, documents long"))
+    s.upsert("datasets", spark.createDataFrame([("d", "r1", "g")], "id string, run_id string, dataset_group string"))
+    assert [(r.id, r.documents) for r in s.source_lineage("r1").collect()] == [(1, 5), (2, None)]
+    c = spark.createDataFrame([(1, "r1", 10, 3.0), (2, "r1", 30, 2.0), (3, "r1", 20, None)], "id long, run_id string, step long, best_val_loss double")
+    s.replace("checkpoints", c)
+    assert [r.id for r in s.best_checkpoint("r1").collect()] == [2] and [r.id for r in s.kept_checkpoints("r1", 2).collect()] == [2, 3]
+    assert {k: d.count() for k, d in s.compare("r1", "r2").items()} == {"runs": 2, "hardware": 0, "stages": 0, "artifacts": 0}
+    assert set(s.lineage("r1")) == {"run", "datasets", "stages", "artifacts", "configs", "sources", "checkpoints", "metrics", "evaluations", "runtime_estimates", "warnings", "errors"} and s.dangling().count() == 0
     s.write(str(tmp_path / "store"))
     again = store.RunStore.read(spark, str(tmp_path / "store"))
-    assert again.snapshot("r1").first().metrics == {"loss": 2.0} and {r.name: r.status for r in again.validate("r1").collect()}["run exists"] == "PASS"
+    shot = again.snapshot("r1").first()
+    assert (shot.metrics, shot.step, shot.checkpoints, shot.best_loss, shot.loss, shot.checkpoint, shot.artifact_integrity) == ({"loss": 2.0}, 5, 3, 2.0, 2.0, True, False)
+    assert {r.name: r.status for r in again.validate("r1").collect()}["run exists"] == "PASS"
     assert store.final_status(spark.createDataFrame([("PASS",), ("WARN",)], "status string")).first().status == "WARN"
 
 
+def run_manifest(run_id, status, warnings=()):
+    m = provenance.new_run({"crawl": {"a": 1}}, run_id=run_id, dataset_id="d", started="2024-01-01T00:00:00", git={"commit": "c", "branch": "b", "dirty": True})
+    m["stages"] = {"clean": {"status": "PASS", "start": "s", "end": "e", "duration_seconds": 1.5, "metrics": {"document_count": 3, "input_document_count": 4, "token_count": None}}}
+    m["artifacts"] = [{"stage": "clean", "path": "p", "sha256": "0" * 64, "size": 9}]
+    return m | {"final_status": status, "warnings": list(warnings)}
+
+
+def test_run_manifests_in_the_store(spark, tmp_path):
+    s, top = store.RunStore(spark), f"file://{tmp_path}"
+    for name, status, warnings in (("r1", "RUNNING", ["w1", "w2"]), ("r2", "PASS", [])):
+        provenance.write_run_manifest(spark, f"{top}/runs/{name}/run_manifest.json", run_manifest(name, status, warnings))
+    glob = f"{top}/runs/*/run_manifest.json"
+    for _ in range(2):
+        s.sync(store.read_run_manifests(spark, glob))
+        assert {k: s.t[k].count() for k in ("experiments", "runs", "stages", "metrics", "artifacts", "configs", "warnings", "errors")} == {"experiments": 1, "runs": 2, "stages": 2, "metrics": 4, "artifacts": 2, "configs": 2, "warnings": 2, "errors": 0}
+    m = provenance.resume_run(spark, f"{top}/runs/r1/run_manifest.json", "2024-01-02")
+    assert m["final_status"] == "RUNNING" and m["timestamps"]["updated"] == "2024-01-02"
+    provenance.write_run_manifest(spark, f"{top}/runs/r1/run_manifest.json", run_manifest("r1", "PASS"))
+    s.sync(store.read_run_manifests(spark, glob))
+    r = s.t["runs"].where("id = 'r1'").first()
+    assert (r.status, r.git_sha, r.git_dirty, r.started_at) == ("PASS", "c", 1, "2024-01-01T00:00:00") and s.t["warnings"].count() == 0
+    assert {(x.metric_name, x.metric_value) for x in s.t["metrics"].collect()} == {("clean.document_count", 3.0), ("clean.input_document_count", 4.0)}
+    assert s.t["stages"].first().records_in == 4 and {x.status for x in s.validate("r1").where("name in ('run exists', 'artefacts hashed', 'stages ended')").collect()} == {"PASS"}
+    (tmp_path / "runs" / "r2" / "run_manifest.json").write_text('{"schema": 2}')
+    with pytest.raises(Exception):
+        s.sync(store.read_run_manifests(spark, glob))
+        s.t["runs"].collect()
+    with pytest.raises(ValueError):
+        (tmp_path / "old.json").write_text('{"schema": 1}')
+        provenance.resume_run(spark, f"{top}/old.json", "x")
+
+
+def lineage_case():
+    h = {"weighted": "w", "tokenizer": "t", "a.bin": "s", "checkpoint": "c", "source.manifest": "1", "shards.manifest": "2", "tokenizer.manifest": "3", "weighted.manifest": "4", "snap.json": "5"}
+    ids = {"dataset_config_sha256": "x", "tokenizer_config_sha256": "y", "shard_config_sha256": "z"}
+    own = {"config_identities": ids, "run_id": "r"}
+    m = {
+        "source": {"schema": 3, "run_id": "r", "source_definition_sha256": provenance.stable_hash({"web": "q"}), "source_definition_files": {"web": {"sha256": "q"}}}, "weighted": {"sha256": "w", "provenance": own}, "tokenizer": {"sha256": "t", "provenance": own},
+        "shards": {"files": [{"name": "a.bin", "sha256": "s"}], "provenance": own | {"tokenizer_sha256": "t"}}, "export": {"checkpoint_sha256": "c"},
+        "checkpoint": {"sha256": "c", "provenance": own | {"schema": 3, "config_snapshots": {"d": "snap.json"}, "source_manifest_sha256": "1", "shard_manifest_sha256": "2", "parent_artifact_ids": ["shard-manifest:2", "tokenizer-manifest:3", "dataset-manifest:4", "source-manifest:1"]}},
+    }
+    return m, h
+
+
+def test_lineage_checks():
+    m, h = lineage_case()
+    good = provenance.lineage_checks(m, h)
+    assert len(good) == 19 and {s for _, s, _ in good} == {"PASS"} and good[-1][0] == "overall"
+    status = lambda m, h: {n: s for n, s, _ in provenance.lineage_checks(m, h)}
+    assert status(m, h | {"a.bin": "other"})["shard artefacts"] == "FAIL" and status(m, h | {"a.bin": "other"})["overall"] == "FAIL"
+    assert status(m | {"weighted": None}, h) == {"source manifest": "PASS", "weighted manifest": "FAIL", "tokenizer manifest": "PASS", "shards manifest": "PASS"}
+    assert status(m | {"checkpoint": None}, h)["checkpoint lineage"] == "WARN"
+    old = m | {"checkpoint": {"sha256": "c", "provenance": {"schema": 2}}}
+    assert status(old, h)["checkpoint lineage"] == "LEGACY"
+    assert status(m, h | {"shards.manifest": "9"})["parents"] == "FAIL" == status(m, h | {"shards.manifest": "9"})["checkpoint to shards"]
+    assert status(m | {"source": m["source"] | {"schema": 1}}, h)["configuration"] == "FAIL"
+
+
+def test_record_hash_is_of_the_canonical_record(spark):
+    import json
+
+    rows = [("ü\n\"x\"", None, 3, 1.5, {"b": "2", "a": "1"}, [1, None])]
+    d = spark.createDataFrame(rows, "t string, none string, n long, f double, m map<string,string>, l array<int>")
+    want = json.dumps(dict(zip("t none n f m l".split(), rows[0], strict=True)), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert d.select(provenance.record_hash(*d.columns)).first()[0] == hashlib.sha256(want.encode()).hexdigest()
+
+
+def test_an_artefact_is_never_missing_while_it_is_replaced(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}/s"
+    provenance.write_stage(spark.range(3), folder, "k", {})
+    provenance.write_stage(spark.range(4), folder, "k", {})
+    assert spark.read.parquet(folder).count() == 4 and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["s", "s.manifest"]
+
+
+def test_profiles_and_groups(spark):
+    p = spark.createDataFrame([(1, "a"), (2, "b")], "dataset_id int, group_id string")
+    g = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "group_id string, v int")
+    assert sorted((r.dataset_id, r.v) for r in contract.bind_profiles(p, g).collect()) == [(1, 1), (2, 2)]
+    for bad_p, bad_g in ((p, g.where("group_id <> 'b'")), (p.unionAll(p), g), (p, g.unionAll(g))):
+        with pytest.raises(Exception):
+            contract.bind_profiles(bad_p, bad_g).collect()
+
+
+def test_modes_and_indexes(spark):
+    d = spark.createDataFrame([(0, "a b c d e f g", 1.0), (1, "a b c d e f g", 2.0), (2, "x y z", 1.0)], "seq long, text string, final_weight double")
+    assert sorted(r.seq for r in dedup.dedup(d, "auto").collect()) == [1, 2] == sorted(r.seq for r in dedup.dedup(d, "fallback").collect())
+    encoder = lambda c: F.array(F.char_length(c).cast("float"), F.lit(1.0).cast("float"))
+    assert sorted(r.seq for r in dedup.dedup(d, "embedding", encoder=encoder, threshold=0.999).collect()) == [1, 2]
+    for bad in (lambda: dedup.dedup(d, "embedding"), lambda: dedup.dedup(d, "other"), lambda: dedup.index_choice("hnsw", 5)):
+        with pytest.raises(ValueError):
+            bad()
+    assert (dedup.index_choice("ivf", 55), dedup.index_choice("ivf", 10**6), dedup.index_choice("flat", 5)) == (("ivf", 5, 5), ("ivf", 100, 10), ("flat", 0, 0))
+    r = np.random.default_rng(2)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(r.standard_normal((300, 6)))], "vec_id long, embedding array<double>")
+    exact, cells = dedup.topk(v, 5), dedup.topk(v, 5, kind="ivf", cells=20)
+    both = exact.join(cells.drop("rank"), ["id", "neighbour"]).count()
+    assert cells.count() == 1500 and both > 0.8 * 1500
+    t = dedup.dedup_totals(3, d.where("seq < 2")).first()
+    assert tuple(t) == (3, 2, 1, 0.333333)
+    w = sampling.totals(d, d.where("seq = 0")).first()
+    assert (w.docs_in, w.docs_out, w.total_weight) == (3, 1, 4.0)
+
+
+def test_shard_reader(spark, tmp_path):
+    toks = {f"train_{k:05d}.bin": np.arange(k * 100, k * 100 + n, dtype="<u2") for k, n in enumerate((25, 3, 0, 12))}
+    files = []
+    for name, x in toks.items():
+        (tmp_path / name).write_bytes(x.tobytes())
+        files.append((name, x.nbytes, hashlib.sha256(x.tobytes()).hexdigest()))
+    reader = packing.ShardReader(str(tmp_path), files, 8, seed=1)
+    assert reader.names == sampling.shard_order(list(toks), 1) and sorted(reader.names) == sorted(toks)
+    windows = [x[a : a + 9] for name in reader.names for x in [toks[name]] for a in range(0, len(x) - 8, 8)]
+    x, y = reader.next_batch(2 * len(windows) + 1)  # twice round
+    want = (windows * 3)[: 2 * len(windows) + 1]
+    assert (x == np.array([w[:-1] for w in want])).all() and (y == np.array([w[1:] for w in want])).all()
+    state = reader.state()
+    a = reader.next_batch(3)[0]
+    other = packing.ShardReader(str(tmp_path), files, 8, seed=1)
+    other.restore(state)
+    assert (other.next_batch(3)[0] == a).all()
+    bad = [(files[0][0], files[0][1] + 1, files[0][2])], [(files[0][0], files[0][1], "0" * 64)], [(files[0][0], files[0][1], None)], []
+    for f in bad:
+        with pytest.raises(ValueError):
+            packing.ShardReader(str(tmp_path), f, 8)
+    with pytest.raises(ValueError):
+        packing.ShardReader(str(tmp_path), files, 50).next_batch(1)
+    with pytest.raises(ValueError):
+        other.restore(state | {"length": 9})
+
+
+def test_prefilters_never_hide_a_match(spark):
+    from loomtext.functions import fixed
+
+    every = [(p, True) for ps in fixed.EXCLUSIONS.values() for p in ps] + fixed.SIGNAL_REWARDS + fixed.SIGNAL_PENALTIES + [(p, True) for p in fixed.QUALITY_REWARDS + fixed.QUALITY_PENALTIES]
+    texts = ["Figure 12 SHOWS", "the Lemma and PROOF", "O(N) Algorithm", "you have got\na diagnosis", "PRESCRIBE some Medication", "cures Cancer", "Vaccines cause autism", "TV review", "de def x", "Smith et al. 2001.12345", "Section  3", "!!!!!!!!!!", "no no no no no no", "sign up today", "", None, "detoxifies and cure", "API schema"]
+    d = col(spark, texts).orderBy("seq")
+    joined = d.select(*[T.matches(F.col("x"), p, i).alias(f"a{k}") for k, (p, i) in enumerate(every)], *[T.found(F.col("x"), F.lower(F.col("x")), p, i).alias(f"b{k}") for k, (p, i) in enumerate(every)]).collect()
+    assert all(bool(r[f"a{k}"]) == r[f"b{k}"] for r in joined for k in range(len(every)))
+
+
+def test_cleaning_computes_each_text_once(spark, sf):
+    from loomtext.plans import registry
+
+    plan = clean.with_clean_text(registry.documents(spark, sf), clean.CleanConfig())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("<[^>]+>") == 1 and plan.count("FileScan") == 1
+
+
 def test_stage_skipping(spark, tmp_path):
     folder, made = f"file://{tmp_path}/s", []
 
