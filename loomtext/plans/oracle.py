@@ -189,7 +189,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(unnest(range(0, n)) AS INT) AS co
     "final_weight_pages": f"""
 WITH p AS (SELECT sha256(url) AS doc_id, CAST('0x' || substr(sha256(url), 1, 4) AS INT) AS n FROM pages),
 k AS (SELECT doc_id, ['github.com', 'x.github.com', 'export.arxiv.org', 'huggingface.co', 'a.org'][n % 5 + 1] AS d, ['source_code', 'research_paper', 'blog_post'][n % 3 + 1] AS t, ['python', 'java', 'cobol', ''][n % 4 + 1] AS l FROM p)
-SELECT doc_id, round({DOMAIN(lambda w, c: f"{w}::DOUBLE")} * {type_weight('t')} * CASE WHEN t = 'source_code' AND l <> '' THEN {case([(f"l = {q(k)}", f"{w}::DOUBLE") for k, w in fixed.CODE_WEIGHTS.items()], f"{fixed.CODE_WEIGHTS['unknown']}::DOUBLE")} ELSE 1 END * 0.5, 6) AS final_weight, {DOMAIN(lambda w, c: q(c))} AS category FROM k""",
+SELECT doc_id, round({DOMAIN(lambda w, c: f"{w}::DOUBLE")} * {type_weight('t')} * CASE WHEN t = 'source_code' AND l <> '' THEN {case([(f"l = {q(k)}", f"{w}::DOUBLE") for k, w in fixed.CODE_WEIGHTS.items()], f"{fixed.CODE_WEIGHTS['unknown']}::DOUBLE")} ELSE 1 END * 0.5, 8) AS final_weight, {DOMAIN(lambda w, c: q(c))} AS category FROM k""",
     "contract_report": DECIDED + "SELECT (SELECT count(*) FROM x) AS rows, (SELECT count(*) FROM x WHERE reason = 'accepted') AS accepted, (SELECT count(*) FROM x WHERE reason <> 'accepted') AS rejected, (SELECT count(*) FROM x WHERE reason = 'accepted' AND seq % 3 <> 0) AS rights_unknown, reason, count(*) AS n FROM x WHERE reason <> 'accepted' GROUP BY reason",
     "profile_groups": "SELECT n_nationkey AS dataset_id, n_name AS profile, r_name AS group_name FROM nation JOIN region ON r_regionkey = n_regionkey",
     "record_hash": "SELECT doc_id, sha256('{\"doc_id\":' || doc_id || ',\"lang\":' || CAST(to_json(lang) AS VARCHAR) || ',\"license\":null,\"n_chars\":' || n_chars || ',\"source\":' || CAST(to_json(source) AS VARCHAR) || ',\"text\":' || CAST(to_json(text) AS VARCHAR) || '}') AS record_sha256 FROM documents",

@@ -178,7 +178,7 @@ def final_weight_pages(spark, sf):
     domain = F.element_at(F.array(*[F.lit(x) for x in ("github.com", "x.github.com", "export.arxiv.org", "huggingface.co", "a.org")]), n % 5 + 1)
     kind = F.element_at(F.array(*[F.lit(x) for x in ("source_code", "research_paper", "blog_post")]), n % 3 + 1)
     lang = F.element_at(F.array(*[F.lit(x) for x in ("python", "java", "cobol", "")]), n % 4 + 1)
-    return p.select("doc_id", r6(T.final_weight(domain, kind, lang, F.lit(0.5))).alias("final_weight"), T.domain_rule(domain, 2).alias("category"))
+    return p.select("doc_id", F.round(T.final_weight(domain, kind, lang, F.lit(0.5)), 8).alias("final_weight"), T.domain_rule(domain, 2).alias("category"))
 
 
 def weight_resample_exact(spark, sf):
