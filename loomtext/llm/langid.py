@@ -30,14 +30,23 @@ SLOTS, CACHE_WORDS = 1 << 16, 300_000
 BLOCK = 128
 
 
+#: Slots of short features, which words share; a worker's memory of bounded size.
+_SLOT: dict[str, int] = {}
+
+
+def _slot(feature: str) -> int:
+    slot = zlib.crc32(feature.encode("utf-8", "replace")) % SLOTS
+    if len(feature) < 5 and len(_SLOT) < 200_000:
+        _SLOT[feature] = slot
+    return slot
+
+
 def word_features(word: str, lexicon: frozenset[str]) -> list[int]:
     """Slots of the word's features: affixes of one to four letters, all bigrams and trigrams, the word if in the lexicon, its shape."""
     w = f"<{word}>"
-    f = {"p" + w[: n + 1] for n in (1, 2, 3, 4)} | {"s" + w[-n - 1 :] for n in (1, 2, 3, 4)} | {w[i : i + 2] for i in range(len(w) - 1)} | {w[i : i + 3] for i in range(len(w) - 2)}
-    f.add("a" if word.isascii() else "u")
-    if word in lexicon:
-        f.add("w" + word)
-    return [zlib.crc32(x.encode("utf-8", "replace")) % SLOTS for x in f]
+    f = dict.fromkeys([*["p" + w[: n + 1] for n in (1, 2, 3, 4)], *["s" + w[-n - 1 :] for n in (1, 2, 3, 4)], *[w[i : i + 2] for i in range(len(w) - 1)], *[w[i : i + 3] for i in range(len(w) - 2)], "a" if word.isascii() else "u"])
+    out = [known if (known := _SLOT.get(x)) is not None else _slot(x) for x in f]
+    return [*out, _slot("w" + word)] if word in lexicon else out
 
 
 @dataclass
