@@ -47,9 +47,10 @@ class WordEncoder:
     ``encode`` gives the flat ids of all texts and the number of ids of each.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
+        self.remember = remember
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         #: ids that end a word
@@ -122,7 +123,7 @@ class WordEncoder:
         flat, off = words(lowered)
         if not len(flat):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        if len(self.at) > CACHE_WORDS:
+        if len(self.at) > self.remember:
             self.clear()
         d = flat.dictionary_encode()
         distinct, code = d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -150,8 +151,8 @@ def _copy(to: np.ndarray, at: np.ndarray, source: np.ndarray, start: np.ndarray,
     to[np.repeat(at, size) + step] = source[np.repeat(start, size) + step]
 
 
-def encoder(path: str) -> WordEncoder:
-    return kept("tokens", path, lambda: WordEncoder(path))
+def encoder(path: str, remember: int = CACHE_WORDS) -> WordEncoder:
+    return kept("tokens", (path, remember), lambda: WordEncoder(path, remember))
 
 
 def _store(uri: str):
@@ -173,13 +174,14 @@ def _mapped(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> dict:
+def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", remember: int = CACHE_WORDS) -> dict:
     """Encode every whole text and write the folder ``out``; returns its manifest.
 
     Documents are in ascending ``id_col`` order, a null id first, and rows of one id in the order in which the input
     holds them. A null text counts as empty and gets the end id alone. Other columns are not read. An empty table gives a
     manifest without parts. One exchange, by range of (id, input position), so repeated ids can't fill one part.
-    Each attempt of a task writes files of its own name and the manifest names those of the attempt that succeeded.
+    Each attempt of a task writes files of its own name and the manifest names those of the attempt that succeeded. ``remember``: distinct pieces after which a
+    worker's memory of pieces starts afresh.
     """
     vocab = max(WordEncoder(tokenizer).vocab, (end_id or 0) + 1)
     dtype = "<u2" if vocab <= 1 << 16 else "<u4"
@@ -190,7 +192,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         store, path = _store(out)
         store.create_dir(path, recursive=True)
-        enc, offsets, ids, nulls, total = encoder(tokenizer), [np.zeros(1, np.int64)], [], [], 0
+        enc, offsets, ids, nulls, total = encoder(tokenizer, remember), [np.zeros(1, np.int64)], [], [], 0
         with store.open_output_stream(f"{path}/{name}.bin") as f:
             for batch in batches:
                 texts, doc = text_column(batch, "text"), batch.column(0)
