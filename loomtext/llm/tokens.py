@@ -56,8 +56,8 @@ class WordEncoder:
         #: ids that end a word
         self.ends = np.zeros(self.vocab, bool)
         self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
-        cased = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content.lower() != t.content.upper()]
-        self.added = "(?i)" + "|".join(re.escape(t) for t in sorted(cased)) if cased else None
+        #: added tokens that have letters, as they look in lower case
+        self.added = "|".join(sorted(re.escape(t.content.lower()) for t in self.tok.get_added_tokens_decoder().values() if t.content.lower() != t.content.upper()))
         self.clear()
 
     def clear(self) -> None:

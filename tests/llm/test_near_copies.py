@@ -97,6 +97,10 @@ def test_long_groups_of_hashes_are_counted_in_pieces(monkeypatch):
 @pytest.mark.parametrize("block", [8, 512])
 def test_one_of_each_group_of_near_copies_stays(spark, monkeypatch, block):
     monkeypatch.setattr(nearcopies, "BLOCK", block)
+    if block == 8:  # crowded cells, common shingles and lists too long to broadcast
+        monkeypatch.setattr(nearcopies, "CELL", 4)
+        monkeypatch.setattr(nearcopies, "HOT", 2)
+        monkeypatch.setattr(nearcopies, "BROADCAST_ROWS", 3)
     rows = [(i, cases.prose(i)) for i in range(20)]
     words = rows[0][1].split()
     for k in range(30):  # copies of row 0 with one word changed: similar to it and to each other
