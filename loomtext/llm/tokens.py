@@ -174,14 +174,14 @@ def _mapped(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", remember: int = CACHE_WORDS) -> dict:
+def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", remember: int = CACHE_WORDS, step_bytes: int = 4 << 20) -> dict:
     """Encode every whole text and write the folder ``out``; returns its manifest.
 
     Documents are in ascending ``id_col`` order, a null id first, and rows of one id in the order in which the input
     holds them. A null text counts as empty and gets the end id alone. Other columns are not read. An empty table gives a
     manifest without parts. One exchange, by range of (id, input position), so repeated ids can't fill one part.
     Each attempt of a task writes files of its own name and the manifest names those of the attempt that succeeded. ``remember``: distinct pieces after which a
-    worker's memory of pieces starts afresh.
+    worker's memory of pieces starts afresh; ``step_bytes``: text that it works on at a time. Both bound memory alone.
     """
     vocab = max(WordEncoder(tokenizer).vocab, (end_id or 0) + 1)
     dtype = "<u2" if vocab <= 1 << 16 else "<u4"
@@ -198,7 +198,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
                 texts, doc = text_column(batch, "text"), batch.column(0)
                 nulls.append(np.asarray(doc.is_null().to_numpy(zero_copy_only=False), np.uint8))
                 ids.append(doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
-                for a, b in steps(texts, 4 << 20):
+                for a, b in steps(texts, step_bytes):
                     flat, n = enc.encode(texts.slice(a, b - a))
                     if end_id is not None:
                         n = n + 1
