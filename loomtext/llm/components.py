@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrowtext import tidy
 from .common import durable, forget
 
 #: Links that one task contracts at a time.
@@ -34,6 +35,7 @@ def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _contracted(edges: DataFrame, parts: int) -> DataFrame:
     """The links dealt to ``parts`` tasks; of each task's links, every node's link to the smallest node it reaches there."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 2
         for batch in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrowtext import group_sums, kept, steps, text_column, tidy
+from .arrowtext import group_sums, kept, release, steps, text_column, tidy
 from .common import durable, fresh, row_key
 from .components import components
 from .simhash import CELL, bit_majorities, distinct_in_groups, find, links, shingle_hashes
@@ -266,6 +266,8 @@ def _blocked(sets: DataFrame, threshold: float) -> DataFrame:
     def verify(t: pa.Table) -> pa.Table:
         node = t.column("node").to_numpy()
         found = similar_in_group([np.asarray(x.values) for x in t.column("hs").combine_chunks()] if t.num_rows > 1 else [], threshold)
+        if t.num_rows > BLOCK // 8:  # idle workers outlive the stage: they keep nothing of a large group
+            release()
         return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()), "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
 
     return sets.select("loose", "block", "node", "hs").groupBy("loose", "block").applyInArrow(verify, "a long, b long")

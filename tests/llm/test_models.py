@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import itertools
+import math
+import re
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.llm import langid, quality, toxicity
+from loomtext.llm import langid, quality, queries, toxicity
 from loomtext.llm.common import table
 
 from . import cases
@@ -223,3 +227,85 @@ def test_empty_tables(spark):
     assert {round(r.score, 6) for r in quality.score_quality(some, labels).collect()} == {0.5}
     assert {round(r.score, 6) for r in toxicity.toxicity(some, labels).collect()} == {0.5}
     assert {r.lang_pred for r in langid.identify(some.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plain_statistics(t):
+    """The fourteen statistics of one text, character by character."""
+    kinds = []
+    for c in t:
+        special = next((k for chars, k in ((".,;:?-'\"()", "stop"), ("!", "bang"), ("|", "bar"), ("#$%&*+/<=>@\\^_`~{}[]", "symbol")) if c in chars), None)
+        kinds.append(special or ("lower" if ord(c) >= 0x3000 else "upper" if c.isupper() else "lower" if c.isalpha() else "digit" if c.isdigit() else "newline" if c == "\n" else "space" if c.isspace() else "other"))
+    n = {k: kinds.count(k) for k in ("stop", "bang", "bar", "symbol", "upper", "lower", "digit", "newline", "space")}
+    runs = sum(t[i] == t[i - 1] and kinds[i] in ("bang", "bar", "symbol") for i in range(1, len(t)))
+    w = [x for x in re.split(r"[ \t\n\r\x0b\x0c]+", t) if x]
+    m, size = max(len(w), 1), [len(x) for x in w]
+    mean = sum(size) / m
+    letters, full = max(n["upper"] + n["lower"], 1), max(len(t) - n["space"] - n["newline"], 1)
+    rate = lambda x, of: math.log(x / of + 1e-3)
+    return [
+        math.log1p(len(w)), mean, math.sqrt(max(sum(s * s for s in size) / m - mean * mean, 0)), rate(n["upper"], letters), rate(n["digit"], full), rate(n["stop"], full), rate(n["bang"], full), rate(n["bar"], full), rate(n["symbol"], full),
+        rate(runs, full), math.log1p(len(w) / (n["newline"] + 1)), len(set(w)) / m, sum(s <= 3 for s in size) / m, rate(sum(x[0].isupper() for x in w), m),
+    ]
+
+
+def test_quality_query_equals_a_plain_run_of_the_model(spark):
+    docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    model = quality.fit(quality.document_statistics(docs), labels, "quality", 0.2, 0.1)
+    got = {r.doc_id: r for r in queries.op9_quality(spark, SMALL).collect()}
+    for r in docs.collect():
+        x = np.array(plain_statistics(r.text))
+        dens = []
+        for c in (0, 1):
+            z = model.whiteners[c] @ (x - model.means[c])
+            dens.append(model.log_priors[c] - 0.5 * (model.log_dets[c] + z @ z))
+        p = 1 / (1 + math.exp(min(500, max(-500, dens[0] - dens[1]))))
+        assert abs(got[r.doc_id].score - p) < 1e-6 and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.3), r.doc_id
+    assert len(got) == docs.count()
+
+
+def test_language_query_equals_a_plain_run_of_the_field(spark):
+    docs = table(spark, SMALL, "documents")
+    model = langid.fit_languages(docs)
+    got = {r.doc_id: r for r in queries.op7_language(spark, SMALL).collect()}
+    trans, start = np.exp(model.transition), np.exp(model.start)
+    for r in docs.collect():
+        w = [re.sub(r"^['’]+|['’]+$", "", "".join(c for c in x.lower() if unicodedata.category(c)[0] in "LM" or c in "'’")) for x in (r.text or "").split()]
+        e = model.emissions([x for x in w if any(unicodedata.category(c)[0] == "L" for c in x)])
+        if not len(e):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        x = np.exp(e - e.max(1, keepdims=True))
+        a, b = np.zeros_like(x), np.ones_like(x)
+        for i in range(len(x)):
+            a[i] = x[i] * (start if i == 0 else a[i - 1] @ trans)
+            a[i] /= a[i].sum()
+        for i in range(len(x) - 2, -1, -1):
+            b[i] = trans @ (x[i + 1] * b[i + 1])
+            b[i] /= b[i].sum()
+        post = a * b
+        share = (post / post.sum(1, keepdims=True)).mean(0)
+        assert abs(got[r.doc_id].score - share.max()) < 1e-6 and (got[r.doc_id].lang_pred == model.langs[share.argmax()] or np.sort(share)[-2] > share.max() - 1e-9), r.doc_id
+    assert len(got) == docs.count()
+
+
+def test_toxicity_query_equals_a_plain_run_of_the_model(spark):
+    docs, labels = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    model = toxicity.fit_toxicity(docs, labels)
+    weight, restorer = dict(zip(model.lexicon, model.weights, strict=True)), toxicity.Restorer(model.costs)
+    got = {r.doc_id: r for r in queries.op8_toxicity(spark, SMALL).collect()}
+    for r in docs.collect():
+        keys, run = [], ""
+        for w in [*(r.text or "").lower().split(), ""]:
+            if len(w) == 1:
+                run += w
+            else:
+                keys += restorer.restore_spaced(run) if len(run) > 2 else []
+                run = ""
+            keys += restorer.restore(w) if w else []
+        count = Counter(f for k in keys for f in toxicity.word_features(k))
+        z = model.bias + sum(weight.get(f, 0.0) + (weight.get("%" + f, 0.0) if n >= toxicity.SHARE * len(keys) else 0.0) for f, n in count.items())
+        assert abs(got[r.doc_id].score - 1 / (1 + math.exp(-z))) < 1e-9, r.doc_id
+    assert len(got) == docs.count()
