@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 
@@ -60,6 +61,21 @@ def write_shards(pieces: DataFrame, folder: str, dtype: str = "<u2", *, part: st
     return pieces.groupBy(part, "shard").applyInPandas(write, "name string, size long, sha256 string")
 
 
+def write_shard_manifest(files: DataFrame, folder: str, *, dtype: str, sequence_length: int, vocab_size: int) -> dict:
+    """The shards' manifest beside them, one entry a file by name, put in place by a rename; ``files``: name, size, sha256 of ``write_shards``."""
+    from pyarrow import fs
+
+    entries = [{"name": r.name, "size": r.size, "sha256": r.sha256} for r in files.orderBy("name").collect()]  # a row for each shard file
+    if not entries:
+        raise ValueError("no shard files")
+    manifest = {"version": 1, "dtype": str(np.dtype(dtype)), "sequence_length": sequence_length, "vocab_size": vocab_size, "files": entries}
+    store, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+    with store.open_output_stream(f"{path}/shards.manifest.tmp") as f:
+        f.write((json.dumps(manifest, indent=2) + "\n").encode())
+    store.move(f"{path}/shards.manifest.tmp", f"{path}/shards.manifest.json")
+    return manifest
+
+
 def verify_shards(files: DataFrame, folder: str) -> DataFrame:
     """Manifest rows with ``ok``: the file is there and has the size and hash of the manifest."""
 

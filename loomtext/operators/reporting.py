@@ -62,6 +62,16 @@ def without_secrets(text: Column, secrets: list[str]) -> Column:
     return reduce(lambda t, s: F.replace(t, F.lit(s), F.lit("[REDACTED]")), sorted((s for s in secrets if s), key=len, reverse=True), text)
 
 
+def json_number(value: Column) -> Column:
+    """A JSON scalar as a number: truth values count as 1 and 0, what is no number is null."""
+    return F.coalesce(value.try_cast("double"), F.when(F.lower(F.trim(value)) == "true", 1.0).when(F.lower(F.trim(value)) == "false", 0.0))
+
+
+def json_text(value: Column) -> Column:
+    """A value as JSON text, nulls kept; a null value is the text null."""
+    return F.coalesce(F.to_json(value, {"ignoreNullFields": "false"}), F.lit("null"))
+
+
 def json_bool(value: Column) -> Column:
     """Truth of a JSON scalar as text: 'true' or a number other than 0."""
     return F.coalesce((F.lower(F.trim(value)) == "true") | F.coalesce(value.try_cast("double") != 0, F.lit(False)), F.lit(False))

@@ -173,7 +173,7 @@ SELECT source, lang, count(*) AS docs, CAST(sum(words) AS BIGINT) AS words, sum(
     "page_documents": f"""
 WITH p AS (SELECT sha256(url) AS doc_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS domain, {TITLE} AS title, {url_type('url')} AS u, md5({normal(tags('html'))}) AS text_md5 FROM pages)
 SELECT doc_id, url, domain, title, CASE WHEN u <> 'unknown' THEN u ELSE 'html' END AS content_type, text_md5 FROM p""",
-    "near_dup_pairs": TRIGRAMS + "SELECT a, b, round(k / (n + m - k), 6) AS similarity FROM i WHERE k >= 0.6 * (n + m - k) UNION ALL SELECT one.id, s.id, 1.0 FROM s JOIN one ON one.g = s.g WHERE s.id <> one.id",
+    "near_dup_pairs": TRIGRAMS + "SELECT a, b, round(k / (n + m - k), 6) AS similarity FROM i WHERE k >= 0.8 * (n + m - k) UNION ALL SELECT one.id, s.id, 1.0 FROM s JOIN one ON one.g = s.g WHERE s.id <> one.id",
     "near_dup_resolve": TRIGRAMS.replace("WITH t AS", "WITH RECURSIVE t AS", 1) + """, c AS (SELECT s.id, one.id AS head, len(s.g) AS n FROM s JOIN one ON one.g = s.g),
 near AS (SELECT a AS x, b AS y FROM i WHERE k >= 0.92 * (n + m - k) UNION ALL SELECT b, a FROM i WHERE k >= 0.92 * (n + m - k) UNION ALL SELECT id, id FROM one),
 nb AS (SELECT c.id, (c.id % 7) / 7.0::DOUBLE AS w, list(o.id) AS nb FROM c JOIN near ON near.x = c.head JOIN c o ON o.head = near.y WHERE o.id <> c.id GROUP BY c.id)

@@ -30,6 +30,17 @@ def config_identities(config: dict, sections: tuple[str, ...] = ("crawl", "clean
     return {s: stable_hash(config[s]) for s in sections if s in config} | {"source": stable_hash(config)}
 
 
+def snapshot_configs(spark: SparkSession, folder: str, config: dict) -> dict[str, str]:
+    """Each section as a JSON file named by its hash; one that is there already is left as it is. Names of the files by section."""
+    out = {}
+    for name, section in sorted(config.items()):
+        out[name] = f"{name}-{stable_hash(section)}.json"
+        path, fs = _path(spark, f"{folder}/{out[name]}")
+        if not fs.exists(path):
+            write_run_manifest(spark, f"{folder}/{out[name]}", section)
+    return out
+
+
 def content_hash(df: DataFrame) -> dict:
     """Rows and a hash of the content that doesn't depend on the order of rows: what a folder has in place of a file's hash."""
     h = F.xxhash64(*[F.col(c) if not t.startswith("map") else F.to_json(c) for c, t in df.dtypes])

@@ -95,7 +95,7 @@ def page_documents(spark, sf):
 
 def near_dup_pairs(spark, sf):
     """Pairs between classes of equal trigram sets, and every other row of a class with its first."""
-    return dedup.similar_pairs(texts(spark, sf), 0.6).select("a", "b", r6("similarity").alias("similarity"))
+    return dedup.similar_pairs(texts(spark, sf), 0.8).select("a", "b", r6("similarity").alias("similarity"))
 
 
 def near_dup_resolve(spark, sf):

@@ -271,6 +271,12 @@ def tail(rows: DataFrame, n: int, seq: str) -> DataFrame:
     return rows.orderBy(F.desc(seq)).limit(n).orderBy(seq)
 
 
+def key_difference(actual: Column, expected: Column) -> Column:
+    """How two sets of keys stand to each other: (missing, extra, equal)."""
+    missing, extra = F.array_sort(F.array_except(expected, actual)), F.array_sort(F.array_except(actual, expected))
+    return F.struct(missing.alias("missing"), extra.alias("extra"), ((F.size(missing) == 0) & (F.size(extra) == 0)).alias("equal"))
+
+
 def missing_parents(actual: Column, expected: Column) -> Column:
     return F.array_except(expected, actual)
 

@@ -448,3 +448,27 @@ def test_stage_skipping(spark, tmp_path):
     with pytest.raises(ValueError):
         provenance.write_stage(spark.range(0), folder, "clean", {})
     assert provenance.stable_hash({"b": 1, "a": 2}) == hashlib.sha256(b'{"a":2,"b":1}').hexdigest()
+
+
+def test_small_facts(spark, tmp_path):
+    from loomtext.operators import reporting
+
+    d = spark.createDataFrame([(["a", "b"], ["b", "c"]), (["a"], ["a"])], "x array<string>, y array<string>")
+    assert [(r.d.missing, r.d.extra, r.d.equal) for r in d.select(store.key_difference(F.col("x"), F.col("y")).alias("d")).collect()] == [(["c"], ["a"], False), ([], [], True)]
+    assert [r[0] for r in d.select(F.array_sort(store.missing_parents(F.col("x"), F.col("y")))).collect()] == [["c"], []] and [r[0] for r in d.select(store.ordered_unique("x", "y")).collect()] == [["a", "b", "c"], ["a"]]
+    v = col(spark, ["1.5", "true", "x", None, " FALSE", "0"]).orderBy("seq")
+    assert [r[0] for r in v.select(reporting.json_number(F.col("x"))).collect()] == [1.5, 1.0, None, None, 0.0, 0.0]
+    assert [r[0] for r in v.select(reporting.json_bool(F.col("x"))).collect()] == [True, True, False, False, False, False]
+    assert d.limit(1).select(reporting.json_text(F.struct("x", F.lit(None).alias("n")))).first()[0] == '{"x":["a","b"],"n":null}'
+    names = provenance.snapshot_configs(spark, f"file://{tmp_path}", {"crawl": {"a": 1}, "clean": {}})
+    assert names == provenance.snapshot_configs(spark, f"file://{tmp_path}", {"crawl": {"a": 1}, "clean": {}}) and all((tmp_path / n).is_file() for n in names.values())
+    p = spark.createDataFrame([("train", 0, 0, [1, 2, 3]), ("train", 0, 3, [4])], "part string, shard long, at long, piece array<int>")
+    files = packing.write_shards(p, str(tmp_path)).cache()
+    m = packing.write_shard_manifest(files, str(tmp_path), dtype="<u2", sequence_length=2, vocab_size=9)
+    reader = packing.ShardReader(str(tmp_path), [(f["name"], f["size"], f["sha256"]) for f in m["files"]], 2)
+    assert reader.next_batch(1)[0].tolist() == [[1, 2]] and packing.verify_shards(files, str(tmp_path)).first().ok
+    stats = reporting.dataset_stats(spark.createDataFrame([("a", 5), ("b", 7)], "path string, length long"), {"02_cleaned": spark.createDataFrame([("x y",)], "text string")}).first()
+    assert tuple(stats) == (2, 12, 1, 2)
+    docs = spark.range(50).select(F.col("id").cast("string").alias("doc_id"))
+    assert {r.doc_id for r in sampling.hash_sample(docs, 9).collect()} == {r.doc_id for r in sampling.hash_sample(docs.repartition(7), 9).collect()}
+    assert packing.ids_fit(1 << 16, "<u2") and not packing.ids_fit((1 << 16) + 1, "<u2")
