@@ -114,7 +114,15 @@ def test_thin_queries_return_whole_tables(spark):
 def test_neighbours_of_the_table_against_brute_force(spark):
     rows = table(spark, SF, "embeddings").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
-    got = queries.op5_neighbours(spark, SF).groupBy("query_id").agg(F.collect_set("vec_id").alias("s")).collect()
+    found = queries.op5_neighbours(spark, SF)
+    by = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by.setdefault(r.query_id, []).append(r)
+    for q, own in by.items():  # whole, in order, ties to the smaller id, scores of the vectors themselves
+        assert [r["rank"] for r in own] == list(range(1, 21)) and len({r.vec_id for r in own} - {q}) == 20
+        assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
+        assert all(abs(r.score - float((x[ids == q][0] * x[ids == r.vec_id][0]).sum())) < 1e-12 for r in own)
+    got = found.groupBy("query_id").agg(F.collect_set("vec_id").alias("s")).collect()
     hit = []
     for g in got:
         s = x @ x[ids == g.query_id][0]
