@@ -39,14 +39,14 @@ BATCH_ROWS = 2048
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of ``BATCH_ROWS`` rows at most while an action runs; the session's setting is put back after it."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows at most while an action runs; the session's setting is put back after it."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    if 0 < int(before) <= BATCH_ROWS:
+    if 0 < int(before) <= rows:
         yield
         return
-    spark.conf.set(name, str(BATCH_ROWS))
+    spark.conf.set(name, str(rows))
     try:
         yield
     finally:

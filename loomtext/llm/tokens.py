@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrowtext import coded, group_sums, kept, steps, text_column, tidy, words
-from .common import small_batches
+from .common import BATCH_ROWS, small_batches
 
 #: Distinct pieces after which a worker starts its memory of pieces afresh.
 CACHE_WORDS = 400_000
@@ -174,14 +174,14 @@ def _mapped(uri: str, dtype: str) -> np.ndarray:
         return np.frombuffer(f.read(), dtype)
 
 
-def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", remember: int = CACHE_WORDS, step_bytes: int = 4 << 20) -> dict:
+def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", remember: int = CACHE_WORDS, step_bytes: int = 4 << 20, batch_rows: int = BATCH_ROWS) -> dict:
     """Encode every whole text and write the folder ``out``; returns its manifest.
 
     Documents are in ascending ``id_col`` order, a null id first, and rows of one id in the order in which the input
     holds them. A null text counts as empty and gets the end id alone. Other columns are not read. An empty table gives a
     manifest without parts. One exchange, by range of (id, input position), so repeated ids can't fill one part.
     Each attempt of a task writes files of its own name and the manifest names those of the attempt that succeeded. ``remember``: distinct pieces after which a
-    worker's memory of pieces starts afresh; ``step_bytes``: text that it works on at a time. Both bound memory alone.
+    worker's memory of pieces starts afresh; ``step_bytes``: text that it works on at a time; ``batch_rows``: rows of an Arrow batch. All three bound memory alone.
     """
     vocab = max(WordEncoder(tokenizer).vocab, (end_id or 0) + 1)
     dtype = "<u2" if vocab <= 1 << 16 else "<u4"
@@ -226,7 +226,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer: str, *, end_id: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("at"))
         .drop("at")
     )
-    with small_batches(docs.sparkSession):  # one short row for each part
+    with small_batches(docs.sparkSession, batch_rows):  # one short row for each part
         parts = sorted(rows.mapInArrow(write, "part long, name string, n_docs long, n_tokens long").collect())
     bases = accumulate((p.n_tokens for p in parts), initial=0)
     first = accumulate((p.n_docs for p in parts), initial=0)
