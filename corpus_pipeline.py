@@ -14,8 +14,9 @@ from loomtext.llm.queries import tokenizer_path
 
 #: The mix takes so many of a thousand of the tokens that come in; each document once at most.
 MIX_PER_MILLE, MIX_SEED = 900, 21
-#: Distinct pieces that a worker of the last stage remembers, and text that it works on at a time: a quarter of what is fastest, as executors still hold the stages before.
-REMEMBER, STEP_BYTES = 100_000, 1 << 20
+#: Distinct pieces that a worker of the last stage remembers, text that it works on at a time and rows of its batches: a part of what is fastest, as executors still hold
+#: the stages before.
+REMEMBER, STEP_BYTES, TOKEN_ROWS = 50_000, 1 << 19, 256
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +74,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id, and repeated rows, keep the input's order. Other columns are not read. An empty table gives an empty result.
     """
     folder = new_folder(spark, "corpus")
-    tokens.write_token_files(docs, folder, tokenizer_path(), end_id=1, remember=REMEMBER, step_bytes=STEP_BYTES)
+    tokens.write_token_files(docs, folder, tokenizer_path(), end_id=1, remember=REMEMBER, step_bytes=STEP_BYTES, batch_rows=TOKEN_ROWS)
     out = durable(tokens.read_token_files(spark, folder))
     remove_folder(spark, folder)
     return out
