@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
+from . import ann, audit, decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -168,6 +168,45 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Every order replayed over the documents' failures: the first failing filter of the order removes a document.
+OP12_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+') AS w FROM documents
+), m AS (SELECT text, min(doc_id) AS least_id FROM d GROUP BY text
+), l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS q, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS t FROM labels GROUP BY doc_id
+), f AS (
+  SELECT d.part, coalesce(l.q, 0) AS q, coalesce(l.t, 0) AS t,
+    (CASE WHEN len(w) < 50 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN d.doc_id > m.least_id THEN 'E' ELSE '' END) AS fails
+  FROM d JOIN m USING (text) LEFT JOIN l USING (doc_id)
+), g AS (SELECT part, fails, count(*) AS n, sum(q) AS q, sum(t) AS t FROM f GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a JOIN x b ON b.x <> a.x JOIN x c ON c.x NOT IN (a.x, b.x) JOIN x d ON d.x NOT IN (a.x, b.x, c.x)
+  JOIN x e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o
+), r AS (
+  SELECT g.part, s.filter_order, s.step, g.n, g.q, g.t, g.fails, filter_order[step] AS own, contains(g.fails, filter_order[step]) AS failing,
+    length(translate(filter_order[1 : step - 1], fails, '')) < step - 1 AS gone
+  FROM g CROSS JOIN s
+), c AS (
+  SELECT part, filter_order, step, any_value(own) AS own, sum(CASE WHEN gone OR failing THEN 0 ELSE n END) AS kept, sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failing AND NOT gone THEN q ELSE 0 END) AS good_lost, sum(CASE WHEN failing AND NOT gone THEN t ELSE 0 END) AS toxic_lost
+  FROM r GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM c
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_binary": op2_token_binary,
@@ -179,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_filter_audit": op12_filter_audit,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL, "op12_filter_audit": OP12_SQL}
