@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, audit, decontam, langid, lines, mixing, quality, shards, simhash, tokens, toxicity
+from . import ann, audit, decontam, langid, lines, mixing, pii, quality, shards, simhash, tokens, toxicity
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -207,6 +207,10 @@ FROM c
 """
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_token_binary": op2_token_binary,
@@ -219,6 +223,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
     "op12_filter_audit": op12_filter_audit,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL, "op12_filter_audit": OP12_SQL}
