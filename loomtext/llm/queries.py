@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, audit, decontam, langid, lines, mixing, pii, quality, shards, simhash, tokens, toxicity
+from . import ann, audit, decontam, langid, lines, mixing, negatives, pii, quality, shards, simhash, tokens, toxicity
 from .common import durable, new_folder, remove_folder, table
 
 SHARDS = 24
@@ -168,6 +168,31 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
+#: Labels as the mining takes them: every seventh id is moved on by one.
+OP11_LABEL = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=OP11_LABEL, anchors=F.col("id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH e AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS anchor_id, a.label AS anchor_label, b.id, b.label, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.v, b.v)]) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.id % 100 = 0 AND b.id <> a.id
+), p AS (
+  SELECT anchor_id, anchor_label, id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label AND 80 * positive_score <= 100 * score AND score <= positive_score
+)
+SELECT * FROM n WHERE rank <= 5
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -222,8 +247,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
     "op13_personal_data": op13_personal_data,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL, "op12_filter_audit": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL}
