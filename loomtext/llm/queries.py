@@ -168,12 +168,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
 
 
-#: Labels as the mining takes them: every seventh id is moved on by one.
-OP11_LABEL = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")
-
-
 def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=OP11_LABEL, anchors=F.col("id") % 100 == 0)
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END")  # every seventh id's label is moved on by one
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label, anchors=F.col("id") % 100 == 0)
 
 
 OP11_SQL = """
