@@ -81,7 +81,37 @@ def test_shards_meet_the_law_of_bytes(spark):
 
 def test_one_id_for_all_rows_is_split(spark):
     docs = spark.createDataFrame([(7, "z" * 92)] * 400, "doc_id long, text string").repartition(3)
-    n = shards.shard_by_bytes(docs, 4, ranges_per_shard=3).groupBy("shard").count().collect()
+    n = shards.shard_by_bytes(docs, 4, rows_per_range=30).groupBy("shard").count().collect()
     assert sorted(r["count"] for r in n) == [100] * 4
     assert shards.shard_by_bytes(cases.empty(spark), 4).count() == 0
     assert shards.shard_by_bytes(cases.clashing(cases.odd(spark)), 3).count() == cases.odd(spark).count()
+
+def expected_shards(rows, shards_n):
+    """rows: (id, text) in input order."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    sizes = [len((t or "").encode()) + 8 for _, t in rows]
+    total, edges = sum(sizes), np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    bounds = [min(edges, key=lambda e: (abs(e - -(-total * j // shards_n)), e)) for j in range(1, shards_n)]
+    out, slots = [], {}
+    for (doc, t), before in zip(rows, edges, strict=False):
+        s = sum(before >= b for b in bounds)
+        out.append((doc, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()), s, slots.get(s, 0)))
+        slots[s] = slots.get(s, 0) + 1
+    return out
+
+
+LONGS = [-(1 << 63), -(1 << 63) + 1, (1 << 63) - 1, (1 << 63) - 2, -(1 << 62), -(1 << 62) - 1, 0, -1, 1, None, None, None]
+
+
+@pytest.mark.parametrize("make", ["hashes", "limits", "nulls", "twice", "one"])
+def test_shards_of_any_ids(spark, make):
+    r = np.random.default_rng(11)
+    ids = {
+        "hashes": lambda: [int(x) for x in r.integers(-(1 << 63), (1 << 63) - 1, 300)], "limits": lambda: LONGS * 9, "nulls": lambda: [None] * 150 + LONGS,
+        "twice": lambda: [int(x) for x in r.integers(-(1 << 63), (1 << 63) - 1, 100)] * 3, "one": lambda: [(1 << 63) - 1] * 200,
+    }[make]()
+    rows = [(i, "é" * int(r.integers(0, 200)) if k % 7 else None) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for n in (1, 5, 24):
+        got = [(x.doc_id, x.size, x.text_crc32, x.shard, x.slot) for x in shards.shard_by_bytes(docs, n, rows_per_range=40).collect()]
+        assert sorted(got, key=lambda x: x[3:]) == expected_shards(rows, n)
