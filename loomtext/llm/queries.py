@@ -88,6 +88,31 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8 bytes: a byte's change of the register is the sum of its eight bits' changes."""
+    step = "a >> 8"
+    for k in range(8):
+        change = 1 << k
+        for _ in range(8):
+            change = (change >> 1) ^ (0xEDB88320 if change & 1 else 0)
+        step = f"xor({step}, ((xor(a, b) >> {k}) & 1) * {change})"
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {octets}), lambda a, b: {step}), 4294967295)"
+
+
+#: Running bytes in id order; each boundary is the row edge nearest to its share, the lower of two.
+OP4_SQL = f"""
+WITH d AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 8 AS BIGINT) AS size, CAST({_crc32_sql("coalesce(text, '')")} AS BIGINT) AS text_crc32 FROM documents
+), r AS (SELECT *, CAST(sum(size) OVER (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS before FROM d
+), e AS (SELECT before AS edge FROM r UNION ALL SELECT CAST(sum(size) AS BIGINT) FROM d
+), g AS (SELECT j, ((SELECT sum(size) FROM d) * j + {SHARDS} - 1) // {SHARDS} AS goal FROM (SELECT unnest(range(1, {SHARDS})) AS j)
+), b AS (SELECT arg_min(edge, abs(edge - goal) * 2 + CASE WHEN edge > goal THEN 1 ELSE 0 END) AS bound FROM g, e GROUP BY j
+), s AS (SELECT r.*, CAST((SELECT count(*) FROM b WHERE b.bound <= r.before) AS INT) AS shard FROM r)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard FROM s
+"""
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -249,4 +274,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_personal_data": op13_personal_data,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op6_mixing": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_shards": OP4_SQL, "op6_mixing": OP6_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL}
