@@ -213,13 +213,13 @@ def choose_share(tree: Tree, x: np.ndarray, graph: np.ndarray, tried: np.ndarray
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): vectors of doubles that take part, each (id, v) once; the dimension is the most frequent one, ties to the smaller."""
+    """(id, v): vectors of doubles that take part, each (id, v) once, equal rows being merged before they are exchanged; the dimension is the most frequent one, ties to the smaller."""
     v = F.col(vector_col).cast("array<double>")
     ok = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     ok = ok.where(fine)
     d = ok.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return ok.where(F.size("v") == (d[0].d if d else 0))
+    return ok.where(F.size("v") == (d[0].d if d else 0)).distinct()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -228,20 +228,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _top(q_id: np.ndarray, q: np.ndarray, c_id: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each query's ``k`` best candidates, its own id aside: (query index, candidate index, score).
+    """Each query's ``k`` best ids among the candidates, its own aside, by each id's best row: (query index, candidate index, score).
 
     The matrix product only narrows the choice; scores and ties come from sums that don't depend on a row's place.
     """
+    order = np.argsort(c_id, kind="stable")
+    c_id, c = c_id[order], c[order]
     s = q @ c.T
     s[q_id[:, None] == c_id[None, :]] = -np.inf
-    last = np.partition(-s, min(k, s.shape[1]) - 1, axis=1)[:, min(k, s.shape[1]) - 1]
+    starts = np.flatnonzero(np.append(True, c_id[1:] != c_id[:-1]))  # rows of one id lie together
+    each = s if len(starts) == len(c_id) else np.maximum.reduceat(s, starts, axis=1)
+    at = min(k, each.shape[1]) - 1
+    last = np.partition(-each, at, axis=1)[:, at]
     scale = 1e-12 * (1 + np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max())
     i, j = np.nonzero((s >= (-last - scale)[:, None]) & np.isfinite(s))
     score = np.concatenate([np.zeros(0), *[(q[i[a : a + 65536]] * c[j[a : a + 65536]]).sum(1) for a in range(0, len(i), 65536)]])
-    order = np.lexsort((c_id[j], -score, i))
-    i, j, score = i[order], j[order], score[order]
+    if len(starts) < len(c_id):  # an id's best row speaks for it
+        best = np.lexsort((-score, c_id[j], i))
+        first = np.append(True, (i[best][1:] != i[best][:-1]) | (c_id[j[best]][1:] != c_id[j[best]][:-1])) if len(best) else np.zeros(0, bool)
+        i, j, score = i[best][first], j[best][first], score[best][first]
+    by = np.lexsort((c_id[j], -score, i))
+    i, j, score = i[by], j[by], score[by]
     keep = np.arange(len(i)) - np.searchsorted(i, i) < k
-    return i[keep], j[keep], score[keep]
+    return i[keep], order[j[keep]], score[keep]
 
 
 def fit_tree(rows: DataFrame, n: int, *, sample_rows: int, rows_per_part: int, coverage: float) -> Tree:
@@ -283,9 +292,9 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, sample_rows: in
 
     Nearness is the inner product in double precision, ties go to the smaller id, ranks count from 1. Routers are fitted on the
     ``sample_rows`` rows of the smallest xxhash64(id), of the table and, with a second level, of each part; all rows are indexed. Rows of a null id, and
-    vectors that are null, zero, hold null or non-finite components or have another dimension than most (no inner product joins the two), take no part. Rows
-    of one id are never each other's candidates; an id counts once among a query's results, by its best score. A part of any size is searched in
-    chunks, so many equal vectors fill no task. Other columns are not read. An empty table, or one with fewer than two ids, gives an empty result.
+    vectors that are null, zero, hold null or non-finite components or have another dimension than most (no inner product joins the two), take no part. Equal rows (id and
+    vector) are one. Rows of one id are never each other's candidates; an id counts once among a query's results, by its best score, so a query gets ``k`` different ids however many rows each
+    has. A part of any size is searched in chunks of its vectors, so neither many equal vectors nor many vectors of one id fill a task. Other columns are not read. An empty table, or one with fewer than two ids, gives an empty result.
     """
     spark = vectors.sparkSession
     rows = durable(valid_vectors(vectors, id_col, vector_col))
@@ -318,7 +327,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, sample_rows: in
     sizes = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     asked = queries.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
     cuts = F.broadcast(sizes.join(asked, "part"))  # a row for each part
-    own = lambda m: F.pmod(F.xxhash64("id"), F.col(m)).cast("int")
+    own = lambda m: F.pmod(F.xxhash64("id", "v"), F.col(m)).cast("int")  # noqa: E731  an id of many vectors is dealt by them
     each = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
     left = queries.join(cuts, "part").withColumn("block", own("blocks")).withColumn("chunk", each("chunks"))
     right = index.join(cuts, "part").withColumn("chunk", own("chunks")).withColumn("block", each("blocks"))

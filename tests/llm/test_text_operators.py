@@ -277,3 +277,28 @@ def test_parts_are_balanced_and_recall_is_measured(spark, sf, monkeypatch):
     np.fill_diagonal(s, -np.inf)
     assert len(got) == 75
     assert np.mean([len(set(np.argsort(-s[g.query_id])[:20].tolist()) & set(g.s)) / 20 for g in got]) >= 0.9
+
+
+@pytest.mark.parametrize("n", [5, 20, 30, 5000])
+@pytest.mark.parametrize("equal", [True, False])
+def test_neighbours_where_one_id_has_many_rows(spark, monkeypatch, n, equal):
+    """The frequent id is near the queries and is a query itself; every query still gets 20 different ids, or all."""
+    monkeypatch.setattr(ann, "CHUNK", 700)
+    r = np.random.default_rng(12)
+    rows = [(i, r.standard_normal(8).tolist()) for i in range(100)]
+    near = np.array(rows[40][1]) * 2
+    rows += [(1000, (near if equal else near + 0.3 * r.standard_normal(8)).tolist()) for _ in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = collections.defaultdict(list)
+    for x in ann.nearest(df, coverage=1.0).orderBy("query_id", "rank").collect():
+        got[x.query_id].append(x.vec_id)
+    want = collections.defaultdict(dict)
+    matrix, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    for i, v in rows:
+        if i % 20 == 0:
+            for j, s in zip(ids.tolist(), (matrix * np.array(v)).sum(1).tolist(), strict=True):
+                if j != i:
+                    want[i][j] = max(s, want[i].get(j, -1e9))
+    assert set(got) == set(want) and 1000 in got
+    for q, scores in want.items():
+        assert got[q] == sorted(scores, key=lambda j: (-scores[j], j))[:20]
