@@ -38,12 +38,12 @@ LEET = {
 #: Costs of leaving out a separator, a mask that may stand for any vowel, another sign that may stand for a letter, a digit, a third or
 #: later equal letter, a second equal letter. A reading gets cheaper with every sign left out, so what may be a letter costs more.
 DROP_MARK, DROP_MASK, DROP_SIGN, DROP_DIGIT, DROP_THIRD, DROP_SECOND = 0.7, 2.5, 9.0, 9.0, 0.2, 3.0
-#: Cost of a word's end among letters that are spaced out.
-BREAK = 1.0
+#: Cost of a word's end among letters that are spaced out, and of a separator that is one.
+BREAK, END_MARK = 1.0, 0.7
 #: What a word of digits alone costs when read as a number, for the word and for each digit; words of letters' stand-ins cost what their reading costs.
 NUMBER, NUMERAL = 3.0, math.log(10)
-#: Words a worker remembers; words longer than this are cut at their separators, and every part is read.
-CACHE_WORDS, LONGEST = 150_000, 32
+#: Words a worker remembers.
+CACHE_WORDS = 150_000
 #: Lengths of the beginnings of words that are features, and the share of a text's words that makes a feature frequent.
 STEMS, SHARE = (4, 5, 6), 0.01
 A = 28  # 0: word edge, 1 to 26: a to z, 27: any other letter
@@ -107,8 +107,9 @@ class Restorer:
         self.cost = costs.tolist()
         self.seen: dict[str, str] = {}
 
-    def lattice(self, word: str) -> list[list[tuple[int, float, str]]]:
-        """What each character may stand for: (symbol, cost, letter), with symbol -1 for nothing. Letters other than a to z stay themselves."""
+    def lattice(self, word: str, ends: bool = False) -> list[list[tuple[int, float, str]]]:
+        """What each character may stand for: (symbol, cost, letter), with symbol -1 for nothing and, with ``ends``, 0 for a separator that ends a word.
+        Letters other than a to z stay themselves."""
         out, run, before = [], 0, ""
         for ch in word:
             run = run + 1 if ch == before else 1
@@ -122,7 +123,9 @@ class Restorer:
                     own.append((-1, DROP_SECOND, ""))
             else:
                 own = [(ord(x) - 96, c, x) for x, c in LEET.get(ch, ())]
-                own.append((-1, DROP_DIGIT if ch.isdigit() else DROP_MASK if ch in "*#" else DROP_SIGN if own else DROP_MARK, ""))
+                if ends and not own:
+                    own.append((0, END_MARK, " "))
+                own.append((-1, DROP_DIGIT if ch.isdigit() else DROP_MASK if ch in "*#" else DROP_SIGN if ch in LEET else DROP_MARK, ""))
             out.append(own)
         return out
 
@@ -130,27 +133,30 @@ class Restorer:
         """The reading that ``read`` finds."""
         return self.read(word, breaks)[1]
 
-    def read(self, word: str, breaks: float | None = None) -> tuple[float, str]:
-        """Cost and letters of the best reading: Viterbi search over states of the last two symbols. With a cost for ``breaks``, words may end between any two letters."""
+    def read(self, word: str, breaks: float | None = None, ends: bool = False) -> tuple[float, str]:
+        """Cost and letters of the best reading: Viterbi search over states of the last two symbols. With a cost for ``breaks``, words may end between any two letters,
+        with ``ends`` at separators."""
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         cost = self.cost
-        for options in self.lattice(word):
+        for options in self.lattice(word, ends):
             after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (s, path) in best.items():
                 row = cost[a][b]
                 for symbol, c, letter in options:
-                    if symbol < 0:
+                    if symbol < 0 or (symbol == 0 and b == 0):
                         key, total, way = (a, b), s + c, path
+                    elif symbol == 0:
+                        key, total, way = (0, 0), s + c + row[0] + cost[b][0][0], (letter, path)
                     else:
                         key, total, way = (b, symbol), s + c + row[symbol], (letter, path)
                     if key not in after or total < after[key][0]:
                         after[key] = (total, way)
-                    if breaks is not None and symbol >= 0 and b:
+                    if breaks is not None and symbol > 0 and b:
                         key, total = (0, symbol), s + c + breaks + row[0] + cost[b][0][0] + cost[0][0][symbol]
                         if key not in after or total < after[key][0]:
                             after[key] = (total, (letter, (" ", path)))
             best = after
-        total, path = min(((s + cost[a][b][0], p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])
+        total, path = min(((s + cost[a][b][0] if b else s, p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])
         out = []
         while path:
             out.append(path[0])
@@ -158,13 +164,10 @@ class Restorer:
         return total, "".join(reversed(out))
 
     def restore(self, word: str) -> tuple[str, ...]:
-        """The word's keys: restored if it may be disguised, without accents, runs of a letter as one letter; '' for no word.
-
-        A word has one key, a long one with separators the keys of all its parts.
-        """
+        """The word's different keys: its letters, restored if it may be disguised, without accents; '' for no word. A word with separators has several, at any length."""
         if (known := self.seen.get(word)) is not None:
             return known
-        out = tuple(_key(x) for x in self._restore(word))
+        out = tuple(dict.fromkeys(_key(x) for x in self._restore(word)))
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
         self.seen[word] = out
@@ -172,7 +175,7 @@ class Restorer:
 
     def restore_spaced(self, letters: str) -> list[str]:
         """Keys of the words that single characters in a row spell."""
-        return [_key(w) for w in self.decode(letters, BREAK).split() if len(w) > 2]
+        return [_key(w) for w in self.decode(letters, BREAK).split()]
 
     def _restore(self, word: str) -> list[str]:
         if word.isalpha() and not TRIPLE.search(word):
@@ -180,6 +183,13 @@ class Restorer:
         w = EDGE.sub("", word)
         if w.isalpha() and not TRIPLE.search(w):
             return [w]
+        parts = [x for x in PARTS.split(w) if x]
+        if len(parts) > 1:
+            out = [x for part in parts for x in self.restore(part)]
+            if any(ch.isalpha() for ch in w):  # a separator may also be nothing: between two parts, or wherever that makes the token more probable
+                out += [x for a, b in zip(parts, parts[1:], strict=False) for x in self.restore(a + b)]
+                out += self.read(LONG_RUN.sub(r"\1\1", w), ends=True)[1].split()
+            return out
         if not any(ch.isalpha() for ch in w):
             w = ENDS.sub("", word)  # signs at the edges may be letters here
             if len(w) < 3 or len(set(w)) < 2 or not all(ch in LEET for ch in w):
@@ -187,33 +197,24 @@ class Restorer:
             total, letters = self.read(LONG_RUN.sub(r"\1\1", w))
             number = w.lstrip("$€£").isdigit()  # an amount or a plain number
             return [letters if not number or total < NUMBER + NUMERAL * len(w) else ""]
-        if len(w) > LONGEST:
-            w = LONG_RUN.sub(r"\1\1", w)
-        if len(w) <= LONGEST:
-            return [self.decode(w)]
-        parts = [x for x in PARTS.split(w) if x]
-        out = [x for part in parts for x in (self.restore(part) if part != word and len(part) <= LONGEST else [self.decode(part)])]
-        for single, run in groupby(parts, lambda x: len(x) == 1):
-            if single and len(letters := "".join(run)) > 2:
-                out += self.restore_spaced(letters)
-        return out
+        return [self.decode(LONG_RUN.sub(r"\1\1", w))]
 
 
 #: Decoration round a word: quotes and closing stops, and symbols doubled at its end.
 EDGE = re.compile(r"""^["'(\[{<.,;:?¿¡»«“”-]+|(?:["')\]}>.,;:?!»«“”-]|([#$%&*~=_+^|])\1+)+$""")
 TRIPLE = re.compile(r"(.)\1\1")
 ENDS = re.compile(r"""^["'\[{<.,;:?¿¡»«“”-]+|["')\]}>.,;:?»«“”-]+$""")
-#: What parts long words: separators, but not the signs that may stand for letters.
+#: What parts words: separators, but not the signs that may stand for letters.
 PARTS = re.compile(rf"(?:(?![{re.escape(''.join(LEET))}])[\W_])+")
 LONG_RUN = re.compile(r"(.)\1{2,}")
 REPEAT = re.compile(r"(.)\1+")
-DOUBLE, THREE = ("|".join(chr(97 + k) * n for k in range(26)) for n in (2, 3))
+THREE = "|".join(chr(97 + k) * 3 for k in range(26))
 
 
 def _key(word: str) -> str:
     if not word.isascii():
         word = "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
-    return REPEAT.sub(r"\1", word)
+    return word
 
 
 def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -223,15 +224,11 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.n
     distinct, code = coded(flat)
     owner = np.repeat(np.arange(len(texts)), np.diff(off))
     keys: dict[str, int] = {}
-    # words of a to z, closing stops aside, need no restoring if no letter comes three times in a row, and are their own keys if none comes twice
+    # words of a to z, closing stops aside, need no restoring and are their own keys if no letter comes three times in a row
     core = pc.utf8_rtrim(pa.array(distinct, pa.large_string()), ".,;:?!")
     has = lambda pattern: np.asarray(pc.match_substring_regex(core, pattern).to_numpy(zero_copy_only=False), bool)
-    twice = has(DOUBLE)
-    kind = np.where(has("^[a-z]+$") & ~(twice & has(THREE)), np.where(twice, 1, 2), 0).tolist()
-    found = [
-        [keys.setdefault(c, len(keys))] if k == 2 else [keys.setdefault(REPEAT.sub(r"\1", c), len(keys))] if k else [keys.setdefault(x, len(keys)) for x in restorer.restore(w)]
-        for w, c, k in zip(distinct, core.to_pylist(), kind, strict=True)
-    ]
+    plain = (has("^[a-z]+$") & ~has(THREE)).tolist()
+    found = [[keys.setdefault(c, len(keys))] if own else [keys.setdefault(x, len(keys)) for x in restorer.restore(w)] for w, c, own in zip(distinct, core.to_pylist(), plain, strict=True)]
     n = np.fromiter(map(len, found), np.int64, len(found))
     start, of = np.cumsum(n) - n, np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
     each = n[code]  # a word's keys one after the other
@@ -250,8 +247,8 @@ def restored_words(texts: pa.Array, restorer: Restorer) -> tuple[list[str], np.n
 
 
 def word_features(key: str) -> list[str]:
-    """A restored word's features: itself and its beginnings, so that one stem's forms count together."""
-    return [key, *[f"^{key[:n]}" for n in STEMS if len(key) >= n]] if key else []
+    """A restored word's features: itself, its beginnings, so that one stem's forms count together, and after a = its letters with each run of one as one."""
+    return [key, *[f"^{key[:n]}" for n in STEMS if len(key) >= n], "=" + REPEAT.sub(r"\1", key)] if key else []
 
 
 def text_features(texts: pa.Array, restorer: Restorer, known: dict[str, int] | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -267,7 +264,7 @@ def text_features(texts: pa.Array, restorer: Restorer, known: dict[str, int] | N
         base = [word_features(x) for x in keys]
     else:
         wanted = {f.removeprefix("%") for f in known}
-        base = [[f for f in (x, *[f"^{x[:n]}" for n in STEMS if len(x) >= n]) if f in wanted] if x else [] for x in keys]
+        base = [[f for f in word_features(x) if f in wanted] for x in keys]
     for x in range(max(map(len, base), default=0)):
         of = np.fromiter((names.setdefault(f[x], len(names)) if len(f) > x else -1 for f in base), np.int64, len(base))[k]
         columns.append((t[of >= 0], of[of >= 0]))
@@ -321,6 +318,15 @@ def word_counts(docs: DataFrame, costs: np.ndarray) -> DataFrame:
     return rows.where("word <> ''").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
+def _different(counts: DataFrame) -> DataFrame:
+    """``counts`` without words that mark the same rows as their form with each run of a letter as one: of a word without runs that form stays, of one with runs the word."""
+    base = F.regexp_replace("word", "^(%?)=", "$1")
+    rows = counts.withColumns({"form": F.regexp_replace(base, r"([^%^])\1+", "$1"), "wide": F.col("word").rlike("^%?="), "runs": base.rlike(r"([^%^])\1")})
+    both = rows.groupBy("form", "n0", "n1").agg(F.bool_or("wide").alias("has_wide"), F.bool_or(~F.col("wide") & ~F.col("runs")).alias("has_plain"), F.bool_or(~F.col("wide") & F.col("runs")).alias("has_runs"))
+    rows = rows.join(both, ["form", "n0", "n1"])
+    return rows.where(F.when(F.col("wide"), F.col("has_plain") | ~F.col("has_runs")).otherwise(F.col("runs") | ~F.col("has_wide"))).select("word", "n0", "n1")
+
+
 @dataclass
 class ToxicModel:
     costs: np.ndarray
@@ -384,7 +390,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", le
     n0, n1 = drawn.get(0, 0) + 1, drawn.get(1, 0) + 1
     rest = (F.col("n0") + F.col("n1")) / F.lit(n0 + n1)
     z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(rest * (1 - rest) * (1 / n0 + 1 / n1) + 1e-12)
-    model.lexicon = [r.word for r in counts.select("word", F.abs(z).alias("z")).where("z > 4").orderBy(F.desc("z"), "word").limit(lexicon_size).collect()]
+    model.lexicon = [r.word for r in _different(counts).select("word", F.abs(z).alias("z")).where("z > 4").orderBy(F.desc("z"), "word").limit(lexicon_size).collect()]
 
     @tidy
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,10 +436,12 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, *, threshold: float = 0.5
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted.
+    """One row per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= threshold, so a tie is 1).
 
     Labels are learned only from rows whose crc32(doc_id as text) mod 5 is not 0; labels other than 0 and 1, and rows without id, teach
-    nothing. Without labelled rows every score is one half. An empty table gives an empty result.
+    nothing, and labels without a document count in the labels' shares alone. Without labelled rows every score is one half. A null or an empty text, or one without words, has the score of
+    no words. Texts and words of any length are read whole, by the same rules. Equal texts get equal scores; rows that repeat an id each get their own; a row without id is scored, with
+    held_out false. Other columns, whatever their names, are not read. An empty table gives an empty result.
     """
     model = fit_toxicity(docs, labels, id_col=id_col, text_col=text_col)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

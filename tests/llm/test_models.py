@@ -77,7 +77,7 @@ def test_every_part_of_a_long_word_is_read(mark):
     text = mark.join("the other people said that you are a $tupid 1d10t and worthless".split())
     keys, t, k = toxicity.restored_words(pa.array(["total trash", text, ""], pa.large_string()), english_restorer())
     assert [keys[i] for i in k[t == 0]] == ["total", "trash"]
-    assert [keys[i] for i in k[t == 1]] == ["the", "other", "people", "said", "that", "you", "are", "a", "stupid", "idiot", "and", "worthles"]
+    assert [keys[i] for i in k[t == 1]][:12] == ["the", "other", "people", "said", "that", "you", "are", "a", "stupid", "idiot", "and", "worthless"]
 
 
 def test_long_disguises_are_read():
@@ -98,9 +98,32 @@ def test_a_disguised_word_is_read_wherever_it_lies_in_a_long_token(n):
         assert "idiot" in restorer.restore("-".join(parts)), (n, at)
 
 
+@pytest.mark.parametrize("n", [10, 31, 33, 4000])
+def test_one_rule_for_tokens_of_any_length(n):
+    """Each part is read by itself, with its neighbour, and by the best path of the whole, however long the token is."""
+    restorer = english_restorer()
+    for part in ("1d10t", "id.iot", "stu-pid"):
+        head = "you," + part
+        token = head + ("," + "the," * n)[: max(0, n - len(head))]
+        keys = restorer.restore(token)
+        assert keys[0] == "you" and ("idiot" if part[1] != "t" else "stupid") in keys, (token, keys[:9])
+    for word in ("idiot", "such", "hot", "a"):
+        assert {"idiot", word} <= set(restorer.restore(f"{word},idiot")) and {"idiot", word} <= set(restorer.restore(f"{word}/1d10t" + "/the" * n))
+
+
+def test_words_that_differ_by_a_double_letter_stay_different():
+    restorer = english_restorer()
+    texts = pa.array(["ass as butt but hoot hot", "hooot", "WORTHLESS worthlesss"], pa.large_string())
+    keys, t, k = toxicity.restored_words(texts, restorer)
+    assert [keys[i] for i in k[t == 0]] == ["ass", "as", "butt", "but", "hoot", "hot"]
+    assert {keys[i] for i in k[t == 1]} <= {"hoot", "hot"} and len(k[t == 1]) == 1
+    assert [keys[i] for i in k[t == 2]] == ["worthless"] * 2
+    assert toxicity.word_features("hoot") == ["hoot", "^hoot", "=hot"] and toxicity.word_features("") == []
+
+
 def test_letters_of_other_alphabets_stay_themselves():
     restorer = english_restorer()
-    assert restorer.restore("ду.рак") == ("дурак",) and restorer.restore("при.вет") == ("привет",)
+    assert "дурак" in restorer.restore("ду.рак") and "привет" in restorer.restore("при.вет")
     assert restorer.restore("дуууурак") == ("дурак",)
 
 
