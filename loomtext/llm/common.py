@@ -34,23 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-#: Rows of an Arrow batch while texts are worked on: the session's default of 10,000 makes batches of many megabytes on both sides.
-BATCH_ROWS = 2048
+#: Rows and bytes of an Arrow batch while texts are worked on: the session's defaults make batches of many megabytes on both sides.
+BATCH_ROWS, BATCH_BYTES = 2048, 4 << 20
 
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
-    """Arrow batches of ``rows`` rows at most while an action runs; the session's setting is put back after it."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if 0 < int(before) <= rows:
-        yield
-        return
-    spark.conf.set(name, str(rows))
+    """Arrow batches of ``rows`` rows and ``BATCH_BYTES`` bytes at most while an action runs; the session's settings are put back after it."""
+    most = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    before = {}
+    for name, limit in most.items():
+        now = spark.conf.get(name)
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= limit:
+            before[name] = now
+            spark.conf.set(name, str(limit))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 #: Tables laid down inside a ``swept`` block.
