@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
+from . import greedy, metric
 from .graph import components, durable
 
 
@@ -44,79 +48,84 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def similar_pairs(docs: DataFrame, threshold: float, *, seq: str = "seq", text: str = "text") -> DataFrame:
-    """(a, b, similarity), a < b: pairs of rows whose trigram sets have a Jaccard similarity of ``threshold`` or more.
+#: Texts that are drawn to see which grams are common, and how many of those are told apart. They set an order, which any order may replace.
+DRAWN_TEXTS, COMMON_GRAMS = 8192, 100_000
 
-    Rows of equal sets are one class, known by its first row: classes meet each other pair by pair, and every other row of a class is given once,
-    with its first row and similarity 1. So copies cost nothing and no link between different texts is lost.
 
-    Exact prefix filter. Grams, as 64-bit hashes, are put in ascending order of how many classes hold them; two sets as similar as that share one of
-    their first ``n - ceil(t n) + 1`` grams.
-    """
-    s = docs.select(F.col(seq).alias("id"), trigram_hashes(F.col(text)).alias("g")).where(F.size("g") > 0)
-    s = durable(s.withColumns({f"h{k}": F.xxhash64(F.lit(k), "g") for k in (0, 1)}))
-    one = s.groupBy("h0", "h1").agg(F.min("id").alias("head"), F.count("*").alias("copies"))
-    one = durable(one)
-    sets = s.join(one.select(F.col("head").alias("id")), "id").select("id", "g")
-    grams = sets.select("id", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    often = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    # a gram that one row alone holds joins nothing, but counts in the order
-    ranked = grams.join(often, "gram").withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("df", "gram")))
-    prefix = durable(ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1).where("df > 1").select("id", "n", "gram"))
-    other = prefix.withColumnsRenamed({"id": "b", "n": "m"})
+def gram_classes(docs: DataFrame, *, seq: str = "seq", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Rows of equal trigram sets as classes, each known by its first row: (id, cls) of all rows that have grams, and (cls, value), the classes' ascending gram hashes."""
+    s = docs.select(F.col(seq).alias("id"), trigram_hashes(F.col(text)).alias("value")).where(F.size("value") > 0)
+    s = durable(s.withColumns({f"h{k}": F.xxhash64(F.lit(k), "value") for k in (0, 1)}))
+    one = durable(s.groupBy("h0", "h1").agg(F.min("id").alias("cls")))
+    return s.select("id", "h0", "h1").join(one, ["h0", "h1"]).select("id", "cls"), s.join(one.select(F.col("cls").alias("id")), "id").select(F.col("id").alias("cls"), "value")
+
+
+def common_grams(sets: DataFrame) -> np.ndarray:
+    """Ascending grams that several texts of a sample have, ``COMMON_GRAMS`` at most."""
+    every = max(1, sets.count() // DRAWN_TEXTS)
+    often = sets.where(F.pmod(F.xxhash64("cls"), F.lit(every)) == 0).select(F.explode("value").alias("gram")).groupBy("gram").count().where("count > 1")
+    return np.sort(np.array([r.gram for r in often.orderBy(F.desc("count"), "gram").limit(COMMON_GRAMS).collect()], np.int64))
+
+
+def prefixes(sets: DataFrame, threshold: float, common: np.ndarray) -> DataFrame:
+    """(cls, n, gram): the first ``n - ceil(t n) + 1`` grams of each set of n, in one order of all grams: ``common`` ones come last. No exchange."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch.column(1)
+            h, n = value.flatten().to_numpy(zero_copy_only=False), np.diff(value.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(n)), n)
+            late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h if len(common) else np.zeros(len(h), bool)
+            order = np.lexsort((h, late, owner))
+            need = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+            first = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(need, n)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[first])), pa.array(n[owner[first]].astype(np.int32)), pa.array(h[order][first])], names=["cls", "n", "gram"])
+
+    return sets.select("cls", "value").mapInArrow(run, "cls long, n int, gram long")
+
+
+def pairs_by_prefix(prefix: DataFrame, sets: DataFrame, threshold: float, *, new: DataFrame | None = None) -> DataFrame:
+    """(a, b, similarity), a < b: pairs of ``sets`` (cls, value) that share a gram of ``prefix`` (cls, n, gram) and have a Jaccard similarity of ``threshold`` or more;
+    with ``new`` (cls) those that one of its classes takes part in."""
+    other = prefix.select(F.col("cls").alias("b"), F.col("n").alias("m"), F.col("gram").alias("gram"))
+    left = prefix if new is None else prefix.join(new.select("cls").distinct(), "cls", "left_semi")
     close = (F.col("n") >= threshold * F.col("m") - 1e-9) & (F.col("m") >= threshold * F.col("n") - 1e-9)
-    cand = prefix.join(other, "gram").where((F.col("id") < F.col("b")) & close).select(F.col("id").alias("a"), "b").distinct()
-    exact = cand.join(sets.withColumnsRenamed({"id": "a", "g": "x"}), "a").join(sets.withColumnsRenamed({"id": "b", "g": "y"}), "b")
-    exact = exact.withColumn("similarity", jaccard(F.col("x"), F.col("y"))).where(F.col("similarity") >= threshold - 1e-12).select("a", "b", "similarity")
-    copies = s.join(one.where("copies > 1"), ["h0", "h1"]).where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
-    return exact.unionByName(copies)
-
-
-def greedy_best(group: pd.DataFrame, vectors: np.ndarray, threshold: float) -> list[int]:
-    """Rows kept of one component, by position: each meets its most similar representative; a strictly heavier row takes its slot."""
-    slots: list[int] = []
-    w = group["weight"].to_numpy()
-    for i in range(len(group)):
-        if slots:
-            s = vectors[slots] @ vectors[i]
-            k = int(np.argmax(s))
-            if s[k] >= threshold - SINGLE:
-                if w[i] > w[slots[k]]:
-                    slots[k] = i
-                continue
-        slots.append(i)
-    return slots
+    once = F.col("cls") < F.col("b") if new is None else F.col("cls") != F.col("b")
+    cand = left.join(other, "gram").where(once & close).select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
+    exact = cand.join(sets.select(F.col("cls").alias("a"), F.col("value").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("value").alias("y")), "b")
+    return exact.withColumn("similarity", jaccard(F.col("x"), F.col("y"))).where(F.col("similarity") >= threshold - 1e-12).select("a", "b", "similarity")
 
 
-def resolve_similar(docs: DataFrame, threshold: float, *, seq: str = "seq", text: str = "text", weight: str = "final_weight") -> DataFrame:
-    """Rows that greedy representative dedup keeps, with ``slot``: the seq of the row that founded the slot.
+def set_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity), a < b: pairs of classes (cls, value) whose sets have a Jaccard similarity of ``threshold`` or more.
 
-    Rows that are never similar don't touch, so each connected component of the similarity graph is replayed on its own, in order
-    of ``seq``; rows without a neighbour are kept as they are.
+    Exact prefix filter: two sets as similar as that share one of their first ``n - ceil(t n) + 1`` grams, in whichever order of all grams. Those of a
+    sample that are common come last, so that few sets meet by them; only prefixes are exchanged.
     """
-    pairs = similar_pairs(docs, threshold, seq=seq, text=text)
-    comp = components(pairs.select("a", "b"))
-    rows = docs.select(F.col(seq).alias("seq"), F.col(weight).cast("double").alias("weight"), F.col(text).alias("text"))
-    alone = rows.join(comp, rows["seq"] == comp["node"], "left_anti").select("seq", F.col("seq").alias("slot"))
-    inside = rows.join(comp, rows["seq"] == comp["node"]).select("root", "seq", "weight", trigram_hashes(F.col("text")).alias("g"))
+    return pairs_by_prefix(durable(prefixes(sets, threshold, common_grams(sets))), sets, threshold)
 
-    def replay(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("seq").reset_index(drop=True)
-        sets = [frozenset(g) for g in group["g"]]
-        seqs, w, slots, founder = group["seq"].tolist(), group["weight"].tolist(), [], []
-        for i, own in enumerate(sets):
-            for k, rep in enumerate(slots):
-                both = len(own & sets[rep])
-                if own and sets[rep] and both / (len(own) + len(sets[rep]) - both) >= threshold:
-                    if w[i] > w[rep]:
-                        slots[k] = i
-                    break
-            else:
-                slots.append(i)
-                founder.append(seqs[i])
-        return pd.DataFrame({"seq": [seqs[i] for i in slots], "slot": founder})
 
-    return alone.unionByName(inside.groupBy("root").applyInPandas(replay, "seq long, slot long"))
+def similar_pairs(docs: DataFrame, threshold: float, *, seq: str = "seq", text: str = "text") -> DataFrame:
+    """(a, b, similarity), a < b: pairs of rows whose trigram sets have a Jaccard similarity of ``threshold`` or more.
+
+    Rows of equal sets are one class, known by its first row: classes meet each other pair by pair, and every other row of a class is given once,
+    with its first row and similarity 1. So copies cost nothing and no link between different texts is lost.
+    """
+    members, sets = gram_classes(docs, seq=seq, text=text)
+    copies = members.where("id <> cls").select(F.col("cls").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    return set_pairs(durable(sets), threshold).unionByName(copies)
+
+
+def resolve_similar(docs: DataFrame, threshold: float, *, seq: str = "seq", text: str = "text", weight: str = "final_weight", block_rows: int = greedy.BLOCK_ROWS) -> DataFrame:
+    """Rows that greedy representative dedup keeps, with ``slot``: the seq of the row that founded the slot. Components of any size, ``block_rows`` rows of one at a time."""
+    members, sets = gram_classes(docs, seq=seq, text=text)
+    sets = durable(sets)
+    rows = docs.select(F.col(seq).alias("seq"), F.col(weight).cast("double").alias("weight"))
+    classed = rows.join(members.withColumnRenamed("id", "seq"), "seq", "left")
+    classed = durable(classed)
+    empty = classed.where(F.col("cls").isNull()).select("seq", F.col("seq").alias("slot"))  # no tokens: similar to none
+    found = greedy.representatives(classed.where(F.col("cls").isNotNull()), sets, set_pairs(sets, threshold), greedy.replay_sets(threshold), block_rows=block_rows)
+    return empty.unionByName(found.select("seq", "slot"))
 
 
 def unit(v: Column) -> Column:
@@ -137,21 +146,30 @@ def _blocks(vectors: DataFrame, blocks: int) -> tuple[DataFrame, DataFrame]:
     return left, right
 
 
-def cosine_pairs(vectors: DataFrame, threshold: float, *, seq: str = "vec_id", vector: str = "embedding", block_rows: int = 2048) -> DataFrame:
-    """(a, b), a < b: pairs of vectors with a cosine of ``threshold`` or more. Exact, by blocked matrix products."""
-    v = vectors.select(F.col(seq).alias("id"), unit(F.col(vector)).alias("v"))
-    blocks = max(1, -(-vectors.count() // block_rows))
-    left, right = _blocks(v, blocks)
+def vector_classes(vectors: DataFrame, *, seq: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """Rows of equal directions as classes, each known by its first row: (id, cls) of all rows whose vector isn't zero, and (cls, value), the classes' unit vectors."""
+    v = durable(vectors.select(F.col(seq).cast("long").alias("id"), unit(F.col(vector)).alias("v")).where(F.exists("v", lambda x: x != 0)))
+    keys = {f"h{k}": F.xxhash64(F.lit(k), "v") for k in (0, 1)}
+    one = durable(v.withColumns(keys).groupBy("h0", "h1").agg(F.min("id").alias("cls")))
+    return v.withColumns(keys).join(one, ["h0", "h1"]).select("id", "cls"), v.join(one.select(F.col("cls").alias("id")), "id").select(F.col("id").alias("cls"), F.col("v").alias("value"))
 
-    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        s = np.stack(a["v"]) @ np.stack(b["v"]).T
-        i, j = np.nonzero(s >= threshold - SINGLE)
-        x, y = a["id"].to_numpy()[i], b["id"].to_numpy()[j]
-        return pd.DataFrame({"a": x[x < y], "b": y[x < y]})
 
-    return left.groupBy("block", "other").cogroup(right.groupBy("block", "other")).applyInPandas(meet, "a long, b long")
+def vector_pairs(values: DataFrame, threshold: float, *, cell_rows: int = 4096) -> DataFrame:
+    """(a, b, s), a < b: pairs of classes (cls, value) with a cosine of ``threshold`` or more. Exact, by metric partitions."""
+    cells = metric.metric_cells(values.select(F.col("cls").alias("id"), F.col("value").alias("v")), threshold, cell_rows=cell_rows, slack=SINGLE)
+    return metric.pairs_in_cells(cells, threshold, slack=SINGLE)
+
+
+def cosine_pairs(vectors: DataFrame, threshold: float, *, seq: str = "vec_id", vector: str = "embedding", cell_rows: int = 4096) -> DataFrame:
+    """(a, b), a < b: pairs of rows with a cosine of ``threshold`` or more. Directions are compared once, however many rows have them; zero vectors have no pairs."""
+    members, values = vector_classes(vectors, seq=seq, vector=vector)
+    members = durable(members)
+    pairs = vector_pairs(durable(values), threshold, cell_rows=cell_rows).select("a", "b")
+    mine, other = members.select(F.col("id").alias("x"), F.col("cls").alias("a")), members.select(F.col("id").alias("y"), F.col("cls").alias("b"))
+    apart = pairs.join(mine, "a").join(other, "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    if threshold - SINGLE > 1:
+        return apart
+    return apart.unionAll(mine.join(other, F.col("a") == F.col("b")).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
 def _meet(k: int):
@@ -180,13 +198,25 @@ def cosine_topk(vectors: DataFrame, k: int, *, seq: str = "vec_id", vector: str
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("s"), "neighbour"))).where(F.col("rank") <= k).select("id", "neighbour", "rank")
 
 
-def resolve_embeddings(vectors: DataFrame, threshold: float, *, seq: str = "vec_id", vector: str = "embedding", weight: str = "final_weight", batch: bool = False, k: int = 5) -> DataFrame:
+def resolve_embeddings(
+    vectors: DataFrame, threshold: float, *, seq: str = "vec_id", vector: str = "embedding", weight: str = "final_weight", batch: bool = False, k: int = 5, block_rows: int = greedy.BLOCK_ROWS
+) -> DataFrame:
     """Rows that greedy embedding dedup keeps.
 
-    Stream rule: the most similar representative counts and a strictly heavier row replaces it, vector and all. Batch rule
-    (``batch``): in order, a row that is still there looks at its ``k`` nearest and, of the first later one that is similar enough, the
-    lighter of the two goes (the later one at equal weights). Components are replayed on their own.
+    Stream rule: the most similar representative counts and a strictly heavier row replaces it, vector and all; components of any size, ``block_rows`` rows of
+    one at a time. Batch rule (``batch``): in order, a row that is still there looks at its ``k`` nearest and, of the first later one that is similar enough, the
+    lighter of the two goes (the later one at equal weights); a component is replayed in one task.
     """
+    if batch:
+        return _resolve_batch(vectors, threshold, seq=seq, vector=vector, weight=weight, k=k)
+    members, values = vector_classes(vectors, seq=seq, vector=vector)
+    values = durable(values)
+    classed = durable(vectors.select(F.col(seq).cast("long").alias("seq"), F.col(weight).cast("double").alias("weight")).join(members.withColumnRenamed("id", "seq"), "seq", "left"))
+    found = greedy.representatives(classed.where(F.col("cls").isNotNull()), values, vector_pairs(values, threshold), greedy.replay_vectors(threshold, SINGLE), block_rows=block_rows)
+    return classed.where(F.col("cls").isNull()).select("seq").unionAll(found.select("seq"))
+
+
+def _resolve_batch(vectors: DataFrame, threshold: float, *, seq: str, vector: str, weight: str, k: int) -> DataFrame:
     comp = components(cosine_pairs(vectors, threshold, seq=seq, vector=vector))
     rows = vectors.select(F.col(seq).alias("seq"), F.col(weight).cast("double").alias("weight"), unit(F.col(vector)).alias("v"))
     alone = rows.join(comp, rows["seq"] == comp["node"], "left_anti").select("seq")
@@ -195,16 +225,13 @@ def resolve_embeddings(vectors: DataFrame, threshold: float, *, seq: str = "vec_
     def replay(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("seq").reset_index(drop=True)
         v, w = np.stack(group["v"]), group["weight"].to_numpy()
-        if not batch:
-            return pd.DataFrame({"seq": group["seq"].to_numpy()[greedy_best(group, v, threshold)]})
         gone = np.zeros(len(group), bool)
-        s = v @ v.T
         for i in range(len(group)):
             if gone[i]:
                 continue
-            order = np.lexsort((np.arange(len(group)), -s[i]))[: k + 1]
-            for j in order:
-                if j > i and s[i, j] >= threshold - SINGLE:
+            s = v @ v[i]
+            for j in np.lexsort((np.arange(len(group)), -s))[: k + 1]:
+                if j > i and s[j] >= threshold - SINGLE:
                     gone[j if w[i] >= w[j] else i] = True
                     break
         return pd.DataFrame({"seq": group["seq"].to_numpy()[~gone]})

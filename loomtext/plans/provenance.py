@@ -129,13 +129,15 @@ def new_run(config: dict, *, run_id: str, dataset_id: str, started: str, git: di
 
 
 def write_run_manifest(spark: SparkSession, uri: str, manifest: dict) -> None:
-    """The manifest as one file, put in place by a rename, so a reader sees the old one or the new one whole."""
+    """The manifest as one file, put in place by one rename over the old one, so a reader sees either of them whole at any moment."""
     (dst, fs), (tmp, _) = _path(spark, uri), _path(spark, f"{uri}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray((json.dumps(manifest, indent=2, sort_keys=True, default=str) + "\n").encode()))
     out.close()
-    fs.delete(dst, False)
-    fs.rename(tmp, dst)
+    hadoop, gateway = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
+    over = gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(dst.toUri() if dst.toUri().getScheme() else fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, dst, over)
 
 
 def resume_run(spark: SparkSession, uri: str, updated: str) -> dict:
