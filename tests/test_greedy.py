@@ -148,7 +148,7 @@ def test_metric_cells_lose_no_pair(spark, case, monkeypatch):
     i, j = np.nonzero(np.triu(s >= t - 1e-6, 1))
     assert got == sorted(zip(i.tolist(), j.tolist()))
     every, compared = len(x) * (len(x) - 1) // 2, metric.pairs_compared(cells)
-    assert compared <= (0.2 if case == "clusters" else 0.6 if case == "dense cell" else 1) * every, (compared, every)
+    assert compared <= (1 if case == "isotropic" else 0.6) * every, (compared, every)
     assert metric.metric_cells(df.limit(0), t).count() == 0
 
 
