@@ -14,18 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .sampling import shard_order
-
-#: Rows of one range of the running sum.
-RANGE = 4096
-
+from .scan import running_sums
 
 def offsets(docs: DataFrame, n: Column, *, part: str = "part", seq: str = "seq") -> DataFrame:
-    """``start``: tokens of all earlier rows of the same part. Sums of ranges first, then the rows of each range."""
-    d = docs.withColumn("_n", n.cast("long")).withColumn("_range", F.expr(f"{seq} div {RANGE}"))
-    sums = d.groupBy(part, "_range").agg(F.sum("_n").alias("s"))
-    base = sums.withColumn("_base", F.sum("s").over(Window.partitionBy(part).orderBy("_range")) - F.col("s")).drop("s")
-    inner = F.sum("_n").over(Window.partitionBy(part, "_range").orderBy(seq)) - F.col("_n")
-    return d.withColumn("_in", inner).join(base, [part, "_range"]).withColumn("start", F.col("_base") + F.col("_in")).drop("_n", "_range", "_base", "_in")
+    """``start``: tokens of all earlier rows of the same part, by sums of ranges at as many levels as the places need."""
+    return running_sums(docs, n, part=part, seq=seq)
 
 
 def with_end(tokens: Column, end: int) -> Column:

@@ -219,6 +219,7 @@ SELECT doc_id, round(CASE WHEN n < 30 THEN 0.1::DOUBLE ELSE {clamp(
     " + CASE WHEN n > 500 THEN 0.05::DOUBLE ELSE 0 END + CASE WHEN n > 2000 THEN 0.05::DOUBLE ELSE 0 END"
     f" - CASE WHEN {n_of('t', LETTERS)} / c < 0.5 THEN 0.1::DOUBLE ELSE 0 END - CASE WHEN len(list_distinct(l)) / n < 0.2 THEN 0.15::DOUBLE ELSE 0 END - CASE WHEN {n_of('t', DIGITS)} / c > 0.3 THEN 0.1::DOUBLE ELSE 0 END", 0.0, 1.0)} END, 6) AS score FROM w""",
     "final_weight": WEIGHTED + " SELECT CAST(doc_id AS VARCHAR) AS doc_id, round(final_weight, 6) AS final_weight FROM w",
+    "signal_gate_runs": GATE + "SELECT event_id, CAST(seq AS INT) AS page_no FROM kept",
     "signal_gate": GATE + "SELECT event_id, CAST(seq AS INT) AS page_no FROM kept",
     "domain_page_cap": VISITS + " SELECT event_id, CAST(seq AS INT) AS page_no FROM v WHERE seq <= 12",
     "domain_snapshot": GATE + ", l AS (SELECT domain, arg_max(signal, seq) AS s, count(*) AS n FROM kept GROUP BY domain) SELECT domain, round(s, 6) AS avg_score, n AS count, n >= 10 AND s < 0.45 AS abandoned FROM l",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..operators import clean, contract, dedup, encode, packing, reporting, sampling, signals
+from ..operators import clean, contract, dedup, encode, packing, reporting, sampling, scan, signals
 from ..session import spread, table
 from ..sources import readers
 from . import provenance, store
@@ -147,6 +147,10 @@ def signal_gate(spark, sf):
     return signals.signal_gate(visits(spark, sf), threshold=0.45).select("event_id", "page_no")
 
 
+def signal_gate_runs(spark, sf):
+    return scan.rolling_gate(visits(spark, sf), threshold=0.45, rows_per_run=1000).select("event_id", "page_no")
+
+
 def domain_page_cap(spark, sf):
     return signals.page_cap(visits(spark, sf), 12, keys=["domain"]).select("event_id", "page_no")
 
@@ -459,7 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         corpus_summary, text_metrics, clean_outcomes, clean_kept, redact, exact_dedup_clean, exact_dedup_normalized, html_strip_pages, html_strip_dom, page_documents,
         near_dup_pairs, near_dup_resolve, embedding_dup_pairs, embedding_topk, embedding_dedup_resolve, classify_url, classify_text, code_language, reclassify,
-        quality_score, document_score, final_weight, final_weight_pages, signal_gate, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample, weighter_totals, weight_resample_exact, reservoir_sample,
+        quality_score, document_score, final_weight, final_weight_pages, signal_gate, signal_gate_runs, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample, weighter_totals, weight_resample_exact, reservoir_sample,
         buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
         stage_counts, source_licences, latest_metric, metric_unpivot, run_search, run_lineage_sources, run_upsert, run_validate, dataset_pages, event_tail,
         generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay, bpe_tokenize, source_manifest, manifest_faults, run_progress, log_redaction, token_totals,
