@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once, into the checkpoint folder that the session names; a local session may make its own."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; a local session may make its own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         d = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,6 +19,21 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a shared folder")
             d = tempfile.mkdtemp(prefix="loomtext-")
         sc.setCheckpointDir(d)
+    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """``df`` computed once, into the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -232,6 +232,14 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, part, start, start // 50000 AS shard F
 WITH d AS (SELECT doc_id, {PART} AS part, len({words('text')}) AS w FROM documents), e AS (SELECT doc_id, part, w + 1 AS n FROM d WHERE w > 0),
 s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY part ORDER BY doc_id) - n AS BIGINT) AS a FROM e), x AS (SELECT part, a, a + n AS b, unnest(range(a // 50000, (a + n - 1) // 50000 + 1)) AS shard FROM s)
 SELECT part, shard, count(*) AS pieces, CAST(sum(least(b, (shard + 1) * 50000) - greatest(a, shard * 50000)) AS BIGINT) AS tokens FROM x GROUP BY part, shard""",
+    "shard_windows": f"""
+WITH d AS (SELECT doc_id, {PART} AS part, {words('text')} AS w FROM documents),
+k AS (SELECT doc_id, part, list_concat(list_transform(w, lambda x: least(length(x), 65535)), [2]) AS k FROM d WHERE len(w) > 0),
+t AS (SELECT part, doc_id, generate_subscripts(k, 1) AS i, unnest(k) AS v FROM k),
+p AS (SELECT part, v, row_number() OVER (PARTITION BY part ORDER BY doc_id, i) - 1 AS pos FROM t),
+s AS (SELECT part, pos // 50000 AS shard, pos % 50000 AS p, v, count(*) OVER (PARTITION BY part, pos // 50000) AS n, lead(v) OVER (PARTITION BY part, pos // 50000 ORDER BY pos) AS y FROM p)
+SELECT part || '_' || lpad(CAST(shard AS VARCHAR), 5, '0') || '.bin' AS name, CAST(p // 128 * 128 AS BIGINT) AS "at", CAST(sum(v) AS INT) AS x_sum, CAST(sum(y) AS INT) AS y_sum
+FROM s WHERE p // 128 * 128 + 128 < n GROUP BY part, shard, p // 128""",
     "batch_windows": f"""
 WITH d AS (SELECT doc_id, {words('text')} AS w FROM documents), t AS (SELECT doc_id, list_concat(list_transform(w, lambda x: length(x)), [2]) AS k FROM d WHERE len(w) > 0),
 x AS (SELECT doc_id, k, unnest(range(0, len(k) - 128, 128)) AS pos FROM t WHERE len(k) > 128)

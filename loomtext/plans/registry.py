@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..operators import clean, contract, dedup, encode, packing, reporting, sampling, scan, signals
+from ..operators import clean, contract, dedup, encode, graph, packing, reporting, sampling, scan, signals
 from ..session import spread, table
-from ..sources import readers
+from ..sources import readers, token_shards
 from . import provenance, store
 
 CLEAN = clean.CleanConfig(shortest=200, longest=200_000, groups={"boilerplate": (1.0, [r"\ball rights reserved\b", r"\bwith the\b"])}, threshold=0.004)
@@ -221,6 +221,17 @@ def batch_windows(spark, sf):
     return w.select("doc_id", "at", total("x").alias("x_sum"), total("y").alias("y_sum"))
 
 
+def shard_windows(spark, sf):
+    """Training windows read back from the token shards of both parts."""
+    folder = graph.new_folder(spark, "shards")
+    d = _word_tokens(spark, sf).withColumn("tokens", F.transform("tokens", lambda n: F.least(n, F.lit(65_535))))
+    token_shards.write_token_shards(packing.shard_pieces(d, 50_000), folder, sequence_length=128, vocab_size=65_536)
+    total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
+    out = graph.durable(token_shards.read_token_shards(spark, folder).select("name", "at", total("x").alias("x_sum"), total("y").alias("y_sum")))
+    graph.remove_folder(spark, folder)
+    return out
+
+
 def exclusion_tags(spark, sf):
     return texts(spark, sf).select("doc_id", F.array_join(T.exclusion_tags(F.col("text")), ",").alias("tags"))
 
@@ -464,7 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corpus_summary, text_metrics, clean_outcomes, clean_kept, redact, exact_dedup_clean, exact_dedup_normalized, html_strip_pages, html_strip_dom, page_documents,
         near_dup_pairs, near_dup_resolve, embedding_dup_pairs, embedding_topk, embedding_dedup_resolve, classify_url, classify_text, code_language, reclassify,
         quality_score, document_score, final_weight, final_weight_pages, signal_gate, signal_gate_runs, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample, weighter_totals, weight_resample_exact, reservoir_sample,
-        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
+        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, shard_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
         stage_counts, source_licences, latest_metric, metric_unpivot, run_search, run_lineage_sources, run_upsert, run_validate, dataset_pages, event_tail,
         generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay, bpe_tokenize, source_manifest, manifest_faults, run_progress, log_redaction, token_totals,
     )
