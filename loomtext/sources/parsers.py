@@ -110,6 +110,16 @@ def parse_pptx(raw: bytes) -> str:
     return "\n\n".join(f"[SLIDE {n}]\n" + "\n".join(parts) for n, parts in slides if parts)
 
 
+def _column(reference: str) -> int:
+    """The place of a cell's column, from 0, by a reference such as AB12; 0 without one."""
+    n = 0
+    for ch in reference:
+        if not "A" <= ch <= "Z":
+            break
+        n = 26 * n + ord(ch) - 64
+    return max(n - 1, 0) if n <= 16_384 else 0
+
+
 def parse_xlsx(raw: bytes) -> str:
     shared = [_runs(e) for _, root in _zip_xml(raw, "xl/sharedStrings") for e in root if _local(e) == "si"]
     names = [e.get("name", "") for _, root in _zip_xml(raw, "xl/workbook") for e in root.iter() if _local(e) == "sheet"]
@@ -117,8 +127,10 @@ def parse_xlsx(raw: bytes) -> str:
     for n, (_, root) in enumerate(_zip_xml(raw, "xl/worksheets/sheet")):
         rows = []
         for row in (e for e in root.iter() if _local(e) == "row"):
-            cells = []
+            cells: list[str] = []
             for c in row:
+                at = _column(c.get("r", ""))
+                cells += [""] * (at - len(cells))  # empty cells are left out of the file
                 v = next((x.text or "" for x in c if _local(x) == "v"), _runs(c))
                 cells.append(shared[int(v)] if c.get("t") == "s" and v else v)
             rows.append(cells)

@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..operators.graph import durable
-from . import parsers
+from . import lines, parsers
 
 DOCUMENT = (
     "doc_id string, url string, source string, text string, title string, language string, content_type string, code_language string, domain string, "
@@ -26,10 +26,20 @@ DOCUMENT = (
 DEFAULTS = {"language": "en", "content_type": "unknown", "domain_weight": 1.0, "content_type_weight": 1.0, "quality_score": 1.0, "final_weight": 1.0, "stars": 0, "citations": 0, "crawl_depth": 0, "flagged": False, "clean_action": "", "clean_score": 0.0}
 
 
-def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a JSON-lines file. Unknown keys are dropped, blank lines skipped; a malformed line, or one without doc_id, fails the read."""
-    d = spark.read.schema(DOCUMENT).option("mode", "FAILFAST").json(path)
-    d = d.withColumn("doc_id", F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("a line has no doc_id"))).otherwise(F.col("doc_id")))
+def rejected_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, reason, text): the lines that ``read_jsonl`` refuses, or leaves out where it isn't strict."""
+    return lines.rejected_json(spark, path, DOCUMENT, needs=("doc_id",))
+
+
+def read_jsonl(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
+    """Documents of JSON-lines files. Unknown keys are dropped, blank lines skipped.
+
+    A malformed line, or one without doc_id, is an error that names its file and line, raised by a first pass over the lines; where ``strict`` is false such lines are left out.
+    """
+    if strict and (bad := rejected_documents(spark, path).orderBy("file", "line").limit(1).collect()):
+        raise ValueError(f"{bad[0].file}, line {bad[0].line}: {bad[0].reason}")
+    d = spark.read.schema(DOCUMENT).option("mode", "FAILFAST").json(path) if strict else lines.accepted_json(spark, path, DOCUMENT)
+    d = d.where(F.col("doc_id").isNotNull())
     for c in d.columns:
         if c in DEFAULTS:
             d = d.withColumn(c, F.coalesce(c, F.lit(DEFAULTS[c])))
@@ -40,7 +50,7 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Metric lines; lines that can't be read are skipped."""
+    """Metric lines; lines that can't be read are skipped (``lines.rejected_json`` tells which)."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
