@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scan import BITS, levels_for
+
 
 def signal_gate(pages: DataFrame, *, domain: str = "domain", seq: str = "seq", score: str = "score", window: int = 20, least: int = 10, threshold: float = 0.35) -> DataFrame:
     """Rows fetched before their domain is abandoned, with ``page_no`` and the rolling mean ``signal``.
@@ -68,11 +70,14 @@ def stage_counts(before: DataFrame, after: DataFrame, text: str = "text") -> Dat
     return both.withColumn("removed_count", F.greatest(F.lit(0), F.col("input_document_count") - F.col("document_count")))
 
 
-def content_fold(rows: DataFrame, source: str, text: str, seq: str) -> DataFrame:
-    """One order-sensitive hash per source: of its rows' hashes in order, each row's first 16 digits.
+def content_fold(rows: DataFrame, source: str, text: str, seq: str, *, bits: int = BITS) -> DataFrame:
+    """One order-sensitive hash per source: a Merkle fold of its texts' hashes in order of ``seq``, which differs for each row of a source.
 
-    The list of a source's hashes is as long as the source; ``buckets`` of rows are folded first so none grows with the corpus.
+    Ranges of ``2 ** bits`` places are folded into one hash each, ranges of those again, as many levels as the places need: no list is longer than a range is wide.
     """
-    h = rows.select(source, F.col(seq).alias("seq"), F.sha2(F.col(text), 256).alias("h"), F.expr(f"{seq} div 4096").alias("part"))
-    parts = h.groupBy(source, "part").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "h"))), lambda x: x["h"]), ""), 256).alias("h"))
-    return parts.groupBy(source).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), ""), 256).alias("content_sha256"))
+    edge = rows.agg(F.min(seq).alias("a"), F.max(seq).alias("z")).first()
+    h = rows.select(F.col(source).alias("source"), F.col(seq).cast("long").alias("place"), F.sha2(F.col(text), 256).alias("h"))
+    fold = lambda: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "h"))), lambda x: x["h"]), ""), 256)
+    for _ in range(levels_for(edge.a or 0, edge.z or 0, bits)):
+        h = h.groupBy("source", F.call_function("shiftright", "place", F.lit(bits)).alias("above")).agg(fold().alias("h")).withColumnRenamed("above", "place")
+    return h.groupBy(F.col("source").alias(source)).agg(fold().alias("content_sha256"))

@@ -193,6 +193,7 @@ SELECT doc_id, round({DOMAIN(lambda w, c: f"{w}::DOUBLE")} * {type_weight('t')}
     "contract_report": DECIDED + "SELECT (SELECT count(*) FROM x) AS rows, (SELECT count(*) FROM x WHERE reason = 'accepted') AS accepted, (SELECT count(*) FROM x WHERE reason <> 'accepted') AS rejected, (SELECT count(*) FROM x WHERE reason = 'accepted' AND seq % 3 <> 0) AS rights_unknown, reason, count(*) AS n FROM x WHERE reason <> 'accepted' GROUP BY reason",
     "profile_groups": "SELECT n_nationkey AS dataset_id, n_name AS profile, r_name AS group_name FROM nation JOIN region ON r_regionkey = n_regionkey",
     "record_hash": "SELECT doc_id, sha256('{\"doc_id\":' || doc_id || ',\"lang\":' || CAST(to_json(lang) AS VARCHAR) || ',\"license\":null,\"n_chars\":' || n_chars || ',\"source\":' || CAST(to_json(source) AS VARCHAR) || ',\"text\":' || CAST(to_json(text) AS VARCHAR) || '}') AS record_sha256 FROM documents",
+    "source_hash": "SELECT source, count(*) AS records, sha256(string_agg('{\"doc_id\":' || doc_id || ',\"lang\":' || CAST(to_json(lang) AS VARCHAR) || ',\"license\":null,\"n_chars\":' || n_chars || ',\"source\":' || CAST(to_json(source) AS VARCHAR) || ',\"text\":' || CAST(to_json(text) AS VARCHAR) || '}' || chr(10), '' ORDER BY doc_id)) AS source_sha256 FROM documents GROUP BY source",
     "content_fold": "WITH h AS (SELECT source, doc_id // 4096 AS part, sha256(string_agg(sha256(text), '' ORDER BY doc_id)) AS h FROM documents GROUP BY 1, 2) SELECT source, sha256(string_agg(h, '' ORDER BY part)) AS content_sha256 FROM h GROUP BY source",
     "stage_throughput": "SELECT p_partkey, CASE WHEN p_retailprice - 1000 > 0 THEN round(p_size * 1000 / (p_retailprice - 1000), 3) END AS per_second FROM part",
     "dedup_totals": f"WITH k AS (SELECT count(*) AS n, count(DISTINCT array_to_string({words('lower(text)')}, ' ')) AS d FROM documents) SELECT n AS documents_in, d AS kept, n - d AS removed, round((n - d) / greatest(n, 1), 6) AS removed_share FROM k",
@@ -245,6 +246,7 @@ WITH d AS (SELECT doc_id, {words('text')} AS w FROM documents), t AS (SELECT doc
 x AS (SELECT doc_id, k, unnest(range(0, len(k) - 128, 128)) AS pos FROM t WHERE len(k) > 128)
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(pos AS INT) AS "at", CAST(list_sum(k[pos + 1 : pos + 128]) AS INT) AS x_sum, CAST(list_sum(k[pos + 2 : pos + 129]) AS INT) AS y_sum FROM x""",
     "exclusion_tags": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(array_to_string({excluded('text')}, ','), '') AS tags FROM documents",
+    "exclusion_rules": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(array_to_string({excluded('text')}, ','), '') AS tags FROM documents",
     "contract_gate": f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, len({words('text')}) >= 30 AND {quality('text')} >= 0.35 AND len({excluded('text')}) = 0 AS keep FROM documents",
     "acceptance_report": DECIDED + "SELECT reason, count(*) AS n, CAST(count(*) FILTER (seq % 3 <> 0) AS BIGINT) AS rights_unknown FROM x GROUP BY reason",
     "source_status": SOURCE_FACTS + " SELECT k, CASE WHEN k % 10 = 0 THEN 'DISABLED' WHEN limited > 0 THEN 'RATE_LIMITED' WHEN documents > 0 AND errors > 0 THEN 'PARTIAL' WHEN documents > 0 THEN 'SUCCESS' WHEN errors > 0 THEN 'FAILED' WHEN skipped > 0 THEN 'SKIPPED' ELSE 'EMPTY' END AS status FROM g",

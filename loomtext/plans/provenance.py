@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,6 +121,35 @@ def record_hash(*columns: str) -> Column:
     return F.arrow_udf(run, "string")(F.struct(*[F.col(c) for c in columns]))
 
 
+def source_hashes(rows: DataFrame, source: str, seq: str, *columns: str) -> DataFrame:
+    """(source, records, source_sha256): sha256 over a source's records as canonical JSON lines, in order of ``seq``.
+
+    The hash runs over a source's bytes one after the other, so a source is one sorted stretch that a task reads through, a batch at a time; ``signals.content_fold`` is the form
+    whose work spreads. A null source is one too.
+    """
+    d = rows.select(F.col(source).alias("source"), F.col(seq).alias("_seq"), F.struct(*[F.col(c) for c in columns]).alias("record"))
+    d = d.repartition("source").sortWithinPartitions("source", "_seq").select("source", "record")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n, digest = None, 0, hashlib.sha256()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.string()), pa.array([n], pa.int64()), pa.array([digest.hexdigest()])], names=["source", "records", "source_sha256"])
+
+        for batch in batches:
+            kind = batch.column(1).type
+            for name, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if n and name != now:
+                    yield out()
+                    n, digest = 0, hashlib.sha256()
+                now, n = name, n + 1
+                digest.update(json.dumps(_plain(record, kind), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8", "surrogatepass") + b"\n")
+        if n:
+            yield out()
+
+    return d.withColumn("source", F.col("source").cast("string")).mapInArrow(run, "source string, records long, source_sha256 string")
+
+
 def new_run(config: dict, *, run_id: str, dataset_id: str, started: str, git: dict | None = None) -> dict:
     """A run manifest as a run begins."""
     return {

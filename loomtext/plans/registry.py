@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import fixed
 from ..functions import text as T
-from ..operators import clean, contract, dedup, encode, graph, packing, reporting, sampling, scan, signals
+from ..operators import clean, contract, dedup, encode, graph, packing, reporting, rules, sampling, scan, signals
 from ..session import spread, table
 from ..sources import readers, token_shards
 from . import provenance, store
@@ -279,6 +280,17 @@ def content_fold(spark, sf):
     return signals.content_fold(documents(spark, sf), "source", "text", "seq")
 
 
+def source_hash(spark, sf):
+    d = table(spark, sf, "documents").withColumn("license", F.lit(None).cast("string"))
+    return provenance.source_hashes(d, "source", "doc_id", "doc_id", "lang", "source", "n_chars", "text", "license")
+
+
+def exclusion_rules(spark, sf):
+    """The exclusion tags by one pass over all rules."""
+    every = [(t, p) for t, patterns in fixed.EXCLUSIONS.items() for p in patterns]
+    return rules.tagged(texts(spark, sf).select("doc_id", "text"), every).select("doc_id", F.array_join("tags", ",").alias("tags"))
+
+
 def stage_throughput(spark, sf):
     return table(spark, sf, "part").select("p_partkey", signals.throughput(F.col("p_size") * 1000, F.col("p_retailprice") - 1000).alias("per_second"))
 
@@ -475,7 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corpus_summary, text_metrics, clean_outcomes, clean_kept, redact, exact_dedup_clean, exact_dedup_normalized, html_strip_pages, html_strip_dom, page_documents,
         near_dup_pairs, near_dup_resolve, embedding_dup_pairs, embedding_topk, embedding_dedup_resolve, classify_url, classify_text, code_language, reclassify,
         quality_score, document_score, final_weight, final_weight_pages, signal_gate, signal_gate_runs, domain_page_cap, domain_snapshot, weight_expand_whole, weight_resample, weighter_totals, weight_resample_exact, reservoir_sample,
-        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, shard_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
+        buffer_shuffle, split_assignment, shard_offsets, shard_pieces, batch_windows, shard_windows, exclusion_tags, contract_gate, acceptance_report, contract_report, profile_groups, record_hash, content_fold, source_hash, exclusion_rules, stage_throughput, dedup_totals, embedding_topk_cells, parse_files, run_manifest_metrics, source_status, http_buckets,
         stage_counts, source_licences, latest_metric, metric_unpivot, run_search, run_lineage_sources, run_upsert, run_validate, dataset_pages, event_tail,
         generation_metrics, loss_summary, cosine_lr, duration_estimate, union_sources, field_text, crawl_replay, bpe_tokenize, source_manifest, manifest_faults, run_progress, log_redaction, token_totals,
     )
