@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions import text as T
 
@@ -20,27 +21,46 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", within: tuple[str, str]
     return h.dropDuplicates(["_h"]).drop("_h")
 
 
-def signal_gate(pages: DataFrame, *, domain: str = "domain", seq: str = "seq", score: str = "score", window: int = 20, least: int = 10, threshold: float = 0.35) -> DataFrame:
-    """(domain, seq, score) of pages before their domain is abandoned; state per domain: the last ``window`` scores, a count, a flag.
+class _Gate(StatefulProcessor):
+    """Per domain: the last scores, how many pages there were, and whether it has been abandoned."""
 
-    Rows of one batch are taken in order of ``seq``; batches in order of arrival.
-    """
-    kind = f"{domain} string, {seq} long, {score} double"
+    def __init__(self, domain: str, seq: str, score: str, window: int, least: int, threshold: float, ttl_ms: int | None):
+        self.domain = domain
+        self.seq, self.score, self.window, self.least, self.threshold, self.ttl_ms = seq, score, window, least, threshold, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("gate", "scores array<double>, n long, gone boolean", ttlDurationMs=self.ttl_ms)
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        scores, count, gone = state.get if state.exists else ([], 0, False)
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        scores, count, gone = self.state.get() if self.state.exists() else ([], 0, False)
         scores, out = list(scores), []
-        for r in pd.concat(list(parts)).sort_values(seq).itertuples(index=False):
+        for r in pd.concat(list(rows)).sort_values(self.seq).itertuples(index=False):
             if gone:
                 break
-            out.append((key[0], getattr(r, seq), getattr(r, score)))
-            scores, count = [*scores, float(getattr(r, score))][-window:], count + 1
-            gone = count >= least and sum(scores) / len(scores) < threshold
-        state.update((scores, count, gone))
-        yield pd.DataFrame(out, columns=[domain, seq, score])
-
-    rows = pages.select(F.col(domain).cast("string"), F.col(seq).cast("long"), F.col(score).cast("double"))
-    return rows.groupBy(domain).applyInPandasWithState(step, kind, "scores array<double>, n long, gone boolean", "append", GroupStateTimeout.NoTimeout)
+            out.append((key[0], getattr(r, self.seq), getattr(r, self.score)))
+            scores, count = [*scores, float(getattr(r, self.score))][-self.window :], count + 1
+            gone = bool(count >= self.least and sum(scores) / len(scores) < self.threshold)
+        self.state.update((scores, count, gone))
+        yield pd.DataFrame(out, columns=[self.domain, self.seq, self.score])
+
+    def close(self) -> None:
+        pass
+
+
+#: ``signal_gate`` keeps its state in this store: set it as spark.sql.streaming.stateStore.providerClass before the stream starts.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def signal_gate(pages: DataFrame, *, domain: str = "domain", seq: str = "seq", score: str = "score", window: int = 20, least: int = 10, threshold: float = 0.35, forget_ms: int | None = None) -> DataFrame:
+    """(domain, seq, score) of pages before their domain is abandoned; state per domain: the last ``window`` scores, a count, a flag.
+
+    Rows of one batch are taken in order of ``seq``; batches in order of arrival. A domain without a page for ``forget_ms`` milliseconds of
+    processing time is forgotten, and begins anew; without it state stays. Needs the state store ``STATE_STORE``.
+    """
+    rows = pages.select(F.col(domain).cast("string").alias(domain), F.col(seq).cast("long").alias(seq), F.col(score).cast("double").alias(score))
+    kind = StructType([StructField(domain, StringType()), StructField(seq, LongType()), StructField(score, DoubleType())])
+    gate = _Gate(domain, seq, score, window, least, threshold, forget_ms)
+    return rows.groupBy(domain).transformWithStateInPandas(gate, kind, "Append", "processingTime" if forget_ms else "none")
 
 
 def event_counts(events: DataFrame, *, ts: str = "ts", kind: str = "event_type", width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
