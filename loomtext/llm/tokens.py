@@ -30,7 +30,7 @@ from .arrowtext import coded, group_sums, kept, steps, text_column, tidy, words
 from .common import BATCH_ROWS, small_batches
 
 #: Distinct pieces after which a worker starts its memory of pieces afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 #: Letters that neither canonical composition nor lower-casing turns into anything but one letter (Latin and Cyrillic ranges).
