@@ -99,7 +99,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     empty = F.lit(None)
     out_cols = ["doc_id", "mark", "item_id", "start", "n_words", "hamming", "similarity"]
     if not facts.ks:
-        return docs.limit(0).select(F.col(id_col).alias("doc_id"), empty.cast("long").alias("mark"), empty.cast("long").alias("item_id"), empty.cast("int").alias("start"), empty.cast("int").alias("n_words"), empty.cast("int").alias("hamming"), empty.cast("double").alias("similarity"))
+        return docs.limit(0).select(F.col(id_col).alias("doc_id"), empty.cast("long").alias("mark"), empty.cast(benchmark.schema[item_col].dataType).alias("item_id"), empty.cast("int").alias("start"), empty.cast("int").alias("n_words"), empty.cast("int").alias("hamming"), empty.cast("double").alias("similarity"))
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     # a row is known by id and text; equal rows are one
     doc_key = ["doc_id", "mark"]

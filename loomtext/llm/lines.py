@@ -73,7 +73,8 @@ def line_dedup(docs: DataFrame, *, width: int = 3, id_col: str = "doc_id", text_
     ``n_lines`` counts all lines of the text (an empty one has one, a null one none); ``n_removed`` those removed. A removed
     stretch takes the blank lines inside it along; other blank lines stay. Rows may become empty but none is dropped. Null
     text stays null. A null id comes before all others; rows of one id come in the order of a hash of their texts, whatever the input's
-    order or partitions. Of equal rows all but one lose their windows. Texts of fewer than ``width`` full lines are left alone. Other columns are
+    order or partitions. Of equal rows all but one lose their windows. Texts of fewer than ``width`` full lines are left alone; lines and texts of any length are
+    hashed whole. Other columns are
     not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -165,7 +165,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, label: str = "quality",
     Labels are learned from rows whose crc32(doc_id as text) mod 5 is not 0; a document labelled more than once counts once for each
     label, labels other than 0 and 1 are left out. Null and empty texts have the statistics of no words and get a score like any
     other. A null id is never a training row and is not held out. With no labels at all both classes are alike and every score is one
-    half. Statistics that are not finite can't arise. An empty table gives an empty result.
+    half. Statistics that are not finite can't arise. Texts of any length are read whole. Rows that repeat an id or a text each get a score, equal texts equal ones; a score at
+    the threshold is 1. Other columns, whatever their names, are not read. An empty table gives an empty result.
     """
     stats = durable(document_statistics(docs, id_col, text_col))
     model = fit(stats, labels, label, to_pooled, to_diagonal)

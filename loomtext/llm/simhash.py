@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, radius: int = 3, groups:
     Rows link at ``radius`` or fewer differing bits; component_id is the smallest doc_id that can be reached, itself included.
     Equal fingerprints, those of exact copies among them, are one node. Texts without words, null ones too, have
     fingerprint zero and link like any other. A null doc_id is never a component's id unless it is alone with others like it;
-    such a component's id is null. Repeated rows stay repeated. An empty table gives an empty result.
+    such a component's id is null. Repeated rows stay repeated. Texts of any length are read whole; a bit that exactly half of the
+    shingles have set is 0. Other columns are not read. An empty table gives an empty result.
     """
     fps = durable(fingerprints(docs, width=width, id_col=id_col, text_col=text_col))
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
