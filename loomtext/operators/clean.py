@@ -108,18 +108,13 @@ def dom_text(html: Column) -> Column:
     return F.pandas_udf(run, "string")(html)
 
 
-def _once(d: DataFrame, name: str, value: Column) -> DataFrame:
-    """Column ``name`` computed once a row, whatever reads it later: an optimiser copies no expression through a generator."""
-    return d.withColumn(name, F.explode_outer(F.array(value)))
-
-
 def with_clean_text(d: DataFrame, cfg: CleanConfig, text: str = "text") -> DataFrame:
     """``d`` with its text stripped and normalised as the configuration says; null text becomes empty. Each step is computed once."""
     if cfg.strip_html:
-        d = d.withColumn(text, dom_text(F.col(text))) if cfg.dom else _once(d, text, T.strip_tags(F.col(text)))
+        d = d.withColumn(text, dom_text(F.col(text))) if cfg.dom else T.once(d, **{text: T.strip_tags(F.col(text))})
     if cfg.normalise:
         d = d.withColumn(text, T.compatible(F.col(text)))
-        return _once(d, text, F.coalesce(T.normalise(F.col(text), nfkc=False), F.lit("")))
+        return T.once(d, **{text: F.coalesce(T.normalise(F.col(text), nfkc=False), F.lit(""))})
     return d.withColumn(text, F.coalesce(F.col(text), F.lit("")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text
 from ..functions.text import split_bucket
 
 STRATEGIES = ("upsample", "downsample", "both")
@@ -35,8 +36,9 @@ def hash_draw(seed: int, key: Column) -> Column:
 
 def resample(docs: DataFrame, strategy: str, *, weight: str = "final_weight", key: str = "doc_id", seed: int = 42) -> DataFrame:
     """Each row as often as its weight says, ``copy`` counting from 0. Draws are hashes of the keys: no order, no shuffle."""
-    n = copies(F.col(weight), hash_draw(seed, F.col(key)), strategy).cast("int")
-    return docs.withColumn("_n", n).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    d = text.once(docs, _w=F.col(weight).cast("double"), _draw=hash_draw(seed, F.col(key)))  # the number of copies names both many times
+    n = copies(F.col("_w"), F.col("_draw"), strategy).cast("int")
+    return d.withColumn("_n", n).where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n", "_w", "_draw")
 
 
 def totals(before: DataFrame, after: DataFrame, weight: str = "final_weight") -> DataFrame:

@@ -44,8 +44,9 @@ def r6(c):
 
 
 def _docs_weighted(spark: SparkSession, sf: str) -> DataFrame:
-    d = texts(spark, sf).withColumn("quality", T.quality_score(F.col("text")))
-    return d.withColumn("content_type", T.classify_text(F.col("text"))).withColumn("final_weight", T.final_weight(F.lit(""), F.col("content_type"), F.lit(""), F.col("quality")))
+    """Documents with scores, types and weights, which name scores and types many times: both are computed once a row, and so is a weight."""
+    d = T.once(texts(spark, sf), quality=T.quality_score(F.col("text")), content_type=T.classify_text(F.col("text")))
+    return T.once(d, final_weight=T.final_weight(F.lit(""), F.col("content_type"), F.lit(""), F.col("quality")))
 
 
 def corpus_summary(spark, sf):
@@ -172,7 +173,7 @@ def weight_resample(spark, sf):
 
 
 def weighter_totals(spark, sf):
-    d = _docs_weighted(spark, sf).withColumn("w", F.round(F.col("final_weight") * 4, 6))
+    d = graph.durable(_docs_weighted(spark, sf).select("doc_id", F.round(F.col("final_weight") * 4, 6).alias("w")))  # read twice
     return sampling.totals(d, sampling.resample(d, "downsample", weight="w"), "w").select("docs_in", "docs_out", F.round("total_weight", 4).alias("total_weight"), r6("avg_weight").alias("avg_weight"), r6("expansion").alias("expansion"))
 
 
@@ -187,7 +188,8 @@ def final_weight_pages(spark, sf):
 
 
 def weight_resample_exact(spark, sf):
-    return sampling.resample_in_order(_docs_weighted(spark, sf).withColumn("w", F.col("final_weight") * 4), "both", weight="w").groupBy("doc_id").agg(F.count("*").alias("copies"))
+    d = graph.durable(_docs_weighted(spark, sf).select("doc_id", "seq", (F.col("final_weight") * 4).alias("w")))  # read twice
+    return sampling.resample_in_order(d, "both", weight="w").groupBy("doc_id").agg(F.count("*").alias("copies"))
 
 
 def reservoir_sample(spark, sf):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that hold at any size; sizes of partitions are left to the cluster and to AQE.
 DEFAULTS = {
@@ -32,7 +34,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of a partition that rows are dealt to, at most about so many.
+DEALT_ROWS = 20_000
+
+
+def longest(rows: list[int], cores: int) -> int:
+    """Rows that the busiest of ``cores`` works off if each split goes to whoever has the least, the largest first."""
+    busy = [0] * cores
+    for n in sorted(rows, reverse=True):
+        heapq.heapreplace(busy, busy[0] + n)
+    return max(busy)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """``df``, its rows dealt over all cores if it comes in less than half as many splits; inputs of more splits stay as they are."""
+    """``df``, its rows dealt anew if its splits keep some core busy for a quarter longer than an even share; else as it is.
+
+    What counts is the rows of each split, not the number of splits: a Parquet row group lies in one split, and the others that its file is cut into are empty.
+    Counting reads no column.
+    """
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n // 2 else df
+    rows = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("k")).count().collect()]  # a row for each split
+    total = sum(rows)
+    return df.repartition(n * max(1, -(-total // (n * DEALT_ROWS)))) if total and 4 * n * longest(rows, n) > 5 * total else df
