@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.operators import dedup
+from loomtext.operators import dedup, encode
 from loomtext.plans.registry import QUERIES
 from loomtext.session import longest, spread, table
 
@@ -45,3 +45,9 @@ def test_candidates_that_prefixes_rule_out_exchange_no_sets(spark):
         assert sorted(old.collect()) == sorted(new.collect()) and new.count() >= 10
     met = dedup.candidates(dedup.prefixes(sets, 0.8, common, ends=True), 0.8)
     assert met.where("a < 100").count() == 0
+
+
+def test_texts_are_encoded_in_steps_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(encode, "STEP_CHARS", 10)
+    assert list(encode._steps([])) == []
+    assert list(encode._steps(["aaaa", "bbbb", "cccc", "d" * 50, "", "e"])) == [["aaaa", "bbbb"], ["cccc"], ["d" * 50], ["", "e"]]
