@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .graph import components, durable
+from .graph import components, durable, small
 
 #: Rows of one group that one task works off at a time.
 BLOCK_ROWS = 20_000
@@ -124,11 +124,12 @@ def representatives(rows: DataFrame, values: DataFrame, pairs: DataFrame, replay
     held = before.join(root, "cls")
     for block in range(-1 if last is None else last + 1):
         now = inside.where(F.col("block") == block)
-        classes = now.select("cls", "root").distinct()
+        # the rows of one block are few: pairs, values and slots are not exchanged for them
+        classes = small(now.select("cls", "root").distinct())
         near = classes.unionAll(both.join(classes, F.col("a") == F.col("cls")).select(F.col("b").alias("cls"), "root")).distinct()  # the classes a block's rows may meet
-        met = durable(held.join(near.select("cls"), "cls", "left_semi").select("root", "slot", "seq", "weight", "cls"))
+        met = durable(held.join(small(near.select("cls").distinct()), "cls", "left_semi").select("root", "slot", "seq", "weight", "cls"))
         work = now.select("root", F.lit(None).cast("long").alias("slot"), "seq", "weight", "cls").unionAll(met)
-        needed = values.join(work.select("root", "cls").distinct(), "cls").select("root", F.col("cls").alias("cls"), "value")
+        needed = values.join(small(work.select("root", "cls").distinct()), "cls").select("root", F.col("cls").alias("cls"), "value")
 
         def run(t: pa.Table, v: pa.Table) -> pa.Table:
             t = t.sort_by([("slot", "ascending"), ("seq", "ascending")])  # slots first, as they were founded; null slots, which are rows, last
