@@ -211,11 +211,12 @@ def shard_offsets(spark, sf):
 
 def _word_tokens(spark, sf):
     d = sampling.split(texts(spark, sf), 0.05)
-    return d.withColumn("tokens", packing.with_end(F.transform(T.words(F.col("text")), lambda w: F.char_length(w)), 2))
+    d = T.once(d.drop("lang", "source", "n_chars"), tokens=F.transform(T.words(F.col("text")), lambda w: F.char_length(w))).drop("text")
+    return T.once(d, tokens=packing.with_end(F.col("tokens"), 2))
 
 
 def shard_pieces(spark, sf):
-    return packing.shard_pieces(_word_tokens(spark, sf), 50_000).groupBy("part", "shard").agg(F.count("*").alias("pieces"), F.sum(F.size("piece")).alias("tokens"))
+    return packing.shard_pieces(graph.durable(_word_tokens(spark, sf)), 50_000).groupBy("part", "shard").agg(F.count("*").alias("pieces"), F.sum(F.size("piece")).alias("tokens"))
 
 
 def batch_windows(spark, sf):
@@ -227,7 +228,8 @@ def batch_windows(spark, sf):
 def shard_windows(spark, sf):
     """Training windows read back from the token shards of both parts."""
     folder = graph.new_folder(spark, "shards")
-    d = _word_tokens(spark, sf).withColumn("tokens", F.transform("tokens", lambda n: F.least(n, F.lit(65_535))))
+    # read by the sums and by the cuts: texts are split into words once
+    d = graph.durable(_word_tokens(spark, sf).withColumn("tokens", F.transform("tokens", lambda n: F.least(n, F.lit(65_535)))))
     token_shards.write_token_shards(packing.shard_pieces(d, 50_000), folder, sequence_length=128, vocab_size=65_536)
     total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
     out = graph.durable(token_shards.read_token_shards(spark, folder).select("name", "at", total("x").alias("x_sum"), total("y").alias("y_sum")))
