@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 
 from . import fixed
 
+# Classes ask first what most characters answer: single characters below 256 are one look-up, each range, property and part of a union is a test of its own.
+
 #: White space as Python's str.split sees it.
-SPACE = "[\\s\\x1c-\\x1f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+SPACE = "[\\t\\n\\x0b\\f\\r\\x1c\\x1d\\x1e\\x1f \\x85\\xa0[\\u1680-\\u3000&&[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]]]+"
+#: Control and format characters but newline and tab.
+CONTROL = "[[^\\x20-\\x7e\\n\\t]&&[\\p{Cc}\\p{Cf}]]"
+#: ASCII and composed Latin letters, which are their own normal form.
+PLAIN = "[\\x00-\\x9f[\\u00a1-\\u00a7\\u00a9\\u00ab-\\u00ae\\u00b0\\u00b1\\u00b6\\u00b7\\u00bb\\u00bf-\\u0131\\u0134-\\u013e\\u0141-\\u0148\\u014a-\\u017e]]"
 
 
 def _java(pattern: str, ignore_case: bool = True, dot_all: bool = False) -> str:
@@ -143,14 +149,14 @@ _compatible.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[
 
 def compatible(text: Column) -> Column:
     """NFKC. Text of ASCII and composed Latin letters is its own normal form and never leaves the JVM."""
-    plain = text.rlike("^[\\x00-\\x9f\\u00a1-\\u00a7\\u00a9\\u00ab-\\u00ae\\u00b0\\u00b1\\u00b6\\u00b7\\u00bb\\u00bf-\\u0131\\u0134-\\u013e\\u0141-\\u0148\\u014a-\\u017e]*$")
+    plain = text.rlike(f"^{PLAIN}*$")
     return F.when(text.isNull() | plain, text).otherwise(F.pandas_udf(_compatible, "string")(F.when(~plain, text)))
 
 
 def normalise(text: Column, nfkc: bool = True) -> Column:
     """NFKC, no control or format characters but newline and tab, runs of blanks as one, of newlines as two at most, stripped."""
     t = compatible(text) if nfkc else text
-    t = F.regexp_replace(t, "[\\p{Cc}\\p{Cf}&&[^\\n\\t]]", "")
+    t = F.regexp_replace(t, CONTROL, "")
     t = F.regexp_replace(F.regexp_replace(t, "[ \\t]+", " "), "\\n{3,}", "\n\n")
     return strip(t)
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomtext.functions import text as T
 from loomtext.operators import dedup, encode, graph, metric
 from loomtext.plans.registry import QUERIES
 from loomtext.session import longest, spread, table
@@ -118,3 +119,20 @@ def test_edges_are_contracted_before_they_are_exchanged(spark, monkeypatch):
     edges = spark.createDataFrame(e, "a long, b long").coalesce(1)
     assert graph.contracted(edges).count() < 500
     assert {r.node: r.root for r in graph.components(edges).collect()} == {k: 0 for k in range(60)} | {100 + k: 100 for k in range(51)}
+
+
+def test_fast_classes_hold_the_same_characters(spark):
+    """Every code point, by the classes as they are and as one would write them down."""
+    plain = {
+        T.SPACE: "[\\s\\x1c-\\x1f\\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+",
+        T.CONTROL: "[\\p{Cc}\\p{Cf}&&[^\\n\\t]]",
+        T.PLAIN: "[\\x00-\\x9f\\u00a1-\\u00a7\\u00a9\\u00ab-\\u00ae\\u00b0\\u00b1\\u00b6\\u00b7\\u00bb\\u00bf-\\u0131\\u0134-\\u013e\\u0141-\\u0148\\u014a-\\u017e]",
+    }
+    d = spark.createDataFrame([(chr(k),) for k in range(0x110000) if not 0xD800 <= k < 0xE000], "c string")
+    got = d.agg(*[F.sum((F.col("c").rlike(a) != F.col("c").rlike(b)).cast("int")) for a, b in plain.items()], *[F.sum(F.col("c").rlike(a).cast("int")) for a in plain]).first()
+    assert list(got[:3]) == [0] * 3 and all(n > 10 for n in got[3:])
+
+
+def test_texts_are_split_once_for_shards(spark, sf):
+    plan = optimised(QUERIES["shard_pieces"](spark, sf))
+    assert "split(" not in plan  # the tokens are laid down, and read by the sums and by the cuts
