@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.llm import decontam, mixing, nearcopies, tokens, toxicity
-from loomtext.llm.common import durable, fresh, new_folder, remove_folder, swept, table
+from loomtext.llm.common import durable, fresh, new_folder, remove_folder, swept, table, text_key
 from loomtext.llm.queries import tokenizer_path
 
 #: The mix takes so many of a thousand of the tokens that come in; each document once at most.
@@ -26,8 +26,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows go or stay together; a score at the threshold is toxic. An empty table stays empty.
     """
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    score, toxic = fresh(docs, "score", "toxic")
-    return toxicity.score_toxicity(docs, model, score_col=score, toxic_col=toxic).where(F.col(toxic) == 0).drop(score, toxic)
+    text = F.col("text").cast("string")
+    keyed = docs.select(*[k.alias(n) for n, k in zip(("k0", "k1"), text_key(text), strict=True)], text.alias("text"))
+    # the scores are laid down by the texts' keys, in batches of bounded size, and no other column passes through Python
+    bad = durable(toxicity.score_toxicity(keyed, model, keep=["k0", "k1"]).where("toxic = 1").select("k0", "k1").distinct())
+    bad = F.broadcast(bad) if bad.count() <= nearcopies.BROADCAST_ROWS else bad
+    a, b = fresh(docs, "key a", "key b")
+    out = docs.withColumns(dict(zip((a, b), text_key(text), strict=True))).join(bad.withColumnsRenamed({"k0": a, "k1": b}), [a, b], "left_anti")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

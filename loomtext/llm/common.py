@@ -117,6 +117,11 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
     return [F.xxhash64(F.lit(k), F.col(id_col).isNull(), F.col(id_col), F.col(text_col)).alias(f"k{k}") for k in (0, 1)]
 
 
+def text_key(text: Column) -> list[Column]:
+    """128 bits of hash by which a text is known; a null text has a key of its own."""
+    return [F.xxhash64(F.lit(k), text) for k in (0, 1)]
+
+
 def training_row(doc_id: Column | str = "doc_id") -> Column:
     """True for rows that labels may be learned from: crc32 of the id's decimal text, mod 5, is not 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

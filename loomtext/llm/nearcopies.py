@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .arrowtext import group_sums, kept, release, steps, text_column, tidy
-from .common import durable, fresh, row_key
+from .common import durable, fresh, row_key, small_batches
 from .components import components
 from .simhash import CELL, bit_majorities, distinct_in_groups, find, links, shingle_hashes
 
+#: Bytes of text that are shingled at a time: a worker holds some twenty times as many.
+STEP = 1 << 19
 #: Texts of one group that are compared in one piece; pivots of a larger group and rounds in which they are drawn.
 BLOCK, PIVOTS, ROUNDS = 512, 4, 2
 #: Up to how many rows a list of row keys or shingles is broadcast, and shingles of pivots.
@@ -318,7 +320,7 @@ def verified(docs: DataFrame, candidates: DataFrame, nodes: DataFrame, repeated:
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, STEP):
                 h, off = distinct_in_groups(*shingle_hashes(texts.slice(a, b - a), width))
                 sets = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), sets], names=["node", "loose", "hs"])
@@ -349,14 +351,16 @@ def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, radi
 
     @tidy
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("near copies")
         for batch in batches:
             texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, STEP):
                 yield pa.RecordBatch.from_arrays([pa.array(distinct_in_groups(*shingle_hashes(texts.slice(a, b - a), width))[0].view(np.int64))], names=["h"])
 
     every_nth = max(1, docs.count() // SAMPLE_TEXTS)
     often = keyed.where(F.pmod(F.col("k0"), F.lit(every_nth)) == 0).select("text").mapInArrow(drawn, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    drawn_often = often.orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    with small_batches(docs.sparkSession):
+        drawn_often = often.orderBy(F.desc("n"), "h").limit(COMMON).collect()
     common = np.sort(np.array([r.h for r in drawn_often], np.int64).view(np.uint64))
     hot = docs.sparkSession.createDataFrame([(r.h,) for r in drawn_often if r.n >= HOT], "gram long")
 
@@ -365,7 +369,7 @@ def near_copies(docs: DataFrame, *, width: int = 5, threshold: float = 0.8, radi
         kept("near copies")
         for batch in batches:
             texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, STEP):
                 some = texts.slice(a, b - a)
                 h, off = shingle_hashes(some, width)
                 fp, again = bit_majorities(h, off), group_sums(h, off)  # the sums: 64 bits more that equal texts share

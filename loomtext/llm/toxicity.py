@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .arrowtext import coded, kept, steps, text_column, tidy, words
-from .common import durable, held_out, training_row
+from .common import durable, held_out, small_batches, training_row
 
 #: Letters that a character may stand for, with the channel's cost (a negative log probability).
 LEET = {
@@ -42,6 +42,8 @@ DROP_MARK, DROP_MASK, DROP_SIGN, DROP_DIGIT, DROP_THIRD, DROP_SECOND = 0.7, 2.5,
 BREAK, END_MARK = 1.0, 0.7
 #: What a word of digits alone costs when read as a number, for the word and for each digit; words of letters' stand-ins cost what their reading costs.
 NUMBER, NUMERAL = 3.0, math.log(10)
+#: Bytes of text that are counted, and that are read, at a time: a worker holds some thirty times as many.
+COUNT_BYTES, READ_BYTES = 1 << 19, 1 << 20
 #: Words a worker remembers.
 CACHE_WORDS = 150_000
 #: Lengths of the beginnings of words that are features, and the share of a text's words that makes a feature frequent.
@@ -76,7 +78,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         acc = np.zeros(A**3, np.int64)
         for batch in batches:
             texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, COUNT_BYTES):
                 s = symbols_of(" ".join(["", *texts.slice(a, b - a).to_pylist(), ""])).astype(np.int32)
                 s = s[(s > 0) | np.append(True, s[:-1] > 0)]  # one edge between words
                 s = np.repeat(s, np.where(s == 0, 2, 1))  # that ends a word and begins the next
@@ -84,7 +86,9 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         k = np.flatnonzero(acc)
         yield pa.RecordBatch.from_pydict({"k": k.astype(np.int64), "n": acc[k]})
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()  # A³ counts at most
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    with small_batches(docs.sparkSession):
+        rows = counted.collect()  # A³ counts at most
     acc = np.zeros(A**3, np.int64)
     for r in rows:
         acc[r.k] = r.n
@@ -304,7 +308,7 @@ def word_counts(docs: DataFrame, costs: np.ndarray) -> DataFrame:
 
         for batch in batches:
             texts, y = text_column(batch, "text"), batch.column(1).to_numpy(zero_copy_only=False)
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, READ_BYTES):
                 keys, t, k = text_features(texts.slice(a, b - a), restorer)
                 for c in (0, 1):
                     n = np.bincount(k[y[a:b][t] == c], minlength=len(keys))
@@ -390,19 +394,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", le
     n0, n1 = drawn.get(0, 0) + 1, drawn.get(1, 0) + 1
     rest = (F.col("n0") + F.col("n1")) / F.lit(n0 + n1)
     z = (F.col("n1") / n1 - F.col("n0") / n0) / F.sqrt(rest * (1 - rest) * (1 / n0 + 1 / n1) + 1e-12)
-    model.lexicon = [r.word for r in _different(counts).select("word", F.abs(z).alias("z")).where("z > 4").orderBy(F.desc("z"), "word").limit(lexicon_size).collect()]
+    marking = _different(counts).select("word", F.abs(z).alias("z")).where("z > 4").orderBy(F.desc("z"), "word").limit(lexicon_size)
+    with small_batches(docs.sparkSession):
+        model.lexicon = [r.word for r in marking.collect()]
 
     @tidy
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = _restorer(model.costs)
         for batch in batches:
             texts = text_column(batch, "text")
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, READ_BYTES):
                 t, f = model.features(texts.slice(a, b - a), restorer)
                 lists = np.split(f[np.argsort(t, kind="stable")], np.cumsum(np.bincount(t, minlength=b - a))[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))], names=["y", "f"])
 
-    sample = rows.mapInArrow(features, "y int, f array<int>").collect()  # sample_rows of each label
+    with small_batches(docs.sparkSession):
+        sample = rows.mapInArrow(features, "y int, f array<int>").collect()  # sample_rows of each label
     got = np.array([r.y for r in sample], np.float64)
     t = np.repeat(np.arange(len(sample)), [len(r.f) for r in sample]) if sample else np.zeros(0, np.int64)
     f = np.array([i for r in sample for i in r.f], np.int64)
@@ -428,7 +435,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, *, threshold: float = 0.5
         restorer = _restorer(model.costs)
         for batch in batches:
             texts = text_column(batch, text_col)
-            for a, b in steps(texts, 2 << 20):
+            for a, b in steps(texts, READ_BYTES):
                 score = pa.array(model.score(texts.slice(a, b - a), restorer))
                 yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(a, b - a) for k in places], score], names=[*kept, score_col])
 

@@ -97,6 +97,44 @@ def test_stages_stand_odd_rows(spark, tmp_path):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_python_gets_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """Stages bound the batches of every step that reads texts, whoever runs the action."""
+    few = table(spark, SF, "documents")
+    docs = few.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(2500 // few.count())))).withColumn("doc_id", F.col("doc_id") + 1_000_000 * F.col("copy")).drop("copy")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs, plain = spark.read.parquet(f"{tmp_path}/docs"), type(few).mapInArrow
+    folder, most = tmp_path / "seen", 2048
+    folder.mkdir()
+
+    def watched(self, func, *args, **more):
+        def run(batches):
+            def each():
+                for batch in batches:
+                    with (folder / f"{'over' if batch.num_rows > most else 'under'}").open("a") as f:
+                        f.write(f"{batch.num_rows}\n")
+                    yield batch
+
+            return func(each())
+
+        return plain(self, run, *args, **more)
+
+    assert docs.count() > most
+    monkeypatch.setattr(type(few), "mapInArrow", watched)
+    for k, (_, stage) in enumerate(P.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{k}")
+    assert (folder / "under").exists() and not (folder / "over").exists()
+
+
+def test_toxic_rows_go_by_their_text(spark):
+    """What goes is what the model rejects, row by row: repeated ids, null ids and null texts among them."""
+    docs = table(spark, SF, "documents").unionByName(cases.odd(spark).select(*table(spark, SF, "documents").columns))
+    model = P.toxicity.fit_toxicity(docs, table(spark, SF, "labels"))
+    want = P.toxicity.score_toxicity(docs, model).where("toxic = 0").drop("toxic", "toxic_score")
+    got = P.drop_toxic(spark, docs, SF)
+    assert got.columns == docs.columns and 0 < got.count() < docs.count()
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
 def test_thin_queries_return_whole_tables(spark):
     docs = table(spark, SF, "documents")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
